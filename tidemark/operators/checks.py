@@ -7,18 +7,26 @@ from pyspark.sql import functions as F
 
 
 def missing_tables(required: DataFrame, present: DataFrame) -> DataFrame:
-    """Required tables (column `table`, optional `position`) that the catalog lacks; names ignore case."""
-    known = present.select(F.lower("table").alias("_name")).distinct()
+    """Required tables (column `table`, optional `position`) that the catalog lacks.
+
+    The catalog is read through the table selection, which takes exact names; among what it finds,
+    names are compared in lower case.
+    """
+    known = _selected(required, present).select(F.lower("table").alias("_name")).distinct()
     return (required.withColumn("_name", F.lower("table")).join(known, "_name", "left_anti")
             .select(*required.columns))
 
 
+def _selected(required: DataFrame, present: DataFrame) -> DataFrame:
+    return present.join(required.select("table").distinct(), "table", "left_semi")
+
+
 def _presence(required: DataFrame, present: DataFrame) -> DataFrame:
     """One row: how many tables are required and found, and the missing and found ones in list order.
 
     Both lists hold table names only, at most one entry per required table.
     """
-    known = present.groupBy(F.lower("table").alias("_name")).agg(
+    known = _selected(required, present).groupBy(F.lower("table").alias("_name")).agg(
         F.min("table").alias("_found"), F.count("column").alias("_columns"))
     position = F.col("position") if "position" in required.columns else F.col("table")
     joined = required.select("table", position.alias("_at"), F.lower("table").alias("_name")).join(known, "_name", "left")
