@@ -183,13 +183,13 @@ def normal_key_type(left: T.DataType, right: T.DataType) -> T.DataType:
     if all(isinstance(t, integral) for t in sides):
         return T.LongType()
     if all(isinstance(t, integral + (T.DecimalType,)) for t in sides):
-        decimals = [T.DecimalType(19, 0) if isinstance(t, integral) else t for t in sides]
+        decimals = [t for t in sides if isinstance(t, T.DecimalType)]
+        if all(t.scale == 0 and t.precision <= 18 for t in decimals):
+            return T.LongType()
         scale = max(t.scale for t in decimals)
-        whole = max(t.precision - t.scale for t in decimals)
+        whole = max(19 if isinstance(t, integral) else t.precision - t.scale for t in sides)
         if whole + scale > 38:
             raise ValueError(f"no exact common key type for {left} and {right}")
-        if scale == 0 and whole <= 18:
-            return T.LongType()
         return T.DecimalType(whole + scale, scale)
     fractional = (T.FloatType, T.DoubleType)
     if all(isinstance(t, integral + (T.DecimalType,) + fractional) for t in sides):
