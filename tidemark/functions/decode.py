@@ -23,64 +23,54 @@ _DATE_TIME_TEXT = r"^\d{4,}-\d\d-\d\dT\d\d:\d\d"
 _BASE64_TEXT = r"^[A-Za-z0-9+/]+={0,2}$"
 
 
-def _hex_unsigned(digits: Column) -> Column:
-    """Up to 16 hex digits as a non-negative decimal."""
-    return F.conv(digits, 16, 10).try_cast(WIDE)
+def _widened(digits: Column, width: int) -> Column:
+    """Hex digits of a two's-complement integer, sign-extended to a fixed width."""
+    return F.lpad(digits, width, F.when(F.left(digits, F.lit(1)) >= "8", "F").otherwise("0"))
 
 
-def _hex_signed(digits: Column) -> Column:
-    """Up to 16 hex digits as a big-endian two's-complement integer."""
-    powers = F.array(*[F.lit(Decimal(256 ** n)).cast(WIDE) for n in range(1, 9)])
-    modulus = F.try_element_at(powers, (F.length(digits) / 2).cast("int"))
-    unsigned = _hex_unsigned(digits)
-    return F.when(F.left(digits, F.lit(1)) >= "8", F.try_subtract(unsigned, modulus).try_cast(WIDE)).otherwise(unsigned)
+def unscaled_text(raw: Column) -> Column:
+    """Bytes of a big-endian two's-complement integer as decimal text; null when empty or beyond 38 digits.
 
-
-def unscaled_integer(raw: Column) -> Column:
-    """Bytes of a big-endian two's-complement integer as decimal(38,0); null when empty or too large.
-
-    Eight bytes at a time through `conv`, so the expression stays inside code generation instead of
-    looping over bytes with a higher-order function.
+    `conv` reads eight bytes at a time, so the expression stays inside code generation instead of
+    looping over bytes with a higher-order function. Most values fit the first eight.
     """
-    digits = F.hex(raw)
-    n = F.length(digits)
-    # Longer than 16 bytes only fits when the leading bytes merely repeat the sign.
-    lead = F.left(digits, n - 32)
-    sign_digit = F.substring(F.right(digits, F.lit(32)), 1, 1)
-    padded = (lead.rlike("^(00)+$") & (sign_digit < "8")) | (lead.rlike("^(FF)+$") & (sign_digit >= "8"))
-    digits = F.when(n <= 32, digits).when(padded, F.right(digits, F.lit(32)))
+    # Leading bytes that merely repeat the sign say nothing.
+    digits = F.regexp_replace(F.hex(raw), "^(?:(?:00)+(?=[0-7])|(?:FF)+(?=[89A-F]))", "")
+    wide = _widened(digits, 32)
+    # For negative values the borrow moves to the low half, so that no step needs more than 38 digits.
+    negative = (F.left(digits, F.lit(1)) >= "8")
+    high = F.conv(F.substring(wide, 1, 16), 16, -10).try_cast(WIDE) + negative.cast("int")
+    low = F.conv(F.substring(wide, 17, 16), 16, 10).try_cast(WIDE) - F.when(negative, F.lit(Decimal(2 ** 64))).otherwise(F.lit(Decimal(0)))
+    both = F.try_add(F.try_multiply(high, F.lit(Decimal(2 ** 64))).try_cast(WIDE), low).try_cast(WIDE).cast("string")
     n = F.length(digits)
-    high = _hex_signed(F.left(digits, n - 16))
-    low = _hex_unsigned(F.right(digits, F.lit(16)))
-    wide = F.try_add(F.try_multiply(high, F.lit(Decimal(2 ** 64))).try_cast(WIDE), low).try_cast(WIDE)
-    return F.when(n == 0, None).when(n <= 16, _hex_signed(digits)).otherwise(wide)
+    return F.when(n.between(1, 16), F.conv(_widened(digits, 16), 16, -10)).when(n.between(17, 32), both)
 
 
-def plain_decimal_text(unscaled: Column, scale: Column) -> Column:
-    """Unscaled integer and scale as plain decimal text; the scale may differ from row to row."""
-    text = unscaled.cast("string")
-    sign = F.when(text.startswith("-"), "-").otherwise("")
-    digits = F.regexp_replace(text, "^-", "")
-    width = F.greatest(F.length(digits), scale + 1)
-    digits = F.lpad(digits, width, F.lit("0"))
-    fraction = F.concat(sign, F.left(digits, width - scale), F.lit("."), F.right(digits, scale))
-    return (F.when(scale > 0, fraction)
-            .when((scale < 0) & (unscaled != 0), F.concat(text, F.repeat(F.lit("0"), -scale)))
-            .otherwise(text))
+def _plain(unscaled: Column, scale: Column) -> Column:
+    """Unscaled decimal text with the point put in; the scale may differ from row to row."""
+    padded = F.regexp_replace(unscaled, F.lit(r"^(-?)"), F.concat(F.lit("$1"), F.repeat(F.lit("0"), scale)))
+    pointed = F.regexp_replace(padded, F.concat(F.lit(r"(\d{"), scale.cast("string"), F.lit("})$")), F.lit(".$1"))
+    trimmed = F.regexp_replace(pointed, r"^(-?)0+(?=\d)", "$1")
+    zeros = F.when(unscaled == "0", "").otherwise(F.repeat(F.lit("0"), -scale))
+    return F.when(scale > 0, trimmed).otherwise(F.concat(unscaled, zeros))
 
 
-def decode_decimal_text(value: Column, scale: Column) -> Column:
-    """Base64 decimal to plain text; null stays null and anything undecodable stays as it came."""
-    scale = F.coalesce(scale.try_cast("int"), F.when(scale.isNull(), F.lit(0)))
-    padded = F.rpad(value, F.ceil(F.length(value) / 4).cast("int") * 4, "=")
-    raw = F.when(value.rlike(_BASE64_TEXT), F.try_to_binary(padded, F.lit("base64")))
-    return F.coalesce(plain_decimal_text(unscaled_integer(raw), scale), value)
+def decode_decimal_text(value: Column, scale: Column, plain: bool = True) -> Column:
+    """Base64 decimal to text; null stays null and anything undecodable stays as it came.
+
+    With `plain` off the text is `<unscaled>E-<scale>`, which is cheaper and casts exactly to any numeric type.
+    """
+    scale = F.coalesce(scale, F.lit("0")).try_cast("int")
+    unscaled = unscaled_text(F.when(value.rlike(_BASE64_TEXT), F.try_to_binary(value, F.lit("base64"))))
+    text = _plain(unscaled, scale) if plain else F.concat(unscaled, F.lit("E"), (-scale).cast("string"))
+    return F.coalesce(text, value)
 
 
 def decode_decimal(value: Column, scale: Column | int, precision: int = 38, to_scale: int = 18) -> Column:
     """Base64 decimal to decimal(precision, to_scale); null when undecodable or out of range."""
-    scale = F.lit(scale) if isinstance(scale, int) else scale
-    return decode_decimal_text(value, scale).try_cast(T.DecimalType(precision, to_scale))
+    scale = F.lit(str(scale)) if isinstance(scale, int) else scale
+    decoded = decode_decimal_text(value, scale, plain=False)
+    return F.when(decoded.contains("E"), decoded.try_cast(T.DecimalType(precision, to_scale)))
 
 
 def decode_record(image: Column, field_schemas: Column) -> Column:

@@ -28,7 +28,8 @@ class TableSpec:
 
 def typed_table(events: DataFrame, name: str, spec: TableSpec) -> DataFrame:
     """Typed events of one table, filtered before any image is decoded."""
-    return decode_images(events.where(F.col("table") == name), spec.schema, dict(spec.units), spec.time_columns)
+    return decode_images(events.where(F.col("table") == name), spec.schema, dict(spec.units), spec.time_columns,
+                         spec.keys)
 
 
 def apply_table(base: DataFrame | None, typed: DataFrame, spec: TableSpec, order_col: str = "seq") -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.decode import DECIMAL_LOGICAL_NAME, coerce, decode_decimal_text
+from tidemark.functions.decode import coerce, decode_record
 
 _SCHEMA_FIELDS = ("schema struct<fields:array<struct<field:string,fields:array<"
                   "struct<field:string,name:string,parameters:struct<scale:string>>>>>>")
@@ -46,7 +46,9 @@ def parse_changes(raw: DataFrame, order_col: str = "seq", value_col: str = "valu
 
     `order_col` is the position of an event in the log: a unique integer, either a column of `raw` or
     read from the envelope field `source.<order_field>`. Columns of `raw` other than the value are kept.
-    `time_field` names an epoch-millisecond field of `source` to expose as `event_ms`.
+    `time_field` names an epoch-millisecond field of `source` to expose as `event_ms`. With
+    `field_schemas` the schema embedded in each envelope is read too, and images come out with their
+    decimals decoded.
 
     Dropped without trace: null and blank values, envelopes without payload, empty table names.
     Rejected: text that is not JSON, and events without a position.
@@ -76,9 +78,7 @@ def _envelopes(raw: DataFrame, order_col: str, value_col: str, order_field: str
     if field_schemas:
         schema += ", " + _SCHEMA_FIELDS
     parsed = F.from_json(value_col, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "malformed"})
-    # The generator keeps the JSON from being parsed again for every predicate: the optimizer pushes
-    # filters through a projection by copying the expression, but not through a generator.
-    events = raw.select("*", F.inline(F.array(parsed)))
+    events = _computed_once(raw, parsed)
     text = F.col(value_col)
     src = F.col("payload.source")
     if order_field:
@@ -97,11 +97,23 @@ def _envelopes(raw: DataFrame, order_col: str, value_col: str, order_field: str
         "reject_reason": F.when(not_json, "not_json").when(no_position, "no_position"),
     })
     if field_schemas:
-        events = events.withColumns({f"{image}_schema": field_schema_map(F.col("schema.fields"), image)
-                                     for image in ("before", "after")})
+        events = _computed_once(events, F.struct(*[field_schema_map(F.col("schema.fields"), image).alias(f"{image}_schema")
+                                                   for image in ("before", "after")]))
+        events = _computed_once(events.withColumnsRenamed({"before": "_before", "after": "_after"}),
+                                F.struct(*[decode_record(F.col(f"_{image}"), F.col(f"{image}_schema")).alias(image)
+                                           for image in ("before", "after")]))
     return events
 
 
+def _computed_once(df: DataFrame, row: Column) -> DataFrame:
+    """Add the fields of a struct as columns that are evaluated once.
+
+    The optimizer pushes filters through a projection by copying its expressions, so every predicate on
+    a parsed field would parse the JSON again; it does not push them through a generator.
+    """
+    return df.select("*", F.inline(F.array(row)))
+
+
 def field_schema_map(fields: Column, image: str) -> Column:
     """Field name to {logical name, scale} of one row image."""
     struct = F.get(F.filter(fields, lambda f: f["field"] == image), F.lit(0))
@@ -140,42 +152,37 @@ def route_by_table(events: DataFrame, tables: Iterable[str]) -> dict[str, DataFr
 
 
 def decode_images(good: DataFrame, schema: T.StructType, units: dict[str, str] | None = None,
-                  time_columns: Iterable[str] = ()) -> DataFrame:
+                  time_columns: Iterable[str] = (), keys: Iterable[str] = ()) -> DataFrame:
     """Typed row images for the events of one table (or of tables that share a schema).
 
     `before` and `after` become structs of the target schema, and `present` a struct of booleans
     saying which columns the relevant image carries (`after`, or `before` for deletes). `unread_before`
-    and `unread_after` flag the columns whose value cannot be typed; see `split_readable`.
+    and `unread_after` flag the columns whose value cannot be typed; see `split_readable`. With `keys`
+    only these columns of the before image are typed: a keyed table needs no others.
     """
     units = units or {}
     times = set(time_columns)
+    keys = list(keys)
     is_delete = F.col("action") == DELETE
-
-    def text(image: str, name: str) -> Column:
-        value = F.col(image)[name]
-        if f"{image}_schema" not in good.columns:
-            return value
-        field = F.col(f"{image}_schema")[name]
-        return F.when(field["name"] == DECIMAL_LOGICAL_NAME,
-                      decode_decimal_text(value, field["scale"])).otherwise(value)
+    fields = {"after": schema.fields, "before": [f for f in schema.fields if not keys or f.name in keys]}
 
     def typed(image: str) -> Column:
-        return F.struct(*[coerce(text(image, f.name), f.dataType, units.get(f.name, "ms"), f.name in times)
-                          .alias(f.name) for f in schema.fields])
+        return F.struct(*[coerce(F.col(f"raw_{image}")[f.name], f.dataType, units.get(f.name, "ms"), f.name in times)
+                          .alias(f.name) for f in fields[image]])
 
-    relevant = F.when(is_delete, F.col("before")).otherwise(F.col("after"))
+    relevant = F.when(is_delete, F.col("raw_before")).otherwise(F.col("raw_after"))
     present = F.struct(*[F.map_contains_key(relevant, F.lit(f.name)).alias(f.name) for f in schema.fields])
-    flat = good.withColumns({"raw_before": F.col("before"), "raw_after": F.col("after"),
-                             "before": typed("before"), "after": typed("after"), "present": present})
+    flat = good.withColumnsRenamed({"before": "raw_before", "after": "raw_after"})
+    flat = _computed_once(flat, F.struct(typed("before").alias("before"), typed("after").alias("after")))
 
     # One flag per column: a value is there but could not be typed. Text always passes.
     def unread(image: str) -> Column:
         flags = [(F.col(f"raw_{image}")[f.name].isNotNull() & F.col(image)[f.name].isNull()).alias(f.name)
-                 if not isinstance(f.dataType, T.StringType) else F.lit(False).alias(f.name) for f in schema.fields]
+                 if not isinstance(f.dataType, T.StringType) else F.lit(False).alias(f.name) for f in fields[image]]
         return F.struct(*flags).alias(f"unread_{image}")
 
     extra = [c for c in good.columns if c not in ("before", "after", "before_schema", "after_schema")]
-    return flat.select(*extra, "before", "after", "present", F.col("raw_before").isNotNull().alias("has_before"),
+    return flat.select(*extra, "before", "after", present.alias("present"), F.col("raw_before").isNotNull().alias("has_before"),
                        unread("before"), unread("after"))
 
 

@@ -140,10 +140,9 @@ def q_decimal_decode(spark, sf_dir):
 
 @query
 def q_record_decode(spark, sf_dir):
-    events = events_of(spark, sf_dir, X.decimal_envelopes, field_schemas=True)
-    decoded = events.select("seq", D.decode_record(F.col("after"), F.col("after_schema")).alias("r"))
-    return decoded.select("seq", F.col("r")["id"].alias("id"), F.col("r")["price"].cast("decimal(18,4)").alias("price"),
-                          F.col("r")["code"].alias("code"))
+    image = F.col("after")
+    return events_of(spark, sf_dir, X.decimal_envelopes, field_schemas=True).select(
+        "seq", image["id"].alias("id"), image["price"].cast("decimal(18,4)").alias("price"), image["code"].alias("code"))
 
 
 def _wire(spark, sf_dir, *expressions):
