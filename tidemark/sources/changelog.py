@@ -53,18 +53,34 @@ def parse_changes(raw: DataFrame, order_col: str = "seq", value_col: str = "valu
     Dropped without trace: null and blank values, envelopes without payload, empty table names.
     Rejected: text that is not JSON, and events without a position.
     """
+    events = parse_events(raw, order_col, value_col, order_field, time_field, field_schemas)
+    return split_events(events, order_col, tables)
+
+
+def parse_events(raw: DataFrame, order_col: str = "seq", value_col: str = "value", order_field: str | None = None,
+                 time_field: str | None = None, field_schemas: bool = False) -> DataFrame:
+    """Flat events, good and rejected ones together: what to persist when both are needed."""
     events = _envelopes(raw, order_col, value_col, order_field, time_field, field_schemas)
-    good = events.where(F.col("reject_reason").isNull() & F.col("payload").isNotNull() & (F.col("table") != ""))
-    rejected = events.where(F.col("reject_reason").isNotNull())
-    if tables is not None and list(tables):
-        good = select_tables(good, tables)
+    rejected = F.col("reject_reason").isNotNull()
     kept = [c for c in raw.columns if c not in (value_col, order_col)]
-    image_cols = ["before", "after"]
-    if field_schemas:
-        image_cols += ["before_schema", "after_schema"]
-    time_cols = ["event_ms"] if time_field else []
-    good = classify(good.select(order_col, *kept, *time_cols, "table", "op", "snapshot", *image_cols))
-    return good, rejected.select(order_col, *kept, F.col(value_col).alias("value"), "reject_reason")
+    images = ["before", "after"] + (["before_schema", "after_schema"] if field_schemas else [])
+    times = ["event_ms"] if time_field else []
+    return (events.where(rejected | (F.col("payload").isNotNull() & (F.col("table") != "")))
+            .select(order_col, *kept, *times, "table", "op", "snapshot", *images,
+                    F.when(rejected, F.col(value_col)).alias("rejected_value"), "reject_reason"))
+
+
+def split_events(events: DataFrame, order_col: str = "seq",
+                 tables: Iterable[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(good, rejected) of `parse_events`; only good events are filtered by table."""
+    good = events.where(F.col("reject_reason").isNull()).drop("rejected_value", "reject_reason")
+    if tables is not None:
+        good = select_tables(good, tables)
+    images = ("table", "op", "snapshot", "before", "after", "before_schema", "after_schema")
+    kept = [c for c in events.columns if c not in (*images, order_col, "event_ms", "rejected_value", "reject_reason")]
+    rejected = (events.where(F.col("reject_reason").isNotNull())
+                .select(order_col, *kept, F.col("rejected_value").alias("value"), "reject_reason"))
+    return classify(good), rejected
 
 
 def _envelopes(raw: DataFrame, order_col: str, value_col: str, order_field: str | None,

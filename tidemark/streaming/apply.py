@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -13,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.operators.progress import event_counts
 from tidemark.operators.reconcile import remove_orphans
 from tidemark.plans.replicate import TableSpec, apply_table, table_rejects, typed_table
-from tidemark.sources.changelog import parse_changes
+from tidemark.sources.changelog import parse_changes, parse_events, split_events
 from tidemark.sources.table_store import TableStore
 
 
@@ -40,29 +42,39 @@ def run_stream(spark: SparkSession, raw: DataFrame, specs: Mapping[str, TableSpe
     def one_batch(batch: DataFrame, batch_id: int) -> None:
         run["id"] = run["id"] or stream_id(spark, checkpoint)
         tag = f"{run['id']}-{batch_id}"
-        good, damaged = parse_changes(batch, order_col, tables=list(specs), **parse_options)
-        good = good.persist()
+        events = parse_events(batch, order_col, **parse_options).persist()
+        good, damaged = split_events(events, order_col, list(specs))
+        rejects = [damaged.select(order_col, F.lit(None).cast("string").alias("table"),
+                                  F.lit(None).cast("string").alias("op"), F.col("reject_reason").alias("reason"))]
+        rejects += [table_rejects(typed_table(good, name, spec), spec, order_col)
+                    .select(order_col, F.lit(name).alias("table"), "op", "reason") for name, spec in specs.items()]
+
+        def one_table(name: str, spec: TableSpec, cleaning: bool) -> None:
+            done = stores[name].has(tag)
+            if done and not cleaning:
+                return
+            table = stores[name].read()
+            if not done:
+                table = apply_table(table, typed_table(good, name, spec), spec, order_col)
+            if cleaning and name in sources and spec.keys:
+                table = remove_orphans(table, sources[name](), spec.keys)
+            stores[name].write(table, tag)
+
         try:
+            events.count()  # parse once, before several jobs read the result
             cleaning = not run["cleaned"] and good.where(F.col("stage").isin("last", "stream")).limit(1).count() > 0
-            rejects = [damaged.select(order_col, F.lit(None).cast("string").alias("table"),
-                                      F.lit(None).cast("string").alias("op"), F.col("reject_reason").alias("reason"))]
-            for name, spec in specs.items():
-                typed = typed_table(good, name, spec)
-                rejects.append(table_rejects(typed, spec, order_col)
-                               .select(order_col, F.lit(name).alias("table"), "op", "reason"))
-                done = stores[name].has(tag)
-                if done and not cleaning:
-                    continue
-                base = stores[name].read()
-                table = base if done else apply_table(base, typed, spec, order_col)
-                if cleaning and name in sources and spec.keys:
-                    table = remove_orphans(table, sources[name](), spec.keys)
-                stores[name].write(table, tag)
-            (reduce(DataFrame.unionByName, rejects).write.mode("overwrite")
-             .parquet(f"{store_dir.rstrip('/')}/_rejected/{tag}"))
+            # Tables are independent, so their jobs share the cluster instead of queueing up.
+            with ThreadPoolExecutor(min(len(specs) + 1, 16)) as pool:
+                jobs = [pool.submit(inheritable_thread_target(spark)(one_table), name, spec, cleaning)
+                        for name, spec in specs.items()]
+                jobs.append(pool.submit(inheritable_thread_target(spark)(
+                    lambda: reduce(DataFrame.unionByName, rejects).write.mode("overwrite")
+                    .parquet(f"{store_dir.rstrip('/')}/_rejected/{tag}"))))
+                for job in jobs:
+                    job.result()
             run["cleaned"] = run["cleaned"] or cleaning
         finally:
-            good.unpersist()
+            events.unpersist()
 
     writer = raw.writeStream.foreachBatch(one_batch).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)).start()
