@@ -49,6 +49,8 @@ def test_stream_equals_batch_and_survives_restart(spark, tmp_path):
     tables, rejected = replicate(changelog_text(spark, str(tmp_path / "log")), SPECS, order_field="pos")
     assert collected(tables["t"]) == want
     assert [r.reason for r in rejected.collect()] == ["not_json"]
+    staged, rejected = replicate(changelog_text(spark, str(tmp_path / "log")), SPECS, order_field="pos", staging=str(tmp_path / "staged"))
+    assert collected(staged["t"]) == want and [r.reason for r in rejected.collect()] == ["not_json"]
     assert spark.read.parquet(str(tmp_path / "store" / "_rejected" / "*")).count() == 1
     assert len(store.versions()) == 2
 

@@ -21,9 +21,12 @@ def _stretch_of(position: str, stretch: int) -> Column:
 
 def with_previous(df: DataFrame, keys: Sequence[str], position: str, value: str, name: str,
                   stretch: int = DEFAULT_STRETCH) -> DataFrame:
-    """Add `name`: `value` of the event just before, per key (null at the first). `value` is never null."""
+    """Add `name`: `value` of the event just before, per key (null at the first). `value` is never null.
+
+    `df` is computed and shuffled once: the window and the borders read the same exchange.
+    """
     keys = list(keys)
-    cut = df.withColumn("_stretch", _stretch_of(position, stretch))
+    cut = df.withColumn("_stretch", _stretch_of(position, stretch)).repartition(*keys, "_stretch")
     inner = Window.partitionBy(*keys, "_stretch").orderBy(position)
     outer = Window.partitionBy(*keys).orderBy("_stretch")
     borders = (cut.groupBy(*keys, "_stretch").agg(F.max_by(value, position).alias("_last"))
@@ -35,11 +38,11 @@ def with_previous(df: DataFrame, keys: Sequence[str], position: str, value: str,
             .select(*df.columns, name))
 
 
-def with_next_marked(df: DataFrame, key: str, position: str, marked: str, name: str,
+def with_next_marked(df: DataFrame, key: str, position: str, marked: Column, name: str,
                      stretch: int = DEFAULT_STRETCH) -> DataFrame:
     """Add `name`: position of the next later event of the key for which `marked` holds (null if none)."""
-    cut = df.withColumn("_stretch", _stretch_of(position, stretch))
-    mark = F.when(F.col(marked), F.col(position))
+    cut = df.withColumn("_stretch", _stretch_of(position, stretch)).repartition(key, "_stretch")
+    mark = F.when(marked, F.col(position))
     # Reading backwards keeps the frame growing, which is linear; strictly later means at least one apart.
     inner = (Window.partitionBy(key, "_stretch").orderBy(F.col(position).desc())
              .rangeBetween(Window.unboundedPreceding, -1))

@@ -14,9 +14,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.ordered import DEFAULT_STRETCH, with_previous
 from tidemark.sources.changelog import DELETE, readable
 
-
-def _image() -> Column:
-    return F.when(F.col("action") == DELETE, F.col("before")).otherwise(F.col("after"))
+_BARE = "delete without image"
 
 
 def _key_columns(keys: Sequence[str]) -> list[Column]:
@@ -75,7 +73,13 @@ def apply_changes(base: DataFrame | None, typed: DataFrame, keys: Sequence[str],
     survivors = last.where(~F.col("deleted")).select(*columns)
     if base is None:
         return survivors
-    return base.join(last.select(*keys), list(keys), "left_anti").select(*columns).unionByName(survivors)
+    # Asking for `deleted` too keeps the aggregate the same on both sides of the union, so that the log is
+    # read and shuffled once and the second use is a reused exchange.
+    touched = last.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("deleted").alias("_deleted"))
+    same = F.col("_deleted").isNotNull()
+    for k in keys:
+        same = same & (F.col(k) == F.col(f"_k_{k}"))
+    return base.join(touched, same, "left_anti").select(*columns).unionByName(survivors)
 
 
 def partial_state(typed: DataFrame, keys: Sequence[str], others: Sequence[str], order_col: str = "seq") -> DataFrame:
@@ -132,14 +136,17 @@ def apply_key_only(base: DataFrame, typed: DataFrame, keys: Sequence[str], order
              .select(*_key_columns(keys), F.col(order_col).alias("_position"), is_delete.alias("_deleted"))
              .groupBy(*keys).agg(F.max(F.when(~F.col("_deleted"), F.col("_position"))).alias("_upserted"),
                                  F.max(F.when(F.col("_deleted"), F.col("_position"))).alias("_removed")))
-    touched = state.where(F.col("_removed").isNotNull())
-    kept = base.join(touched.select(*keys), list(keys), "left_anti")
-    live = state.where(F.col("_upserted").isNotNull()
-                       & (F.col("_removed").isNull() | (F.col("_upserted") > F.col("_removed"))))
+    held = base.select(*[F.col(c).alias(f"_b_{c}") for c in base.columns])
+    same = F.lit(True)
+    for k in keys:
+        same = same & (F.col(f"_b_{k}") == F.col(k))
+    upserted, removed = F.col("_upserted"), F.col("_removed")
+    stays = F.col(f"_b_{keys[0]}").isNotNull() & removed.isNull()
     # A key deleted in between is gone from the base, so it comes back as a bare key.
-    fresh = (live.where(F.col("_removed").isNull()).join(base.select(*keys), list(keys), "left_anti").select(*keys)
-             .unionByName(live.where(F.col("_removed").isNotNull()).select(*keys)))
-    return kept.unionByName(fresh, allowMissingColumns=True).select(*base.columns)
+    live = upserted.isNotNull() & (removed.isNull() | (upserted > removed))
+    values = [F.coalesce(F.col(f"_b_{c}"), F.col(c)).alias(c) if c in keys else F.when(stays, F.col(f"_b_{c}")).alias(c)
+              for c in base.columns]
+    return held.join(state, same, "full_outer").where(stays | live).select(*values)
 
 
 def noop_events(base: DataFrame | None, typed: DataFrame, keys: Sequence[str], order_col: str = "seq",
@@ -148,15 +155,19 @@ def noop_events(base: DataFrame | None, typed: DataFrame, keys: Sequence[str], o
 
     `no_row`: nothing with that key existed just before. `no_before_image`: the delete had no image.
     """
-    events = applicable(typed, keys).select(order_col, *_key_columns(keys), "action")
-    deletes = (with_previous(events, keys, order_col, "action", "_previous", stretch)
-               .where(F.col("action") == DELETE))
+    # Deletes without an image travel along under a null key, so that the log is read only once.
+    bare = (F.col("action") == DELETE) & ~F.col("has_before")
+    usable = F.col("applies") & readable(typed, keys) & _complete_key(keys)
+    events = typed.where(usable | bare).select(order_col, *_key_columns(keys), F.when(bare, _BARE).otherwise(F.col("action")).alias("action"))
+    traced = with_previous(events, keys, order_col, "action", "_previous", stretch)
+    deletes = traced.where(F.col("action") == DELETE)
     repeated = deletes.where(F.col("_previous") == DELETE).select(order_col, *keys)
     # At most one event per key is the first, so this side has no hot key left.
     first = deletes.where(F.col("_previous").isNull()).select(order_col, *keys)
     if base is not None:
         first = first.join(base.select(*keys), list(keys), "left_anti")
-    bare = typed.where((F.col("action") == DELETE) & ~F.col("has_before"))
-    no_key = [F.lit(None).cast(typed.schema["after"].dataType[k].dataType).alias(k) for k in keys]
-    return (repeated.unionByName(first).withColumn("reason", F.lit("no_row"))
-            .unionByName(bare.select(order_col, *no_key, F.lit("no_before_image").alias("reason"))))
+    # Before an event without a key there can only be another one. Saying so keeps the window in this branch,
+    # which keeps the filter from moving below the shared exchange.
+    keyless = F.coalesce("_previous", F.lit(_BARE)) == _BARE
+    imageless = traced.where((F.col("action") == _BARE) & keyless).select(order_col, *keys, F.lit("no_before_image").alias("reason"))
+    return repeated.unionByName(first).withColumn("reason", F.lit("no_row")).unionByName(imageless)

@@ -100,8 +100,8 @@ def _trace(base: DataFrame | None, typed: DataFrame, columns: Sequence[str], ord
         (F.floor(F.col("code") / 2) * 2 + 1).cast("bigint").alias("code"), F.col("code").alias("event"),
         F.explode(looked_up).alias("match"))
     cleared = clearing.select("code", F.lit(None).cast("bigint").alias("event"), match_was.alias("match"))
-    both = left_behind.unionByName(cleared).withColumn("clears", F.col("event").isNull())
-    successor = (with_next_marked(both, "match", "code", "clears", "successor", stretch)
+    both = left_behind.unionByName(cleared)
+    successor = (with_next_marked(both, "match", "code", F.col("event").isNull(), "successor", stretch)
                  .where(F.col("event").isNotNull() & F.col("successor").isNotNull())
                  .groupBy("event").agg(F.min("successor").alias("successor")))
     placed = cut_lineage(events.where(F.col("kind") != "drop").select("code", "kind", "row")

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators.merge import apply_changes, rejected_events
 from tidemark.operators.unkeyed import apply_unkeyed, rejected_unkeyed
-from tidemark.sources.changelog import decode_images, parse_changes, split_readable
+from tidemark.sources.changelog import decode_images, parse_events, split_events, split_readable
 from tidemark.sources.snapshot import events_for_mode
 
 
@@ -52,10 +52,28 @@ def counted_events(events: DataFrame, specs: Mapping[str, TableSpec], order_col:
     return reduce(DataFrame.unionByName, parts)
 
 
+def stage_events(events: DataFrame, path: str) -> DataFrame:
+    """Write parsed events once, in one folder per table, and read them back.
+
+    Rows go to disk where they are, without a shuffle by table, so one table may hold most of the log.
+    Later filters on the table prune folders, and each table is read without parsing JSON again.
+    """
+    events.write.mode("overwrite").partitionBy("table").parquet(path)
+    return events.sparkSession.read.schema(events.schema).parquet(path)
+
+
 def replicate(raw: DataFrame, specs: Mapping[str, TableSpec], bases: Mapping[str, DataFrame] | None = None,
-              mode: str = "initial", order_col: str = "seq", **parse_options) -> tuple[dict[str, DataFrame], DataFrame]:
-    """Current tables by name, and all rejected events (order_col, table, op, reason)."""
-    good, damaged = parse_changes(raw, order_col, tables=list(specs), **parse_options)
+              mode: str = "initial", order_col: str = "seq", staging: str | None = None,
+              **parse_options) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Current tables by name, and all rejected events (order_col, table, op, reason).
+
+    Every table is a plan of its own. With a `staging` folder (on storage all executors share) the log is
+    parsed once; without one each plan parses it for itself, which suits a log of one table.
+    """
+    events = parse_events(raw, order_col, **parse_options)
+    if staging:
+        events = stage_events(events, staging)
+    good, damaged = split_events(events, order_col, list(specs))
     good = events_for_mode(good, mode)
     tables, rejects = {}, [damaged.select(order_col, F.lit(None).cast("string").alias("table"),
                                           F.lit(None).cast("string").alias("op"), F.col("reject_reason").alias("reason"))]
