@@ -7,8 +7,6 @@ row per (key, stretch). Positions are unique, so a task never holds more than `s
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,21 +17,21 @@ def _stretch_of(position: str, stretch: int) -> Column:
     return F.call_function("div", F.col(position) - F.pmod(F.col(position), F.lit(stretch)), F.lit(stretch))
 
 
-def with_previous(df: DataFrame, keys: Sequence[str], position: str, value: str, name: str,
+def with_previous(df: DataFrame, key: str, position: str, value: str, name: str,
                   stretch: int = DEFAULT_STRETCH) -> DataFrame:
-    """Add `name`: `value` of the event just before, per key (null at the first). `value` is never null.
+    """Add `name`: `value` of the event just before, per key (null at the first).
 
-    `df` is computed and shuffled once: the window and the borders read the same exchange.
+    `key` and `value` are never null (a struct of nullable parts will do as a key). `df` is computed and
+    shuffled once: the window and the borders read the same exchange.
     """
-    keys = list(keys)
-    cut = df.withColumn("_stretch", _stretch_of(position, stretch)).repartition(*keys, "_stretch")
-    inner = Window.partitionBy(*keys, "_stretch").orderBy(position)
-    outer = Window.partitionBy(*keys).orderBy("_stretch")
-    borders = (cut.groupBy(*keys, "_stretch").agg(F.max_by(value, position).alias("_last"))
-               .select(*keys, "_stretch", F.lag("_last").over(outer).alias("_carried"))
+    cut = df.withColumn("_stretch", _stretch_of(position, stretch)).repartition(key, "_stretch")
+    inner = Window.partitionBy(key, "_stretch").orderBy(position)
+    outer = Window.partitionBy(key).orderBy("_stretch")
+    borders = (cut.groupBy(key, "_stretch").agg(F.max_by(value, position).alias("_last"))
+               .select(key, "_stretch", F.lag("_last").over(outer).alias("_carried"))
                .where(F.col("_carried").isNotNull()))
     return (cut.withColumn("_near", F.lag(value).over(inner))
-            .join(borders, [*keys, "_stretch"], "left")
+            .join(borders, [key, "_stretch"], "left")
             .withColumn(name, F.coalesce("_near", "_carried"))
             .select(*df.columns, name))
 

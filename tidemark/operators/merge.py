@@ -155,11 +155,13 @@ def noop_events(base: DataFrame | None, typed: DataFrame, keys: Sequence[str], o
 
     `no_row`: nothing with that key existed just before. `no_before_image`: the delete had no image.
     """
-    # Deletes without an image travel along under a null key, so that the log is read only once.
+    # Deletes without an image travel along under an empty key, so that the log is read only once.
     bare = (F.col("action") == DELETE) & ~F.col("has_before")
     usable = F.col("applies") & readable(typed, keys) & _complete_key(keys)
-    events = typed.where(usable | bare).select(order_col, *_key_columns(keys), F.when(bare, _BARE).otherwise(F.col("action")).alias("action"))
-    traced = with_previous(events, keys, order_col, "action", "_previous", stretch)
+    events = typed.where(usable | bare).select(order_col, F.struct(*_key_columns(keys)).alias("_key"),
+                                               F.when(bare, _BARE).otherwise(F.col("action")).alias("action"))
+    traced = (with_previous(events, "_key", order_col, "action", "_previous", stretch)
+              .select(order_col, "_key.*", "action", "_previous"))
     deletes = traced.where(F.col("action") == DELETE)
     repeated = deletes.where(F.col("_previous") == DELETE).select(order_col, *keys)
     # At most one event per key is the first, so this side has no hot key left.
