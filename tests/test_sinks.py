@@ -2,7 +2,8 @@
 
 import pytest
 
-from tidemark.sources.jdbc import delete_statement, merge_into_statement, merge_statement, read_table
+from tidemark.sources.jdbc import delete_statement, merge_statement, read_table
+from tidemark.sources.table_store import merge_into_statement
 
 
 def test_upsert_statements():

@@ -62,18 +62,6 @@ def delete_statement(database: str, table: str, staging: str, keys: Sequence[str
     return f"DELETE FROM {q(table)} WHERE EXISTS (SELECT 1 FROM {q(staging)} s WHERE {same})"
 
 
-def merge_into_statement(target: str, source_view: str, columns: Sequence[str], keys: Sequence[str],
-                         deleted: str = "deleted") -> str:
-    """MERGE for catalogs whose tables support it; the source is `latest_per_key` as a view."""
-    on = " AND ".join(f"t.`{k}` = s.`{k}`" for k in keys)
-    others = [c for c in columns if c not in keys]
-    listed = ", ".join(f"`{c}`" for c in columns)
-    values = ", ".join(f"s.`{c}`" for c in columns)
-    update = f"WHEN MATCHED THEN UPDATE SET {', '.join(f't.`{c}` = s.`{c}`' for c in others)} " if others else ""
-    return (f"MERGE INTO {target} t USING {source_view} s ON {on} WHEN MATCHED AND s.`{deleted}` THEN DELETE "
-            f"{update}WHEN NOT MATCHED AND NOT s.`{deleted}` THEN INSERT ({listed}) VALUES ({values})")
-
-
 def upsert_to_database(latest: DataFrame, url: str, database: str, table: str, keys: Sequence[str],
                        execute: Callable[[Sequence[str]], None], options: Mapping[str, str] | None = None,
                        batch_size: int = 10_000) -> None:

@@ -1,4 +1,7 @@
-"""Replicated tables as versioned Parquet folders, for catalogs without MERGE.
+"""Replicated tables: MERGE where the catalog supports it, versioned Parquet folders elsewhere.
+
+A MERGE rewrites only what a batch touches, so large tables belong in such a catalog; a folder version
+is a rewrite of the whole table.
 
 A version is a folder `v-<number>-<tag>` that Spark's committer marks as complete. Readers take the
 highest complete version, so a lost driver leaves at most an unmarked folder, which the next attempt
@@ -8,10 +11,13 @@ overwrites. The tag names the batch a version came from, which makes a repeated
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.operators.merge import latest_per_key
+
 _NAME = re.compile(r"^v-(\d{12})-(.+)$")
 
 
@@ -60,3 +66,23 @@ class TableStore:
         for old in known[: max(len(known) + 1 - self.keep, 0)]:
             fs.delete(jvm.org.apache.hadoop.fs.Path(old.path), True)
         return Version(number, tag, path)
+
+
+def merge_into_statement(target: str, source_view: str, columns: Sequence[str], keys: Sequence[str],
+                         deleted: str = "deleted") -> str:
+    """MERGE for catalogs whose tables support it; the source is `latest_per_key` as a view."""
+    on = " AND ".join(f"t.`{k}` = s.`{k}`" for k in keys)
+    others = [c for c in columns if c not in keys]
+    listed = ", ".join(f"`{c}`" for c in columns)
+    values = ", ".join(f"s.`{c}`" for c in columns)
+    update = f"WHEN MATCHED THEN UPDATE SET {', '.join(f't.`{c}` = s.`{c}`' for c in others)} " if others else ""
+    return (f"MERGE INTO {target} t USING {source_view} s ON {on} WHEN MATCHED AND s.`{deleted}` THEN DELETE "
+            f"{update}WHEN NOT MATCHED AND NOT s.`{deleted}` THEN INSERT ({listed}) VALUES ({values})")
+
+
+def merge_into_catalog(typed: DataFrame, target: str, keys: Sequence[str], order_col: str = "seq") -> None:
+    """Apply typed changes with complete images to a catalog table that supports MERGE (Delta, Iceberg, ...)."""
+    columns = typed.schema["after"].dataType.names
+    view = "_tidemark_" + re.sub(r"\W", "_", target)
+    latest_per_key(typed, keys, columns, order_col).createOrReplaceTempView(view)
+    typed.sparkSession.sql(merge_into_statement(target, f"`{view}`", columns, keys))
