@@ -48,6 +48,7 @@ def main():
         logs[name] = f"{work}/{name}"
         write_log(spark, make(spark, SF_DIR), logs[name], int(CPUS))
     write_log(spark, X.event_envelopes(spark, SF_DIR), f"{work}/stream", 10)
+    X.orders_target(spark, SF_DIR).select(*X.ORDER_SCHEMA.names).write.parquet(f"{work}/target")
     events = ["id", "event_type", "value"]
 
     def log(name):
@@ -63,7 +64,7 @@ def main():
 
     def replay_on_base():
         typed = decode_images(log("orders"), X.ORDER_SCHEMA, keys=["o_orderkey"])
-        return merge.apply_changes(X.orders_target(spark, SF_DIR).select(*X.ORDER_SCHEMA.names), typed, ["o_orderkey"], partial=False)
+        return merge.apply_changes(spark.read.parquet(f"{work}/target"), typed, ["o_orderkey"], partial=False)
 
     def replay_composite():
         typed = decode_images(log("lines"), X.LINE_SCHEMA, keys=X.LINE_KEYS)

@@ -100,6 +100,27 @@ def test_images_are_decoded_by_their_own_schema(spark):
     assert [tuple(p) for p in present][1] == (True, True, True, True, False, False)
 
 
+def test_field_listed_twice_counts_as_listed_last(spark):
+    twice = [{"field": "p", "name": None}, {"field": "p", "name": D.DECIMAL_LOGICAL_NAME, "parameters": {"scale": "1"}}]
+    event = {"schema": {"fields": [{"field": "after", "fields": twice}]},
+             "payload": {"op": "c", "source": {"table": "t"}, "after": {"p": "A+c="}}}
+    raw = spark.createDataFrame([(0, json.dumps(event))], "seq bigint, value string")
+    assert parse_changes(raw, field_schemas=True)[0].first().after == {"p": "99.9"}
+
+
+def test_damaged_and_odd_lines(spark):
+    lines = ["{bad", "{}", '{"payload":5}', "5", "", "  ", "null", None, '{"payload":null}', "[1]",
+             '{"payload":{"op":"c","source":{"table":""}}}', '{"payload":{"op":"c","source":{"table":"t"},"after":5}}',
+             '{"payload":{"op":7,"source":{"table":"t","snapshot":true},"after":{}}}']
+    raw = spark.createDataFrame(list(enumerate(lines)), "seq bigint, value string")
+    good, rejected = parse_changes(raw)
+    assert [tuple(r) for r in rejected.collect()] == [(0, "{bad", "not_json")]
+    assert [(r.seq, r.op, r.stage, r.action, r.applies) for r in good.orderBy("seq").collect()] == [
+        (11, "c", "stream", "upsert", False), (12, "7", "snapshot", "ignore", False)]
+    good, rejected = parse_changes(raw, order_field="pos")
+    assert good.count() == 0 and rejected.where("reject_reason = 'no_position'").count() == 2
+
+
 def test_key_types():
     assert D.normal_key_type(T.IntegerType(), T.LongType()) == T.LongType()
     assert D.normal_key_type(T.IntegerType(), T.DecimalType(12, 0)) == T.LongType()

@@ -60,31 +60,6 @@ def parse_changes(raw: DataFrame, order_col: str = "seq", value_col: str = "valu
 def parse_events(raw: DataFrame, order_col: str = "seq", value_col: str = "value", order_field: str | None = None,
                  time_field: str | None = None, field_schemas: bool = False) -> DataFrame:
     """Flat events, good and rejected ones together: what to persist when both are needed."""
-    events = _envelopes(raw, order_col, value_col, order_field, time_field, field_schemas)
-    rejected = F.col("reject_reason").isNotNull()
-    kept = [c for c in raw.columns if c not in (value_col, order_col)]
-    images = ["before", "after"] + (["before_schema", "after_schema"] if field_schemas else [])
-    times = ["event_ms"] if time_field else []
-    return (events.where(rejected | (F.col("payload").isNotNull() & (F.col("table") != "")))
-            .select(order_col, *kept, *times, "table", "op", "snapshot", *images,
-                    F.when(rejected, F.col(value_col)).alias("rejected_value"), "reject_reason"))
-
-
-def split_events(events: DataFrame, order_col: str = "seq",
-                 tables: Iterable[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """(good, rejected) of `parse_events`; only good events are filtered by table."""
-    good = events.where(F.col("reject_reason").isNull()).drop("rejected_value", "reject_reason")
-    if tables is not None:
-        good = select_tables(good, tables)
-    images = ("table", "op", "snapshot", "before", "after", "before_schema", "after_schema")
-    kept = [c for c in events.columns if c not in (*images, order_col, "event_ms", "rejected_value", "reject_reason")]
-    rejected = (events.where(F.col("reject_reason").isNotNull())
-                .select(order_col, *kept, F.col("rejected_value").alias("value"), "reject_reason"))
-    return classify(good), rejected
-
-
-def _envelopes(raw: DataFrame, order_col: str, value_col: str, order_field: str | None,
-               time_field: str | None, field_schemas: bool) -> DataFrame:
     source = ["table:string", "snapshot:string"]
     for name in (order_field, time_field):
         if name and f"{name}:bigint" not in source:
@@ -95,30 +70,44 @@ def _envelopes(raw: DataFrame, order_col: str, value_col: str, order_field: str
         schema += ", " + _SCHEMA_FIELDS
     parsed = F.from_json(value_col, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "malformed"})
     events = _computed_once(raw, parsed)
-    text = F.col(value_col)
-    src = F.col("payload.source")
-    if order_field:
-        events = events.withColumn(order_col, src[order_field])
-    if time_field:
-        events = events.withColumn("event_ms", src[time_field])
+    images = ["before", "after"]
+    image = {name: F.col(f"payload.{name}") for name in images}
+    if field_schemas:
+        events = _computed_once(events, F.struct(*[field_schema_map(F.col("schema.fields"), name).alias(f"{name}_schema")
+                                                   for name in images]))
+        events = _computed_once(events, F.struct(*[decode_record(image[name], F.col(f"{name}_schema")).alias(name)
+                                                   for name in images]))
+        images += ["before_schema", "after_schema"]
+        image = {name: F.col(name) for name in images}
+    src, text = F.col("payload.source"), F.col(value_col)
+    table = F.coalesce(src["table"], F.lit(""))
+    position = src[order_field].alias(order_col) if order_field else F.col(order_col)
     # `malformed` is also set for valid JSON of another shape, which the log format just ignores.
     not_json = F.col("malformed").isNotNull() & (F.trim(text) != "") & F.try_parse_json(text).isNull()
-    no_position = F.col("payload").isNotNull() & (src["table"] != "") & F.col(order_col).isNull()
-    events = events.withColumns({
-        "table": F.coalesce(src["table"], F.lit("")),
-        "op": F.coalesce(F.col("payload.op"), F.lit("")),
-        "snapshot": F.coalesce(src["snapshot"], F.lit("false")),
-        "before": F.col("payload.before"),
-        "after": F.col("payload.after"),
-        "reject_reason": F.when(not_json, "not_json").when(no_position, "no_position"),
-    })
-    if field_schemas:
-        events = _computed_once(events, F.struct(*[field_schema_map(F.col("schema.fields"), image).alias(f"{image}_schema")
-                                                   for image in ("before", "after")]))
-        events = _computed_once(events.withColumnsRenamed({"before": "_before", "after": "_after"}),
-                                F.struct(*[decode_record(F.col(f"_{image}"), F.col(f"{image}_schema")).alias(image)
-                                           for image in ("before", "after")]))
-    return events
+    reason = F.when(not_json, "not_json").when((table != "") & position.isNull(), "no_position")
+    kept = [c for c in raw.columns if c not in (value_col, order_col)]
+    times = [src[time_field].alias("event_ms")] if time_field else []
+    return events.select(
+        position, *kept, *times, table.alias("table"),
+        F.coalesce(F.col("payload.op"), F.lit("")).alias("op"),
+        F.coalesce(src["snapshot"], F.lit("false")).alias("snapshot"), *[image[name].alias(name) for name in images],
+        F.when(reason.isNotNull(), text).alias("rejected_value"), reason.alias("reject_reason"),
+    ).where(F.col("reject_reason").isNotNull() | (F.col("table") != ""))
+
+
+def split_events(events: DataFrame, order_col: str = "seq",
+                 tables: Iterable[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(good, rejected) of `parse_events`; only good events are filtered by table."""
+    wanted = F.col("reject_reason").isNull()
+    names = list(tables or ())
+    if names:
+        wanted = wanted & F.col("table").isin(names)
+    good = events.where(wanted).drop("rejected_value", "reject_reason")
+    images = ("table", "op", "snapshot", "before", "after", "before_schema", "after_schema")
+    kept = [c for c in events.columns if c not in (*images, order_col, "event_ms", "rejected_value", "reject_reason")]
+    rejected = (events.where(F.col("reject_reason").isNotNull())
+                .select(order_col, *kept, F.col("rejected_value").alias("value"), "reject_reason"))
+    return classify(good), rejected
 
 
 def _computed_once(df: DataFrame, row: Column) -> DataFrame:
@@ -134,7 +123,11 @@ def field_schema_map(fields: Column, image: str) -> Column:
     """Field name to {logical name, scale} of one row image."""
     struct = F.get(F.filter(fields, lambda f: f["field"] == image), F.lit(0))
     named = F.filter(struct["fields"], lambda f: f["field"].isNotNull())
-    return F.map_from_entries(F.transform(named, lambda f: F.struct(
+    names = F.transform(named, lambda f: f["field"])
+    # A field listed twice counts as listed last; a map does not take it twice.
+    last = F.filter(named, lambda f, i: ~F.array_contains(F.slice(names, i + 2, F.size(names)), f["field"]))
+    once = F.when(F.size(F.array_distinct(names)) == F.size(names), named).otherwise(last)
+    return F.map_from_entries(F.transform(once, lambda f: F.struct(
         f["field"].alias("key"),
         F.struct(f["name"].alias("name"), f["parameters"]["scale"].alias("scale")).alias("value"))))
 
