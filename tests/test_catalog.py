@@ -3,13 +3,42 @@ from pyspark.sql import types as T
 
 from tidemark.operators import catalog as C
 
-# type, size, digits -> start of the translated type
-MYSQL_CASES = [(s, 0, 0, t) for s, t in C.type_pairs("mysql")] + [
+# Expected types, written down by target so that the maps are not compared with themselves.
+TO_POSTGRES = {
+    "SMALLINT": "TINYINT, SMALLINT, TINYINT UNSIGNED, YEAR",
+    "INTEGER": "MEDIUMINT, INT, INTEGER, SMALLINT UNSIGNED, MEDIUMINT UNSIGNED",
+    "BIGINT": "BIGINT, INT UNSIGNED, INTEGER UNSIGNED", "NUMERIC(20, 0)": "BIGINT UNSIGNED", "BOOLEAN": "BIT, BOOLEAN",
+    "REAL": "FLOAT, FLOAT UNSIGNED", "DOUBLE PRECISION": "DOUBLE, DOUBLE UNSIGNED, DOUBLE PRECISION",
+    "NUMERIC(18, 0)": "DECIMAL, DECIMAL UNSIGNED, NUMERIC, NUMERIC UNSIGNED", "CHAR(255)": "CHAR", "VARCHAR(255)": "VARCHAR",
+    "TEXT": "TINYTEXT, TEXT, MEDIUMTEXT, LONGTEXT, ENUM, SET, GEOMETRY, POINT, LINESTRING, POLYGON, MULTIPOINT, "
+            "MULTILINESTRING, MULTIPOLYGON, GEOMETRYCOLLECTION",
+    "DATE": "DATE", "TIME": "TIME", "TIMESTAMP": "DATETIME", "TIMESTAMPTZ": "TIMESTAMP",
+    "BYTEA": "BINARY, VARBINARY, TINYBLOB, BLOB, MEDIUMBLOB, LONGBLOB", "JSONB": "JSON", "UUID": "UUID", "INET": "INET4",
+    "VARCHAR(45)": "INET6",
+}
+TO_MYSQL = {
+    "SMALLINT": "INT2, SMALLINT, SMALLSERIAL", "INT": "INT4, INTEGER, SERIAL", "BIGINT": "INT8, BIGINT, OID, BIGSERIAL",
+    "FLOAT": "FLOAT4, REAL", "DOUBLE": "FLOAT8, DOUBLE PRECISION", "DECIMAL(18, 0)": "NUMERIC, DECIMAL", "DECIMAL(19, 2)": "MONEY",
+    "CHAR(255)": "BPCHAR, CHARACTER, CHAR", "VARCHAR(255)": "VARCHAR, CHARACTER VARYING", "LONGTEXT": "TEXT, XML",
+    "DATE": "DATE", "TIME": "TIME, TIME WITHOUT TIME ZONE, TIMETZ, TIME WITH TIME ZONE",
+    "DATETIME": "TIMESTAMP, TIMESTAMP WITHOUT TIME ZONE", "TIMESTAMP": "TIMESTAMPTZ, TIMESTAMP WITH TIME ZONE",
+    "VARCHAR(64)": "INTERVAL", "TINYINT(1)": "BOOL, BOOLEAN", "LONGBLOB": "BYTEA", "BIT": "BIT", "VARBINARY": "VARBIT, BIT VARYING",
+    "JSON": "JSON, JSONB", "CHAR(36)": "UUID", "VARCHAR(45)": "INET", "VARCHAR(18)": "CIDR", "VARCHAR(17)": "MACADDR",
+    "TEXT": "TSVECTOR, TSQUERY, POINT, LINE, LSEG, BOX, PATH, POLYGON, CIRCLE",
+}
+
+
+def cases(expected):
+    return [(source, 0, 0, target) for target, sources in expected.items() for source in sources.split(", ")]
+
+
+# type, size, digits, translated type
+MYSQL_CASES = cases(TO_POSTGRES) + [
     ("TINYINT", 1, 0, "BOOLEAN"), ("DECIMAL", 10, 2, "NUMERIC(10, 2)"), ("CHAR", 5, 0, "CHAR(5)"),
-    ("VARCHAR", 255, 0, "VARCHAR(255)"), ("VARCHAR", 0, 0, "VARCHAR(255)"), ("DECIMAL", 0, 0, "NUMERIC(18, 0)"),
-    ("FOOBARTYPE", 0, 0, "TEXT"), ("FOO UNSIGNED", 0, 0, "TEXT"), ("DATE UNSIGNED", 0, 0, "DATE"),
-    (" varchar(20) ", 20, 0, "VARCHAR(20)"), ("enum('a','b')", 1, 0, "TEXT"), ("BIGINT UNSIGNED", 20, 0, "NUMERIC(20, 0)")]
-POSTGRES_CASES = [(s, 0, 0, t) for s, t in C.type_pairs("postgresql")] + [
+    ("VARCHAR", 64, 0, "VARCHAR(64)"), ("FOOBARTYPE", 0, 0, "TEXT"), ("FOO UNSIGNED", 0, 0, "TEXT"),
+    ("DATE UNSIGNED", 0, 0, "DATE"), (" varchar(20) ", 20, 0, "VARCHAR(20)"), ("enum('a','b')", 1, 0, "TEXT"),
+    ("BIGINT UNSIGNED", 20, 0, "NUMERIC(20, 0)")]
+POSTGRES_CASES = cases(TO_MYSQL) + [
     ("NUMERIC", 12, 4, "DECIMAL(12, 4)"), ("BPCHAR", 10, 0, "CHAR(10)"), ("varchar", 100, 0, "VARCHAR(100)"),
     ("character varying", 200, 0, "VARCHAR(200)"), ("_INT4", 0, 0, "LONGTEXT"), ("FOOBARTYPE", 0, 0, "LONGTEXT"),
     ("money", 0, 0, "DECIMAL(19, 2)"), ("uuid", 0, 0, "CHAR(36)")]
@@ -19,23 +48,24 @@ def catalog(spark, rows):
     return spark.createDataFrame(rows, C.CATALOG_SCHEMA)
 
 
-def translated(spark, cases, source, target):
-    rows = [("t", str(i), t, size, digits, True, False, i, None) for i, (t, size, digits, _) in enumerate(cases)]
+def translated(spark, listed, source, target):
+    rows = [("t", str(i), t, size, digits, True, False, i, None) for i, (t, size, digits, _) in enumerate(listed)]
     out = C.translate_types(catalog(spark, rows), source, target).collect()
     return {int(r["column"]): r.target_type for r in out}
 
 
-@pytest.mark.parametrize("cases,source,target", [
+@pytest.mark.parametrize("listed,source,target", [
     (MYSQL_CASES, "mysql", "postgresql"), (MYSQL_CASES, "mariadb", "kingbase"),
     (POSTGRES_CASES, "postgresql", "mysql"), (POSTGRES_CASES, "kingbase", "mariadb")])
-def test_type_maps(spark, cases, source, target):
-    got = translated(spark, cases, source, target)
-    for i, (name, _, _, want) in enumerate(cases):
-        assert got[i].startswith(want), (name, got[i], want)
+def test_type_maps(spark, listed, source, target):
+    got = translated(spark, listed, source, target)
+    for i, (name, _, _, want) in enumerate(listed):
+        assert got[i] == want, (name, got[i], want)
 
 
 def test_map_sizes():
-    assert len(C.type_pairs("mysql")) == 54 and len(C.type_pairs("postgresql")) == 55
+    assert len(C.type_pairs("mysql")) == len(cases(TO_POSTGRES)) == 54
+    assert len(C.type_pairs("postgresql")) == len(cases(TO_MYSQL)) == 55
 
 
 def test_same_family_keeps_names(spark):

@@ -1,7 +1,6 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tests.replay import envelope, replay_bag, replay_keyed

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tests.test_merge import SCHEMA, typed_of
+from tests.test_merge import SCHEMA
 from tidemark.operators import merge, reconcile
 from tidemark.plans.replicate import stage_events
 from tidemark.sources.changelog import parse_changes, parse_events

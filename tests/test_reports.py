@@ -1,6 +1,5 @@
 """Progress, reconciliation, checks: golden values and edge cases."""
 
-import random
 from datetime import datetime
 
 import pytest

@@ -6,6 +6,7 @@ null where the value cannot be read; `decode_images` turns such nulls into rejec
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from decimal import Decimal
 
 from pyspark.sql import Column
@@ -28,14 +29,21 @@ def _widened(digits: Column, width: int) -> Column:
     return F.lpad(digits, width, F.when(F.left(digits, F.lit(1)) >= "8", "F").otherwise("0"))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with the value computed once, where the body mentions it in several branches."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def unscaled_text(raw: Column) -> Column:
     """Bytes of a big-endian two's-complement integer as decimal text; null when empty or beyond 38 digits.
 
-    `conv` reads eight bytes at a time, so the expression stays inside code generation instead of
-    looping over bytes with a higher-order function. Most values fit the first eight.
+    `conv` reads eight bytes at a time instead of looping over bytes. Most values fit the first eight.
     """
     # Leading bytes that merely repeat the sign say nothing.
-    digits = F.regexp_replace(F.hex(raw), "^(?:(?:00)+(?=[0-7])|(?:FF)+(?=[89A-F]))", "")
+    return let(F.regexp_replace(F.hex(raw), "^(?:(?:00)+(?=[0-7])|(?:FF)+(?=[89A-F]))", ""), _read_hex)
+
+
+def _read_hex(digits: Column) -> Column:
     wide = _widened(digits, 32)
     # For negative values the borrow moves to the low half, so that no step needs more than 38 digits.
     negative = (F.left(digits, F.lit(1)) >= "8")
@@ -48,37 +56,37 @@ def unscaled_text(raw: Column) -> Column:
 
 def _plain(unscaled: Column, scale: Column) -> Column:
     """Unscaled decimal text with the point put in; the scale may differ from row to row."""
-    padded = F.regexp_replace(unscaled, F.lit(r"^(-?)"), F.concat(F.lit("$1"), F.repeat(F.lit("0"), scale)))
-    pointed = F.regexp_replace(padded, F.concat(F.lit(r"(\d{"), scale.cast("string"), F.lit("})$")), F.lit(".$1"))
-    trimmed = F.regexp_replace(pointed, r"^(-?)0+(?=\d)", "$1")
+    negative = unscaled.startswith("-")
+    digits = F.when(negative, F.substring(unscaled, 2, 40)).otherwise(unscaled)
+    padded = F.lpad(digits, F.greatest(F.length(digits), scale + 1), F.lit("0"))
+    pointed = let(padded, lambda p: F.concat(F.left(p, F.length(p) - scale), F.lit("."), F.right(p, scale)))
     zeros = F.when(unscaled == "0", "").otherwise(F.repeat(F.lit("0"), -scale))
-    return F.when(scale > 0, trimmed).otherwise(F.concat(unscaled, zeros))
+    return F.when(scale > 0, F.concat(F.when(negative, "-").otherwise(""), pointed)).otherwise(F.concat(unscaled, zeros))
 
 
-def decode_decimal_text(value: Column, scale: Column, plain: bool = True) -> Column:
-    """Base64 decimal to text; null stays null and anything undecodable stays as it came.
+def decode_decimal_text(value: Column, scale: Column) -> Column:
+    """Base64 decimal to plain text; null stays null and anything undecodable stays as it came."""
+    places = F.coalesce(scale, F.lit("0")).try_cast("int")
+    return F.coalesce(let(unscaled_text(_base64_bytes(value)), lambda u: _plain(u, places)), value)
 
-    With `plain` off the text is `<unscaled>E-<scale>`, which is cheaper and casts exactly to any numeric type.
-    """
-    scale = F.coalesce(scale, F.lit("0")).try_cast("int")
-    unscaled = unscaled_text(F.when(value.rlike(_BASE64_TEXT), F.try_to_binary(value, F.lit("base64"))))
-    text = _plain(unscaled, scale) if plain else F.concat(unscaled, F.lit("E"), (-scale).cast("string"))
-    return F.coalesce(text, value)
+
+def _base64_bytes(value: Column) -> Column:
+    return F.when(value.rlike(_BASE64_TEXT), F.try_to_binary(value, F.lit("base64")))
 
 
 def decode_decimal(value: Column, scale: Column | int, precision: int = 38, to_scale: int = 18) -> Column:
     """Base64 decimal to decimal(precision, to_scale); null when undecodable or out of range."""
     scale = F.lit(str(scale)) if isinstance(scale, int) else scale
-    decoded = decode_decimal_text(value, scale, plain=False)
-    return F.when(decoded.contains("E"), decoded.try_cast(T.DecimalType(precision, to_scale)))
+    places = F.coalesce(scale, F.lit("0")).try_cast("int")
+    scientific = F.concat(unscaled_text(_base64_bytes(value)), F.lit("E"), (-places).cast("string"))
+    return scientific.try_cast(T.DecimalType(precision, to_scale))
 
 
 def decode_record(image: Column, field_schemas: Column) -> Column:
     """Whole-image form: decode the fields whose schema says decimal, leave the others alone."""
     def one(name: Column, value: Column) -> Column:
-        schema = F.try_element_at(field_schemas, name)
-        return F.when(schema["name"] == DECIMAL_LOGICAL_NAME,
-                      decode_decimal_text(value, schema["scale"])).otherwise(value)
+        return let(F.try_element_at(field_schemas, name), lambda schema: F.when(
+            schema["name"] == DECIMAL_LOGICAL_NAME, decode_decimal_text(value, schema["scale"])).otherwise(value))
     return F.transform_values(image, one)
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.decode import coerce, decode_record
+from tidemark.functions.decode import coerce, decode_record, let
 
 _SCHEMA_FIELDS = ("schema struct<fields:array<struct<field:string,fields:array<"
                   "struct<field:string,name:string,parameters:struct<scale:string>>>>>>")
@@ -121,15 +121,20 @@ def _computed_once(df: DataFrame, row: Column) -> DataFrame:
 
 def field_schema_map(fields: Column, image: str) -> Column:
     """Field name to {logical name, scale} of one row image."""
+    def entries(named: Column) -> Column:
+        return F.map_from_entries(F.transform(named, lambda f: F.struct(
+            f["field"].alias("key"),
+            F.struct(f["name"].alias("name"), f["parameters"]["scale"].alias("scale")).alias("value"))))
+
+    def unique(named: Column) -> Column:
+        # A field listed twice counts as listed last; a map does not take it twice.
+        return let(F.transform(named, lambda f: f["field"]), lambda names: F.when(
+            F.size(F.array_distinct(names)) == F.size(names), named).otherwise(
+            F.filter(named, lambda f, i: ~F.array_contains(F.slice(names, i + 2, F.size(names)), f["field"]))))
+
     struct = F.get(F.filter(fields, lambda f: f["field"] == image), F.lit(0))
     named = F.filter(struct["fields"], lambda f: f["field"].isNotNull())
-    names = F.transform(named, lambda f: f["field"])
-    # A field listed twice counts as listed last; a map does not take it twice.
-    last = F.filter(named, lambda f, i: ~F.array_contains(F.slice(names, i + 2, F.size(names)), f["field"]))
-    once = F.when(F.size(F.array_distinct(names)) == F.size(names), named).otherwise(last)
-    return F.map_from_entries(F.transform(once, lambda f: F.struct(
-        f["field"].alias("key"),
-        F.struct(f["name"].alias("name"), f["parameters"]["scale"].alias("scale")).alias("value"))))
+    return let(named, lambda n: entries(unique(n)))
 
 
 def select_tables(events: DataFrame, tables: Iterable[str]) -> DataFrame:
