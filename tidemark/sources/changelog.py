@@ -73,8 +73,9 @@ def parse_events(raw: DataFrame, order_col: str = "seq", value_col: str = "value
     images = ["before", "after"]
     image = {name: F.col(f"payload.{name}") for name in images}
     if field_schemas:
-        events = _computed_once(events, F.struct(*[field_schema_map(F.col("schema.fields"), name).alias(f"{name}_schema")
-                                                   for name in images]))
+        schemas = [F.when(image[name].isNotNull(), field_schema_map(F.col("schema.fields"), name)).alias(f"{name}_schema")
+                   for name in images]
+        events = _computed_once(events, F.struct(*schemas))
         events = _computed_once(events, F.struct(*[decode_record(image[name], F.col(f"{name}_schema")).alias(name)
                                                    for name in images]))
         images += ["before_schema", "after_schema"]
