@@ -111,10 +111,8 @@ class Words:
         return Spans(self.buffer).hashes(self.start, self.end)
 
     def per_doc(self, flags: np.ndarray) -> np.ndarray:
-        """Sum over the bytes of each document."""
-        sums = np.zeros(len(self.buffer) + 1, np.int64)
-        np.cumsum(flags, out=sums[1:])
-        return sums[self.doc_end] - sums[self.doc_start]
+        """Sum over the bytes of each document; the separator after it must not be flagged."""
+        return np.add.reduceat(flags, self.doc_start, dtype=np.int64)
 
 
 def runs_of(hashes: np.ndarray, doc: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, sharding
+from tidemark.llm import decontaminate, quality_rules, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -30,3 +30,9 @@ def op8_sharding(spark, sf_dir):
 @query
 def op1_decontamination(spark, sf_dir):
     return decontaminate.digest(decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
+@query
+def op9_quality_rules(spark, sf_dir):
+    return quality_rules.apply_rules(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "broken", "level")

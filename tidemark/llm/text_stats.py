@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WHITE, Spans, Words, runs_of, slices
+from tidemark.llm.common import WHITE, Spans, Words, mix, runs_of, slices
 
 #: The characters that count as symbols.
 SYMBOLS = b"#*$%&|<>"
@@ -23,11 +23,16 @@ FIELDS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_rep
           "n_upper", "n_letters", "n_punct", "n_shout")
 
 
-def _same_as_neighbour(doc: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Order by (doc, hash); whether the one before, the one after in that order is equal."""
-    order = np.lexsort((h, doc))
-    equal = (h[order][1:] == h[order][:-1]) & (doc[order][1:] == doc[order][:-1])
-    return order, np.concatenate([[False], equal])[:len(h)], np.concatenate([equal, [False]])[:len(h)]
+def _with_doc(h: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Hashes that differ between documents."""
+    return mix(h + doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+def _earlier(doc: np.ndarray, h: np.ndarray, n: int) -> np.ndarray:
+    """How many items of each document equal an earlier one."""
+    order = np.argsort(h)
+    equal = h[order][1:] == h[order][:-1]
+    return np.bincount(doc[order[1:][equal]], minlength=n)
 
 
 def count_texts(texts: list[bytes]) -> dict[str, np.ndarray]:
@@ -44,19 +49,18 @@ def count_texts(texts: list[bytes]) -> dict[str, np.ndarray]:
     worded = np.searchsorted(w.start, ends) > np.searchsorted(w.start, starts)
     starts, ends = starts[worded], ends[worded]
     line_doc = np.searchsorted(w.doc_end, starts)
-    order, earlier, _ = _same_as_neighbour(line_doc, spans.hashes(starts, ends))
     out["n_lines"] = np.bincount(line_doc, minlength=n)
-    out["n_dup_lines"] = np.bincount(line_doc[order][earlier], minlength=n)
+    out["n_dup_lines"] = _earlier(line_doc, _with_doc(spans.hashes(starts, ends), line_doc), n)
 
-    h = spans.hashes(w.start, w.end)
-    order, earlier, _ = _same_as_neighbour(w.doc, h)
-    out["n_distinct_words"] = w.count - np.bincount(w.doc[order][earlier], minlength=n)
+    h = _with_doc(spans.hashes(w.start, w.end), w.doc)
+    out["n_distinct_words"] = w.count - _earlier(w.doc, h, n)
     first, triples = runs_of(h, w.doc, 3)
-    order, earlier, later = _same_as_neighbour(w.doc[first], triples)
-    twice = first[order][earlier | later]
+    order = np.argsort(triples)
+    equal = triples[order][1:] == triples[order][:-1]
     repeated = np.zeros(len(h) + 3, bool)
-    for k in range(3):
-        repeated[twice + k] = True
+    for twice in (first[order[1:][equal]], first[order[:-1][equal]]):
+        for k in range(3):
+            repeated[twice + k] = True
     out["n_repeat_words"] = np.bincount(w.doc[repeated[:len(h)]], minlength=n)
     return out
 
