@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, quality_rules, sharding
+from tidemark.llm import bpe, decontaminate, quality_rules, sharding, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -36,3 +36,13 @@ def op1_decontamination(spark, sf_dir):
 def op9_quality_rules(spark, sf_dir):
     return quality_rules.apply_rules(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "broken", "level")
+
+
+@query
+def op5_bpe(spark, sf_dir):
+    return bpe.round_trip(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+@query
+def op3_token_files(spark, sf_dir):
+    return token_files.read_digests(token_files.write_token_files(table(spark, sf_dir, "documents")))
