@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, decontaminate, quality_rules, sharding, token_files
+from tidemark.llm import bpe, decontaminate, quality_rules, sharding, token_files, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -46,3 +46,9 @@ def op5_bpe(spark, sf_dir):
 @query
 def op3_token_files(spark, sf_dir):
     return token_files.read_digests(token_files.write_token_files(table(spark, sf_dir, "documents")))
+
+
+@query
+def op4_warc(spark, sf_dir):
+    index = warc.build_index(warc.write_archives(table(spark, sf_dir, "pages")))
+    return warc.read_archives(index, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
