@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, decontaminate, quality_rules, sharding, token_files, warc
+from tidemark.llm import bpe, decontaminate, ngram_join, quality_rules, sharding, token_files, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -52,3 +52,8 @@ def op3_token_files(spark, sf_dir):
 def op4_warc(spark, sf_dir):
     index = warc.build_index(warc.write_archives(table(spark, sf_dir, "pages")))
     return warc.read_archives(index, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op7_ngram_join(spark, sf_dir):
+    return ngram_join.similar_groups(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
