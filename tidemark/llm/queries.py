@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, decontaminate, ngram_join, quality_rules, sharding, token_files, warc
+from tidemark.llm import bpe, decontaminate, language, ngram_join, quality_rules, sharding, token_files, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -57,3 +57,10 @@ def op4_warc(spark, sf_dir):
 @query
 def op7_ngram_join(spark, sf_dir):
     return ngram_join.similar_groups(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+@query
+def op2_language(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    network = language.train(docs)
+    return language.identify(docs.select("doc_id", "text", language.held_out(docs["doc_id"]).alias("held_out")), network).select("doc_id", "held_out", "lang_pred", "score")
