@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, decontaminate, language, ngram_join, quality_rules, sharding, token_files, warc
+from tidemark.llm import bpe, decontaminate, language, ngram_join, quality_classifier, quality_rules, sharding, token_files, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -64,3 +64,9 @@ def op2_language(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     network = language.train(docs)
     return language.identify(docs.select("doc_id", "text", language.held_out(docs["doc_id"]).alias("held_out")), network).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query
+def op10_quality_classifier(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return quality_classifier.classify(docs.select("doc_id", "text"), quality_classifier.train(docs)).drop("text")
