@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, decontaminate, language, ngram_join, quality_classifier, quality_rules, sharding, token_files, warc
+from tidemark.llm import bpe, decontaminate, extract, language, ngram_join, quality_classifier, quality_rules, sharding, token_files, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -70,3 +70,8 @@ def op2_language(spark, sf_dir):
 def op10_quality_classifier(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return quality_classifier.classify(docs.select("doc_id", "text"), quality_classifier.train(docs)).drop("text")
+
+
+@query
+def op6_extraction(spark, sf_dir):
+    return extract.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
