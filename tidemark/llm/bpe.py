@@ -18,6 +18,9 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
+import sys
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -33,8 +36,8 @@ from tidemark.llm.common import bounded_batches
 
 CACHED_PIECES = 500_000
 VOCABULARY = "byte_bpe_50k.json"
-#: A space after white space, or at the end: there the pieces of a text are not those of its chunks.
-_BROKEN_SPACE = regex.compile(r"\s |^ | $")
+#: A space after white space: there the pieces of a text are not those of its chunks.
+_BROKEN_SPACE = re.compile(r"\s ")
 
 
 def _byte_letters() -> dict[str, int]:
@@ -44,24 +47,36 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(other)}
 
 
+def as_bytes(ids: list[int]) -> bytes:
+    """Little-endian unsigned 32-bit integers."""
+    packed = array("I", ids)
+    if sys.byteorder == "big":
+        packed.byteswap()
+    return packed.tobytes()
+
+
 class Chunks(dict):
-    """Space-led chunk (without the space) -> ids, by a function of the chunk. Emptied when it is full."""
+    """Space-led chunk (without the space) -> ids as bytes. Emptied when it is full."""
 
-    def __init__(self, encode):
+    def __init__(self, encode, encode_all):
         super().__init__()
-        self._encode = encode
-
-    def __missing__(self, chunk: str) -> bytes:
-        if len(self) >= CACHED_PIECES:
-            self.clear()
-        ids = self[chunk] = self._encode(" " + chunk)
-        return ids
+        self._encode, self._encode_all = encode, encode_all
 
     def encode(self, text: str) -> bytes:
-        if _BROKEN_SPACE.search(text):
+        """The ids of a text; chunks not met before are encoded together."""
+        if not text or text[0] == " " or text[-1] == " " or _BROKEN_SPACE.search(text):
             return self._encode(text)
         first, *rest = text.split(" ")
-        return (self._encode(first) if first else b"") + b"".join([self[chunk] for chunk in rest])
+        try:
+            body = b"".join([self[chunk] for chunk in rest])
+        except KeyError:
+            new = {chunk for chunk in rest if chunk not in self}
+            if len(self) + len(new) > CACHED_PIECES:
+                self.clear()
+                new = set(rest)
+            self.update(zip(new, self._encode_all([" " + chunk for chunk in new]), strict=True))
+            body = b"".join([self[chunk] for chunk in rest])
+        return self._encode(first) + body
 
 
 class Vocabulary:
@@ -96,7 +111,7 @@ class Vocabulary:
         self._prefix: dict[int, int] = {}
         self._special = regex.compile("(" + "|".join(map(regex.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
         self._split = regex.compile(public_tokenizers.PATTERN)
-        self._chunks = Chunks(self._encode_pieces)
+        self._chunks = Chunks(self._encode_pieces, lambda texts: map(self._encode_pieces, texts))
 
         whole = [*self.bytes_of]
         for text, i in special.items():
@@ -172,7 +187,7 @@ class Vocabulary:
                         for part in self._special.split(text))
 
     def _encode_pieces(self, text: str) -> bytes:
-        return np.array([i for piece in self._split.findall(text) for i in self.encode_piece(piece.encode())], "<u4").tobytes()
+        return as_bytes([i for piece in self._split.findall(text) for i in self.encode_piece(piece.encode())])
 
     def decode(self, ids: np.ndarray) -> bytes:
         """The tokens' bytes one after another, gathered from the table by their offsets."""
