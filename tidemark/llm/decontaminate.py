@@ -60,12 +60,13 @@ def window_shingles(windows: DataFrame, width: int) -> DataFrame:
     return placed.select("content", "n", "width", "at", token.alias("token"))
 
 
-def _tokens(docs: DataFrame, widths: list[int]) -> DataFrame:
-    """(doc_id, text_key, words, pos, width, token): the documents' shingles of the given widths."""
-    def of(width: int) -> DataFrame:
-        spread = docs.select("doc_id", "text_key", "words", F.posexplode("words").alias("pos", "word")).where(F.col("pos") + width <= F.size("words"))
-        return spread.select("doc_id", "text_key", "words", "pos", F.lit(width).alias("width"), F.xxhash64("word", *[F.get("words", F.col("pos") + k) for k in range(1, width)]).alias("token"))
-    return reduce(DataFrame.unionByName, map(of, widths))
+def _tokens(docs: DataFrame, width: int) -> DataFrame:
+    """(doc_id, text_key, words, pos, token): the documents' shingles of one width.
+
+    Rows carry the words of their document only within one stage: whoever uses this must join or drop before a shuffle or union.
+    """
+    spread = docs.select("doc_id", "text_key", "words", F.posexplode("words").alias("pos", "word")).where(F.col("pos") + width <= F.size("words"))
+    return spread.select("doc_id", "text_key", "words", "pos", F.xxhash64("word", *[F.get("words", F.col("pos") + k) for k in range(1, width)]).alias("token"))
 
 
 def _hits(docs: DataFrame, windows: DataFrame, width: int, broadcast_rows: int) -> DataFrame | None:
@@ -74,10 +75,14 @@ def _hits(docs: DataFrame, windows: DataFrame, width: int, broadcast_rows: int)
     widths = sorted(r.width for r in shingles.select("width").distinct().collect())  # 1 to `width` at most
     if not widths:
         return None
+
+    def each(of) -> DataFrame:
+        return reduce(DataFrame.unionByName, map(of, widths))
+
     wanted = shingles.select("width", "token").distinct()
     small = wanted.limit(broadcast_rows + 1).count() <= broadcast_rows
     hint = F.broadcast if small else lambda df: df
-    seen = _tokens(docs, widths).select("width", "token").join(hint(wanted), ["width", "token"]).groupBy("width", "token").agg(F.count("*").alias("times"))
+    seen = each(lambda k: _tokens(docs, k).select("token").join(hint(wanted.where(F.col("width") == k)), "token").groupBy("width", "token").agg(F.count("*").alias("times")))
     ordered = shingles.join(seen, ["width", "token"], "left").groupBy("content", "n").agg(
         F.min(F.struct(F.coalesce("times", F.lit(0)).alias("times"), "at", "width", "token")).alias("rarest"))
     prefixes = written(ordered.where("rarest.times > 0").select("content", "n", "rarest.at", "rarest.width", "rarest.token"), "prefixes")
@@ -85,15 +90,14 @@ def _hits(docs: DataFrame, windows: DataFrame, width: int, broadcast_rows: int)
     start = F.col("pos") - F.col("at")
     same = F.array_join(F.slice("words", F.col("start") + 1, F.col("n")), " ") == F.col("content")
     if small:
-        near = _tokens(docs, widths).join(hint(prefixes), ["width", "token"]).withColumn("start", start)
-        return near.where((F.col("start") >= 0) & (F.col("start") + F.col("n") <= F.size("words"))).where(same).select(
-            "doc_id", "text_key", "start", "n", "content")
-    near = _tokens(docs, widths).select("doc_id", "text_key", F.size("words").alias("size"), "pos", "width", "token").join(
-        prefixes, ["width", "token"]).withColumn("start", start).where("start >= 0 AND start + n <= size")
+        return each(lambda k: _tokens(docs, k).join(hint(prefixes.where(F.col("width") == k)), "token").withColumn("start", start).where(
+            (F.col("start") >= 0) & (F.col("start") + F.col("n") <= F.size("words"))).where(same).select("doc_id", "text_key", "start", "n", "content"))
+    near = each(lambda k: _tokens(docs, k).select("doc_id", "text_key", F.size("words").alias("size"), "pos", "token").join(
+        prefixes.where(F.col("width") == k), "token").withColumn("start", start).where("start >= 0 AND start + n <= size"))
     at = near.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("start", "n", "content")).alias("places"))
-    whole = docs.distinct().alias("d").join(at.alias("c"), F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("d.text_key") == F.col("c.text_key")))
-    return whole.select("d.doc_id", "d.text_key", "d.words", F.explode("c.places").alias("p")).select(
-        "doc_id", "text_key", "words", "p.*").where(same).drop("words")
+    whole = docs.alias("d").join(at.alias("c"), F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("d.text_key") == F.col("c.text_key")))
+    there = F.filter("c.places", lambda p: F.array_join(F.slice(F.col("d.words"), p["start"] + 1, p["n"]), " ") == p["content"])
+    return whole.select("d.doc_id", "d.text_key", F.explode(there).alias("p")).select("doc_id", "text_key", "p.*")
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, width: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text",

@@ -75,3 +75,34 @@ def op10_quality_classifier(spark, sf_dir):
 @query
 def op6_extraction(spark, sf_dir):
     return extract.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+# --- SQL counterparts --------------------------------------------------------------------------------------
+
+_FOLD = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLE["op1_decontamination"] = f"""
+WITH d AS MATERIALIZED (SELECT doc_id, regexp_extract_all({_FOLD}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all({_FOLD}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+sized AS (SELECT item_id, w, least(10, len(w)) AS n FROM b WHERE len(w) > 0),
+windows AS MATERIALIZED (SELECT DISTINCT item_id, n, array_to_string(w[i + 1:i + n], ' ') AS s FROM sized, unnest(range(0, len(w) - n + 1)) AS t(i)),
+places AS (SELECT doc_id, n, i, array_to_string(w[i + 1:i + n], ' ') AS s
+           FROM d, (SELECT DISTINCT n FROM windows), unnest(range(0, len(w) - n + 1)) AS t(i)),
+hits AS MATERIALIZED (SELECT DISTINCT doc_id, i, n, item_id FROM places JOIN windows USING (n, s)),
+covered AS (SELECT doc_id, count(DISTINCT i + k) AS n_hit FROM hits, unnest(range(0, n)) AS t(k) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+          FROM (SELECT DISTINCT doc_id, CAST(item_id AS varchar) AS item FROM hits) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS bigint) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)"""
+
+ORACLE["op7_ngram_join"] = f"""
+WITH RECURSIVE d AS MATERIALIZED (SELECT doc_id, regexp_extract_all({_FOLD}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS MATERIALIZED (SELECT DISTINCT doc_id, array_to_string(w[i + 1:i + 5], ' ') AS g
+                   FROM d, unnest(range(0, greatest(1, len(w) - 4))) AS t(i) WHERE len(w) > 0),
+size AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+both AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS o FROM s x JOIN s y USING (g) WHERE x.doc_id <> y.doc_id GROUP BY ALL),
+link AS MATERIALIZED (SELECT a, b FROM both JOIN size p ON p.doc_id = a JOIN size q ON q.doc_id = b WHERE 100 * o >= 75 * (p.n + q.n - o)),
+reach AS (SELECT doc_id, doc_id AS seen FROM d UNION SELECT reach.doc_id, link.b FROM reach JOIN link ON link.a = reach.seen)
+SELECT d.doc_id, coalesce(any_value(size.n), 0) AS n_shingles, min(seen) AS component_id
+FROM d JOIN reach USING (doc_id) LEFT JOIN size USING (doc_id) GROUP BY d.doc_id"""
