@@ -334,7 +334,7 @@ def test_template_without_names_is_told_by_its_constancy(spark):
 
 
 def test_alignment_finds_repetitions_and_options():
-    trees = [extract.tree_of(shape, slots) for shape, slots in (extract.shape_of(h) for h in (
+    trees = [extract.tree_of(shape, [(h or None, n) for h, n in slots]) for shape, slots in (extract.shape_of(h) for h in (
         "<body><h1>a</h1><ul><li>1<li>2</ul><p>x", "<body><h1>b</h1><p>y<p>z", "<body><h1>c</h1><dl><dt>k<dd>v<dt>k<dd>w</dl><p>y"))]
     whole = extract.align(extract.align(trees[0], trees[1]), trees[2])
     text = whole.expression()

@@ -132,31 +132,44 @@ def few_rows(df: DataFrame, limit: int) -> DataFrame:
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
+#: Rows of two longs that a task of `components` works on, and that it broadcasts at most.
+EDGE_ROWS = 400_000
+
+
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """(node, component) of every node of the edges (a, b): the smallest node that links lead to.
 
-    Rounds of large-star and small-star: every node hands its smallest neighbour on to the others. A round is an
-    aggregate by node and a join; its result is written to the shared folder. Nothing is collected but two sums.
+    Rounds of large-star and small-star: every node hands its smallest neighbour on to the others. A round is two
+    aggregates by node, each joined back (broadcast up to EDGE_ROWS edges, shuffled beyond); its result is written to
+    the shared folder in as many files as its number of rows asks for. Nothing is collected but a count and a sum.
     """
     def both(e):
         return e.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(e.select(F.col("b").alias("u"), F.col("a").alias("v")))
 
-    def star(pairs):
+    def star(pairs, rows):
         least = pairs.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        if rows <= EDGE_ROWS:
+            least = F.broadcast(least.coalesce(1))
         return pairs.join(least, "u")
 
     def state(e):
-        return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+        rows, total = e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        return int(rows), total
+
+    def sized(e, rows):
+        return written(e.coalesce(max(1, -(-rows // EDGE_ROWS))) if rows is not None else e, name)
 
-    now = written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b").distinct(), name)
+    now = sized(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b").distinct(), None)
     seen = state(now)
-    while True:
-        large = star(both(now)).where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
-        down = large.select(F.col("a").alias("u"), F.col("b").alias("v"))
-        small = star(down)
+    if 0 < seen[0] <= EDGE_ROWS:
+        now = sized(now, seen[0])
+    while seen[0]:
+        # Every edge becomes one edge, so there are never more of them.
+        large = star(both(now), seen[0]).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = star(large, seen[0])
         small = small.where("v > m").select(F.col("v").alias("a"), F.col("m").alias("b")).unionByName(
             small.select(F.col("u").alias("a"), F.col("m").alias("b"))).where("a > b").distinct()
-        now = written(small, name)
+        now = sized(small, seen[0])
         was, seen = seen, state(now)
         if was == seen:
             break

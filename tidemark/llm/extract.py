@@ -203,11 +203,17 @@ def _align_children(a: list[Node], b: list[Node]) -> list[Node]:
     return out
 
 
+def _alike(a: Node, b: Node) -> bool:
+    """Whether one of the elements has all the kinds of children that the other has."""
+    x, y = {c.sig for c in a.children}, {c.sig for c in b.children}
+    return x <= y or y <= x
+
+
 def fold(node: Node) -> Node:
-    """Neighbours with equal signatures become one repetition, and so do neighbouring groups of two to four."""
+    """Neighbours with equal signatures and like children become one repetition, and so do neighbouring groups of two to four."""
     kids: list[Node] = []
     for child in map(fold, node.children):
-        if kids and kids[-1].sig == child.sig and child.sig != "#":
+        if kids and kids[-1].sig == child.sig and child.sig != "#" and _alike(kids[-1], child):
             kids[-1] = align(kids[-1], child)
             kids[-1].repeat = True
         else:
