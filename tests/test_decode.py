@@ -36,7 +36,24 @@ def test_decimal_values(spark):
     want = [n for n in numbers for _ in range(3)]
     assert [int(x) for x in column(spark, values, lambda v: D.decode_decimal(v, 0, 38, 0))] == want
     assert column(spark, [wire(10**38), wire(-10**40), "@@"], lambda v: D.decode_decimal(v, 0, 38, 0)) == [None] * 3
-    assert column(spark, [wire(10**38)], lambda v: D.decode_decimal_text(v, F.lit("0"))) == [wire(10**38)]
+
+
+def test_decimals_of_any_width(spark):
+    rng = random.Random(7)
+    numbers = [s * n for s in (1, -1) for n in (10**38, 10**38 - 1, 2**127, 2**128 - 1, 2**128, 2**160 + 1, 10**45, 10**63 + 9, 10**80)] + [-2**127 - 1, -2**127]
+    numbers += [rng.randrange(-10**k, 10**k) for k in range(36, 120, 4) for _ in range(2)]
+    values = [wire(n, extra) for n in numbers for extra in (0, 3)]
+    assert column(spark, values, lambda v: D.decode_decimal_text(v, F.lit("0"))) == [str(n) for n in numbers for _ in range(2)]
+    assert column(spark, [wire(n) for n in numbers], lambda v: D.decode_decimal_text(v, F.lit("40"))) == [
+        ("-" if n < 0 else "") + str(abs(n)).rjust(41, "0")[:-40] + "." + str(abs(n)).rjust(41, "0")[-40:] for n in numbers]
+
+
+def test_columns_match_whatever_their_case(spark):
+    event = {"payload": {"op": "u", "source": {"table": "t"}, "before": {"ID": 1}, "after": {"Id": 1, "name": "old", "NAME": "new"}}}
+    raw = spark.createDataFrame([(0, json.dumps(event))], "seq bigint, value string")
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("Name", T.StringType()), T.StructField("x", T.StringType())])
+    row = decode_images(parse_changes(raw)[0], schema, keys=["id"]).first()
+    assert (row.before.id, tuple(row.after), tuple(row.present)) == (1, (1, "new", None), (True, True, False))
 
 
 @pytest.mark.parametrize("scale", [-2, 0, 1, 3, 20])
@@ -128,8 +145,11 @@ def test_key_types():
     assert D.normal_key_type(T.DecimalType(10, 1), T.DecimalType(12, 2)) == T.DecimalType(12, 2)
     assert D.normal_key_type(T.StringType(), T.StringType()) == T.StringType()
     assert D.normal_key_type(T.LongType(), T.StringType()) == T.StringType()
-    with pytest.raises(ValueError):
-        D.normal_key_type(T.DecimalType(38, 0), T.DecimalType(38, 10))
+    assert D.normal_key_type(T.DateType(), T.TimestampNTZType()) == T.TimestampNTZType()
+    assert D.normal_key_type(T.IntegerType(), T.DoubleType()) == T.DoubleType()
+    for pair in ((T.DecimalType(38, 0), T.DecimalType(38, 10)), (T.LongType(), T.DoubleType()), (T.DateType(), T.StringType()), (T.BooleanType(), T.LongType())):
+        with pytest.raises(ValueError):
+            D.normal_key_type(*pair)
 
 
 def test_decimal_keys_keep_their_fraction(spark):

@@ -167,6 +167,11 @@ def test_large_counts_are_spread(spark):
     assert got.groupBy("x").count().orderBy("x").collect() == [(1, 25), (2, 3)]
 
 
+def test_empty_images_do_nothing(spark):
+    events = [("c", None, {}), ("u", None, {}), ("c", None, {"x": 1, "y": None}), ("u", {}, {})]
+    assert collected(apply_unkeyed(None, typed_of(spark, events, BAG))) == [(1, None)]
+
+
 def test_unkeyed_rejects(spark):
     events = [("u", {"x": 1, "y": "p"}, {"x": 2}), ("d", {"x": None, "y": None}, None), ("c", None, {"x": "?"})]
     typed = typed_of(spark, events, BAG)

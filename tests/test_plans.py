@@ -46,6 +46,14 @@ def test_small_batches_are_broadcast_against_the_base(spark, typed, tmp_path):
     assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
 
 
+@pytest.mark.parametrize("apply", [merge.apply_partial, merge.apply_key_only])
+def test_partial_changes_move_none_of_the_base(spark, typed, tmp_path, apply):
+    spark.range(200).selectExpr("id AS k", "'x' AS a", "1.0D AS b").write.parquet(str(tmp_path / "base"))
+    plan = executed(apply(spark.read.parquet(str(tmp_path / "base")), typed, ["k"]))
+    assert plan.count("Exchange hashpartitioning") - plan.count("ReusedExchange") <= 1 and "SortMergeJoin" not in plan and "FullOuter" not in plan
+    assert "BroadcastHashJoin" in plan and plan.count("from_json") == 1
+
+
 def test_noop_report_reads_the_log_once(spark, typed):
     plan = executed(merge.noop_events(spark.range(40).selectExpr("id AS k"), typed, ["k"], stretch=10))
     assert plan.count("from_json") == 1 and "ReusedExchange" in plan

@@ -109,6 +109,17 @@ def test_composite_orphans_compare_whole_keys(spark):
     assert collected(reconcile.remove_orphans(target, source, ["x", "y"])) == [(1, "a")]
 
 
+def test_orphan_totals_report_each_table_by_itself(spark):
+    keys = spark.createDataFrame([(1,), (2,), (3,)], "k int")
+    some, dates = spark.createDataFrame([(2,)], "k bigint"), spark.createDataFrame([("x",)], "k string").selectExpr("true AS k")
+    got = reconcile.orphan_totals(spark, {
+        "a": (keys, some, ["k"]), "TOTAL": (keys, keys, ["k"]), "unkeyed": (keys, keys, []),
+        "gone": (lambda: spark.read.parquet("/nowhere/at/all"), keys, ["k"]), "odd": (keys, dates, ["k"])}).collect()
+    by = [(r.table, r.orphans, r.status.split(":")[0]) for r in got]
+    want = [("TOTAL", 0, "ok"), ("TOTAL", 2, "incomplete"), ("a", 2, "ok"), ("gone", None, "failed"), ("odd", None, "failed")]
+    assert sorted(by, key=str) == sorted(want, key=str)
+
+
 def test_rates_and_trend(spark):
     totals = [0, 10, 30, 30, 45, 50, 100, 160]
     samples = spark.createDataFrame(list(enumerate(totals)), "sample bigint, total bigint")

@@ -35,7 +35,7 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def unscaled_text(raw: Column) -> Column:
-    """Bytes of a big-endian two's-complement integer as decimal text; null when empty or beyond 38 digits.
+    """Bytes of a big-endian two's-complement integer of any width as decimal text; null when empty.
 
     `conv` reads eight bytes at a time instead of looping over bytes. Most values fit the first eight.
     """
@@ -51,13 +51,46 @@ def _read_hex(digits: Column) -> Column:
     low = F.conv(F.substring(wide, 17, 16), 16, 10).try_cast(WIDE) - F.when(negative, F.lit(Decimal(2 ** 64))).otherwise(F.lit(Decimal(0)))
     both = F.try_add(F.try_multiply(high, F.lit(Decimal(2 ** 64))).try_cast(WIDE), low).try_cast(WIDE).cast("string")
     n = F.length(digits)
-    return F.when(n.between(1, 16), F.conv(_widened(digits, 16), 16, -10)).when(n.between(17, 32), both)
+    # 128 bits reach a little beyond 38 digits; those values take the general way too.
+    return (F.when(n.between(1, 16), F.conv(_widened(digits, 16), 16, -10))
+            .when(n > 0, F.coalesce(F.when(n <= 32, both), _read_long_hex(digits, negative))))
+
+
+def _read_long_hex(digits: Column, negative: Column) -> Column:
+    """Any number of hex digits: 32 bits at a time, into base 10^9 digits with the lowest first."""
+    base = F.lit(1_000_000_000).cast("bigint")
+    whole = F.when(negative, F.translate(digits, "0123456789ABCDEF", "FEDCBA9876543210")).otherwise(digits)
+    parts = F.ceil(F.length(digits) / 8).cast("int")
+    padded = F.lpad(whole, parts * 8, F.lit("0"))
+
+    def value(i: Column) -> Column:
+        # The complement plus one, taken at the lowest part, is the magnitude of a negative number.
+        read = F.conv(padded.substr(i * 8 + 1, F.lit(8)), 16, 10).cast("bigint")
+        return read + F.when(negative & (i == parts - 1), 1).otherwise(0)
+
+    def shift(state: Column, part: Column) -> Column:
+        done = F.struct(part.alias("carry"), F.expr("cast(array() AS array<bigint>)").alias("out"))
+
+        def step(so_far: Column, digit: Column) -> Column:
+            return let(digit * 4_294_967_296 + so_far["carry"], lambda v: F.struct(
+                F.call_function("div", v, base).alias("carry"), F.concat(so_far["out"], F.array(v % base)).alias("out")))
+
+        def finish(end: Column) -> Column:
+            rest = F.array(end["carry"] % base, F.call_function("div", end["carry"], base))
+            return F.when(end["carry"] == 0, end["out"]).otherwise(F.concat(end["out"], rest))
+
+        return F.aggregate(state, done, step, finish)
+
+    values = F.transform(F.sequence(F.lit(0), parts - 1), value)
+    places = F.aggregate(values, F.expr("cast(array() AS array<bigint>)"), shift)
+    text = F.ltrim(F.array_join(F.transform(F.reverse(places), lambda d: F.lpad(d.cast("string"), 9, "0")), ""), F.lit("0"))
+    return F.concat(F.when(negative, "-").otherwise(""), F.when(text == "", "0").otherwise(text))
 
 
 def _plain(unscaled: Column, scale: Column) -> Column:
     """Unscaled decimal text with the point put in; the scale may differ from row to row."""
     negative = unscaled.startswith("-")
-    digits = F.when(negative, F.substring(unscaled, 2, 40)).otherwise(unscaled)
+    digits = F.when(negative, unscaled.substr(F.lit(2), F.length(unscaled))).otherwise(unscaled)
     padded = F.lpad(digits, F.greatest(F.length(digits), scale + 1), F.lit("0"))
     pointed = let(padded, lambda p: F.concat(F.left(p, F.length(p) - scale), F.lit("."), F.right(p, scale)))
     zeros = F.when(unscaled == "0", "").otherwise(F.repeat(F.lit("0"), -scale))
@@ -170,9 +203,11 @@ def coerce(value: Column, target: T.DataType, unit: str = "ms", as_time: bool =
 
 
 def normal_key_type(left: T.DataType, right: T.DataType) -> T.DataType:
-    """Common type under which two key columns compare.
+    """Common type under which two key columns compare exactly.
 
-    Integers widen to bigint; decimals keep their digits, so that 1.10 and 1.90 stay different keys.
+    Integers widen to bigint; decimals keep their digits, so that 1.10 and 1.90 stay different keys. Dates
+    meet timestamps at midnight. Pairs that no type holds exactly are refused: a key that cannot match would
+    make every row an orphan.
     """
     integral = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
     if left == right and not isinstance(left, integral):
@@ -186,15 +221,20 @@ def normal_key_type(left: T.DataType, right: T.DataType) -> T.DataType:
             return T.LongType()
         scale = max(t.scale for t in decimals)
         whole = max(19 if isinstance(t, integral) else t.precision - t.scale for t in sides)
-        if whole + scale > 38:
-            raise ValueError(f"no exact common key type for {left} and {right}")
-        return T.DecimalType(whole + scale, scale)
-    fractional = (T.FloatType, T.DoubleType)
-    if all(isinstance(t, integral + (T.DecimalType,) + fractional) for t in sides):
+        if whole + scale <= 38:
+            return T.DecimalType(whole + scale, scale)
+    if all(isinstance(t, (T.FloatType, T.DoubleType)) for t in sides):
         return T.DoubleType()
-    return T.StringType()
-
-
-def normalize_key(column: Column, own: T.DataType, other: T.DataType | None = None) -> Column:
-    """A key column cast to the type it is compared under."""
-    return column.cast(normal_key_type(own, other if other is not None else own))
+    small = (T.ByteType, T.ShortType, T.IntegerType, T.FloatType, T.DoubleType)
+    if all(isinstance(t, small) for t in sides):
+        return T.DoubleType()  # holds every 32-bit integer
+    if all(isinstance(t, (T.DateType, T.TimestampNTZType)) for t in sides):
+        return T.TimestampNTZType()
+    if all(isinstance(t, (T.DateType, T.TimestampType, T.TimestampNTZType)) for t in sides):
+        return T.TimestampType()
+    text = (T.StringType, T.CharType, T.VarcharType)
+    if all(isinstance(t, text) for t in sides):
+        return T.StringType()
+    if any(isinstance(t, text) for t in sides) and all(isinstance(t, integral + text) for t in sides):
+        return T.StringType()
+    raise ValueError(f"no exact common key type for {left} and {right}")

@@ -1,7 +1,8 @@
 """Keyed change application: the closed form of replaying a log one event after the other.
 
-Nothing here sorts the events of a key. Each key is reduced by aggregates that combine on the map
-side, so a key that holds a third of the log arrives at the reducer as one row per map task.
+Each key is reduced by aggregates that combine on the map side, so a key that holds a third of the log
+arrives at the reducer as one row per map task. (Spark sorts by key for aggregates that carry rows or
+text; no key's events are ever ordered by position.)
 """
 
 from __future__ import annotations
@@ -112,18 +113,36 @@ def apply_partial(base: DataFrame | None, typed: DataFrame, keys: Sequence[str],
     if base is None:
         values = [F.when(removed.isNull() | (F.col(f"_s_{c}.at") > removed), F.col(f"_s_{c}.v")).alias(c) for c in others]
         return state.where(live).select(*keys, *values).select(*columns)
-    held = base.select(*[F.col(k).alias(f"_b_{k}") for k in keys], *[F.col(c).alias(f"_b_{c}") for c in others])
-    match = F.lit(True)
-    for k in keys:
-        match = match & (F.col(f"_b_{k}") == F.col(k))
-    joined = held.join(state, match, "full_outer")
-    in_base = F.col(f"_b_{keys[0]}").isNotNull()
-    keep = live | (in_base & removed.isNull())
-    values = [F.when(removed.isNull(), F.when(F.col(f"_s_{c}").isNotNull(), F.col(f"_s_{c}.v")).otherwise(F.col(f"_b_{c}")))
+    values = [F.when(removed.isNull(), F.when(F.col(f"_s_{c}").isNotNull(), F.col(f"_s_{c}.v")).otherwise(F.col(c)))
               .when(F.col(f"_s_{c}.at") > removed, F.col(f"_s_{c}.v")).alias(c) for c in others]
-    return (joined.where(keep)
-            .select(*[F.coalesce(F.col(k), F.col(f"_b_{k}")).alias(k) for k in keys], *values)
-            .select(*columns))
+    bare = [F.when(removed.isNull() | (F.col(f"_s_{c}.at") > removed), F.col(f"_s_{c}.v")).alias(c) for c in others]
+    return _merged(base, state, keys, live, values, bare)
+
+
+def _merged(base: DataFrame, state: DataFrame, keys: Sequence[str], live: Column, values: Sequence[Column],
+            bare: Sequence[Column]) -> DataFrame:
+    """Base rows with the changes of their key, and rows for the keys the base lacks.
+
+    The base only ever streams past the changed keys (an outer and a semi join, broadcast when these are
+    few), so a small batch moves none of it. All three uses of `state` ask for all of its columns, which
+    keeps its aggregate the same, and its shuffle is reused.
+    """
+    all_asked = F.xxhash64(*state.columns) >= F.lit(-(2 ** 63))  # always true
+    key_of = {k: f"_k_{k}" for k in keys}
+    changes = state.where(all_asked).withColumnsRenamed(key_of)
+
+    def same(left: DataFrame) -> Column:
+        match = F.lit(True)
+        for k in keys:
+            match = match & (left[k] == F.col(f"_k_{k}"))
+        return match
+
+    removed = F.col("_removed")
+    held = base.join(changes, same(base), "left")
+    kept = held.where(F.col(f"_k_{keys[0]}").isNull() | live | removed.isNull()).select(*keys, *values).select(*base.columns)
+    known = base.join(changes, same(base), "left_semi").select(*keys)
+    fresh = changes.join(known, same(known), "left_anti").where(live)
+    return kept.unionByName(fresh.withColumnsRenamed({v: k for k, v in key_of.items()}).select(*keys, *bare).select(*base.columns))
 
 
 def apply_key_only(base: DataFrame, typed: DataFrame, keys: Sequence[str], order_col: str = "seq") -> DataFrame:
@@ -136,17 +155,12 @@ def apply_key_only(base: DataFrame, typed: DataFrame, keys: Sequence[str], order
              .select(*_key_columns(keys), F.col(order_col).alias("_position"), is_delete.alias("_deleted"))
              .groupBy(*keys).agg(F.max(F.when(~F.col("_deleted"), F.col("_position"))).alias("_upserted"),
                                  F.max(F.when(F.col("_deleted"), F.col("_position"))).alias("_removed")))
-    held = base.select(*[F.col(c).alias(f"_b_{c}") for c in base.columns])
-    same = F.lit(True)
-    for k in keys:
-        same = same & (F.col(f"_b_{k}") == F.col(k))
     upserted, removed = F.col("_upserted"), F.col("_removed")
-    stays = F.col(f"_b_{keys[0]}").isNotNull() & removed.isNull()
     # A key deleted in between is gone from the base, so it comes back as a bare key.
     live = upserted.isNotNull() & (removed.isNull() | (upserted > removed))
-    values = [F.coalesce(F.col(f"_b_{c}"), F.col(c)).alias(c) if c in keys else F.when(stays, F.col(f"_b_{c}")).alias(c)
-              for c in base.columns]
-    return held.join(state, same, "full_outer").where(stays | live).select(*values)
+    others = [f for f in base.schema.fields if f.name not in keys]
+    return _merged(base, state, keys, live, [F.when(removed.isNull(), F.col(f.name)).alias(f.name) for f in others],
+                   [F.lit(None).cast(f.dataType).alias(f.name) for f in others])
 
 
 def noop_events(base: DataFrame | None, typed: DataFrame, keys: Sequence[str], order_col: str = "seq",

@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.decode import normal_key_type
@@ -31,22 +33,36 @@ def remove_orphans(target: DataFrame, source: DataFrame, keys: Sequence[str]) ->
     return left.join(right, right.columns, "left_semi").select(*target.columns)
 
 
-def orphan_totals(pairs: Mapping[str, tuple[DataFrame, DataFrame, Sequence[str]]]) -> DataFrame:
-    """(table, orphans) per table plus a TOTAL row. `pairs`: name -> (target, source, keys).
+def count_removed(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> int:
+    """How many rows `remove_orphans` takes out."""
+    return orphan_rows(target, source, keys).count()
 
-    Tables without a key are skipped.
+
+def orphan_totals(spark: SparkSession, pairs: Mapping[str, tuple]) -> DataFrame:
+    """(table, orphans, status) per table plus a TOTAL row. `pairs`: name -> (target, source, keys).
+
+    A side may also be a function without arguments that gives the DataFrame. Each table is counted by a
+    job of its own, so one that cannot be read or compared is reported as failed, without a number, and the
+    others are counted all the same. Tables without a key are skipped.
     """
-    counts = [orphan_rows(target, source, keys).select(F.lit(name).alias("table"))
-              for name, (target, source, keys) in pairs.items() if keys]
-    names = [name for name, (_, _, keys) in pairs.items() if keys]
-    if not names:
+    rows = []
+    for name, (target, source, keys) in pairs.items():
+        if not keys:
+            continue
+        try:
+            sides = [side() if callable(side) else side for side in (target, source)]
+            rows.append((name, count_removed(*sides, keys), "ok"))
+        except (PySparkException, Py4JJavaError, ValueError) as failed:
+            rows.append((name, None, "failed: " + str(failed).split("\n")[0]))
+    if not rows:
         raise ValueError("no table has a key")
-    some = next(iter(pairs.values()))[0]
-    listed = some.sparkSession.createDataFrame([(n,) for n in names], "table string")
-    per_table = reduce(DataFrame.unionByName, counts).groupBy("table").agg(F.count("*").alias("orphans"))
-    return (listed.join(per_table, "table", "left")
-            .rollup("table").agg(F.coalesce(F.sum("orphans"), F.lit(0)).alias("orphans"))
-            .select(F.coalesce("table", F.lit("TOTAL")).alias("table"), "orphans"))
+    each = spark.createDataFrame(rows, "table string, orphans bigint, status string")
+    rolled = each.rollup("table").agg(F.sum("orphans").alias("orphans"), F.first("status").alias("status"),
+                                      F.count_if(F.col("status") != "ok").alias("failed"), F.grouping("table").alias("is_total"))
+    total = F.col("is_total") == 1
+    return rolled.select(F.when(total, "TOTAL").otherwise(F.col("table")).alias("table"),
+                         F.when(total, F.coalesce("orphans", F.lit(0))).otherwise(F.col("orphans")).alias("orphans"),
+                         F.when(~total, F.col("status")).when(F.col("failed") == 0, "ok").otherwise("incomplete").alias("status"))
 
 
 def count_tables(tables: Mapping[str, DataFrame]) -> DataFrame:

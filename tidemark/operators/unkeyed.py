@@ -47,9 +47,11 @@ def _bag_events(typed: DataFrame, columns: Sequence[str], order_col: str) -> Dat
     """
     none = "0" * len(columns)
     mask = F.when(F.col("has_before"), _match_groups(columns)).otherwise(none)
+    # An update or insert whose image carries no column does nothing.
+    carries = reduce(lambda a, b: a | b, [F.col(f"present.{c}") for c in columns])
     kind = (F.when(F.col("action") == DELETE, F.when(mask != none, "drop"))
             .when((F.col("op") == "u") & (mask != none), F.when(_all_present(columns), "move"))
-            .otherwise("add"))
+            .when(carries, "add"))
     row = F.struct(*[F.col(f"after.{c}").alias(c) for c in columns])
     was = F.struct(*[F.col(f"before.{c}").alias(c) for c in columns])
     return (typed.where(F.col("applies") & readable(typed))

@@ -138,12 +138,6 @@ def field_schema_map(fields: Column, image: str) -> Column:
     return let(named, lambda n: entries(unique(n)))
 
 
-def select_tables(events: DataFrame, tables: Iterable[str]) -> DataFrame:
-    """Keep the listed tables (exact names); an empty list keeps all."""
-    names = list(tables)
-    return events.where(F.col("table").isin(names)) if names else events
-
-
 def stage_of(snapshot: Column) -> Column:
     """Snapshot flag to 'stream', 'last' (end of the snapshot) or 'snapshot'."""
     flag = F.coalesce(snapshot, F.lit("false"))
@@ -166,15 +160,29 @@ def route_by_table(events: DataFrame, tables: Iterable[str]) -> dict[str, DataFr
     return {name: events.where(F.col("table") == name) for name in tables}
 
 
+def _lower_keys(image: Column) -> Column:
+    """An image with its column names in lower case; nearly always it has them already."""
+    def fold(entries: Column) -> Column:
+        lowered = F.transform(entries, lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value")))
+        later = lambda i: F.transform(F.slice(lowered, i + 2, F.size(lowered)), lambda e: e["key"])
+        return F.map_from_entries(F.filter(lowered, lambda e, i: ~F.array_contains(later(i), e["key"])))
+
+    return F.when(F.exists(F.map_keys(image), lambda k: k != F.lower(k)), fold(F.map_entries(image))).otherwise(image)
+
+
 def decode_images(good: DataFrame, schema: T.StructType, units: dict[str, str] | None = None,
                   time_columns: Iterable[str] = (), keys: Iterable[str] = ()) -> DataFrame:
     """Typed row images for the events of one table (or of tables that share a schema).
 
     `before` and `after` become structs of the target schema, and `present` a struct of booleans
     saying which columns the relevant image carries (`after`, or `before` for deletes). `unread_before`
-    and `unread_after` flag the columns whose value cannot be typed; see `split_readable`. With `keys`
+    and `unread_after` flag the columns whose value cannot be typed; see `split_readable`. Columns are
+    matched whatever their case; of two that differ in case only, the last of the image counts. With `keys`
     only these columns of the before image are typed: a keyed table needs no others.
     """
+    names = [f.name.lower() for f in schema.fields]
+    if len(set(names)) < len(names):
+        raise ValueError("column names that differ in case only")
     units = units or {}
     times = set(time_columns)
     keys = list(keys)
@@ -182,17 +190,17 @@ def decode_images(good: DataFrame, schema: T.StructType, units: dict[str, str] |
     fields = {"after": schema.fields, "before": [f for f in schema.fields if not keys or f.name in keys]}
 
     def typed(image: str) -> Column:
-        return F.struct(*[coerce(F.col(f"raw_{image}")[f.name], f.dataType, units.get(f.name, "ms"), f.name in times)
+        return F.struct(*[coerce(F.col(f"raw_{image}")[f.name.lower()], f.dataType, units.get(f.name, "ms"), f.name in times)
                           .alias(f.name) for f in fields[image]])
 
     relevant = F.when(is_delete, F.col("raw_before")).otherwise(F.col("raw_after"))
-    present = F.struct(*[F.map_contains_key(relevant, F.lit(f.name)).alias(f.name) for f in schema.fields])
-    flat = good.withColumnsRenamed({"before": "raw_before", "after": "raw_after"})
+    present = F.struct(*[F.map_contains_key(relevant, F.lit(f.name.lower())).alias(f.name) for f in schema.fields])
+    flat = good.withColumns({f"raw_{image}": _lower_keys(F.col(image)) for image in ("before", "after")}).drop("before", "after")
     flat = _computed_once(flat, F.struct(typed("before").alias("before"), typed("after").alias("after")))
 
     # One flag per column: a value is there but could not be typed. Text always passes.
     def unread(image: str) -> Column:
-        flags = [(F.col(f"raw_{image}")[f.name].isNotNull() & F.col(image)[f.name].isNull()).alias(f.name)
+        flags = [(F.col(f"raw_{image}")[f.name.lower()].isNotNull() & F.col(image)[f.name].isNull()).alias(f.name)
                  if not isinstance(f.dataType, T.StringType) else F.lit(False).alias(f.name) for f in fields[image]]
         return F.struct(*flags).alias(f"unread_{image}")
 

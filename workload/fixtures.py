@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import base64
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -58,6 +60,13 @@ def partial_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return event_log(spark, sf_dir).selectExpr("seq", "event_ts", f"{text} AS value")
 
 
+def mixed_case_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log with partial images, its columns spelt in one of three ways."""
+    text = """CASE seq % 3 WHEN 0 THEN value WHEN 1 THEN replace(replace(value, '"id"', '"ID"'), '"event_type"', '"Event_Type"')
+              ELSE replace(replace(value, '"value"', '"VALUE"'), '"id"', '"Id"') END AS value"""
+    return partial_envelopes(spark, sf_dir).selectExpr("seq", "event_ts", text)
+
+
 def key_only_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log with images that carry the key and nothing else."""
     none = "cast(null as struct<id:bigint>)"
@@ -195,6 +204,18 @@ WIRE_CENTS = f"base64(unhex(lpad(hex({CENTS}), 16, if({CENTS} < 0, 'F', '0'))))"
 SCALE = "cast(o_orderkey % 4 as string)"
 
 
+def wide_decimals() -> list[tuple[str, str]]:
+    """(wire value, plain text) of numbers with 20 to 65 digits and 7 decimal places, in both signs."""
+    pairs = []
+    for size in range(20, 66):
+        digits = ("1234567890" * 7)[size % 9:][:size].lstrip("0").ljust(size, "7")
+        for sign in ("", "-"):
+            number = int(sign + digits)
+            wire = number.to_bytes(number.bit_length() // 8 + 1, "big", signed=True)
+            pairs.append((base64.b64encode(wire).decode(), f"{sign}{digits[:-7]}.{digits[-7:]}"))
+    return pairs
+
+
 def decimal_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Envelopes with an embedded schema: price is a base64 decimal whose scale differs by row; code is
     text that happens to be valid base64 and must stay."""

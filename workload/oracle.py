@@ -6,6 +6,7 @@ Nothing here goes through JSON: the two sides share no parsing or replay code.
 from __future__ import annotations
 
 from tidemark.operators.catalog import type_pairs
+from workload.fixtures import wide_decimals
 from workload.queries import GIVEN_KEYS, MYSQL_TYPES, POSTGRES_TYPES
 
 LOG = """log AS (
@@ -154,10 +155,10 @@ ORACLE: dict[str, str] = {
     "snapshot_scan": "SELECT 'orders' AS \"table\", 'r' AS op, 'SNAPSHOT' AS counted_as, o_orderkey, o_custkey, o_totalprice FROM orders",
     "changelog_scan": f'WITH {LOG} SELECT seq, tab AS "table", op, id, event_type, value FROM log',
     "table_select": f"WITH {LOG} SELECT seq, tab AS \"table\", op FROM log WHERE tab IN ('orders', 'users')",
-    "snapshot_mode_initial": replay_on(CUSTOMERS, "tab = 'users'"),
-    "snapshot_mode_never": replay_on(SUPPLIERS, "tab = 'users' AND op <> 'r'"),
-    "snapshot_mode_schema_only": replay_on(None, "tab = 'users' AND op <> 'r'"),
-    "snapshot_mode_initial_only": replay_on(CUSTOMERS, "tab = 'users' AND op = 'r'"),
+    "snapshot_mode_initial": replay_on(CUSTOMERS, "true"),
+    "snapshot_mode_never": replay_on(SUPPLIERS, "op <> 'r'"),
+    "snapshot_mode_schema_only": replay_on(None, "op <> 'r'"),
+    "snapshot_mode_initial_only": replay_on(CUSTOMERS, "op = 'r'"),
     "envelope_flatten": f"""WITH {LOG} SELECT seq, tab AS "table", op, snapshot,
       CASE WHEN op IN ('u', 'd') THEN CAST(id AS VARCHAR) END AS before_id,
       CASE WHEN op <> 'd' THEN CAST(id AS VARCHAR) END AS after_id,
@@ -174,8 +175,12 @@ ORACLE: dict[str, str] = {
       THEN 'org.apache.kafka.connect.data.Decimal' END AS logical_name,
       CASE WHEN f.field = 'price' THEN CAST(o_orderkey % 4 AS VARCHAR) END AS scale
       FROM orders, (VALUES ('id'), ('price'), ('code')) f(field)""",
+    "image_typed_case": f"""WITH {LOG} SELECT seq, id, event_type, CASE WHEN has_value AND NOT null_value THEN value END AS value,
+      CAST(has_value AS INT) AS value_present FROM log WHERE op <> 'd'""",
     "image_typed": f"""WITH {LOG} SELECT seq, id, event_type, CASE WHEN has_value AND NOT null_value THEN value END AS value,
       CAST(has_value AS INT) AS value_present FROM log WHERE op <> 'd'""",
+    "decimal_decode_wide": f"""SELECT o_orderkey, ({[text for _, text in wide_decimals()]})[CAST(o_orderkey % {len(wide_decimals())} + 1 AS BIGINT)] AS price
+      FROM orders""",
     "decimal_decode": f"""SELECT o_orderkey, CAST({CENTS} / 100 AS DECIMAL(18,2)) AS price,
       CAST({CENTS} / power(10, o_orderkey % 4) AS DECIMAL(18,4)) AS scaled FROM orders""",
     "record_decode": f"""SELECT o_orderkey AS seq, CAST(o_orderkey AS VARCHAR) AS id,
@@ -191,15 +196,15 @@ ORACLE: dict[str, str] = {
     "apply_changes": f"""WITH {LOG}, final AS (SELECT * FROM log
       QUALIFY row_number() OVER (PARTITION BY tab, id ORDER BY seq DESC) = 1)
       SELECT tab AS "table", id, event_type, value FROM final WHERE op <> 'd'""",
-    "apply_upserts": replay_on(CUSTOMERS, "tab = 'users' AND op <> 'd'"),
-    "apply_deletes": replay_on(CUSTOMERS, "tab = 'users' AND op = 'd'"),
+    "apply_upserts": replay_on(CUSTOMERS, "op <> 'd'"),
+    "apply_deletes": replay_on(CUSTOMERS, "op = 'd'"),
     "apply_changes_on_base": f"""WITH {ORDERS_TARGET}
       SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM target WHERE o_orderkey NOT IN (SELECT o_orderkey FROM orders)
       UNION ALL SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice * 2 FROM orders WHERE o_orderkey % 4 <> 3""",
     "apply_changes_composite": """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
       l_quantity + CASE WHEN l_orderkey % 3 = 1 THEN 1 ELSE 0 END AS l_quantity FROM lineitem WHERE l_orderkey % 3 <> 0
       QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber, l_partkey, l_suppkey ORDER BY l_extendedprice DESC) = 1""",
-    "apply_partial": f"""WITH {LOG}, {CUSTOMERS}, mine AS (SELECT * FROM log WHERE tab = 'users'),
+    "apply_partial": f"""WITH {LOG}, {CUSTOMERS}, mine AS (SELECT * FROM log),
       ends AS (SELECT id, max(seq) FILTER (op = 'd') AS removed FROM mine GROUP BY id),
       alive AS (SELECT m.* FROM mine m JOIN ends e USING (id) WHERE m.op <> 'd' AND (e.removed IS NULL OR m.seq > e.removed)),
       last_any AS (SELECT * FROM alive QUALIFY row_number() OVER (PARTITION BY id ORDER BY seq DESC) = 1),
@@ -208,7 +213,7 @@ ORACLE: dict[str, str] = {
         WHEN e.removed IS NULL THEN b.value END AS value
       FROM last_any a JOIN ends e USING (id) LEFT JOIN last_value v USING (id) LEFT JOIN base b USING (id)
       UNION ALL SELECT id, event_type, value FROM base WHERE id NOT IN (SELECT id FROM mine)""",
-    "apply_key_only": f"""WITH {LOG}, {SUPPLIERS}, mine AS (SELECT * FROM log WHERE tab = 'users'),
+    "apply_key_only": f"""WITH {LOG}, {SUPPLIERS}, mine AS (SELECT * FROM log),
       ends AS (SELECT id, max(seq) FILTER (op = 'd') AS removed, max(seq) FILTER (op <> 'd') AS put FROM mine GROUP BY id)
       SELECT b.id, b.event_type, b.value FROM base b LEFT JOIN ends e USING (id) WHERE e.removed IS NULL
       UNION ALL SELECT e.id, NULL, NULL FROM ends e WHERE e.put IS NOT NULL AND (e.put > e.removed
@@ -220,7 +225,7 @@ ORACLE: dict[str, str] = {
     "apply_unkeyed_delete": f"""WITH {BAG} SELECT k, n FROM bag b
       WHERE NOT EXISTS (SELECT 1 FROM events_of e WHERE e.k = b.k AND (e.k % 5 = 0 OR e.n = b.n))""",
     "noop_deletes": f"""WITH {LOG}, {SUPPLIERS}, mine AS (
-        SELECT *, lag(op) OVER (PARTITION BY id ORDER BY seq) AS previous FROM log WHERE tab = 'users')
+        SELECT *, lag(op) OVER (PARTITION BY id ORDER BY seq) AS previous FROM log)
       SELECT seq, id, 'no_row' AS reason FROM mine WHERE op = 'd'
         AND (previous = 'd' OR (previous IS NULL AND id NOT IN (SELECT id FROM base)))""",
     "orphan_rows": f"WITH {ORDERS_TARGET} SELECT * FROM target WHERE o_orderkey NOT IN (SELECT o_orderkey FROM orders)",
@@ -231,7 +236,7 @@ ORACLE: dict[str, str] = {
         SELECT 'orders' AS "table", count(*) AS orphans FROM target WHERE o_orderkey NOT IN (SELECT o_orderkey FROM orders)
         UNION ALL SELECT 'lineitem', count(*) FROM line_target t WHERE {LINE_MISSING}
         UNION ALL SELECT 'customer', 0)
-      SELECT "table", orphans FROM each UNION ALL SELECT 'TOTAL', CAST(sum(orphans) AS BIGINT) FROM each""",
+      SELECT "table", orphans, 'ok' AS status FROM each UNION ALL SELECT 'TOTAL', CAST(sum(orphans) AS BIGINT), 'ok' FROM each""",
     "cleanup_trigger": f"WITH {LOG} SELECT min(seq) AS position FROM log WHERE snapshot IN ('last', 'false', '')",
     "reconcile_counts": f"""WITH {ORDERS_TARGET}, {LINES_TARGET}, both_sides(t, s, d) AS (
         SELECT 'customer', (SELECT count(*) FROM customer), (SELECT count(*) FROM customer)

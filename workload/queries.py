@@ -30,9 +30,9 @@ def events_of(spark: SparkSession, sf_dir: str, make=X.event_envelopes, **option
     return parse_changes(make(spark, sf_dir), **options)[0]
 
 
-def typed_events(spark: SparkSession, sf_dir: str, make=X.event_envelopes, table: str | None = None) -> DataFrame:
-    events = events_of(spark, sf_dir, make, tables=[table] if table else None)
-    return decode_images(events, X.EVENT_SCHEMA)
+def typed_events(spark: SparkSession, sf_dir: str, make=X.event_envelopes) -> DataFrame:
+    """Events of all three tables. An id belongs to one table (`user_id % 3`), so it is a key across them."""
+    return decode_images(events_of(spark, sf_dir, make), X.EVENT_SCHEMA)
 
 
 # --- scans ----------------------------------------------------------------------------------------------
@@ -56,7 +56,7 @@ def q_table_select(spark, sf_dir):
 
 def _mode(spark, sf_dir, mode, **sides):
     base = snapshot.base_for_mode(spark, mode, X.EVENT_SCHEMA, **sides)
-    typed = snapshot.events_for_mode(typed_events(spark, sf_dir, table="users"), mode)
+    typed = snapshot.events_for_mode(typed_events(spark, sf_dir), mode)
     return merge.apply_changes(base, typed, ["id"], partial=False)
 
 
@@ -129,8 +129,23 @@ def q_image_typed(spark, sf_dir):
     return typed.where("action = 'upsert'").select("seq", "after.*", F.col("present.value").cast("int").alias("value_present"))
 
 
+@query
+def q_image_typed_case(spark, sf_dir):
+    """Column names in three spellings."""
+    typed = typed_events(spark, sf_dir, X.mixed_case_envelopes)
+    return typed.where("action = 'upsert'").select("seq", "after.*", F.col("present.value").cast("int").alias("value_present"))
+
+
 # --- decoding -------------------------------------------------------------------------------------------
 
+@query
+def q_decimal_decode_wide(spark, sf_dir):
+    """Values of 20 to 65 digits and both signs, as text."""
+    wires = F.array(*[F.lit(wire) for wire, _ in X.wide_decimals()])
+    chosen = F.element_at(wires, (F.col("o_orderkey") % len(X.wide_decimals()) + 1).cast("int"))
+    return X.load(spark, sf_dir, "orders").select("o_orderkey", D.decode_decimal_text(chosen, F.lit("7")).alias("price"))
+
+
 @query
 def q_decimal_decode(spark, sf_dir):
     wire = X.load(spark, sf_dir, "orders").selectExpr("o_orderkey", f"{X.WIRE_CENTS} AS wire", f"{X.SCALE} AS scale")
@@ -210,13 +225,13 @@ def q_apply_changes(spark, sf_dir):
 
 @query
 def q_apply_upserts(spark, sf_dir):
-    typed = typed_events(spark, sf_dir, table="users").where("action = 'upsert'")
+    typed = typed_events(spark, sf_dir).where("action = 'upsert'")
     return merge.apply_changes(X.customers_as_rows(spark, sf_dir), typed, ["id"], partial=False)
 
 
 @query
 def q_apply_deletes(spark, sf_dir):
-    typed = typed_events(spark, sf_dir, table="users").where("action = 'delete'")
+    typed = typed_events(spark, sf_dir).where("action = 'delete'")
     return merge.apply_changes(X.customers_as_rows(spark, sf_dir), typed, ["id"], partial=False)
 
 
@@ -235,13 +250,13 @@ def q_apply_changes_composite(spark, sf_dir):
 
 @query
 def q_apply_partial(spark, sf_dir):
-    typed = typed_events(spark, sf_dir, X.partial_envelopes, table="users")
+    typed = typed_events(spark, sf_dir, X.partial_envelopes)
     return merge.apply_partial(X.customers_as_rows(spark, sf_dir), typed, ["id"])
 
 
 @query
 def q_apply_key_only(spark, sf_dir):
-    typed = typed_events(spark, sf_dir, X.key_only_envelopes, table="users")
+    typed = typed_events(spark, sf_dir, X.key_only_envelopes)
     return merge.apply_key_only(X.suppliers_as_rows(spark, sf_dir), typed, ["id"])
 
 
@@ -274,7 +289,7 @@ def q_apply_unkeyed_chain(spark, sf_dir):
 
 @query
 def q_noop_deletes(spark, sf_dir):
-    return merge.noop_events(X.suppliers_as_rows(spark, sf_dir), typed_events(spark, sf_dir, table="users"), ["id"],
+    return merge.noop_events(X.suppliers_as_rows(spark, sf_dir), typed_events(spark, sf_dir), ["id"],
                              stretch=1000)
 
 
@@ -298,7 +313,7 @@ def q_orphan_cleanup(spark, sf_dir):
 
 @query
 def q_orphan_totals(spark, sf_dir):
-    return reconcile.orphan_totals({
+    return reconcile.orphan_totals(spark, {
         "orders": (X.orders_target(spark, sf_dir), X.load(spark, sf_dir, "orders"), ["o_orderkey"]),
         "lineitem": (X.lineitem_target(spark, sf_dir), X.load(spark, sf_dir, "lineitem"), X.LINE_KEYS),
         "customer": (X.load(spark, sf_dir, "customer"), X.load(spark, sf_dir, "customer"), ["c_custkey"]),
