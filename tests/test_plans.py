@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.test_merge import SCHEMA
-from tidemark.operators import merge, reconcile
+from tidemark.operators import merge, progress, reconcile
 from tidemark.plans.replicate import stage_events
 from tidemark.sources.changelog import parse_changes, parse_events
 from tests.replay import envelope
@@ -88,3 +88,13 @@ def test_staged_log_prunes_tables(spark, tmp_path):
     staged = stage_events(parse_events(raw), str(tmp_path / "staged"))
     one = staged.where(F.col("table") == "t1")
     assert "PartitionFilters: [isnotnull(table" in executed(one) and one.count() == 10
+
+
+def test_counts_read_no_images_and_hash(spark, tmp_path):
+    raw = spark.createDataFrame([(i, envelope("cudr"[i % 4], "t", {"k": i}, {"k": i})) for i in range(100)], "seq bigint, value string")
+    raw.write.parquet(str(tmp_path / "log"))
+    events = parse_changes(spark.read.parquet(str(tmp_path / "log")), images=False)[0]
+    counts = progress.event_counts(events)
+    assert "SortAggregate" not in executed(counts) and "map<" not in counts._jdf.queryExecution().optimizedPlan().toString()
+    full = progress.event_counts(parse_changes(raw)[0])
+    assert counts.collect() == full.collect()

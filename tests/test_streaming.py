@@ -1,5 +1,7 @@
+import json
 import random
 
+from pyspark.sql import types as T
 
 from tests.replay import envelope, replay_keyed
 from tests.test_merge import SCHEMA, collected, random_log, rows
@@ -13,7 +15,6 @@ SPECS = {"t": TableSpec(SCHEMA, ("k",))}
 
 
 def with_position(line, seq):
-    import json
     event = json.loads(line)
     event["payload"]["source"]["pos"] = seq
     return json.dumps(event)
@@ -101,3 +102,21 @@ def test_unreadable_events_are_not_counted(spark):
     good, _ = parse_changes(raw)
     got = {r.table: (r.inserts, r.deletes, r.phase) for r in progress(counted_events(good, SPECS)).collect()}
     assert got == {"t": (2, 0, "CDC"), "other": (0, 1, "CDC")}
+
+
+def test_running_counts_follow_the_rule_of_the_batch_plan(spark, tmp_path):
+    lines = [{"op": "c", "after": {"k": 1, "n": 5}}, {"op": "c", "after": {"n": 5}}, {"op": "c", "after": {"k": 2, "n": "word"}}, {"op": "d", "before": {"k": 1}},
+             {"op": "d"}, {"op": "u", "after": {"k": 3, "n": None}}]
+    text = [json.dumps({"payload": {**x, "source": {"table": t, "pos": i}}}) for t in ("t", "other") for i, x in enumerate(lines)]
+    (tmp_path / "log").mkdir()
+    (tmp_path / "log" / "a.json").write_text("\n".join(text))
+    schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("n", T.IntegerType())])
+    specs = {"t": TableSpec(schema, keys=("k",))}
+    read = {"order_field": "pos"}
+    batch = event_counts(counted_events(parse_changes(spark.read.text(str(tmp_path / "log")), **read)[0], specs))
+    stream = running_counts(spark.readStream.text(str(tmp_path / "log")), specs=specs, **read)
+    query = stream.writeStream.format("memory").queryName("counts_by_rule").outputMode("complete").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    numbers = ["table", "inserts", "updates", "deletes"]
+    got = sorted(map(tuple, spark.table("counts_by_rule").select(*numbers).collect()))
+    assert got == sorted(map(tuple, batch.select(*numbers).collect())) == [("other", 3, 1, 2), ("t", 1, 1, 2)]

@@ -36,6 +36,11 @@ def applicable(typed: DataFrame, keys: Sequence[str]) -> DataFrame:
     return typed.where(F.col("applies") & readable(typed, keys) & _complete_key(keys))
 
 
+def counted(typed: DataFrame, keys: Sequence[str]) -> Column:
+    """Whether progress counts an event: all but those with an image that cannot be applied."""
+    return ~F.col("applies") | (readable(typed, keys) & (_complete_key(keys) if keys else F.lit(True)))
+
+
 def rejected_events(typed: DataFrame, keys: Sequence[str], order_col: str = "seq") -> DataFrame:
     """Events that had an image but cannot be applied, with the reason."""
     reason = (F.when(~readable(typed, keys), "unreadable_value").when(~_complete_key(keys), "incomplete_key"))

@@ -14,18 +14,19 @@ def event_counts(events: DataFrame, order_col: str = "seq", time_col: str | None
     """
     kind = F.col("counted_as")
     counted = kind.isNotNull()
-    phase = F.when(kind == "SNAPSHOT", "SNAPSHOT").when(counted, "CDC")
+    streamed = F.when(counted, (kind != "SNAPSHOT").cast("int"))  # a number keeps this a hash aggregate
     aggregates = [
         F.count_if(kind == "SNAPSHOT").alias("snapshot_rows"),
         F.count_if(kind == "INSERT").alias("inserts"),
         F.count_if(kind == "UPDATE").alias("updates"),
         F.count_if(kind == "DELETE").alias("deletes"),
-        F.max_by(phase, F.when(counted, F.col(order_col))).alias("last_phase"),
+        F.max_by(streamed, F.when(counted, F.col(order_col))).alias("last_streamed"),
         F.max(F.col("stage") == "stream").alias("streaming_seen"),
     ]
     if time_col:
         aggregates.append(F.max(F.when(counted, F.col(time_col))).alias("last_event"))
-    return events.groupBy("table").agg(*aggregates)
+    return (events.groupBy("table").agg(*aggregates)
+            .withColumn("last_phase", F.when(F.col("last_streamed") == 0, "SNAPSHOT").when(F.col("last_streamed") == 1, "CDC")).drop("last_streamed"))
 
 
 def progress(events: DataFrame, registered: DataFrame | None = None, totals: DataFrame | None = None,

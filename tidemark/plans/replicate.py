@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.merge import apply_changes, rejected_events
+from tidemark.operators.merge import apply_changes, counted, rejected_events
 from tidemark.operators.unkeyed import apply_unkeyed, rejected_unkeyed
-from tidemark.sources.changelog import decode_images, parse_events, split_events, split_readable
+from tidemark.sources.changelog import decode_images, parse_events, split_events
 from tidemark.sources.snapshot import events_for_mode
 
 
@@ -45,10 +45,12 @@ def table_rejects(typed: DataFrame, spec: TableSpec, order_col: str = "seq") ->
 
 
 def counted_events(events: DataFrame, specs: Mapping[str, TableSpec], order_col: str = "seq") -> DataFrame:
-    """Events that progress counts: those of unknown tables as they are, those of known ones if readable."""
+    """Events that progress counts: those of unknown tables as they are, those of known ones as `counted` says."""
     kept = [c for c in events.columns if c not in ("before", "after", "before_schema", "after_schema")]
     parts = [events.where(~F.col("table").isin(list(specs))).select(*kept)]
-    parts += [split_readable(typed_table(events, name, spec), spec.keys)[0].select(*kept) for name, spec in specs.items()]
+    for name, spec in specs.items():
+        typed = typed_table(events, name, spec)
+        parts.append(typed.where(counted(typed, spec.keys)).select(*kept))
     return reduce(DataFrame.unionByName, parts)
 
 

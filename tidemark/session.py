@@ -11,6 +11,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Files of a checkpoint go once nothing refers to it any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # The JVM does not compile methods over 8,000 bytes of bytecode; beyond that, generated code that Spark
     # splits into small methods runs several times faster than one large method for the whole stage.
     "spark.sql.codegen.hugeMethodLimit": "8000",

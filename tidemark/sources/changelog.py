@@ -41,45 +41,49 @@ def changelog_kafka(spark: SparkSession, servers: str, topics: Iterable[str], st
 def parse_changes(raw: DataFrame, order_col: str = "seq", value_col: str = "value",
                   order_field: str | None = None, time_field: str | None = None,
                   field_schemas: bool = False,
-                  tables: Iterable[str] | None = None) -> tuple[DataFrame, DataFrame]:
+                  tables: Iterable[str] | None = None, images: bool = True) -> tuple[DataFrame, DataFrame]:
     """Flatten envelopes into (good, rejected).
 
     `order_col` is the position of an event in the log: a unique integer, either a column of `raw` or
     read from the envelope field `source.<order_field>`. Columns of `raw` other than the value are kept.
     `time_field` names an epoch-millisecond field of `source` to expose as `event_ms`. With
     `field_schemas` the schema embedded in each envelope is read too, and images come out with their
-    decimals decoded.
+    decimals decoded. Without `images` the row images stay JSON text: enough for counts, phases and routing.
 
     Dropped without trace: null and blank values, envelopes without payload, empty table names.
     Rejected: text that is not JSON, and events without a position.
     """
-    events = parse_events(raw, order_col, value_col, order_field, time_field, field_schemas)
+    events = parse_events(raw, order_col, value_col, order_field, time_field, field_schemas, images)
     return split_events(events, order_col, tables)
 
 
 def parse_events(raw: DataFrame, order_col: str = "seq", value_col: str = "value", order_field: str | None = None,
-                 time_field: str | None = None, field_schemas: bool = False) -> DataFrame:
+                 time_field: str | None = None, field_schemas: bool = False, images: bool = True) -> DataFrame:
     """Flat events, good and rejected ones together: what to persist when both are needed."""
     source = ["table:string", "snapshot:string"]
     for name in (order_field, time_field):
         if name and f"{name}:bigint" not in source:
             source.append(f"{name}:bigint")
-    schema = (f"payload struct<op:string,source:struct<{','.join(source)}>,"
-              "before:map<string,string>,after:map<string,string>>, malformed string")
+    if field_schemas and not images:
+        raise ValueError("field schemas are of use with images only")
+    kind = "map<string,string>" if images else "string"
+    schema = f"payload struct<op:string,source:struct<{','.join(source)}>,before:{kind},after:{kind}>, malformed string"
     if field_schemas:
         schema += ", " + _SCHEMA_FIELDS
     parsed = F.from_json(value_col, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "malformed"})
     events = _computed_once(raw, parsed)
-    images = ["before", "after"]
-    image = {name: F.col(f"payload.{name}") for name in images}
+    names = ["before", "after"]
+    image = {name: F.col(f"payload.{name}") for name in names}
+    if not images:
+        image = {name: F.when(text.startswith("{"), text) for name, text in image.items()}  # anything else is no image
     if field_schemas:
         schemas = [F.when(image[name].isNotNull(), field_schema_map(F.col("schema.fields"), name)).alias(f"{name}_schema")
-                   for name in images]
+                   for name in names]
         events = _computed_once(events, F.struct(*schemas))
         events = _computed_once(events, F.struct(*[decode_record(image[name], F.col(f"{name}_schema")).alias(name)
-                                                   for name in images]))
-        images += ["before_schema", "after_schema"]
-        image = {name: F.col(name) for name in images}
+                                                   for name in names]))
+        names += ["before_schema", "after_schema"]
+        image = {name: F.col(name) for name in names}
     src, text = F.col("payload.source"), F.col(value_col)
     table = F.coalesce(src["table"], F.lit(""))
     position = src[order_field].alias(order_col) if order_field else F.col(order_col)
@@ -91,7 +95,7 @@ def parse_events(raw: DataFrame, order_col: str = "seq", value_col: str = "value
     return events.select(
         position, *kept, *times, table.alias("table"),
         F.coalesce(F.col("payload.op"), F.lit("")).alias("op"),
-        F.coalesce(src["snapshot"], F.lit("false")).alias("snapshot"), *[image[name].alias(name) for name in images],
+        F.coalesce(src["snapshot"], F.lit("false")).alias("snapshot"), *[image[name].alias(name) for name in names],
         F.when(reason.isNotNull(), text).alias("rejected_value"), reason.alias("reject_reason"),
     ).where(F.col("reject_reason").isNotNull() | (F.col("table") != ""))
 

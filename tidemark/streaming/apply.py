@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.progress import event_counts
 from tidemark.operators.reconcile import remove_orphans
-from tidemark.plans.replicate import TableSpec, apply_table, table_rejects, typed_table
+from tidemark.plans.replicate import TableSpec, apply_table, counted_events, table_rejects, typed_table
 from tidemark.sources.changelog import parse_changes, parse_events, split_events
 from tidemark.sources.table_store import TableStore
 
@@ -80,9 +80,15 @@ def run_stream(spark: SparkSession, raw: DataFrame, specs: Mapping[str, TableSpe
     return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)).start()
 
 
-def running_counts(raw: DataFrame, order_col: str = "seq", time_col: str | None = None, **parse_options) -> DataFrame:
-    """Streaming counts per table; the state is one row per table. Write it in complete or update mode."""
-    good, _ = parse_changes(raw, order_col, **parse_options)
+def running_counts(raw: DataFrame, order_col: str = "seq", time_col: str | None = None,
+                   specs: Mapping[str, TableSpec] | None = None, **parse_options) -> DataFrame:
+    """Streaming counts per table; the state is one row per table. Write it in complete or update mode.
+
+    With `specs` the events of these tables are counted by the rule of the batch plan (`counted_events`).
+    """
+    good, _ = parse_changes(raw, order_col, images=bool(specs), **parse_options)
+    if specs:
+        good = counted_events(good, specs, order_col)
     return event_counts(good, order_col, time_col)
 
 

@@ -51,7 +51,7 @@ def q_changelog_scan(spark, sf_dir):
 
 @query
 def q_table_select(spark, sf_dir):
-    return events_of(spark, sf_dir, tables=["orders", "users"]).select("seq", "table", "op")
+    return events_of(spark, sf_dir, tables=["orders", "users"], images=False).select("seq", "table", "op")
 
 
 def _mode(spark, sf_dir, mode, **sides):
@@ -91,7 +91,7 @@ def q_envelope_flatten(spark, sf_dir):
 
 @query
 def q_event_filter(spark, sf_dir):
-    return events_of(spark, sf_dir, X.dirty_envelopes).select("seq", "table", "op")
+    return events_of(spark, sf_dir, X.dirty_envelopes, images=False).select("seq", "table", "op")
 
 
 @query
@@ -101,12 +101,12 @@ def q_event_quarantine(spark, sf_dir):
 
 @query
 def q_op_classify(spark, sf_dir):
-    return events_of(spark, sf_dir, X.dirty_envelopes).select("seq", "op", "action", "counted_as", "applies")
+    return events_of(spark, sf_dir, X.dirty_envelopes, images=False).select("seq", "op", "action", "counted_as", "applies")
 
 
 @query
 def q_snapshot_flag(spark, sf_dir):
-    return events_of(spark, sf_dir, X.dirty_envelopes).select("seq", "snapshot", "stage")
+    return events_of(spark, sf_dir, X.dirty_envelopes, images=False).select("seq", "snapshot", "stage")
 
 
 @query
@@ -322,7 +322,7 @@ def q_orphan_totals(spark, sf_dir):
 
 @query
 def q_cleanup_trigger(spark, sf_dir):
-    return progress.cleanup_trigger(events_of(spark, sf_dir))
+    return progress.cleanup_trigger(events_of(spark, sf_dir, images=False))
 
 
 @query
@@ -373,13 +373,13 @@ def _totals(spark, sf_dir):
 
 
 def _progress(spark, sf_dir, events=None, **sides):
-    events = events if events is not None else events_of(spark, sf_dir)
+    events = events if events is not None else events_of(spark, sf_dir, images=False)
     return progress.progress(events, time_col="event_ts", **sides)
 
 
 @query
 def q_progress_counts(spark, sf_dir):
-    return _progress(spark, sf_dir, events_of(spark, sf_dir, X.dirty_envelopes)).select(
+    return _progress(spark, sf_dir, events_of(spark, sf_dir, X.dirty_envelopes, images=False)).select(
         "table", "snapshot_rows", "inserts", "updates", "deletes", "last_event")
 
 
@@ -391,7 +391,7 @@ def q_progress_totals(spark, sf_dir):
 @query
 def q_progress_phase(spark, sf_dir):
     """One table per order status and priority; whichever event came last decides."""
-    events = events_of(spark, sf_dir, X.priority_envelopes)
+    events = events_of(spark, sf_dir, X.priority_envelopes, images=False)
     return progress.progress(events, registered=_registered(spark, sf_dir)).select("table", "phase")
 
 
