@@ -2,8 +2,9 @@
 
 import pytest
 
+from tidemark.operators.catalog import catalog_query
 from tidemark.sources.jdbc import delete_statement, merge_statement, read_table
-from tidemark.sources.table_store import merge_into_statement
+from tidemark.sources.table_store import merge_into_statement, merge_partial_statement
 
 
 def test_upsert_statements():
@@ -28,6 +29,17 @@ def test_merge_into_parses(spark):
     spark._jsparkSession.sessionState().sqlParser().parsePlan(merge_into_statement("db.t", "latest", ["id"], ["id"]))
 
 
+def test_partial_merge_parses(spark):
+    parser = spark._jsparkSession.sessionState().sqlParser()
+    text = merge_partial_statement("db.t", "changes", ["id", "a"], ["id"])
+    assert "MergeIntoTable" in parser.parsePlan(text).toString() and "WHEN s.`_removed` THEN NULL" in text
+    parser.parsePlan(merge_partial_statement("db.t", "changes", ["id"], ["id"]))
+
+
+def test_catalog_query_keeps_sizes_in_range():
+    assert "tinyint(1)%' THEN 1" in catalog_query("mysql", "x") and "2147483647" in catalog_query("postgresql", "x")
+
+
 def test_partitioned_reads_need_bounds(spark):
     with pytest.raises(ValueError):
         read_table(spark, "jdbc:none:", "t", partition_column="id")

@@ -1,6 +1,7 @@
 import json
 import random
 
+import pytest
 from pyspark.sql import types as T
 
 from tests.replay import envelope, replay_keyed
@@ -8,7 +9,7 @@ from tests.test_merge import SCHEMA, collected, random_log, rows
 from tidemark.operators.progress import event_counts, progress
 from tidemark.plans.replicate import TableSpec, counted_events, replicate
 from tidemark.sources.changelog import changelog_text, parse_changes
-from tidemark.sources.table_store import TableStore
+from tidemark.sources.table_store import TableStore, partial_rows
 from tidemark.streaming.apply import run_stream, running_counts, stop_gracefully
 
 SPECS = {"t": TableSpec(SCHEMA, ("k",))}
@@ -120,3 +121,42 @@ def test_running_counts_follow_the_rule_of_the_batch_plan(spark, tmp_path):
     numbers = ["table", "inserts", "updates", "deletes"]
     got = sorted(map(tuple, spark.table("counts_by_rule").select(*numbers).collect()))
     assert got == sorted(map(tuple, batch.select(*numbers).collect())) == [("other", 3, 1, 2), ("t", 1, 1, 2)]
+
+
+def test_tables_without_events_get_no_new_version(spark, tmp_path):
+    (tmp_path / "log").mkdir()
+    specs = {"t": SPECS["t"], "quiet": SPECS["t"]}
+    quiet = TableStore(spark, str(tmp_path / "store" / "quiet"))
+    quiet.write(spark.createDataFrame([(5, "z", 1.0)], SCHEMA), "before")
+    for i in range(3):
+        write_log(tmp_path / "log", f"{i}.txt", [("c", None, {"k": i, "a": "n", "b": 2})], i)
+    raw = changelog_text(spark, str(tmp_path / "log"), streaming=True, max_files_per_trigger=1)
+    assert stop_gracefully(run_stream(spark, raw, specs, str(tmp_path / "store"), str(tmp_path / "checkpoint"), order_field="pos"), 120)
+    assert [v.tag for v in quiet.versions()] == ["before"]
+    assert TableStore(spark, str(tmp_path / "store" / "t")).read().count() == 3
+
+
+@pytest.mark.parametrize(("mode", "want"), [("initial", {0, 1}), ("never", {1}), ("initial_only", {0})])
+def test_snapshot_modes_of_a_stream(spark, tmp_path, mode, want):
+    (tmp_path / "log").mkdir()
+    write_log(tmp_path / "log", "a.txt", [("r", None, {"k": 0, "a": "n", "b": 2}), ("c", None, {"k": 1, "a": "n", "b": 2})], 0)
+    assert stop_gracefully(start(spark, tmp_path, mode=mode), 120)
+    assert {r.k for r in TableStore(spark, str(tmp_path / "store" / "t")).read().collect()} == want
+
+
+def test_merge_source_of_partial_images(spark):
+    """The MERGE of `merge_partial_statement`, acted out row by row, gives what the replay gives."""
+    from tests.test_merge import typed_of
+    events = random_log(random.Random(5), 150, 15, True)
+    base = {(k,): {"k": k, "a": "base", "b": float(k)} for k in range(8, 20)}
+    table = {k: dict(v) for k, v in base.items()}
+    for s in partial_rows(typed_of(spark, events, SCHEMA), ["k"], ["k", "a", "b"]).collect():
+        held = table.get((s.k,))
+        if held is not None and not s._alive:
+            del table[s.k,]
+        elif held is not None:
+            for c in ("a", "b"):
+                held[c] = s[c] if s[f"_has_{c}"] else None if s._removed else held[c]
+        elif s._alive:
+            table[s.k,] = {"k": s.k, "a": s.a, "b": s.b}
+    assert sorted(map(str, rows(table, ["k", "a", "b"]))) == sorted(map(str, rows(replay_keyed(base, events, ["k"]), ["k", "a", "b"])))

@@ -226,17 +226,24 @@ def catalog_from_jdbc(spark: SparkSession, url: str, database: str, schema: str,
                              for f in T._parse_datatype_string(CATALOG_SCHEMA).fields])
 
 
+#: Long text types give lengths beyond an int; as no such size is ever written out, the largest int stands for them.
+_SIZE = "least(coalesce(c.character_maximum_length, c.numeric_precision, 0), 2147483647)"
+
+
 def catalog_query(database: str, schema: str) -> str:
     name = schema.replace("'", "''")
     if family(database) == "mysql":
         auto, type_name = "c.extra LIKE '%auto_increment%'", ("CASE WHEN c.column_type LIKE '%unsigned%' THEN "
                                                               "concat(c.data_type, ' unsigned') ELSE c.data_type END")
         quote = "`"
+        # The declared width of tinyint is in the column type only; 1 stands for a boolean.
+        size = f"CASE WHEN c.column_type LIKE 'tinyint(1)%' THEN 1 ELSE {_SIZE} END"
     else:
         auto, type_name = "(c.is_identity = 'YES' OR c.column_default LIKE 'nextval(%')", "c.udt_name"
         quote = '"'
+        size = _SIZE
     return (f"SELECT c.table_name AS {quote}table{quote}, c.column_name AS {quote}column{quote}, "
-            f"{type_name} AS type_name, coalesce(c.character_maximum_length, c.numeric_precision, 0) AS size, "
+            f"{type_name} AS type_name, {size} AS size, "
             f"coalesce(c.numeric_scale, 0) AS digits, c.is_nullable = 'YES' AS nullable, {auto} AS auto_increment, "
             f"c.ordinal_position AS ordinal, k.ordinal_position AS key_seq "
             "FROM information_schema.columns c JOIN information_schema.tables t "

@@ -15,8 +15,9 @@ from collections.abc import Sequence
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.operators.merge import latest_per_key
+from tidemark.operators.merge import latest_per_key, partial_state
 
 _NAME = re.compile(r"^v-(\d{12})-(.+)$")
 
@@ -80,9 +81,40 @@ def merge_into_statement(target: str, source_view: str, columns: Sequence[str],
             f"{update}WHEN NOT MATCHED AND NOT s.`{deleted}` THEN INSERT ({listed}) VALUES ({values})")
 
 
-def merge_into_catalog(typed: DataFrame, target: str, keys: Sequence[str], order_col: str = "seq") -> None:
-    """Apply typed changes with complete images to a catalog table that supports MERGE (Delta, Iceberg, ...)."""
+def merge_partial_statement(target: str, source_view: str, columns: Sequence[str], keys: Sequence[str]) -> str:
+    """MERGE for images that leave columns out; the source is `partial_rows` as a view.
+
+    A row that was deleted and created again within the batch keeps none of its old values.
+    """
+    on = " AND ".join(f"t.`{k}` = s.`{k}`" for k in keys)
+    others = [c for c in columns if c not in keys]
+    listed, values = ", ".join(f"`{c}`" for c in columns), ", ".join(f"s.`{c}`" for c in columns)
+    sets = ", ".join(f"t.`{c}` = CASE WHEN s.`_has_{c}` THEN s.`{c}` WHEN s.`_removed` THEN NULL ELSE t.`{c}` END" for c in others)
+    update = f"WHEN MATCHED THEN UPDATE SET {sets} " if others else ""
+    return (f"MERGE INTO {target} t USING {source_view} s ON {on} WHEN MATCHED AND NOT s.`_alive` THEN DELETE "
+            f"{update}WHEN NOT MATCHED AND s.`_alive` THEN INSERT ({listed}) VALUES ({values})")
+
+
+def partial_rows(typed: DataFrame, keys: Sequence[str], columns: Sequence[str], order_col: str = "seq") -> DataFrame:
+    """One row per changed key: columns, which of them changed, whether the row lives, whether it was removed on the way."""
+    others = [c for c in columns if c not in keys]
+    removed, upserted = F.col("_removed"), F.col("_upserted")
+    holds = {c: F.col(f"_s_{c}").isNotNull() & (removed.isNull() | (F.col(f"_s_{c}.at") > removed)) for c in others}
+    return partial_state(typed, keys, others, order_col).select(
+        *keys, *[F.when(holds[c], F.col(f"_s_{c}.v")).alias(c) for c in others], *[holds[c].alias(f"_has_{c}") for c in others],
+        (upserted.isNotNull() & (removed.isNull() | (upserted > removed))).alias("_alive"), removed.isNotNull().alias("_removed"))
+
+
+def merge_into_catalog(typed: DataFrame, target: str, keys: Sequence[str], order_col: str = "seq", partial: bool = False) -> None:
+    """Apply typed changes to a catalog table that supports MERGE (Delta, Iceberg, ...); only touched rows are written.
+
+    Applying a batch twice gives the same table.
+    """
     columns = typed.schema["after"].dataType.names
     view = "_tidemark_" + re.sub(r"\W", "_", target)
+    if partial:
+        partial_rows(typed, keys, columns, order_col).createOrReplaceTempView(view)
+        typed.sparkSession.sql(merge_partial_statement(target, f"`{view}`", columns, keys))
+        return
     latest_per_key(typed, keys, columns, order_col).createOrReplaceTempView(view)
     typed.sparkSession.sql(merge_into_statement(target, f"`{view}`", columns, keys))

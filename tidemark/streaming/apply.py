@@ -16,7 +16,8 @@ from tidemark.operators.progress import event_counts
 from tidemark.operators.reconcile import remove_orphans
 from tidemark.plans.replicate import TableSpec, apply_table, counted_events, table_rejects, typed_table
 from tidemark.sources.changelog import parse_changes, parse_events, split_events
-from tidemark.sources.table_store import TableStore
+from tidemark.sources.snapshot import events_for_mode
+from tidemark.sources.table_store import TableStore, merge_into_catalog
 
 
 def stream_id(spark: SparkSession, checkpoint: str) -> str:
@@ -27,9 +28,14 @@ def stream_id(spark: SparkSession, checkpoint: str) -> str:
 
 def run_stream(spark: SparkSession, raw: DataFrame, specs: Mapping[str, TableSpec], store_dir: str, checkpoint: str,
                order_col: str = "seq", available_now: bool = True, interval: str = "10 seconds",
-               sources: Mapping[str, Callable[[], DataFrame]] | None = None, **parse_options) -> StreamingQuery:
+               sources: Mapping[str, Callable[[], DataFrame]] | None = None, targets: Mapping[str, str] | None = None,
+               mode: str = "initial", **parse_options) -> StreamingQuery:
     """Apply a change stream to the tables under `store_dir`, one folder per table.
 
+    Keyed tables named in `targets` (name -> catalog table that supports MERGE) are merged there instead, so a
+    batch costs what it touches. The others are written anew, but only if the batch has events for them.
+    `mode` is a snapshot mode; it decides which events of the log are applied.
+
     Micro-batches carry the log in order, and within a batch `order_col` decides. A batch that is
     delivered again after a failure finds its own version and is skipped, so each takes effect once.
     Rejected events go to `<store_dir>/_rejected/<batch>`. With `sources` (keyed tables by name), orphans
@@ -49,13 +55,20 @@ def run_stream(spark: SparkSession, raw: DataFrame, specs: Mapping[str, TableSpe
         rejects += [table_rejects(typed_table(good, name, spec), spec, order_col)
                     .select(order_col, F.lit(name).alias("table"), "op", "reason") for name, spec in specs.items()]
 
-        def one_table(name: str, spec: TableSpec, cleaning: bool) -> None:
+        def one_table(name: str, spec: TableSpec, cleaning: bool, touched: bool) -> None:
+            if spec.keys and name in (targets or {}):
+                if touched:
+                    merge_into_catalog(events_for_mode(typed_table(good, name, spec), mode), targets[name], spec.keys, order_col, spec.partial)
+                return
             done = stores[name].has(tag)
             if done and not cleaning:
                 return
             table = stores[name].read()
+            done = done or (table is not None and not touched)
+            if done and not cleaning:
+                return
             if not done:
-                table = apply_table(table, typed_table(good, name, spec), spec, order_col)
+                table = apply_table(table, events_for_mode(typed_table(good, name, spec), mode), spec, order_col)
             if cleaning and name in sources and spec.keys:
                 table = remove_orphans(table, sources[name](), spec.keys)
             stores[name].write(table, tag)
@@ -63,9 +76,10 @@ def run_stream(spark: SparkSession, raw: DataFrame, specs: Mapping[str, TableSpe
         try:
             events.count()  # parse once, before several jobs read the result
             cleaning = not run["cleaned"] and good.where(F.col("stage").isin("last", "stream")).limit(1).count() > 0
+            touched = {r.table for r in good.select("table").distinct().collect()}  # names in `specs`
             # Tables are independent, so their jobs share the cluster instead of queueing up.
             with ThreadPoolExecutor(min(len(specs) + 1, 16)) as pool:
-                jobs = [pool.submit(inheritable_thread_target(spark)(one_table), name, spec, cleaning)
+                jobs = [pool.submit(inheritable_thread_target(spark)(one_table), name, spec, cleaning, name in touched)
                         for name, spec in specs.items()]
                 jobs.append(pool.submit(inheritable_thread_target(spark)(
                     lambda: reduce(DataFrame.unionByName, rejects).write.mode("overwrite")
