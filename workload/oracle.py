@@ -27,6 +27,20 @@ dirty AS (
     CASE WHEN seq % 29 IN (4, 7) THEN op <> 'd' WHEN seq % 29 = 5 THEN false ELSE true END AS applies
   FROM log WHERE seq % 29 NOT IN (1, 2, 3, 6, 8, 9))"""
 
+# A bag per user, folded event by event.
+CHAIN = """steps AS (
+    SELECT event_id AS seq, user_id AS u, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS step, event_type AS t,
+      CASE event_type WHEN 'error' THEN CASE WHEN event_id % 10 = 0 THEN 'd' ELSE 'c' END WHEN 'signup' THEN 'c' ELSE 'u' END AS op,
+      CASE event_id % 3 WHEN 0 THEN 'view' WHEN 1 THEN 'click' ELSE 'purchase' END AS moved
+    FROM events),
+  state AS (
+    SELECT DISTINCT u, CAST(0 AS BIGINT) AS step, CAST([] AS VARCHAR[]) AS held FROM steps
+    UNION ALL
+    SELECT l.u, l.step, CASE l.op WHEN 'c' THEN list_append(s.held, l.t) WHEN 'd' THEN CAST([] AS VARCHAR[])
+      ELSE CASE WHEN list_contains(s.held, l.t) THEN [CASE WHEN x = l.t THEN l.moved ELSE x END FOR x IN s.held]
+                ELSE list_append(s.held, l.moved) END END
+    FROM state s JOIN steps l ON l.u = s.u AND l.step = s.step + 1)"""
+
 STAGE = "CASE WHEN snapshot IN ('false', '') THEN 'stream' WHEN snapshot = 'last' THEN 'last' ELSE 'snapshot' END"
 CUSTOMERS = "base AS (SELECT c_custkey AS id, c_mktsegment AS event_type, c_acctbal AS value FROM customer)"
 SUPPLIERS = "base AS (SELECT s_suppkey AS id, s_name AS event_type, s_acctbal AS value FROM supplier)"
@@ -224,6 +238,13 @@ ORACLE: dict[str, str] = {
       UNION ALL SELECT k, CAST(n + 100 AS INT) FROM events_of e WHERE NOT EXISTS (SELECT 1 FROM bag b WHERE b.k = e.k AND b.n = e.n)""",
     "apply_unkeyed_delete": f"""WITH {BAG} SELECT k, n FROM bag b
       WHERE NOT EXISTS (SELECT 1 FROM events_of e WHERE e.k = b.k AND (e.k % 5 = 0 OR e.n = b.n))""",
+    "apply_unkeyed_chain": f"""WITH RECURSIVE {CHAIN}
+      SELECT u AS user_id, unnest(held) AS event_type
+      FROM (SELECT u, held FROM state QUALIFY row_number() OVER (PARTITION BY u ORDER BY step DESC) = 1)""",
+    "noop_unkeyed": f"""WITH RECURSIVE {CHAIN}
+      SELECT l.seq, CASE l.op WHEN 'd' THEN 'no_row' ELSE 'update_inserted' END AS reason
+      FROM steps l JOIN state s ON s.u = l.u AND s.step = l.step - 1
+      WHERE (l.op = 'd' AND len(s.held) = 0) OR (l.op = 'u' AND NOT list_contains(s.held, l.t))""",
     "noop_deletes": f"""WITH {LOG}, {SUPPLIERS}, mine AS (
         SELECT *, lag(op) OVER (PARTITION BY id ORDER BY seq) AS previous FROM log)
       SELECT seq, id, 'no_row' AS reason FROM mine WHERE op = 'd'

@@ -282,11 +282,18 @@ def q_apply_unkeyed_delete(spark, sf_dir):
 
 @query
 def q_apply_unkeyed_chain(spark, sf_dir):
-    """Updates that build on one another. Sequential by definition: checked against a replay in the tests."""
+    """Updates that build on one another."""
     typed = decode_images(events_of(spark, sf_dir, X.chained_bag_envelopes), X.STATE_SCHEMA)
     return unkeyed.apply_unkeyed(None, typed)
 
 
+@query
+def q_noop_unkeyed(spark, sf_dir):
+    """Deletes that met no row, and updates that inserted one because they met none."""
+    typed = decode_images(events_of(spark, sf_dir, X.chained_bag_envelopes), X.STATE_SCHEMA)
+    return unkeyed.unkeyed_noop_events(None, typed)
+
+
 @query
 def q_noop_deletes(spark, sf_dir):
     return merge.noop_events(X.suppliers_as_rows(spark, sf_dir), typed_events(spark, sf_dir), ["id"],
