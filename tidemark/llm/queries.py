@@ -101,8 +101,8 @@ WITH RECURSIVE d AS MATERIALIZED (SELECT doc_id, regexp_extract_all({_FOLD}, '[^
 s AS MATERIALIZED (SELECT DISTINCT doc_id, array_to_string(w[i + 1:i + 5], ' ') AS g
                    FROM d, unnest(range(0, greatest(1, len(w) - 4))) AS t(i) WHERE len(w) > 0),
 size AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
-both AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS o FROM s x JOIN s y USING (g) WHERE x.doc_id <> y.doc_id GROUP BY ALL),
-link AS MATERIALIZED (SELECT a, b FROM both JOIN size p ON p.doc_id = a JOIN size q ON q.doc_id = b WHERE 100 * o >= 75 * (p.n + q.n - o)),
+pairs AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS o FROM s x JOIN s y USING (g) WHERE x.doc_id <> y.doc_id GROUP BY ALL),
+link AS MATERIALIZED (SELECT a, b FROM pairs JOIN size p ON p.doc_id = a JOIN size q ON q.doc_id = b WHERE 100 * o >= 75 * (p.n + q.n - o)),
 reach AS (SELECT doc_id, doc_id AS seen FROM d UNION SELECT reach.doc_id, link.b FROM reach JOIN link ON link.a = reach.seen)
 SELECT d.doc_id, coalesce(any_value(size.n), 0) AS n_shingles, min(seen) AS component_id
 FROM d JOIN reach USING (doc_id) LEFT JOIN size USING (doc_id) GROUP BY d.doc_id"""
