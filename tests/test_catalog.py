@@ -2,34 +2,11 @@ import pytest
 from pyspark.sql import types as T
 
 from tidemark.operators import catalog as C
-
-# Expected types, written down by target so that the maps are not compared with themselves.
-TO_POSTGRES = {
-    "SMALLINT": "TINYINT, SMALLINT, TINYINT UNSIGNED, YEAR",
-    "INTEGER": "MEDIUMINT, INT, INTEGER, SMALLINT UNSIGNED, MEDIUMINT UNSIGNED",
-    "BIGINT": "BIGINT, INT UNSIGNED, INTEGER UNSIGNED", "NUMERIC(20, 0)": "BIGINT UNSIGNED", "BOOLEAN": "BIT, BOOLEAN",
-    "REAL": "FLOAT, FLOAT UNSIGNED", "DOUBLE PRECISION": "DOUBLE, DOUBLE UNSIGNED, DOUBLE PRECISION",
-    "NUMERIC(18, 0)": "DECIMAL, DECIMAL UNSIGNED, NUMERIC, NUMERIC UNSIGNED", "CHAR(255)": "CHAR", "VARCHAR(255)": "VARCHAR",
-    "TEXT": "TINYTEXT, TEXT, MEDIUMTEXT, LONGTEXT, ENUM, SET, GEOMETRY, POINT, LINESTRING, POLYGON, MULTIPOINT, "
-            "MULTILINESTRING, MULTIPOLYGON, GEOMETRYCOLLECTION",
-    "DATE": "DATE", "TIME": "TIME", "TIMESTAMP": "DATETIME", "TIMESTAMPTZ": "TIMESTAMP",
-    "BYTEA": "BINARY, VARBINARY, TINYBLOB, BLOB, MEDIUMBLOB, LONGBLOB", "JSONB": "JSON", "UUID": "UUID", "INET": "INET4",
-    "VARCHAR(45)": "INET6",
-}
-TO_MYSQL = {
-    "SMALLINT": "INT2, SMALLINT, SMALLSERIAL", "INT": "INT4, INTEGER, SERIAL", "BIGINT": "INT8, BIGINT, OID, BIGSERIAL",
-    "FLOAT": "FLOAT4, REAL", "DOUBLE": "FLOAT8, DOUBLE PRECISION", "DECIMAL(18, 0)": "NUMERIC, DECIMAL", "DECIMAL(19, 2)": "MONEY",
-    "CHAR(255)": "BPCHAR, CHARACTER, CHAR", "VARCHAR(255)": "VARCHAR, CHARACTER VARYING", "LONGTEXT": "TEXT, XML",
-    "DATE": "DATE", "TIME": "TIME, TIME WITHOUT TIME ZONE, TIMETZ, TIME WITH TIME ZONE",
-    "DATETIME": "TIMESTAMP, TIMESTAMP WITHOUT TIME ZONE", "TIMESTAMP": "TIMESTAMPTZ, TIMESTAMP WITH TIME ZONE",
-    "VARCHAR(64)": "INTERVAL", "TINYINT(1)": "BOOL, BOOLEAN", "LONGBLOB": "BYTEA", "BIT": "BIT", "VARBINARY": "VARBIT, BIT VARYING",
-    "JSON": "JSON, JSONB", "CHAR(36)": "UUID", "VARCHAR(45)": "INET", "VARCHAR(18)": "CIDR", "VARCHAR(17)": "MACADDR",
-    "TEXT": "TSVECTOR, TSQUERY, POINT, LINE, LSEG, BOX, PATH, POLYGON, CIRCLE",
-}
+from workload.type_pairs import TO_MYSQL, TO_POSTGRES
 
 
 def cases(expected):
-    return [(source, 0, 0, target) for target, sources in expected.items() for source in sources.split(", ")]
+    return [(source, 0, 0, target) for source, target in expected]
 
 
 # type, size, digits, translated type

@@ -16,121 +16,121 @@ CATALOG_SCHEMA = ("table string, column string, type_name string, size int, digi
                   "auto_increment boolean, ordinal int, key_seq int")
 
 # Type names of the MySQL family and their PostgreSQL counterparts.
-MYSQL_TO_POSTGRES = """
-TINYINT = SMALLINT
-SMALLINT = SMALLINT
-MEDIUMINT = INTEGER
-INT = INTEGER
-INTEGER = INTEGER
-BIGINT = BIGINT
-TINYINT UNSIGNED = SMALLINT
-SMALLINT UNSIGNED = INTEGER
-MEDIUMINT UNSIGNED = INTEGER
-INT UNSIGNED = BIGINT
-INTEGER UNSIGNED = BIGINT
-BIGINT UNSIGNED = NUMERIC(20, 0)
-BIT = BOOLEAN
-BOOLEAN = BOOLEAN
-FLOAT = REAL
-FLOAT UNSIGNED = REAL
-DOUBLE = DOUBLE PRECISION
-DOUBLE UNSIGNED = DOUBLE PRECISION
-DOUBLE PRECISION = DOUBLE PRECISION
-DECIMAL = NUMERIC
-DECIMAL UNSIGNED = NUMERIC
-NUMERIC = NUMERIC
-NUMERIC UNSIGNED = NUMERIC
-CHAR = CHAR
-VARCHAR = VARCHAR
-TINYTEXT = TEXT
-TEXT = TEXT
-MEDIUMTEXT = TEXT
-LONGTEXT = TEXT
-DATE = DATE
-TIME = TIME
-YEAR = SMALLINT
-DATETIME = TIMESTAMP
-TIMESTAMP = TIMESTAMPTZ
-BINARY = BYTEA
-VARBINARY = BYTEA
-TINYBLOB = BYTEA
-BLOB = BYTEA
-MEDIUMBLOB = BYTEA
-LONGBLOB = BYTEA
-JSON = JSONB
-ENUM = TEXT
-SET = TEXT
-UUID = UUID
-INET4 = INET
-INET6 = VARCHAR(45)
-GEOMETRY = TEXT
-POINT = TEXT
-LINESTRING = TEXT
-POLYGON = TEXT
-MULTIPOINT = TEXT
-MULTILINESTRING = TEXT
-MULTIPOLYGON = TEXT
-GEOMETRYCOLLECTION = TEXT
-"""
+MYSQL_TO_POSTGRES = {
+    "TINYINT": "SMALLINT",
+    "SMALLINT": "SMALLINT",
+    "MEDIUMINT": "INTEGER",
+    "INT": "INTEGER",
+    "INTEGER": "INTEGER",
+    "BIGINT": "BIGINT",
+    "TINYINT UNSIGNED": "SMALLINT",
+    "SMALLINT UNSIGNED": "INTEGER",
+    "MEDIUMINT UNSIGNED": "INTEGER",
+    "INT UNSIGNED": "BIGINT",
+    "INTEGER UNSIGNED": "BIGINT",
+    "BIGINT UNSIGNED": "NUMERIC(20, 0)",
+    "BIT": "BOOLEAN",
+    "BOOLEAN": "BOOLEAN",
+    "FLOAT": "REAL",
+    "FLOAT UNSIGNED": "REAL",
+    "DOUBLE": "DOUBLE PRECISION",
+    "DOUBLE UNSIGNED": "DOUBLE PRECISION",
+    "DOUBLE PRECISION": "DOUBLE PRECISION",
+    "DECIMAL": "NUMERIC",
+    "DECIMAL UNSIGNED": "NUMERIC",
+    "NUMERIC": "NUMERIC",
+    "NUMERIC UNSIGNED": "NUMERIC",
+    "CHAR": "CHAR",
+    "VARCHAR": "VARCHAR",
+    "TINYTEXT": "TEXT",
+    "TEXT": "TEXT",
+    "MEDIUMTEXT": "TEXT",
+    "LONGTEXT": "TEXT",
+    "DATE": "DATE",
+    "TIME": "TIME",
+    "YEAR": "SMALLINT",
+    "DATETIME": "TIMESTAMP",
+    "TIMESTAMP": "TIMESTAMPTZ",
+    "BINARY": "BYTEA",
+    "VARBINARY": "BYTEA",
+    "TINYBLOB": "BYTEA",
+    "BLOB": "BYTEA",
+    "MEDIUMBLOB": "BYTEA",
+    "LONGBLOB": "BYTEA",
+    "JSON": "JSONB",
+    "ENUM": "TEXT",
+    "SET": "TEXT",
+    "UUID": "UUID",
+    "INET4": "INET",
+    "INET6": "VARCHAR(45)",
+    "GEOMETRY": "TEXT",
+    "POINT": "TEXT",
+    "LINESTRING": "TEXT",
+    "POLYGON": "TEXT",
+    "MULTIPOINT": "TEXT",
+    "MULTILINESTRING": "TEXT",
+    "MULTIPOLYGON": "TEXT",
+    "GEOMETRYCOLLECTION": "TEXT",
+}
 
 # Type names of the PostgreSQL family and their MySQL counterparts.
-POSTGRES_TO_MYSQL = """
-INT2 = SMALLINT
-INT4 = INT
-INT8 = BIGINT
-SMALLINT = SMALLINT
-INTEGER = INT
-BIGINT = BIGINT
-OID = BIGINT
-SMALLSERIAL = SMALLINT
-SERIAL = INT
-BIGSERIAL = BIGINT
-FLOAT4 = FLOAT
-FLOAT8 = DOUBLE
-REAL = FLOAT
-DOUBLE PRECISION = DOUBLE
-NUMERIC = DECIMAL
-DECIMAL = DECIMAL
-MONEY = DECIMAL(19, 2)
-BPCHAR = CHAR
-CHARACTER = CHAR
-CHAR = CHAR
-VARCHAR = VARCHAR
-CHARACTER VARYING = VARCHAR
-TEXT = LONGTEXT
-DATE = DATE
-TIME = TIME
-TIME WITHOUT TIME ZONE = TIME
-TIMETZ = TIME
-TIME WITH TIME ZONE = TIME
-TIMESTAMP = DATETIME
-TIMESTAMP WITHOUT TIME ZONE = DATETIME
-TIMESTAMPTZ = TIMESTAMP
-TIMESTAMP WITH TIME ZONE = TIMESTAMP
-INTERVAL = VARCHAR(64)
-BOOL = TINYINT(1)
-BOOLEAN = TINYINT(1)
-BYTEA = LONGBLOB
-BIT = BIT
-VARBIT = VARBINARY
-BIT VARYING = VARBINARY
-JSON = JSON
-JSONB = JSON
-UUID = CHAR(36)
-XML = LONGTEXT
-INET = VARCHAR(45)
-CIDR = VARCHAR(18)
-MACADDR = VARCHAR(17)
-TSVECTOR = TEXT
-TSQUERY = TEXT
-POINT = TEXT
-LINE = TEXT
-LSEG = TEXT
-BOX = TEXT
-PATH = TEXT
-POLYGON = TEXT
-CIRCLE = TEXT
-"""
+POSTGRES_TO_MYSQL = {
+    "INT2": "SMALLINT",
+    "INT4": "INT",
+    "INT8": "BIGINT",
+    "SMALLINT": "SMALLINT",
+    "INTEGER": "INT",
+    "BIGINT": "BIGINT",
+    "OID": "BIGINT",
+    "SMALLSERIAL": "SMALLINT",
+    "SERIAL": "INT",
+    "BIGSERIAL": "BIGINT",
+    "FLOAT4": "FLOAT",
+    "FLOAT8": "DOUBLE",
+    "REAL": "FLOAT",
+    "DOUBLE PRECISION": "DOUBLE",
+    "NUMERIC": "DECIMAL",
+    "DECIMAL": "DECIMAL",
+    "MONEY": "DECIMAL(19, 2)",
+    "BPCHAR": "CHAR",
+    "CHARACTER": "CHAR",
+    "CHAR": "CHAR",
+    "VARCHAR": "VARCHAR",
+    "CHARACTER VARYING": "VARCHAR",
+    "TEXT": "LONGTEXT",
+    "DATE": "DATE",
+    "TIME": "TIME",
+    "TIME WITHOUT TIME ZONE": "TIME",
+    "TIMETZ": "TIME",
+    "TIME WITH TIME ZONE": "TIME",
+    "TIMESTAMP": "DATETIME",
+    "TIMESTAMP WITHOUT TIME ZONE": "DATETIME",
+    "TIMESTAMPTZ": "TIMESTAMP",
+    "TIMESTAMP WITH TIME ZONE": "TIMESTAMP",
+    "INTERVAL": "VARCHAR(64)",
+    "BOOL": "TINYINT(1)",
+    "BOOLEAN": "TINYINT(1)",
+    "BYTEA": "LONGBLOB",
+    "BIT": "BIT",
+    "VARBIT": "VARBINARY",
+    "BIT VARYING": "VARBINARY",
+    "JSON": "JSON",
+    "JSONB": "JSON",
+    "UUID": "CHAR(36)",
+    "XML": "LONGTEXT",
+    "INET": "VARCHAR(45)",
+    "CIDR": "VARCHAR(18)",
+    "MACADDR": "VARCHAR(17)",
+    "TSVECTOR": "TEXT",
+    "TSQUERY": "TEXT",
+    "POINT": "TEXT",
+    "LINE": "TEXT",
+    "LSEG": "TEXT",
+    "BOX": "TEXT",
+    "PATH": "TEXT",
+    "POLYGON": "TEXT",
+    "CIRCLE": "TEXT",
+}
 
 # Which family a database belongs to.
 FAMILIES = {"mysql": "mysql", "mariadb": "mysql", "postgresql": "postgresql", "kingbase": "postgresql"}
@@ -145,8 +145,7 @@ def family(database: str) -> str:
 
 def type_pairs(source: str) -> list[tuple[str, str]]:
     """The type map out of a family, as (source type, target type)."""
-    text = MYSQL_TO_POSTGRES if source == "mysql" else POSTGRES_TO_MYSQL
-    return [tuple(line.split(" = ")) for line in text.strip().splitlines()]
+    return list((MYSQL_TO_POSTGRES if source == "mysql" else POSTGRES_TO_MYSQL).items())
 
 
 def _sized(type_name: Column) -> Column:

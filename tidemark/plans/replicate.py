@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 from functools import reduce
@@ -12,6 +13,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators.merge import apply_changes, counted, rejected_events
 from tidemark.operators.unkeyed import apply_unkeyed, rejected_unkeyed
+from tidemark.session import ensure_checkpoint_dir
 from tidemark.sources.changelog import decode_images, parse_events, split_events
 from tidemark.sources.snapshot import events_for_mode
 
@@ -57,10 +59,10 @@ def counted_events(events: DataFrame, specs: Mapping[str, TableSpec], order_col:
 def stage_events(events: DataFrame, path: str) -> DataFrame:
     """Write parsed events once, in one folder per table, and read them back.
 
-    Rows go to disk where they are, without a shuffle by table, so one table may hold most of the log.
-    Later filters on the table prune folders, and each table is read without parsing JSON again.
+    Rows are gathered by table first, so that there is not a file per task and table; adaptive execution
+    splits a table that holds most of the log. Later filters on the table prune folders, and each table is read without parsing JSON again.
     """
-    events.write.mode("overwrite").partitionBy("table").parquet(path)
+    events.hint("rebalance", "table").write.mode("overwrite").partitionBy("table").parquet(path)
     return events.sparkSession.read.schema(events.schema).parquet(path)
 
 
@@ -69,10 +71,13 @@ def replicate(raw: DataFrame, specs: Mapping[str, TableSpec], bases: Mapping[str
               **parse_options) -> tuple[dict[str, DataFrame], DataFrame]:
     """Current tables by name, and all rejected events (order_col, table, op, reason).
 
-    Every table is a plan of its own. With a `staging` folder (on storage all executors share) the log is
-    parsed once; without one each plan parses it for itself, which suits a log of one table.
+    Every table is a plan of its own. The log of several tables is parsed once, into the `staging` folder (on
+    storage all executors share) or, without one, into a new folder beside the checkpoints.
     """
     events = parse_events(raw, order_col, **parse_options)
+    if not staging and len(specs) > 1:
+        ensure_checkpoint_dir(raw.sparkSession)
+        staging = f"{raw.sparkSession.sparkContext._jsc.sc().getCheckpointDir().get()}/staged-{uuid.uuid4().hex}"
     if staging:
         events = stage_events(events, staging)
     good, damaged = split_events(events, order_col, list(specs))

@@ -265,14 +265,15 @@ def required_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- samples --------------------------------------------------------------------------------------------
 
 def hourly_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(sample, total, lag): running row totals of the source at every hour; the target is some rows behind.
+    """(sample, total, lag): running row totals of the source at every hour, and by how much the target's are lower.
 
-    The running sum sees one row per hour, however many events there are.
+    The target gets an event in the same hour or one or two hours later. The running sums see one row per
+    hour, however many events there are.
     """
     from pyspark.sql import Window
-    hours = (load(spark, sf_dir, "events")
-             .groupBy(F.expr("cast(timestampdiff(HOUR, timestamp_ntz'2024-01-01 00:00:00', ts) as bigint)").alias("sample"))
-             .agg(F.count("*").alias("n")))
+    seen = load(spark, sf_dir, "events").select("event_id", F.expr("cast(timestampdiff(HOUR, timestamp_ntz'2024-01-01 00:00:00', ts) as bigint)").alias("sample"))
+    both = seen.select("sample", F.lit(1).alias("n"), F.lit(0).alias("arrived")).unionByName(
+        seen.select((F.col("sample") + F.col("event_id") % 3).alias("sample"), F.lit(0).alias("n"), F.lit(1).alias("arrived")))
+    hours = both.groupBy("sample").agg(F.sum("n").alias("n"), F.sum("arrived").alias("arrived"))
     window = Window.partitionBy(F.lit(1)).orderBy("sample").rowsBetween(Window.unboundedPreceding, 0)
-    return hours.select("sample", F.sum("n").over(window).alias("total"),
-                        F.expr("sample * 7 % 23 - 3").alias("lag"))
+    return hours.select("sample", F.sum("n").over(window).alias("total"), F.sum(F.col("n") - F.col("arrived")).over(window).alias("lag"))

@@ -5,9 +5,9 @@ Nothing here goes through JSON: the two sides share no parsing or replay code.
 
 from __future__ import annotations
 
-from tidemark.operators.catalog import type_pairs
 from workload.fixtures import wide_decimals
 from workload.queries import GIVEN_KEYS, MYSQL_TYPES, POSTGRES_TYPES
+from workload.type_pairs import TO_MYSQL, TO_POSTGRES
 
 LOG = """log AS (
   SELECT event_id AS seq, ts AS event_ts,
@@ -71,9 +71,10 @@ events_of AS (SELECT o_orderkey AS k, CAST(o_custkey % 7 + 1 AS INT) AS n FROM o
 
 CENTS = "(CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE -1 END * CAST(round(o_totalprice * 100) AS BIGINT))"
 
-HOURS = """hours AS (SELECT date_diff('hour', TIMESTAMP '2024-01-01 00:00:00', date_trunc('hour', ts)) AS sample, count(*) AS n
-  FROM events GROUP BY 1),
-samples AS (SELECT sample, CAST(sum(n) OVER (ORDER BY sample) AS BIGINT) AS total, sample * 7 % 23 - 3 AS lag FROM hours)"""
+HOURS = """seen AS (SELECT date_diff('hour', TIMESTAMP '2024-01-01 00:00:00', date_trunc('hour', ts)) AS sample, event_id FROM events),
+hours AS (SELECT sample, count(*) AS n, 0 AS arrived FROM seen GROUP BY 1 UNION ALL SELECT sample + event_id % 3, 0, count(*) FROM seen GROUP BY 1),
+samples AS (SELECT sample, CAST(sum(sum(n)) OVER (ORDER BY sample) AS BIGINT) AS total,
+  CAST(sum(sum(n) - sum(arrived)) OVER (ORDER BY sample) AS BIGINT) AS lag FROM hours GROUP BY sample)"""
 
 COUNTS = """counts AS (SELECT tab, count(*) FILTER (op = 'r') AS snapshot_rows, count(*) FILTER (op = 'c') AS inserts,
   count(*) FILTER (op = 'u') AS updates, count(*) FILTER (op = 'd') AS deletes, max(event_ts) AS last_event
@@ -115,7 +116,10 @@ def sized(name: str) -> str:
 
 def translated(types: list[str], family: str) -> str:
     """The source catalog with its translated types, as CTE `typed`."""
-    pairs = ", ".join(f"('{a}', '{b}')" for a, b in type_pairs(family))
+    # Sizes other than the default are put in by `sized`, as for a type that spells none out.
+    listed = TO_POSTGRES if family == "mysql" else TO_MYSQL
+    bare = {"CHAR(255)": "CHAR", "VARCHAR(255)": "VARCHAR", "NUMERIC(18, 0)": "NUMERIC", "DECIMAL(18, 0)": "DECIMAL"}
+    pairs = ", ".join(f"('{a}', '{bare.get(b, b)}')" for a, b in listed)
     special = ("WHEN base = 'TINYINT' AND size = 1 THEN 'BOOLEAN'" if family == "mysql"
                else "WHEN base LIKE '\\_%' ESCAPE '\\' THEN 'LONGTEXT'")
     fallback = "TEXT" if family == "mysql" else "LONGTEXT"
