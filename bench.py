@@ -17,7 +17,7 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from tidemark.functions import decode as D  # noqa: E402
-from tidemark.operators import merge, progress, reconcile  # noqa: E402
+from tidemark.operators import merge, progress, reconcile, unkeyed  # noqa: E402
 from tidemark.plans.replicate import TableSpec  # noqa: E402
 from tidemark.session import build_session  # noqa: E402
 from tidemark.sources.changelog import changelog_text, decode_images, parse_changes  # noqa: E402
@@ -48,11 +48,17 @@ def main():
         logs[name] = f"{work}/{name}"
         write_log(spark, make(spark, SF_DIR), logs[name], int(CPUS))
     write_log(spark, X.event_envelopes(spark, SF_DIR), f"{work}/stream", 10)
+    # Twenty times as long: each event repeated with positions of its own.
+    logs["long"] = f"{work}/long"
+    write_log(spark, X.event_envelopes(spark, SF_DIR).selectExpr("seq", "value", "explode(sequence(0, 19)) AS copy").selectExpr(
+        "seq * 20 + copy AS seq", "value"), logs["long"], 4 * int(CPUS))
+    logs["bag"] = f"{work}/bag"
+    write_log(spark, X.chained_bag_envelopes(spark, SF_DIR), logs["bag"], int(CPUS))
     X.orders_target(spark, SF_DIR).select(*X.ORDER_SCHEMA.names).write.parquet(f"{work}/target")
     events = ["id", "event_type", "value"]
 
-    def log(name):
-        return parse_changes(changelog_text(spark, logs[name]), order_field="pos")[0]
+    def log(name, **options):
+        return parse_changes(changelog_text(spark, logs[name]), order_field="pos", **options)[0]
 
     def replay_full():
         last = merge.latest_per_key(decode_images(log("full"), X.EVENT_SCHEMA, keys=["id"]), ["id"], events, scope=["table"])
@@ -92,10 +98,20 @@ def main():
         return reconcile.reconcile_counts(source, target)
 
     def progress_report():
-        return progress.progress(log("full"))
+        return progress.progress(log("full", images=False))
+
+    def progress_long():
+        return progress.progress(log("long", images=False))
+
+    def replay_long():
+        last = merge.latest_per_key(decode_images(log("long"), X.EVENT_SCHEMA, keys=["id"]), ["id"], events, scope=["table"])
+        return last.where("NOT deleted")
+
+    def unkeyed_chain():
+        return unkeyed.apply_unkeyed(None, decode_images(log("bag"), X.STATE_SCHEMA))
 
     plans = [replay_full, replay_partial, replay_on_base, replay_composite, decode_decimal, noop_deletes, orphan_rows,
-             orphan_rows_composite, reconcile_counts, progress_report]
+             orphan_rows_composite, reconcile_counts, progress_report, progress_long, replay_long, unkeyed_chain]
     seconds, shapes = {}, {}
     for plan in plans:
         times = []
