@@ -148,10 +148,11 @@ def _offers(docs: DataFrame, common: np.ndarray, width: int, want_common: bool)
 
 def _blocks(docs: DataFrame, info: DataFrame, common: np.ndarray, width: int) -> DataFrame:
     """(node, block) of the sets that may have a partner."""
-    spark = docs.sparkSession
-    rare = _offers(docs, common, width, False).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "token")
-    times = rare.groupBy("token").agg(F.count("*").alias("docs"), F.min("node").alias("least"), F.max("node").alias("most")).where("least <> most")
-    shared = rare.join(times.select("token", "docs"), "token").select("node", "token", "docs", (~F.col("token").between(0, SLICE - 1)).alias("outside"))
+    # One shuffle of what is put forward. A shingle that is not common belongs to a small share of the documents, so its
+    # rows make a bounded group (and spill beyond memory).
+    together = _offers(docs, common, width, False).selectExpr(
+        "token", "node", "count(*) OVER (PARTITION BY token) AS docs", "min(node) OVER (PARTITION BY token) AS least", "max(node) OVER (PARTITION BY token) AS most")
+    shared = together.where("least <> most").select("node", "token", "docs", (~F.col("token").between(0, SLICE - 1)).alias("outside"))
     ranked = shared.groupBy("node").agg(F.collect_set(F.struct("outside", "docs", "token")).alias("tokens"))
     sizes = info.where("node IS NOT NULL").groupBy("node").agg(F.first("n").alias("n"), F.first("offers").alias("offers"), F.first("full").alias("full"))
     # The shingles nobody else put forward are the rarest and fill the prefix first.
