@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tidemark.session import ensure_checkpoint_dir
 
 #: Text that a Python task handles at once. A longer document makes a larger slice of its own.
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 19
 
 WHITE = np.zeros(256, bool)
 WHITE[[0x20, *range(0x09, 0x0E)]] = True
@@ -133,7 +133,7 @@ def few_rows(df: DataFrame, limit: int) -> DataFrame:
 
 
 #: Rows of two longs that a task of `components` works on, and that it broadcasts at most.
-EDGE_ROWS = 400_000
+EDGE_ROWS = 100_000
 
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:

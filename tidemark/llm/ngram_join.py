@@ -337,29 +337,31 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     info = written(docs.select("doc_id", set_info(F.col("text"), common, width).alias("i")).select("doc_id", "i.*"), "sets-info")
     blocks = written(_blocks(docs, info, common, width), "blocks")
 
-    chosen = info.join(blocks, "node").groupBy("node").agg(F.min("doc_id").alias("chosen"), F.first("block").alias("block"))
-    chosen = written(chosen, "chosen")
+    sizes = blocks.groupBy("block").agg(F.count("*").alias("sets"))
+    tasks = max(1, -(-blocks.count() // TASK_SETS))
+    # One row of each set is read again; where its set goes is known beforehand, so the sets move once.
+    chosen = written(info.join(blocks, "node").groupBy("node").agg(F.min("doc_id").alias("chosen"), F.first("block").alias("tree")).join(
+        sizes.withColumnRenamed("block", "tree"), "tree").select("chosen", "node", "tree", "sets", F.pmod(F.xxhash64("tree"), F.lit(tasks)).alias("task")), "chosen")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            wanted, nodes, tokens = batch.column("node").to_pylist(), [], []
-            for node, own in zip(wanted, _sets_of(batch.column("text"), width), strict=True):
-                if node == node_of(own):  # rows may share an id
-                    nodes.append(node)
-                    tokens.append(own.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(tokens, pa.binary())], names=["node", "tokens"])
-
-    texts = docs.join(few_rows(chosen.select("chosen", "node"), BROADCAST_ROWS), F.col("doc_id").eqNullSafe(F.col("chosen"))).select("node", "text")
-    sets = written(texts.mapInArrow(run, "node bigint, tokens binary"), "sets")
-
-    sizes = blocks.groupBy("block").agg(F.count("*").alias("sets"))
-    sized = blocks.join(sizes, "block")
-    tasks = max(1, -(-blocks.count() // TASK_SETS))
-    small = sized.where(F.col("sets") <= piece).select("node", F.pmod(F.xxhash64("block"), F.lit(tasks)).alias("task"), F.col("block").alias("tree"), F.lit(None).cast("string").alias("known"))
-    links = _run_trees(sets, small)
-    large = written(sized.where(F.col("sets") > piece).select("node", "block"), "large")
+            places = zip(*(batch.column(c).to_pylist() for c in ("node", "task", "tree")), strict=True)
+            # Rows may share an id, so the set is checked too.
+            rows = [(*place, own.tobytes()) for place, own in zip(places, _sets_of(batch.column("text"), width), strict=True) if place[0] == node_of(own)]
+            node, task, tree, tokens = zip(*rows, strict=True) if rows else ((), (), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(task, pa.int64()), pa.array(tree, pa.int64()), pa.array(tokens, pa.binary())],
+                                             names=["node", "task", "tree", "tokens"])
+
+    def sets_of(part: DataFrame) -> DataFrame:
+        texts = docs.join(few_rows(part.select("chosen", "node", "task", "tree"), BROADCAST_ROWS), F.col("doc_id").eqNullSafe(F.col("chosen")))
+        return texts.select("node", "task", "tree", "text").mapInArrow(run, "node bigint, task bigint, tree bigint, tokens binary")
+
+    small = sets_of(chosen.where(F.col("sets") <= piece)).withColumn("known", F.lit(None).cast("string"))
+    links = written(small.groupBy("task").applyInPandas(_task_links, "a bigint, b bigint"), "links")
+    large = chosen.where(F.col("sets") > piece)
     if large.limit(1).count():
-        links = links.unionByName(_large_block_links(sets, large, piece))
+        sets = written(sets_of(large).select("node", "tokens"), "sets")
+        links = links.unionByName(_large_block_links(sets, large.select("node", F.col("tree").alias("block")), piece))
 
     groups = components(links)
     grouped = info.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import WHITE, bounded_batches, mix, slices
 from tidemark.llm.text_stats import count_texts
 
-SAMPLE_DOCS, BITS, ROUNDS, STEPS, KEEP, SHRINK = 4000, 12, 50, 500, 0.5, 40
+SAMPLE_DOCS, BITS, ROUNDS, STEPS, KEEP, SHRINK = 3000, 11, 50, 500, 0.5, 40
 GOOD, BAD, NONE = 1, 0, 2
 
 
@@ -114,9 +114,11 @@ def _hashed(values: np.ndarray, salt: int, bits: int) -> np.ndarray:
 
 
 def _steps(c: dict[str, np.ndarray]) -> list[np.ndarray]:
+    """Coarse steps of repetition, line length and the shares of kinds of characters."""
     per_line = c["n_words"] // np.maximum(c["n_lines"], 1)
-    return [_share(c["n_repeat_words"], c["n_words"]) // 100, _share(c["n_distinct_words"], c["n_words"]) // 100,
-            np.log2(per_line + 1).astype(np.int64)]
+    return [_share(c["n_repeat_words"], c["n_words"]) // 100, _share(c["n_distinct_words"], c["n_words"]) // 100, np.log2(per_line + 1).astype(np.int64),
+            np.minimum(_share(c["n_symbols"], c["word_chars"]) // 40, 5), np.minimum(_share(c["n_shout"], c["word_chars"]) // 40, 5),
+            np.minimum(_share(c["n_punct"], c["word_chars"]) // 50, 5), np.minimum(_share(c["n_upper"], c["n_letters"]) // 150, 3)]
 
 
 def _trigrams(texts: list[bytes], bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -219,13 +221,12 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sampl
     share = int(min(1.0, sample_docs / counts.sum()) * 1_000_000)
     hashed = F.pmod(F.xxhash64(F.coalesce(F.col(id_col), F.lit(0))), F.lit(1_000_000))
     sample = docs.where(hashed <= share).select(hashed.alias("h"), F.col(text_col).alias("text")).where("text <> ''").limit(2 * sample_docs).toPandas()
-    texts = sorted(zip(sample["h"], sample["text"], strict=True))[:sample_docs]
-    x, target = [np.zeros((0, 1 << BITS), np.float32)], [np.zeros(0)]
-    for _, part in slices(pa.array([t for _, t in texts], pa.string())):
+    texts = [t for _, t in sorted(zip(sample["h"], sample["text"], strict=True))[:sample_docs]]
+    x, target = np.zeros((len(texts), 1 << BITS), np.float32), np.zeros(len(texts))
+    for at, part in slices(pa.array(texts, pa.string()), 1 << 18):  # small, as this is the driver
         c = count_texts(part)
-        x.append(features(part, c))
-        target.append(model.posterior(votes(c)))
-    x, target = np.concatenate(x), np.concatenate(target)
+        x[at:at + len(part)] = features(part, c)
+        target[at:at + len(part)] = model.posterior(votes(c))
     if not len(x) or target.max() < 0.5 or target.min() > 0.5:
         return Classifier(model, None)
     return Classifier(model, Scorer.fit(x, target))
