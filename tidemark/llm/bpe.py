@@ -8,7 +8,7 @@ one token and takes that token's longest proper prefix token. A bitmap of dead e
 twice, so the time is linear in the piece, and the result equals merging by rank.
 
 Pieces come from the vocabulary's published split pattern; special tokens in a text stand for their ids. As words
-repeat, a worker keeps the ids of up to CACHED_PIECES space-led chunks: a piece never crosses a space that follows a
+repeat, a worker keeps the ids of up to CACHED_PIECES pieces and as many space-led chunks: a piece never crosses a space that follows a
 visible character, so a text without other white space before a space is the sum of such chunks.
 
 Nulls and empty texts have no ids. Texts are encoded whole.
@@ -40,7 +40,7 @@ VOCABULARY = "byte_bpe_50k.json"
 _BROKEN_SPACE = re.compile(r"\s ")
 
 
-def _byte_letters() -> dict[str, int]:
+def byte_letters() -> dict[str, int]:
     """The published rule that gives every byte a printable letter: printable Latin-1 bytes are themselves, others follow from 256."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     other = [b for b in range(256) if b not in set(plain)]
@@ -56,27 +56,34 @@ def as_bytes(ids: list[int]) -> bytes:
 
 
 class Chunks(dict):
-    """Space-led chunk (without the space) -> ids as bytes. Emptied when it is full."""
+    """Space-led chunk (without the space) -> ids as bytes, from the ids of its pieces. Either table is emptied when it is full."""
 
-    def __init__(self, encode, encode_all):
+    def __init__(self, split, encode_piece):
         super().__init__()
-        self._encode, self._encode_all = encode, encode_all
+        self._split, self._encode_piece, self._pieces = split.findall, encode_piece, {}
+
+    def __missing__(self, chunk: str) -> bytes:
+        if len(self) >= CACHED_PIECES:
+            self.clear()
+        ids = self[chunk] = self.by_pieces(" " + chunk)
+        return ids
+
+    def by_pieces(self, text: str) -> bytes:
+        known, out = self._pieces, []
+        for piece in self._split(text):
+            ids = known.get(piece)
+            if ids is None:
+                if len(known) >= CACHED_PIECES:
+                    known.clear()
+                ids = known[piece] = as_bytes(self._encode_piece(piece))
+            out.append(ids)
+        return b"".join(out)
 
     def encode(self, text: str) -> bytes:
-        """The ids of a text; chunks not met before are encoded together."""
         if not text or text[0] == " " or text[-1] == " " or _BROKEN_SPACE.search(text):
-            return self._encode(text)
+            return self.by_pieces(text)
         first, *rest = text.split(" ")
-        try:
-            body = b"".join([self[chunk] for chunk in rest])
-        except KeyError:
-            new = {chunk for chunk in rest if chunk not in self}
-            if len(self) + len(new) > CACHED_PIECES:
-                self.clear()
-                new = set(rest)
-            self.update(zip(new, self._encode_all([" " + chunk for chunk in new]), strict=True))
-            body = b"".join([self[chunk] for chunk in rest])
-        return self._encode(first) + body
+        return self.by_pieces(first) + b"".join([self[chunk] for chunk in rest])
 
 
 class Vocabulary:
@@ -85,7 +92,7 @@ class Vocabulary:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
             model = json.load(file)
-        letters = _byte_letters()
+        letters = byte_letters()
         special = {t["content"]: t["id"] for t in model["added_tokens"]}
         ids = {bytes(letters[c] for c in t): i for t, i in model["model"]["vocab"].items() if t not in special}
         self.size = 1 + max([*ids.values(), *special.values()])
@@ -111,7 +118,7 @@ class Vocabulary:
         self._prefix: dict[int, int] = {}
         self._special = regex.compile("(" + "|".join(map(regex.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
         self._split = regex.compile(public_tokenizers.PATTERN)
-        self._chunks = Chunks(self._encode_pieces, lambda texts: map(self._encode_pieces, texts))
+        self._chunks = Chunks(self._split, lambda piece: self.encode_piece(piece.encode()))
 
         whole = [*self.bytes_of]
         for text, i in special.items():
@@ -186,9 +193,6 @@ class Vocabulary:
         return b"".join(self.special[part].to_bytes(4, "little") if part in self.special else self._chunks.encode(part)
                         for part in self._special.split(text))
 
-    def _encode_pieces(self, text: str) -> bytes:
-        return as_bytes([i for piece in self._split.findall(text) for i in self.encode_piece(piece.encode())])
-
     def decode(self, ids: np.ndarray) -> bytes:
         """The tokens' bytes one after another, gathered from the table by their offsets."""
         start, length = self.offsets[ids], self.offsets[ids + 1] - self.offsets[ids]

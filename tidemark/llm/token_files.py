@@ -34,19 +34,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidemark.llm.bpe import VOCABULARY, Chunks, as_bytes
+from tidemark.llm.bpe import VOCABULARY, Chunks, as_bytes, byte_letters
 from tidemark.llm.common import bounded_batches, work_folder, written
 from tidemark.llm.storage import open_ranges, whole_file
 
 #: Fixed values of the public seekable format, and the skippable frame that holds the document ids.
 SKIPPABLE_IDS, SKIPPABLE_TABLE, SEEKABLE = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 CHECKSUMS = 0x80
-END_ID, LEVEL, FILE_BYTES, READ_DOCS, JOINED = 0, 3, 128 << 20, 5_000, 50
+END_ID, LEVEL, FILE_BYTES, READ_DOCS = 0, 3, 128 << 20, 5_000
 NULL_ID = -(1 << 63)
 
 
 class Encoder:
-    """The tokenizers library over whole texts; where the tokenizer splits at words, the ids of repeated chunks are kept."""
+    """The tokenizers library over whole texts. Where nothing but a byte-level split comes before its model, the model's ids of pieces are kept."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallel part
@@ -55,35 +55,20 @@ class Encoder:
             model = json.load(file)
         split = model.get("pre_tokenizer") or {}
         self._special = [t["content"] for t in model["added_tokens"]]
-        #: Nothing but the byte-level split decides the ids, so the ids of chunks add up.
-        self._chunked = (model["normalizer"] is None and model["post_processor"] is None and split.get("type") == "ByteLevel"
-                         and split.get("use_regex", True) and not split.get("add_prefix_space") and not any(regex.search(r"\s", t) for t in self._special))
+        self._by_pieces = (model["normalizer"] is None and model["post_processor"] is None and split.get("type") == "ByteLevel"
+                           and split.get("use_regex", True) and not split.get("add_prefix_space"))
         self._library.no_truncation()
         self._library.no_padding()
-        self._chunks = Chunks(self._whole, self._all)
-        vocab = self._library.get_vocab(with_added_tokens=False)
-        self._length = np.zeros(1 + max(vocab.values(), default=0), np.int64)
-        for token, i in vocab.items():
-            self._length[i] = len(token)  # a byte-level token has one letter per byte
+        letters, tokenize = {b: letter for letter, b in byte_letters().items()}, self._library.model.tokenize
+        self._chunks = Chunks(regex.compile(public_tokenizers.PATTERN), lambda piece: [t.id for t in tokenize(piece.encode().decode("latin-1").translate(letters))])
 
-    def _whole(self, text: str) -> bytes:
+    def whole(self, text: str) -> bytes:
+        """By the library's own call alone."""
         return as_bytes(self._library.encode(text, add_special_tokens=False).ids)
 
-    def _all(self, texts: list[str]) -> list[bytes]:
-        """The ids of space-led chunks: they are encoded JOINED at a time, and the ids told apart by their tokens' bytes."""
-        closed = [t for t in texts if not t[-1].isspace()]  # only then does a following space begin a new piece
-        runs = [closed[k:k + JOINED] for k in range(0, len(closed), JOINED)]
-        found = {t: self._whole(t) for t in texts if t[-1].isspace()}
-        for run, encoded in zip(runs, self._library.encode_batch_fast(["".join(r) for r in runs], add_special_tokens=False), strict=True):
-            ids = np.array(encoded.ids, np.int64)
-            ends = np.searchsorted(np.cumsum(self._length[ids]), np.cumsum([len(t.encode()) for t in run])) + 1
-            packed = ids.astype("<u4").tobytes()
-            found.update(zip(run, [packed[4 * a:4 * b] for a, b in zip([0, *ends[:-1]], ends, strict=True)], strict=True))
-        return [found[t] for t in texts]
-
     def encode(self, text: str) -> bytes:
-        if not self._chunked or any(t in text for t in self._special):
-            return self._whole(text)
+        if not self._by_pieces or any(t in text for t in self._special):
+            return self.whole(text)
         return self._chunks.encode(text)
 
 
