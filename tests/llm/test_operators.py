@@ -190,6 +190,17 @@ def test_encoder_equals_the_library(library):
         assert vocab.decode_text(got.astype(np.int64)) == library.decode(want, skip_special_tokens=False)
 
 
+def test_every_character_is_split_as_by_the_library(library):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    vocab, cached = bpe.Vocabulary(path), token_files.Encoder(path)
+    points = [c for c in (*range(0x3400), *range(0xA000, 0xAC00), *range(0xF900, 0x20000), *range(0x20000, 0x323B0, 16), *range(0x323B0, 0x33480, 4)) if not 0xD800 <= c < 0xE000]
+    texts = [f"{chr(c)}'s x" for c in (0x558, 0x88F, 0xC5C, 0x208F, 0xA7CE, 0x10940, 0x323B0, 0x33479)]
+    texts += [" ".join(f"{chr(c)}'s x" for c in points[k:k + 500]) for k in range(0, len(points), 500)]
+    for text, want in zip(texts, library.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+        packed = np.array(want.ids, "<u4").tobytes()
+        assert vocab.encode(text) == packed and cached.encode(text) == packed, (text[:1], len(text))
+
+
 def test_decoder_replaces_broken_characters(library):
     vocab, draw = bpe.Vocabulary(public_tokenizers.path("byte_bpe_50k.json")), random.Random(2)
     for _ in range(300):

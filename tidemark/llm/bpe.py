@@ -7,7 +7,9 @@ checked by taking both apart along the merges, and remembered in a pair table. I
 one token and takes that token's longest proper prefix token. A bitmap of dead ends keeps a place from being tried
 twice, so the time is linear in the piece, and the result equals merging by rank.
 
-Pieces come from the vocabulary's published split pattern; special tokens in a text stand for their ids. As words
+Pieces come from the vocabulary's published split pattern; special tokens in a text stand for their ids. The pattern is
+about classes of characters, and tables of those differ between versions of Unicode: a text with a character that the
+`regex` module classes otherwise than the tokenizers library is split by the library. As words
 repeat, a worker keeps the ids of up to CACHED_PIECES pieces and as many space-led chunks: a piece never crosses a space that follows a
 visible character, so a text without other white space before a space is the sum of such chunks.
 
@@ -31,6 +33,7 @@ import public_tokenizers
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import pre_tokenizers
 
 from tidemark.llm.common import bounded_batches
 
@@ -60,7 +63,7 @@ class Chunks(dict):
 
     def __init__(self, split, encode_piece):
         super().__init__()
-        self._split, self._encode_piece, self._pieces = split.findall, encode_piece, {}
+        self._split, self._encode_piece, self._pieces = split, encode_piece, {}
 
     def __missing__(self, chunk: str) -> bytes:
         if len(self) >= CACHED_PIECES:
@@ -86,6 +89,28 @@ class Chunks(dict):
         return self.by_pieces(first) + b"".join([self[chunk] for chunk in rest])
 
 
+def _kind(split, c: str) -> tuple[int, ...]:
+    """Tells letters, digits, white space and other characters apart, by what a character makes one piece with."""
+    return tuple(len(split(before + c)) for before in "a1!")
+
+
+class Split:
+    """Pieces of a text by the pattern, or by the library where their tables class a character differently."""
+
+    def __init__(self):
+        self._by_pattern, self._library = regex.compile(public_tokenizers.PATTERN).findall, pre_tokenizers.ByteLevel(add_prefix_space=False).pre_tokenize_str
+        self._alike: set[str] = set()
+        self._other: set[str] = set()
+
+    def __call__(self, text: str) -> list[str]:
+        if not self._alike.issuperset(text):
+            for c in set(text) - self._alike - self._other:
+                (self._alike if _kind(self._by_pattern, c) == _kind(self._library, c) else self._other).add(c)
+            if not self._other.isdisjoint(text):
+                return [text[a:b] for _, (a, b) in self._library(text)]
+        return self._by_pattern(text)
+
+
 class Vocabulary:
     """Tokens, merges, special tokens and the tables made of them."""
 
@@ -117,8 +142,7 @@ class Vocabulary:
         self._automaton.make_automaton()
         self._prefix: dict[int, int] = {}
         self._special = regex.compile("(" + "|".join(map(regex.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
-        self._split = regex.compile(public_tokenizers.PATTERN)
-        self._chunks = Chunks(self._split, lambda piece: self.encode_piece(piece.encode()))
+        self._chunks = Chunks(Split(), lambda piece: self.encode_piece(piece.encode()))
 
         whole = [*self.bytes_of]
         for text, i in special.items():

@@ -26,7 +26,6 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import public_tokenizers
-import regex
 import xxhash
 import zstandard
 from pyspark import TaskContext
@@ -34,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidemark.llm.bpe import VOCABULARY, Chunks, as_bytes, byte_letters
+from tidemark.llm.bpe import VOCABULARY, Chunks, as_bytes
 from tidemark.llm.common import bounded_batches, work_folder, written
 from tidemark.llm.storage import open_ranges, whole_file
 
@@ -46,7 +45,8 @@ NULL_ID = -(1 << 63)
 
 
 class Encoder:
-    """The tokenizers library over whole texts. Where nothing but a byte-level split comes before its model, the model's ids of pieces are kept."""
+    """The tokenizers library over whole texts. Where nothing but a byte-level split comes before its model, the library splits
+    and encodes space-led chunks, and the ids of chunks and pieces are kept."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallel part
@@ -59,8 +59,10 @@ class Encoder:
                            and split.get("use_regex", True) and not split.get("add_prefix_space"))
         self._library.no_truncation()
         self._library.no_padding()
-        letters, tokenize = {b: letter for letter, b in byte_letters().items()}, self._library.model.tokenize
-        self._chunks = Chunks(regex.compile(public_tokenizers.PATTERN), lambda piece: [t.id for t in tokenize(piece.encode().decode("latin-1").translate(letters))])
+        tokenize = self._library.model.tokenize
+        if self._by_pieces:
+            split = self._library.pre_tokenizer.pre_tokenize_str  # pieces in the letters of the model
+            self._chunks = Chunks(lambda chunk: [piece for piece, _ in split(chunk)], lambda piece: [t.id for t in tokenize(piece)])
 
     def whole(self, text: str) -> bytes:
         """By the library's own call alone."""
