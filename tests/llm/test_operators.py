@@ -344,6 +344,26 @@ def test_template_without_names_is_told_by_its_constancy(spark):
     assert all(r.text == f"Title {r.page_id}\nBody text number {r.page_id} that differs" for r in got)
 
 
+def test_text_of_few_pages_is_no_template(spark):
+    def plain(k, extra=""):
+        return f"<body><div>Our site</div><div><h2>Title {k}</h2><p>Body text number {k} that differs</p>{extra}</div><div>Imprint and so on</div></body>"
+
+    extras = {1: ("<blockquote>Said once</blockquote>", "Said once"), 4: ("<h3>Alone</h3>", "Alone"), 5: ("<table><tr><td>cell</table>", "cell"), 7: ("<ul><li>item</ul>", "item")}
+    rows = [(k, f"http://plain.example.com/{k}", plain(k, extras.get(k, ("",))[0])) for k in range(9)]
+    copies = [(100 + k, "http://copies.example.com/x", plain(1)) for k in range(4)]
+    named = [(200 + k, "http://named.example.com/x", "<body><div>Site</div><div class=content><p>One paragraph of text</p></div></body>") for k in range(4)]
+    # Many copies of one page make nothing of it a template of the others.
+    mixed = [(300 + k, "http://mixed.example.com/x", plain(min(k, 3))) for k in range(20)]
+    pages = spark.createDataFrame(rows + copies + named + mixed, "page_id bigint, url string, html string")
+    for limit in (1, 200):
+        got = {r.page_id: r.text for r in extract.extract(pages, shapes_per_task=limit).collect()}
+        for k in range(9):
+            assert got[k] == "\n".join([f"Title {k}", f"Body text number {k} that differs", *extras.get(k, ())[1:]])
+        assert all("Title 1\nBody text number 1 that differs" in got[100 + k] for k in range(4))
+        assert all(got[200 + k] == "One paragraph of text" for k in range(4))
+        assert all(got[300 + k] == f"Title {min(k, 3)}\nBody text number {min(k, 3)} that differs" for k in range(20))
+
+
 def test_alignment_finds_repetitions_and_options():
     trees = [extract.tree_of(shape, [(h or None, n) for h, n in slots]) for shape, slots in (extract.shape_of(h) for h in (
         "<body><h1>a</h1><ul><li>1<li>2</ul><p>x", "<body><h1>b</h1><p>y<p>z", "<body><h1>c</h1><dl><dt>k<dd>v<dt>k<dd>w</dl><p>y"))]

@@ -3,15 +3,16 @@
 A page is read into a tree of elements (inline mark-up dropped, missing end tags supplied) with a slot for every text.
 Two trees are aligned child by child: equal elements are aligned in turn; where they differ, an element like the one
 before becomes a repetition, and otherwise the nearest element that both have is sought and what is skipped becomes
-optional; texts that differ become slots, texts that are always the same belong to the template. The first step is
+optional; texts that differ become slots, texts that are the same on most of a host's distinct pages (copies of a page
+count once) belong to the template, and a text that fewer have is a slot, too. The first step is
 done within every page, which folds its lists and paragraphs, so the pages of a host come down to few shapes. Shapes
 are counted over all pages with an aggregate (with the extremes of every text's hash), and the shapes of a host are
 aligned one after another, the commonest first, into its wrapper; of many shapes, stretches of SHAPES_PER_TASK first.
 
 The wrapper says where the article is: in `article`, else `main`, else an element named for content, else the innermost
 element with most of the varying text. Menus, headers, footers, sidebars, notices, adverts, forms and reader comments
-are known by their element or name and left out anywhere. A page that has no such place, or a host of one page, is
-read by the same rules over its own tree.
+are known by their element or name and left out anywhere. A page that has no such place, or nothing there but
+template, or a host of one page, is read by the same rules over its own tree.
 
 Nulls and empty pages give an empty text. Pages without a host in their URL are a host of their own. Repeated rows get
 equal texts.
@@ -62,10 +63,11 @@ _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 class Node:
     """An element or a text ("#") of a page, or a part of a wrapper with its repetition and option marks."""
 
-    __slots__ = ("sig", "children", "text", "size", "repeat", "optional")
+    __slots__ = ("sig", "children", "text", "size", "seen", "repeat", "optional")
 
-    def __init__(self, sig: str, text=None, size: int = 0):
-        self.sig, self.children, self.text, self.size, self.repeat, self.optional = sig, [], text, size, False, False
+    def __init__(self, sig: str, text=None, size: int = 0, seen: int = 1):
+        """`seen`: how many distinct pages have a text here."""
+        self.sig, self.children, self.text, self.size, self.seen, self.repeat, self.optional = sig, [], text, size, seen, False, False
 
     def expression(self) -> str:
         """The wrapper as a union-free expression."""
@@ -150,11 +152,11 @@ def parse(page: str) -> Node:
 
 # --- alignment ---------------------------------------------------------------------------------------------
 
-def align(a: Node, b: Node) -> Node:
-    """The least expression that covers both; their signatures are equal."""
-    out = Node(a.sig, a.text if a.text == b.text else None, a.size + b.size)
+def align(a: Node, b: Node, same_page: bool = False) -> Node:
+    """The least expression that covers both; their signatures are equal. Neighbours in one tree are of the same pages."""
+    out = Node(a.sig, a.text if a.text == b.text else None, a.size + b.size, max(a.seen, b.seen) if same_page else a.seen + b.seen)
     out.repeat, out.optional = a.repeat or b.repeat, a.optional or b.optional
-    out.children = _align_children(a.children, b.children)
+    out.children = _align_children(a.children, b.children, same_page)
     return out
 
 
@@ -167,21 +169,21 @@ def _next(sig: str, nodes: list[Node], start: int) -> int:
     return next((k for k in range(start, len(nodes)) if nodes[k].sig == sig), -1)
 
 
-def _align_children(a: list[Node], b: list[Node]) -> list[Node]:
+def _align_children(a: list[Node], b: list[Node], same_page: bool = False) -> list[Node]:
     out: list[Node] = []
     i = j = 0
     while i < len(a) or j < len(b):
         if i < len(a) and j < len(b) and a[i].sig == b[j].sig:
-            out.append(align(a[i], b[j]))
+            out.append(align(a[i], b[j], same_page))
             i, j = i + 1, j + 1
             continue
         if out and i < len(a) and a[i].sig == out[-1].sig:
-            out[-1] = align(out[-1], a[i])
+            out[-1] = align(out[-1], a[i], True)
             out[-1].repeat = True
             i += 1
             continue
         if out and j < len(b) and b[j].sig == out[-1].sig:
-            out[-1] = align(out[-1], b[j])
+            out[-1] = align(out[-1], b[j], True)
             out[-1].repeat = True
             j += 1
             continue
@@ -260,27 +262,28 @@ def shape_of(page: str) -> tuple[str, list[tuple[int, int]]]:
     return json.dumps(walk(fold(top)), separators=(",", ":"), ensure_ascii=False), slots
 
 
-def tree_of(shape: str, slots: list[tuple[int | None, int]]) -> Node:
-    """The tree that `shape_of` wrote; a slot's text is its hash, or None where texts differ."""
+def tree_of(shape: str, slots: list[tuple[int | None, int] | tuple[int | None, int, int]]) -> Node:
+    """The tree that `shape_of` wrote; a slot's text is its hash, or None where texts differ, then its size and how many pages have it."""
     rest = iter(slots)
 
     def build(item: list) -> Node:
         node = Node(item[0])
         node.repeat, node.optional = bool(item[1] & 1), bool(item[1] & 2)
         if node.sig == "#":
-            node.text, node.size = next(rest)
+            node.text, node.size, *seen = next(rest)
+            node.seen = seen[0] if seen else 1
         node.children = [build(c) for c in item[2]]
         return node
 
     return build(json.loads(shape))
 
 
-def dump_tree(node: Node) -> tuple[str, list[tuple[int | None, int]]]:
-    slots: list[tuple[int | None, int]] = []
+def dump_tree(node: Node) -> tuple[str, list[tuple[int | None, int, int]]]:
+    slots: list[tuple[int | None, int, int]] = []
 
     def walk(n: Node) -> list:
         if n.sig == "#":
-            slots.append((n.text, n.size))
+            slots.append((n.text, n.size, n.seen))
         return [n.sig, int(n.repeat) + 2 * int(n.optional), [walk(c) for c in n.children]]
 
     return json.dumps(walk(node), separators=(",", ":"), ensure_ascii=False), slots
@@ -329,11 +332,21 @@ def find_article(top: Node, template_known: bool) -> tuple[list[str], bool]:
         path, node = [*path, best[1].sig], best[1]
 
 
+def _release(node: Node, pages: int) -> None:
+    """A text that not most of the distinct pages have is no template."""
+    if node.sig == "#" and 2 * node.seen <= pages:
+        node.text = None
+    for child in node.children:
+        _release(child, pages)
+
+
 def wrapper_of(trees: list[Node], pages: int) -> dict:
-    """What extraction needs of a host's wrapper."""
+    """What extraction needs of a host's wrapper; `pages` are its distinct ones."""
     whole = trees[0]
     for tree in trees[1:]:
         whole = align(whole, tree)
+    if pages > 2:
+        _release(whole, pages)
     path, by_text = find_article(whole, pages > 2)
     return {"path": path, "template": sorted(_constants(whole)) if by_text and pages > 2 else [], "expression": whole.expression()}
 
@@ -367,11 +380,12 @@ def main_text(page: str, wrapper: dict | None) -> str:
     top = parse(page)
     found = _at(top, wrapper["path"]) if wrapper else []
     template = set(wrapper["template"]) if wrapper else set()
-    if not found:
+    texts = [text for node in found for text in blocks(node, template)]
+    if not found or (template and not texts):
         for node in (own := parse(page)).children:
             _measure(node)
-        found, template = _at(top, find_article(own, False)[0]), set()
-    return "\n".join(text for node in found for text in blocks(node, template))
+        texts = [text for node in _at(top, find_article(own, False)[0]) for text in blocks(node)]
+    return "\n".join(texts)
 
 
 def _measure(node: Node) -> None:
@@ -389,33 +403,34 @@ def host_of(url):
 
 
 def host_shapes(pages: DataFrame) -> DataFrame:
-    """(host, shape, pages, slots): every shape of a host, with hash (null where pages differ) and summed length per text."""
+    """(host, shape, pages, slots): every shape of a host, with hash (null where pages differ) and summed length per text. Pages with equal html count once."""
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
             made = [shape_of(t or "") for t in texts.to_pylist()]
             yield pa.StructArray.from_arrays([pa.array([m[0] for m in made], pa.string()), pa.array([[{"hash": h, "size": s} for h, s in m[1]] for m in made], pa.list_(pa.struct([("hash", pa.int64()), ("size", pa.int64())])))],
                                              names=["shape", "slots"])
 
-    shaped = pages.select("host", F.arrow_udf(run, "struct<shape:string,slots:array<struct<hash:bigint,size:bigint>>>")(F.col("html")).alias("s")).select("host", "s.*")
+    made = F.arrow_udf(run, "struct<shape:string,slots:array<struct<hash:bigint,size:bigint>>>")(F.col("html"))
+    shaped = pages.select("host", F.md5(F.col("html").cast("binary")).alias("content"), made.alias("s")).select("host", "content", "s.*").distinct()
     keyed = shaped.select("host", "shape", F.posexplode_outer("slots").alias("pos", "slot"))
     slots = keyed.groupBy("host", "shape", "pos").agg(
         F.count("*").alias("pages"), F.when(F.min("slot.hash") == F.max("slot.hash"), F.nullif(F.max("slot.hash"), F.lit(0))).alias("hash"), F.sum("slot.size").alias("size"))
     return slots.groupBy("host", "shape").agg(F.max("pages").alias("pages"), F.array_sort(F.collect_list(F.struct("pos", "hash", "size"))).alias("slots"))
 
 
-def _slots(row) -> list[tuple[int | None, int]]:
-    return [(None if s["hash"] is None else int(s["hash"]), int(s["size"] or 0)) for s in row if s["pos"] is not None]
+def _slots(row, pages: int) -> list[tuple[int | None, int, int]]:
+    return [(None if s["hash"] is None else int(s["hash"]), int(s["size"] or 0), pages) for s in row if s["pos"] is not None]
 
 
 def host_wrappers(pages: DataFrame, shapes_per_task: int = SHAPES_PER_TASK) -> DataFrame:
-    """(host, pages, wrapper as JSON) from (host, html)."""
+    """(host, distinct pages, wrapper as JSON) from (host, html)."""
     shapes = written(host_shapes(pages), "shapes")
     many = shapes.groupBy("host").agg(F.count("*").alias("shapes"))
     parts = shapes.join(many, "host").withColumn("part", F.pmod(F.xxhash64("shape"), F.ceil(F.col("shapes") / shapes_per_task)).cast("int"))
 
     def first(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["pages", "shape"], ascending=[False, True])
-        trees = [tree_of(s, _slots(x)) for s, x in zip(rows["shape"], rows["slots"], strict=True)]
+        trees = [tree_of(s, _slots(x, int(n))) for s, x, n in zip(rows["shape"], rows["slots"], rows["pages"], strict=True)]
         whole = trees[0]
         for tree in trees[1:]:
             whole = align(whole, tree)
