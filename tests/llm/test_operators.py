@@ -544,6 +544,20 @@ def test_rules_follow_the_corpus(spark, odd, odd_rows, empty):
     assert quality_rules.apply_rules(empty).count() == 0 and quality_rules.clean(empty).count() == 0
 
 
+@pytest.mark.parametrize("junk", [4, 9])
+def test_a_source_full_of_junk_does_not_raise_its_limit(spark, junk):
+    draw, rows = random.Random(31), []
+    for k in range(360):
+        source = ("spam", "a", "b")[k % 3]
+        text = words(draw, 80).capitalize() + ".\n" + words(draw, 30) + "."
+        bad = source == "spam" and (k // 3) % 10 < junk
+        rows.append((k, " ".join(w + draw.choice(["###", "$$$", "%%%"]) for w in text.split()) if bad else text, "en", source, 5, "junk" if bad else "clean"))
+    docs = frame(spark, rows)
+    for min_rows in (60, 120):  # the spam source has 120 documents
+        out = {r.doc_id: r.kept for r in quality_rules.apply_rules(docs, min_rows=min_rows).collect()}
+        assert all(out[i] == (kind == "clean") for i, *_, kind in rows)
+
+
 def test_sketches_are_close_and_merge(spark):
     draw = random.Random(2)
     values = [draw.choice([draw.randint(0, 100), draw.randint(0, 100_000)]) for _ in range(3000)]

@@ -8,7 +8,10 @@ language of fewer by the corpus'.
 
 The upper fence of a metric is q75 + SPREAD * (q75 - q50) + slack: what lies far outside the better half of the
 comparable documents goes, as long as junk is less than a quarter of a group. The slack only keeps a fence from
-closing in where a group hardly varies.
+closing in where a group hardly varies. Where a quarter or more is junk, the group's own fence says nothing, so no
+fence may lie above LIFT times the (lower) median of the fences of its language's groups of `min_rows` or more, and,
+for metrics that hardly depend on the language, of the corpus' groups. Every group counts once there, whatever its
+size. If half of the groups to compare with are such, or there is only one, the fence is as good as theirs.
 
 Nulls: a null text has no words and fails the base rule; null languages and sources are groups of their own.
 Repeated rows are judged, and counted, one by one.
@@ -24,7 +27,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import bounded_batches, few_rows, written
 from tidemark.llm.text_stats import text_counts
 
-SKETCH_BITS, SPREAD, MIN_ROWS, BROADCAST_ROWS = 7, 10, 200, 200_000
+SKETCH_BITS, SPREAD, MIN_ROWS, BROADCAST_ROWS, LIFT = 7, 10, 200, 200_000, 2
 
 #: Metric -> (whole number per document, slack of its fence). Shares are in thousandths.
 METRICS: dict[str, tuple[str, int]] = {
@@ -36,6 +39,9 @@ METRICS: dict[str, tuple[str, int]] = {
     "word_length": ("100 * word_chars div greatest(n_words, 1)", 400),
 }
 
+#: Metrics whose fences are compared between languages, too.
+ANY_LANGUAGE = ("symbol_share", "shout_share", "punct_share", "repeat_share")
+
 
 def sketch_bin(value: Column, bits: int = SKETCH_BITS) -> Column:
     """The smallest value of the bin that a whole number >= 0 falls in."""
@@ -72,10 +78,19 @@ def thresholds(measured: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:
     by_source = fences(own, "lang", "source").select("lang", "source", "members", *[F.col(n).alias(f"s_{n}") for n in names])
     by_lang = fences(merge(own, "lang"), "lang").select(F.col("lang").alias("l_lang"), F.col("members").alias("l_members"), *[F.col(n).alias(f"l_{n}") for n in names])
     overall = fences(merge(own)).first()  # one row of numbers
+    large = by_source.where(F.col("members") >= min_rows)
+    medians = [(LIFT * F.percentile_approx(f"s_{n}", 0.5)).alias(f"b_{n}") for n in names]
+    bounds, bound = large.groupBy(F.col("lang").alias("b_lang")).agg(*medians), large.agg(*medians).first()
     level = F.when(F.col("members") >= min_rows, "source").when(F.col("l_members") >= min_rows, "lang").otherwise("all")
-    joined = by_source.join(by_lang, F.col("lang").eqNullSafe(F.col("l_lang")))
-    return joined.select("lang", "source", level.alias("level"), *[
-        F.when(level == "source", F.col(f"s_{n}")).when(level == "lang", F.col(f"l_{n}")).otherwise(F.lit(overall[n])).alias(n) for n in names])
+    joined = by_source.join(by_lang, F.col("lang").eqNullSafe(F.col("l_lang"))).join(bounds, F.col("lang").eqNullSafe(F.col("b_lang")), "left")
+    any_language = {f"max_{m}" for m in ANY_LANGUAGE}
+
+    def limit(n: str) -> Column:
+        """The level's fence below the bounds there are; least() passes nulls over."""
+        of_level = F.when(level == "source", F.col(f"s_{n}")).when(level == "lang", F.col(f"l_{n}")).otherwise(F.lit(overall[n]))
+        return F.least(of_level, F.col(f"b_{n}"), F.lit(bound[f"b_{n}"] if n in any_language else None).cast("bigint"))
+
+    return joined.select("lang", "source", level.alias("level"), *[limit(n).alias(n) for n in names])
 
 
 def measure(docs: DataFrame, text_col: str = "text") -> DataFrame:
