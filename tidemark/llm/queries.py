@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, extract, language, ngram_join, quality_classifier, quality_rules, sharding, token_files, warc
+from tidemark.llm import (bpe, decontaminate, extract, language, line_dedup, merkle, ngram_join, quality_classifier, quality_rules, sharding,
+                          token_files, warc)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -77,6 +79,16 @@ def op6_extraction(spark, sf_dir):
     return extract.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
 
 
+@query
+def op11_line_dedup(spark, sf_dir):
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query
+def op13_merkle_manifest(spark, sf_dir):
+    return merkle.proof_digests(table(spark, sf_dir, "documents"))
+
+
 # --- SQL counterparts --------------------------------------------------------------------------------------
 
 _FOLD = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -106,3 +118,52 @@ link AS MATERIALIZED (SELECT a, b FROM pairs JOIN size p ON p.doc_id = a JOIN si
 reach AS (SELECT doc_id, doc_id AS seen FROM d UNION SELECT reach.doc_id, link.b FROM reach JOIN link ON link.a = reach.seen)
 SELECT d.doc_id, coalesce(any_value(size.n), 0) AS n_shingles, min(seen) AS component_id
 FROM d JOIN reach USING (doc_id) LEFT JOIN size USING (doc_id) GROUP BY d.doc_id"""
+
+ORACLE["op11_line_dedup"] = """
+WITH d AS MATERIALIZED (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT doc_id, i, lines[i] AS line, translate(trim(lines[i], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+      FROM d, unnest(range(1, len(lines) + 1)) AS t(i)),
+f AS (SELECT k, max(doc_id) AS last FROM l WHERE length(k) >= 20 GROUP BY k HAVING count(DISTINCT doc_id) >= 3)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (last > doc_id) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (last IS NULL OR last <= doc_id), '')) AS kept_sha256
+FROM l LEFT JOIN f USING (k) GROUP BY doc_id"""
+
+_FIELD = "coalesce(CAST(octet_length(encode({v})) AS varchar) || ':' || {v}, '-')"
+_LEAF = ("sha256(" + " || ".join(_FIELD.format(v=v) for v in ("CAST(doc_id AS varchar)", "source", "lang", "CAST(n_chars AS varchar)", "{text}")) + ")")
+#: CRC-32 bit by bit (fixed polynomial 0xEDB88320), of the ASCII digits of an id.
+_CRC = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS varchar), ''), lambda c: ascii(c)::BIGINT)),
+        lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, i: xor(x >> 1, CASE WHEN x % 2 = 1 THEN 3988292384 ELSE 0 END))))"""
+
+ORACLE["op13_merkle_manifest"] = f"""
+WITH RECURSIVE leaf AS MATERIALIZED (
+  SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST) - 1 AS pos, {_LEAF.format(text="text")} AS leaf,
+         CASE WHEN {_CRC} % 2 = 0 THEN {_LEAF.format(text="replace(text, chr(10), '')")} ELSE {_LEAF.format(text="text")} END AS shown
+  FROM documents),
+sizes AS MATERIALIZED (SELECT source, count(*) AS n, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS tree FROM leaf GROUP BY source),
+nodes AS (
+  SELECT tree, 0 AS level, pos, leaf AS d, n FROM leaf JOIN sizes ON leaf.source IS NOT DISTINCT FROM sizes.source
+  UNION ALL
+  SELECT tree, level + 1, pos // 3, sha256(string_agg(d, '' ORDER BY pos)), (n + 2) // 3 FROM nodes WHERE n > 1 GROUP BY tree, level, pos // 3, n),
+kept AS MATERIALIZED (SELECT * FROM nodes),
+subroot AS MATERIALIZED (SELECT tree, d FROM kept WHERE n = 1),
+above AS (
+  SELECT 0 AS level, tree AS pos, d, (SELECT count(*) FROM subroot) AS n FROM subroot
+  UNION ALL
+  SELECT level + 1, pos // 3, sha256(string_agg(d, '' ORDER BY pos)), (n + 2) // 3 FROM above WHERE n > 1 GROUP BY level, pos // 3, n),
+high AS MATERIALIZED (SELECT * FROM above),
+every AS MATERIALIZED (SELECT tree, level, pos, d, n FROM kept WHERE n > 1 UNION ALL SELECT -1, level, pos, d, n FROM high WHERE n > 1),
+runs AS MATERIALIZED (SELECT tree, level, pos // 3 AS run, list(d ORDER BY pos) AS ds, n FROM every GROUP BY ALL),
+way AS (
+  SELECT doc_id, sizes.tree AS home, sizes.tree, pos, 0 AS level, n, shown AS folded, '' AS siblings
+  FROM leaf JOIN sizes ON leaf.source IS NOT DISTINCT FROM sizes.source
+  UNION ALL
+  SELECT doc_id, home, CASE WHEN way.n > 1 THEN way.tree ELSE -1 END, CASE WHEN way.n > 1 THEN way.pos // 3 ELSE home END, CASE WHEN way.n > 1 THEN way.level + 1 ELSE 0 END,
+         CASE WHEN way.n > 1 THEN (way.n + 2) // 3 ELSE (SELECT count(*) FROM subroot) END,
+         CASE WHEN way.n > 1 THEN sha256(array_to_string(ds[1:way.pos % 3], '') || folded || array_to_string(ds[way.pos % 3 + 2:], '')) ELSE folded END,
+         siblings || CASE WHEN way.n > 1 THEN array_to_string(ds[1:way.pos % 3], '') || array_to_string(ds[way.pos % 3 + 2:], '') ELSE '' END
+  FROM way LEFT JOIN runs ON runs.tree = way.tree AND runs.level = way.level AND runs.run = way.pos // 3 AND way.n > 1
+  WHERE way.n > 1 OR way.tree >= 0)
+SELECT doc_id, leaf.leaf, subroot.d AS subroot, root.d AS root, sha256(siblings) AS proof_sha256, folded AS folded_root, folded = root.d AS verified, leaf.source
+FROM way JOIN leaf USING (doc_id) JOIN subroot ON subroot.tree = way.home, (SELECT d FROM high WHERE n = 1) AS root
+WHERE way.tree = -1 AND way.n = 1"""
