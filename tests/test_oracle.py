@@ -35,6 +35,8 @@ def plain(value):
         return value.replace(tzinfo=None).isoformat()
     if isinstance(value, bool):
         return int(value)
+    if isinstance(value, (list, tuple)):
+        return tuple(plain(v) for v in value)
     return value
 
 
