@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import (bpe, decontaminate, extract, language, line_dedup, merkle, ngram_join, quality_classifier, quality_rules, sharding,
+from tidemark.llm import (bpe, collocations, decontaminate, extract, language, line_dedup, merkle, ngram_join, quality_classifier, quality_rules, sharding,
                           token_files, warc)
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,6 +84,11 @@ def op11_line_dedup(spark, sf_dir):
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+@query
+def op12_collocations(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 @query
 def op13_merkle_manifest(spark, sf_dir):
     return merkle.proof_digests(table(spark, sf_dir, "documents"))
@@ -129,6 +134,24 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (last > doc_id) AS n_dropped
        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (last IS NULL OR last <= doc_id), '')) AS kept_sha256
 FROM l LEFT JOIN f USING (k) GROUP BY doc_id"""
 
+ORACLE["op12_collocations"] = f"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, doc_id, unnest(string_split_regex({_FOLD}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+w AS MATERIALIZED (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM p),
+grams AS MATERIALIZED (SELECT lang, m, array_to_string(w[i + 1:i + m], ' ') AS g, count(*) AS f
+                       FROM w, unnest(range(1, 6)) AS s(m), unnest(range(0, len(w) - m + 1)) AS t(i) GROUP BY ALL),
+total AS (SELECT lang, CAST(sum(f) AS bigint) AS n FROM grams WHERE m = 1 GROUP BY lang),
+often AS MATERIALIZED (SELECT * FROM grams WHERE f >= 100),
+cand AS MATERIALIZED (SELECT lang, m, g, f AS a, string_split(g, ' ') AS ws FROM often WHERE m > 1),
+cuts AS (SELECT c.lang, c.m, c.g, a, n, k, x.f AS l, y.f AS r, (1000::hugeint * a * n) // (x.f::hugeint * y.f) AS score
+         FROM cand c, unnest(range(1, 5)) AS t(k), often x, often y, total
+         WHERE k < c.m AND x.lang = c.lang AND y.lang = c.lang AND total.lang = c.lang
+           AND x.g = array_to_string(ws[1:k], ' ') AND y.g = array_to_string(ws[k + 1:], ' ')),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+kept AS (SELECT * FROM best b WHERE NOT EXISTS (
+  SELECT 1 FROM cand e WHERE e.lang = b.lang AND e.m > b.m AND 100 * e.a >= 100 * b.a AND contains(' ' || e.g || ' ', ' ' || b.g || ' ')))
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, g) AS rank, g AS phrase, a, l, r, n, CAST(score AS bigint) AS score
+FROM kept QUALIFY rank <= 2000"""
+
 _FIELD = "coalesce(CAST(octet_length(encode({v})) AS varchar) || ':' || {v}, '-')"
 _LEAF = ("sha256(" + " || ".join(_FIELD.format(v=v) for v in ("CAST(doc_id AS varchar)", "source", "lang", "CAST(n_chars AS varchar)", "{text}")) + ")")
 #: CRC-32 bit by bit (fixed polynomial 0xEDB88320), of the ASCII digits of an id.
