@@ -23,7 +23,7 @@ def replay_keyed(base, events, keys):
 
 
 def replay_bag(base, events, columns):
-    """`base` and the result: list of row tuples. Null before columns match anything."""
+    """`base` and the result: list of row tuples. Null before columns match anything; an update sets what its image carries."""
     bag = list(base)
     missed = []
     for position, (op, before, after) in enumerate(events):
@@ -33,8 +33,10 @@ def replay_bag(base, events, columns):
         if op in "rc" or (op == "u" and not where):
             bag.append(row)
         elif op == "u":
+            if not set(after) & set(columns):
+                continue
             if any(hits):
-                bag = [row if hit else old for old, hit in zip(bag, hits)]
+                bag = [tuple(after.get(c, x) for c, x in zip(columns, old)) if hit else old for old, hit in zip(bag, hits)]
             else:
                 bag.append(row)
                 missed.append((position, "update_inserted"))

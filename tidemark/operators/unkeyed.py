@@ -1,25 +1,30 @@
 """Changes to tables without a key: the table is a bag and rows are found by their before image.
 
-One event after the other would mean: an insert adds a row; an update rewrites every row equal to the
-non-null before columns, or inserts when none is; a delete removes every such row. The same result
-without a sequential pass:
-
-* A row rests at one value from the event that put it there until the next later event whose before
-  image matches that value. So every arrival has at most one successor, found by an equi-join in log
-  order; the updates form a forest whose edges point forward in the log.
-* An update always leaves rows at its after image: those that came in, or one it inserts because none
-  did. Whether any came in shows from the edges that end at it, so no simulation is needed.
-* Rows are counted at the roots of the forest, which pointer doubling finds in log2(longest chain)
-  rounds of joins.
-
-A before image with null columns matches on the others only, so events are grouped by which columns
-they match on; each arrival is looked up once per such group.
+One event after the other would mean: an insert adds a row; an update sets the columns its after image carries in every
+row equal to the non-null before columns, or inserts the after image when there is none; a delete removes every such
+row. The same result without a sequential pass:
+
+* A row rests at one value from the event that put it there until the next later event whose before image matches that
+  value, found by an equi-join in log order. So rows move along a forest whose edges point forward in the log. Its nodes
+  are (event, value); those of the table as it was are its distinct rows.
+* Only columns that some before image tests can decide where a row goes next, so the values of nodes hold these alone.
+  An update that tests or writes all of them leaves one value behind. One that leaves some as they were (an open one) has
+  a node per value that comes in; these are made round by round, as often as open updates follow one another in a row.
+* All other columns are payload. What a row holds in them at the end is what the last update on its way wrote: every node
+  carries what it writes, column by column, and pointer doubling puts these together along with the ways.
+* An update that no row meets inserts one. Whether one came in is plain from the edges if the inserted row has the
+  value that rows have after the update. Otherwise (a partial image) it depends on whether the updates before inserted
+  theirs; rounds of reachability settle all those that depend on nothing open, the earliest always among them.
+* Rows are counted at the roots of the forest, which pointer doubling finds in log2(longest way) rounds of joins.
+
+Before images differ in which columns they test. This pattern is a part of the match key, so one join serves all.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,140 +34,241 @@ from tidemark.session import cut_lineage
 from tidemark.sources.changelog import DELETE, readable
 
 _CHUNK = 10_000
+#: What an event does, as the last digit of its code: code = 8 * position + kind keeps the log order. An update is full
+#: if its image carries all columns, closed if it tests or carries all columns that any event tests, else open.
+ADD, FULL, CLOSED, OPEN, DROP = range(5)
+#: The node of the row that a partial update inserts has the code of the event with this digit; searches start after the last.
+_INSERTED, _AFTER = 5, 7
+_NO, _MAYBE, _YES = 0, 1, 2
 
 
-def _all_present(columns: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(f"present.{c}") for c in columns])
+class Trace(NamedTuple):
+    """nodes (id, successor, target, gone, values, writes, born), events by code, and the events that rows came to."""
+    nodes: DataFrame
+    updates: DataFrame
+    drops: DataFrame
+    hits: DataFrame
+    untouched: DataFrame | None
+    tested: list[str]
+    payload: list[str]
 
 
-def _match_groups(columns: Sequence[str]) -> Column:
-    """Which before columns are usable, as a string of 0 and 1."""
-    return F.concat(*[F.when(F.col(f"before.{c}").isNotNull(), "1").otherwise("0") for c in columns])
+def _any(parts: Sequence[Column]) -> Column:
+    return reduce(lambda a, b: a | b, parts)
 
 
-def _bag_events(typed: DataFrame, columns: Sequence[str], order_col: str) -> DataFrame:
-    """Applicable events as (code, kind, row, was, mask).
+def _all(parts: Sequence[Column]) -> Column:
+    return reduce(lambda a, b: a & b, parts, F.lit(True))
 
-    code = 2 * position, plus one for deletes: it keeps the log order and tells what an edge ends at.
-    """
-    none = "0" * len(columns)
-    mask = F.when(F.col("has_before"), _match_groups(columns)).otherwise(none)
+
+def _usable(columns: Sequence[str]) -> Column:
+    """Whether a before image can find rows: some column is not null."""
+    return F.col("has_before") & _any([F.col(f"before.{c}").isNotNull() for c in columns])
+
+
+def _bag_events(typed: DataFrame, columns: Sequence[str], order_col: str) -> DataFrame:
+    """Applicable events as (position, action, row, was, tests, has); `tests` and `has` are booleans per column."""
     # An update or insert whose image carries no column does nothing.
-    carries = reduce(lambda a, b: a | b, [F.col(f"present.{c}") for c in columns])
-    kind = (F.when(F.col("action") == DELETE, F.when(mask != none, "drop"))
-            .when((F.col("op") == "u") & (mask != none), F.when(_all_present(columns), "move"))
-            .when(carries, "add"))
-    row = F.struct(*[F.col(f"after.{c}").alias(c) for c in columns])
-    was = F.struct(*[F.col(f"before.{c}").alias(c) for c in columns])
+    carries = _any([F.col(f"present.{c}") for c in columns])
+    action = (F.when(F.col("action") == DELETE, F.when(_usable(columns), "drop"))
+              .when((F.col("op") == "u") & _usable(columns), F.when(carries, "move"))
+              .when(carries, "add"))
+    tests = [(F.col("has_before") & F.col(f"before.{c}").isNotNull()).alias(c) for c in columns]
     return (typed.where(F.col("applies") & readable(typed))
-            .select((F.col(order_col) * 2 + F.when(kind == "drop", 1).otherwise(0)).alias("code"),
-                    kind.alias("kind"), row.alias("row"), was.alias("was"), mask.alias("mask"))
-            .where(F.col("kind").isNotNull()))
+            .select(F.col(order_col).alias("position"), action.alias("action"),
+                    F.struct(*[F.when(F.col(f"present.{c}"), F.col(f"after.{c}")).alias(c) for c in columns]).alias("row"),
+                    F.struct(*[F.col(f"before.{c}").alias(c) for c in columns]).alias("was"), F.struct(*tests).alias("tests"),
+                    F.struct(*[F.coalesce(F.col(f"present.{c}"), F.lit(False)).alias(c) for c in columns]).alias("has"))
+            .where(F.col("action").isNotNull()))
 
 
 def rejected_unkeyed(typed: DataFrame, columns: Sequence[str], order_col: str = "seq") -> DataFrame:
-    """Events that cannot be applied to a table without a key, with the reason.
-
-    An update whose after image leaves columns out keeps those of each row it meets, so its result is no
-    longer one value; such updates are reported instead of guessed at.
-    """
-    none = "0" * len(columns)
-    mask = F.when(F.col("has_before"), _match_groups(columns)).otherwise(none)
+    """Events that cannot be applied to a table without a key, with the reason."""
     reason = (F.when(~readable(typed), "unreadable_value")
-              .when((F.col("action") == DELETE) & (mask == none), "no_usable_before")
-              .when((F.col("op") == "u") & (mask != none) & ~_all_present(columns), "partial_update_without_key"))
+              .when((F.col("action") == DELETE) & ~_usable(columns), "no_usable_before"))
     return (typed.where(F.col("applies")).select(order_col, "op", reason.alias("reason"))
             .where(F.col("reason").isNotNull()))
 
 
-def _match_key(row: str, columns: Sequence[str], mask: str) -> Column:
-    """The part of a row that a group of before images compares, or null if it cannot match there."""
-    used = [c for c, bit in zip(columns, mask) if bit == "1"]
-    comparable = reduce(lambda a, b: a & b, [F.col(f"{row}.{c}").isNotNull() for c in used])
-    parts = [(F.col(f"{row}.{c}") if bit == "1" else F.when(F.lit(False), F.col(f"{row}.{c}"))).alias(c)
-             for c, bit in zip(columns, mask)]
-    return F.when(comparable, F.struct(F.lit(mask).alias("mask"), *parts))
-
-
-def _trace(base: DataFrame | None, typed: DataFrame, columns: Sequence[str], order_col: str,
-           stretch: int) -> dict[str, DataFrame | None]:
+def _pick(struct: str, columns: Sequence[str]) -> Column:
+    return F.struct(*[F.col(f"{struct}.{c}").alias(c) for c in columns]) if columns else F.struct(F.lit(None).cast("int").alias("_"))
+
+
+def _writes(payload: Sequence[str], value: str, has: str | None = None) -> Column:
+    """Per payload column a struct around what is written, or null where nothing is."""
+    def one(c: str) -> Column:
+        boxed = F.struct(F.col(f"{value}.{c}").alias("v"))
+        return (F.when(F.col(f"{has}.{c}"), boxed) if has else boxed).alias(c)
+    return F.struct(*[one(c) for c in payload]) if payload else F.struct(F.lit(None).cast("int").alias("_"))
+
+
+def _later(first: str, then: str, payload: Sequence[str]) -> Column:
+    """Writes of two stretches of a way, one after the other."""
+    if not payload:
+        return F.col(first)
+    return F.struct(*[F.coalesce(F.col(f"{then}.{c}"), F.col(f"{first}.{c}")).alias(c) for c in payload])
+
+
+def _successors(nodes: DataFrame, clearing: DataFrame, tested: Sequence[str], stretch: int) -> DataFrame:
+    """(id, successor): the first event after each node that matches its values."""
+    # A match key is the pattern and the tested values. All patterns of the log come as one array, from one aggregate.
+    patterns = clearing.agg(F.collect_set("pattern")).scalar()
+    on = {c: F.substring("pattern", i + 1, 1) == "1" for i, c in enumerate(tested)}
+    looked_up = (nodes.select("id", "after", "values", F.explode(patterns).alias("pattern"))
+                 .where(_all([~on[c] | F.col(f"values.{c}").isNotNull() for c in tested]))
+                 .select(F.col("after").alias("code"), F.col("id").alias("node"),
+                         F.struct("pattern", *[F.when(on[c], F.col(f"values.{c}")).alias(c) for c in tested]).alias("match")))
+    keys = clearing.select("code", F.lit(None).cast("bigint").alias("node"),
+                           F.struct("pattern", *[F.when(on[c], F.col(f"was.{c}")).alias(c) for c in tested]).alias("match"))
+    return (with_next_marked(looked_up.unionByName(keys), "match", "code", F.col("node").isNull(), "successor", stretch)
+            .where(F.col("node").isNotNull() & F.col("successor").isNotNull())
+            .groupBy(F.col("node").alias("id")).agg(F.min("successor").alias("successor")))
+
+
+def _kind(code: str) -> Column:
+    return F.pmod(F.col(code), F.lit(8))
+
+
+def _own_ids(rows: DataFrame, generation: int) -> DataFrame:
+    """Negative ids, fixed by a checkpoint, that no event's code equals."""
+    return cut_lineage(rows.withColumn("id", F.lit(-1 - (generation << 48)).cast("bigint") - F.monotonically_increasing_id()))
+
+
+def _grow(events: DataFrame, base: DataFrame | None, tested: list[str], payload: list[str], stretch: int) -> tuple[DataFrame, DataFrame]:
+    """All nodes with their targets, and the updates."""
+    clearing = events.where(F.col("kind") != ADD)
+    opens = events.where(F.col("kind") == OPEN).select("code", "row", "was", "tests", "has")
+    after = (F.col("code") - F.col("kind") + _AFTER).alias("after")
+    kept = [F.when(F.col(f"has.{c}"), F.col(f"row.{c}")).when(F.col(f"tests.{c}"), F.col(f"was.{c}")).alias(c) for c in tested]
+    born = events.where(F.col("kind").isin(ADD, FULL)).select(
+        F.col("code").alias("id"), after, _pick("row", tested).alias("values"), _writes(payload, "row").alias("writes"),
+        F.when(F.col("kind") == ADD, 1).cast("bigint").alias("born"))
+    partial = events.where(F.col("kind").isin(CLOSED, OPEN))
+    inserted = partial.select((F.col("code") - F.col("kind") + _INSERTED).alias("id"), after, _pick("row", tested).alias("values"),
+                              _writes(payload, "row").alias("writes"), F.lit(None).cast("bigint").alias("born"))
+    closed = events.where(F.col("kind") == CLOSED).select(
+        F.col("code").alias("id"), after, F.struct(*kept).alias("values"), _writes(payload, "row", "has").alias("writes"), F.lit(0).cast("bigint").alias("born"))
+    fresh = born.unionByName(inserted).unionByName(closed)
+    if base is not None:
+        fresh = fresh.unionByName(base.select("id", F.lit(-1).cast("bigint").alias("after"), "values", "writes", "born"))
+    parts, generation = [], 0
+    while True:
+        placed = cut_lineage(fresh.join(_successors(fresh, clearing, tested, stretch), "id", "left"))
+        entering = placed.where(_kind("successor") == OPEN).select("id", F.col("successor").alias("code"), F.col("values").alias("came"))
+        more = entering.limit(1).count() > 0
+        target = F.when(_kind("successor").isin(FULL, CLOSED), F.col("successor"))
+        if not more:
+            parts.append(placed.withColumn("target", target))
+            break
+        generation += 1
+        became = F.struct(*[F.when(F.col(f"has.{c}"), F.col(f"row.{c}")).when(F.col(f"tests.{c}"), F.col(f"was.{c}"))
+                            .otherwise(F.col(f"came.{c}")).alias(c) for c in tested])
+        moved = cut_lineage(entering.join(opens, "code").select(F.col("id").alias("from"), "code", became.alias("values")))
+        nodes = _own_ids(moved.select("code", "values").distinct(), generation)
+        into = moved.join(nodes, ["code", "values"]).select(F.col("from").alias("id"), F.col("id").alias("_into"))
+        parts.append(placed.join(into, "id", "left").withColumn("target", F.coalesce("_into", target)).drop("_into"))
+        fresh = nodes.join(opens, "code").select("id", (F.col("code") - OPEN + _AFTER).alias("after"), "values",
+                                                 _writes(payload, "row", "has").alias("writes"), F.lit(0).cast("bigint").alias("born"))
+    nodes = reduce(DataFrame.unionByName, parts).withColumn("gone", F.coalesce(_kind("successor") == DROP, F.lit(False)))
+    return nodes, events.where(F.col("kind").isin(FULL, CLOSED, OPEN)).select("code", "kind")
+
+
+def _reached(nodes: DataFrame, seeds: DataFrame) -> DataFrame:
+    """(id, flag): the highest flag among the seeds (id, flag) whose ways lead through a node."""
+    inner = nodes.where(F.col("target").isNotNull()).select(F.col("target").alias("id")).distinct()
+    handed = seeds.join(nodes.select("id", "target"), "id").where(F.col("target").isNotNull()).groupBy(F.col("target").alias("id")).agg(F.max("flag").alias("handed"))
+    state = (inner.join(nodes.select("id", F.col("target").alias("hop")), "id").join(seeds, "id", "left").join(handed, "id", "left")
+             .select("id", "hop", F.greatest(F.coalesce("flag", F.lit(_NO)), F.coalesce("handed", F.lit(_NO))).alias("flag")))
+    state = cut_lineage(state)
+    while state.where(F.col("hop").isNotNull()).limit(1).count():
+        pushed = state.where(F.col("hop").isNotNull() & (F.col("flag") > _NO)).groupBy(F.col("hop").alias("id")).agg(F.max("flag").alias("pushed"))
+        ahead = state.select(F.col("id").alias("hop"), F.col("hop").alias("_hop"))
+        state = cut_lineage(state.join(pushed, "id", "left").join(ahead, "hop", "left").select(
+            "id", F.col("_hop").alias("hop"), F.greatest("flag", F.coalesce("pushed", F.lit(_NO))).alias("flag")))
+    return (seeds.select("id", "flag").unionByName(state.select("id", "flag")).groupBy("id").agg(F.max("flag").alias("flag"))
+            .where(F.col("flag") > _NO))
+
+
+def _settled(nodes: DataFrame, partial: bool) -> tuple[DataFrame, DataFrame]:
+    """(code) of the events that rows came to, and (id) of the inserted rows of partial updates that were inserted."""
+    sure = nodes.where((F.col("id") < 0) & (F.col("born") > 0) | (F.col("id") >= 0) & _kind("id").isin(ADD, FULL))
+    came = nodes.where(F.col("successor").isNotNull())
+    if not partial:
+        return cut_lineage(came.select(F.col("successor").alias("code")).distinct()), nodes.where("false").select("id")
+    waiting = cut_lineage(nodes.where((F.col("id") >= 0) & (_kind("id") == _INSERTED)).select("id", F.lit(_MAYBE).alias("flag")))
+    sure = sure.select("id", F.lit(_YES).alias("flag"))
+    while True:
+        flags = _reached(nodes, sure.unionByName(waiting.where(F.col("flag") > _NO)))
+        hits = cut_lineage(came.select("id", F.col("successor").alias("code")).join(flags, "id").groupBy("code").agg(F.max("flag").alias("hit")))
+        if not waiting.where(F.col("flag") == _MAYBE).limit(1).count():
+            return hits.where(F.col("hit") == _YES).select("code"), waiting.where(F.col("flag") == _YES).select("id")
+        event = F.col("id") - _INSERTED
+        found = waiting.join(hits.select((F.col("code") - _kind("code")).alias("_event"), "hit"), event == F.col("_event"), "left")
+        now = F.when(F.col("hit").isNull(), _YES).when(F.col("hit") == _YES, _NO).otherwise(_MAYBE)
+        waiting = cut_lineage(found.select("id", F.when(F.col("flag") == _MAYBE, now).otherwise(F.col("flag")).cast("int").alias("flag")))
+
+
+def _trace(base: DataFrame | None, typed: DataFrame, columns: Sequence[str], order_col: str, stretch: int) -> Trace | DataFrame:
+    """The forest of a log; if no event looks for rows, just its inserted rows."""
     events = cut_lineage(_bag_events(typed, columns, order_col))
-    clearing = events.where(F.col("kind") != "add")
-    # At most one value per combination of usable columns: a short list, whatever the size of the log.
-    masks = sorted(r.mask for r in clearing.select("mask").distinct().collect())
-    adds = events.where(F.col("kind") == "add")
-    if not masks:
-        return {"untouched": base, "adds": adds, "moves": None, "drops": None, "incoming": None}
-
-    # Successor of every event that leaves a row behind.
-    match_was = reduce(lambda acc, m: acc.when(F.col("mask") == m, _match_key("was", columns, m)),
-                       masks[1:], F.when(F.col("mask") == masks[0], _match_key("was", columns, masks[0])))
-    looked_up = F.array_compact(F.array(*[_match_key("row", columns, m) for m in masks]))
-    left_behind = events.where(F.col("kind") != "drop").select(
-        (F.floor(F.col("code") / 2) * 2 + 1).cast("bigint").alias("code"), F.col("code").alias("event"),
-        F.explode(looked_up).alias("match"))
-    cleared = clearing.select("code", F.lit(None).cast("bigint").alias("event"), match_was.alias("match"))
-    both = left_behind.unionByName(cleared)
-    successor = (with_next_marked(both, "match", "code", F.col("event").isNull(), "successor", stretch)
-                 .where(F.col("event").isNotNull() & F.col("successor").isNotNull())
-                 .groupBy("event").agg(F.min("successor").alias("successor")))
-    placed = cut_lineage(events.where(F.col("kind") != "drop").select("code", "kind", "row")
-                         .join(successor.withColumnRenamed("event", "code"), "code", "left"))
-    adds, moves = placed.where(F.col("kind") == "add"), placed.where(F.col("kind") == "move")
-
-    # Base rows leave at the first event that matches them, per group of before images.
-    incoming = [adds.select("successor", F.lit(1).cast("bigint").alias("weight")),
-                moves.select("successor", F.lit(0).cast("bigint").alias("weight"))]
-    untouched = None
+    whole = _all([F.col(f"has.{c}") for c in columns])
+    looks = F.when(F.col("action") != "add", True)
+    shape = events.agg(F.count(looks).alias("n"), F.max((F.col("action") == "move") & ~whole).alias("partial"),
+                       *[F.max(F.when(looks, F.col(f"tests.{c}"))).alias(f"some_{i}") for i, c in enumerate(columns)],
+                       *[F.min(F.when(looks, F.col(f"tests.{c}"))).alias(f"all_{i}") for i, c in enumerate(columns)]).first()
+    if not shape["n"]:
+        return events.select("row")
+    tested = [c for i, c in enumerate(columns) if shape[f"some_{i}"]]
+    always = [c for i, c in enumerate(columns) if shape[f"all_{i}"]]
+    payload = [c for c in columns if c not in tested]
+    closed = _all([F.col(f"has.{c}") | F.col(f"tests.{c}") for c in tested])
+    kind = (F.when(F.col("action") == "add", ADD).when(F.col("action") == "drop", DROP)
+            .when(whole, FULL).when(closed, CLOSED).otherwise(OPEN))
+    pattern = F.concat(*[F.when(F.col(f"tests.{c}"), "1").otherwise("0") for c in tested])
+    events = events.select((F.col("position") * 8 + kind).alias("code"), kind.alias("kind"), "row", "was", "tests", "has", pattern.alias("pattern"))
+
+    untouched, classes = None, None
     if base is not None:
-        flagged, firsts = base.select(*columns), []
-        for i, mask in enumerate(masks):
-            used = [c for c, bit in zip(columns, mask) if bit == "1"]
-            first = (clearing.where(F.col("mask") == mask)
-                     .groupBy(*[F.col(f"was.{c}").alias(f"_k_{c}") for c in used])
-                     .agg(F.min("code").alias(f"_first_{i}")))
-            same = reduce(lambda a, b: a & b, [F.col(c) == F.col(f"_k_{c}") for c in used])
-            flagged = flagged.join(first, same, "left").drop(*[f"_k_{c}" for c in used])
-            firsts.append(F.col(f"_first_{i}"))
-        leaves = F.least(*firsts) if len(firsts) > 1 else firsts[0]
-        flagged = flagged.withColumn("successor", leaves)
-        untouched = flagged.where(F.col("successor").isNull()).select(*columns)
-        incoming.append(flagged.where(F.col("successor").isNotNull())
-                        .select("successor", F.lit(1).cast("bigint").alias("weight")))
-    incoming = (reduce(DataFrame.unionByName, incoming).where(F.col("successor").isNotNull())
-                .groupBy(F.col("successor").alias("code")).agg(F.sum("weight").alias("arrived")))
-    return {"untouched": untouched, "adds": adds, "moves": moves,
-            "drops": events.where(F.col("kind") == "drop").select("code"), "incoming": cut_lineage(incoming)}
-
-
-def _is_drop(code: Column) -> Column:
-    return F.pmod(code, F.lit(2)) == 1
-
-
-def _settled_counts(moves: DataFrame, incoming: DataFrame) -> DataFrame:
-    """(row, count) for the updates at whose after image rows come to rest."""
-    fresh = F.when(F.col("arrived").isNull(), 1).otherwise(F.col("arrived")).cast("bigint").alias("weight")
-    nodes = moves.join(incoming, "code", "left").select("code", "row", "successor", fresh)
-    targets = nodes.where(~_is_drop(F.col("successor"))).select(F.col("successor").alias("code")).distinct()
-    # An update nobody points to hands its rows on at once, summed per successor; only the others need doubling.
-    outer = nodes.join(targets, "code", "left_anti")
-    handed = (outer.where(~_is_drop(F.col("successor"))).groupBy(F.col("successor").alias("code"))
-              .agg(F.sum("weight").alias("handed")))
-    inner = cut_lineage(nodes.join(targets, "code", "left_semi").join(handed, "code", "left")
-                        .withColumn("weight", F.col("weight") + F.coalesce("handed", F.lit(0))).drop("handed"))
-    hop = F.when(~_is_drop(F.col("successor")), F.col("successor"))
-    state = inner.select("code", F.col("code").alias("root"), hop.alias("hop"),
-                         F.coalesce(_is_drop(F.col("successor")), F.lit(False)).alias("gone"))
+        rows, met = base.select(*columns), base.select(*columns)
+        if always:
+            # The columns that every before image tests tell at once which base rows no event can match.
+            keys = events.where(F.col("kind") != ADD).select(*[F.col(f"was.{c}").alias(f"_k{i}") for i, c in enumerate(always)]).distinct()
+            same = _all([F.col(c) == F.col(f"_k{i}") for i, c in enumerate(always)])
+            untouched, met = rows.join(keys, same, "left_anti"), rows.join(keys, same, "left_semi")
+        counted = met.groupBy(*columns).agg(F.count("*").alias("born")).select(F.struct(*columns).alias("row"), "born")
+        classes = _own_ids(counted.select("born", _pick("row", tested).alias("values"), _writes(payload, "row").alias("writes")), 0)
+    nodes, updates = _grow(events, classes, tested, payload, stretch)
+    hits, inserted = _settled(nodes, bool(shape["partial"]))
+    # An update without visitors puts one row at its own node: that of its whole image, or of the row it inserts.
+    alone = updates.where(F.col("kind") == FULL).join(hits, "code", "left_anti").select(F.col("code").alias("id")).unionByName(inserted)
+    nodes = nodes.join(alone.withColumn("_alone", F.lit(1).cast("bigint")), "id", "left").withColumn(
+        "born", F.coalesce("born", "_alone", F.lit(0).cast("bigint"))).drop("_alone")
+    return Trace(nodes, updates, events.where(F.col("kind") == DROP).select("code"), hits, untouched, tested, payload)
+
+
+def _resting(traced: Trace) -> DataFrame:
+    """(values, writes, count) of the rows that are left, at the ends of their ways."""
+    nodes, payload = traced.nodes, traced.payload
+    targets = nodes.where(F.col("target").isNotNull()).select(F.col("target").alias("id")).distinct()
+    # A node nobody comes to hands its rows on at once, summed per target and writes; only the others need doubling.
+    outer = nodes.join(targets, "id", "left_anti").where(F.col("born") > 0)
+    at_rest = outer.where(F.col("successor").isNull()).select("values", "writes", F.col("born").alias("count"))
+    handed = outer.where(F.col("target").isNotNull()).groupBy(F.col("target").alias("id"), F.col("writes").alias("brought")).agg(F.sum("born").alias("count"))
+    inner = cut_lineage(nodes.join(targets, "id", "left_semi").select("id", "target", "gone", "values", "writes", "born"))
+    nothing = F.lit(None).cast(inner.schema["writes"].dataType)
+    handed = handed.unionByName(inner.where(F.col("born") > 0).select("id", nothing.alias("brought"), F.col("born").alias("count")))
+    state = inner.select("id", F.col("id").alias("root"), F.col("target").alias("hop"), "gone", "writes")
     while state.where(F.col("hop").isNotNull()).limit(1).count():
-        ahead = state.select(F.col("code").alias("hop"), F.col("root").alias("_root"),
-                             F.col("hop").alias("_hop"), F.col("gone").alias("_gone"))
+        ahead = state.select(F.col("id").alias("hop"), F.col("root").alias("_root"), F.col("hop").alias("_hop"),
+                             F.col("gone").alias("_gone"), F.col("writes").alias("_writes"))
         jumped = (state.where(F.col("hop").isNotNull()).join(ahead, "hop")
-                  .select("code", F.col("_root").alias("root"), F.col("_hop").alias("hop"), F.col("_gone").alias("gone")))
+                  .select("id", F.col("_root").alias("root"), F.col("_hop").alias("hop"), F.col("_gone").alias("gone"),
+                          _later("writes", "_writes", payload).alias("writes")))
         state = cut_lineage(state.where(F.col("hop").isNull()).unionByName(jumped))
-    at_root = (state.where(~F.col("gone")).select("code", "root").join(inner.select("code", "weight"), "code")
-               .groupBy(F.col("root").alias("code")).agg(F.sum("weight").alias("count")))
-    return (at_root.join(inner.select("code", "row"), "code").select("row", "count")
-            .unionByName(outer.where(F.col("successor").isNull()).select("row", F.col("weight").alias("count"))))
+    ended = (handed.join(state.where(~F.col("gone")), "id").select("root", _later("brought", "writes", payload).alias("writes"), "count")
+             .groupBy("root", "writes").agg(F.sum("count").alias("count"))
+             .join(inner.select(F.col("id").alias("root"), "values"), "root"))
+    return at_rest.unionByName(ended.select("values", "writes", "count"))
 
 
 def _repeat_rows(counted: DataFrame, columns: Sequence[str], chunk: int = _CHUNK) -> DataFrame:
@@ -182,18 +288,18 @@ def _repeat_rows(counted: DataFrame, columns: Sequence[str], chunk: int = _CHUNK
 
 def apply_unkeyed(base: DataFrame | None, typed: DataFrame, order_col: str = "seq",
                   stretch: int = DEFAULT_STRETCH) -> DataFrame:
-    """Current bag of rows from a base table and typed changes; positions are integers >= 0."""
+    """Current bag of rows from a base table and typed changes; positions are integers >= 0.
+
+    Columns that an inserted image leaves out are null; an update leaves them as they are.
+    """
     columns = base.columns if base is not None else typed.schema["after"].dataType.names
     traced = _trace(base, typed, columns, order_col, stretch)
-    staying = traced["adds"]
-    if traced["moves"] is not None:
-        staying = staying.where(F.col("successor").isNull())
-    result = staying.select(*[F.col(f"row.{c}").alias(c) for c in columns])
-    if traced["untouched"] is not None:
-        result = traced["untouched"].select(*columns).unionByName(result)
-    if traced["moves"] is not None:
-        result = result.unionByName(_repeat_rows(_settled_counts(traced["moves"], traced["incoming"]), columns))
-    return result
+    if isinstance(traced, DataFrame):
+        added = traced.select(*[F.col(f"row.{c}").alias(c) for c in columns])
+        return added if base is None else base.select(*columns).unionByName(added)
+    held = {c: F.col(f"values.{c}") for c in traced.tested} | {c: F.col(f"writes.{c}.v") for c in traced.payload}
+    result = _repeat_rows(_resting(traced).select(F.struct(*[held[c].alias(c) for c in columns]).alias("row"), "count"), columns)
+    return result if traced.untouched is None else traced.untouched.unionByName(result)
 
 
 def unkeyed_noop_events(base: DataFrame | None, typed: DataFrame, order_col: str = "seq",
@@ -201,10 +307,9 @@ def unkeyed_noop_events(base: DataFrame | None, typed: DataFrame, order_col: str
     """(order_col, reason): deletes that met no row, and updates that inserted because they met none."""
     columns = base.columns if base is not None else typed.schema["after"].dataType.names
     traced = _trace(base, typed, columns, order_col, stretch)
-    position = F.floor(F.col("code") / 2).cast("bigint").alias(order_col)
-    if traced["incoming"] is None:
+    if isinstance(traced, DataFrame):
         return typed.sparkSession.createDataFrame([], f"{order_col} bigint, reason string")
-    missed = traced["drops"].join(traced["incoming"], "code", "left_anti").select(position, F.lit("no_row").alias("reason"))
-    fell_back = (traced["moves"].join(traced["incoming"], "code", "left_anti")
-                 .select(position, F.lit("update_inserted").alias("reason")))
+    position = F.floor(F.col("code") / 8).cast("bigint").alias(order_col)
+    missed = traced.drops.join(traced.hits, "code", "left_anti").select(position, F.lit("no_row").alias("reason"))
+    fell_back = traced.updates.join(traced.hits, "code", "left_anti").select(position, F.lit("update_inserted").alias("reason"))
     return missed.unionByName(fell_back)
