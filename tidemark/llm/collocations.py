@@ -5,9 +5,10 @@
    phrase can hold (rarer words, and words without a neighbour) becomes a break. A shard is kept as a bidirectional
    index: the Burrows-Wheeler transforms of its words and of its words reversed, with the words' hashes and texts.
 3. A phrase is an interval of each transform. All intervals of one word are extended to the left, which counts every
-   pair; sums over the shards give the frequent pairs, which set bits in a second bitmap.
-4. Frequent pairs are extended to the right word by word, up to `longest`, as long as every pair inside is frequent.
-   Sums over shards, cut at `least`, are the exact counts of all phrases.
+   pair. Sums over the shards, in a table of 2^PAIR_BITS counters that is spread over tasks, tell which pairs may be
+   frequent; these set bits in a second bitmap.
+4. Such pairs are extended to the right word by word, up to `longest`, as long as every pair inside has its bit. Sums
+   over shards, cut at `least`, are the exact counts of all phrases.
 5. Cuts are looked up in these counts and scored; a phrase goes if an extension to the left or right is as frequent.
 
 Suffixes are sorted by `longest` words and no further: that is as deep as intervals are ever followed. The bitmaps only
@@ -27,6 +28,7 @@ from hashlib import sha256
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +40,8 @@ LEAST, LONGEST, TOP, SCALE = 100, 5, 2000, 1000
 SHARD_WORDS, BUFFER_WORDS, COUNT_WORDS = 1_000_000, 3_000_000, 2_000_000
 #: Bits of a bitmap, and of a block of it.
 BITS, BLOCK_BITS = 1 << 26, 1 << 16
+#: Bits of a pair's hash that choose its counter; 24 of them within a table of one task.
+PAIR_BITS = 32
 BROADCAST_ROWS = 500_000
 
 _MARK = np.isin(np.arange(256), list(PIECE_MARKS))
@@ -101,26 +105,22 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 # --- bitmaps -------------------------------------------------------------------------------------------------
 
-def bit_of(lang: str, *words: np.ndarray) -> np.ndarray:
-    """The bit that a word, or words in a row, have in the bitmap."""
+def hash_of(lang: str, *words: np.ndarray) -> np.ndarray:
+    """One hash of the language and words in a row."""
     h = np.full(len(words[0]), int.from_bytes(sha256(lang.encode()).digest()[:8], "big"), np.uint64)
     for w in words:
         h = mix(h * np.uint64(0x9E3779B97F4A7C15) + w)
-    return (h & np.uint64(BITS - 1)).astype(np.int64)
+    return h
 
 
-def bitmap(rows: DataFrame, columns: list[str]) -> np.ndarray:
-    """Bits of all rows (lang, hashes); the driver gets BITS bits, whatever the number of rows."""
+def bitmap(keys: DataFrame) -> np.ndarray:
+    """Bits of all rows (key: hash as bigint); the driver gets BITS bits, whatever the number of rows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = None
         for batch in batches:
             if bits is None:
                 bits = np.zeros(BITS, bool)
-            langs = batch.column("lang").dictionary_encode()
-            code, names = langs.indices.to_numpy(zero_copy_only=False), langs.dictionary.to_pylist()
-            hashes = [batch.column(c).to_numpy(zero_copy_only=False).view(np.uint64) for c in columns]
-            for i, lang in enumerate(names):
-                bits[bit_of(lang, *[h[code == i] for h in hashes])] = True
+            bits[batch.column(0).to_numpy(zero_copy_only=False) & (BITS - 1)] = True
         if bits is not None:
             blocks = bits.reshape(-1, BLOCK_BITS)
             set_ = np.flatnonzero(blocks.any(axis=1))
@@ -131,13 +131,26 @@ def bitmap(rows: DataFrame, columns: list[str]) -> np.ndarray:
         return pd.DataFrame({"block": [part["block"].iloc[0]], "bits": [both.tobytes()]})
 
     out = np.zeros((BITS // BLOCK_BITS, BLOCK_BITS // 8), np.uint8)
-    parts = rows.select("lang", *columns).mapInArrow(run, "block bigint, bits binary")
+    parts = keys.mapInArrow(run, "block bigint, bits binary")
     for row in parts.groupBy("block").applyInPandas(merged, "block bigint, bits binary").toLocalIterator():
         out[row.block] = np.frombuffer(row.bits, np.uint8)
     return out.reshape(-1)
 
 
-def has_bit(bits: np.ndarray, at: np.ndarray) -> np.ndarray:
+def word_keys(words: DataFrame) -> DataFrame:
+    """(key) of words (lang, h)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            langs = batch.column("lang").dictionary_encode()
+            code, h = langs.indices.to_numpy(zero_copy_only=False), batch.column("h").to_numpy(zero_copy_only=False).view(np.uint64)
+            for i, lang in enumerate(langs.dictionary.to_pylist()):
+                yield pa.RecordBatch.from_arrays([pa.array(hash_of(lang, h[code == i]).view(np.int64))], names=["key"])
+
+    return words.select("lang", "h").mapInArrow(run, "key bigint")
+
+
+def has_bit(bits: np.ndarray, key: np.ndarray) -> np.ndarray:
+    at = (key & np.uint64(BITS - 1)).astype(np.int64)
     return (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
 
 
@@ -272,7 +285,7 @@ def build_shards(docs: DataFrame, frequent: np.ndarray, depth: int, shard_words:
         for batch in batches:
             for lang, texts in by_language(batch):
                 words, h, joined = hashed_words(texts)
-                buffers.setdefault(lang, _Buffer(lang)).add(words, h, joined, has_bit(shared.value, bit_of(lang, h)))
+                buffers.setdefault(lang, _Buffer(lang)).add(words, h, joined, has_bit(shared.value, hash_of(lang, h)))
                 if buffers[lang].size >= shard_words:
                     yield buffers.pop(lang).shard(depth)
                 while sum(b.size for b in buffers.values()) > BUFFER_WORDS:
@@ -296,42 +309,98 @@ def _over_shards(shards: DataFrame, function: Callable, schema: str) -> DataFram
     return shards.select("lang", "hashes", "forward", "backward", "wide").mapInArrow(function, schema)
 
 
-def pair_counts(shards: DataFrame) -> DataFrame:
-    """(lang, a, b, n) of every pair of every shard, not yet summed: the words extended to the left."""
+def pack_counts(key: np.ndarray, n: np.ndarray) -> bytes:
+    """Ascending 24-bit keys and their counts in about two bytes each: differences and counts, byte plane by byte plane."""
+    planes = [np.diff(key, prepend=0).astype("<u4").view(np.uint8).reshape(-1, 4).T[:3], n.astype("<u2").view(np.uint8).reshape(-1, 2).T]
+    return zstandard.ZstdCompressor(1).compress(np.concatenate(planes).tobytes())
+
+
+def unpack_counts(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(5, -1).astype(np.uint32)
+    return np.cumsum(planes[0] | planes[1] << 8 | planes[2] << 16), planes[3] | planes[4] << 8
+
+
+def frequent_pairs(shards: DataFrame, least: int) -> DataFrame:
+    """(key) of all pairs of at least `least` occurrences, and of some others.
+
+    The words of every shard are extended to the left, which counts its pairs. Their hashes are cut to PAIR_BITS; counts
+    of equal ones are summed in tables of 2^24 counters, one range of hashes after the other. A pair that shares its
+    counter may pass with too few occurrences, none is lost.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, hashes, index in _indexes(batches):
             of, word, _, _, size = index.left(*index.words())
-            signed = hashes.view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array([lang]).take(pa.array(np.zeros(len(of), np.int64))), pa.array(signed[word - 1]), pa.array(signed[of]), pa.array(size)],
-                                             names=["lang", "a", "b", "n"])
-
-    return _over_shards(shards, run, "lang string, a bigint, b bigint, n bigint")
-
+            if not len(of):
+                continue
+            key = hash_of(lang, hashes[word - 1], hashes[of]) & np.uint64((1 << PAIR_BITS) - 1)
+            by = np.argsort(key)
+            key, first = np.unique(key[by], return_index=True)
+            n = np.minimum(np.add.reduceat(np.minimum(size[by], least), first), 1 << 15)
+            part, low = (key >> np.uint64(24)).astype(np.int64), (key & np.uint64((1 << 24) - 1)).astype(np.int64)
+            parts, at = np.unique(part, return_index=True)
+            ends = np.append(at[1:], len(part))
+            yield pa.RecordBatch.from_arrays([pa.array(parts), pa.array([pack_counts(low[i:j], n[i:j]) for i, j in zip(at, ends, strict=True)], pa.binary())], names=["part", "counts"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, table = None, np.zeros(1 << 24, np.uint32)
+
+        def passed() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(table >= least) + (now << 24))], names=["key"])
 
-def longer_counts(shards: DataFrame, pairs: np.ndarray, longest: int) -> DataFrame:
-    """(lang, g, n) of the phrases of 3 to `longest` words of every shard whose pairs are all in the bitmap `pairs`."""
+        for batch in batches:
+            for part, data in zip(batch.column("part").to_pylist(), batch.column("counts").to_pylist(), strict=True):
+                if part != now:
+                    if now is not None:
+                        yield passed()
+                        table[:] = 0
+                    now = part
+                key, n = unpack_counts(data)
+                table[key] += n
+        if now is not None:
+            yield passed()
+
+    blocks = _over_shards(shards, run, "part bigint, counts binary")
+    return blocks.repartition("part").sortWithinPartitions("part").mapInArrow(add, "key bigint")
+
+
+def phrase_shares(shards: DataFrame, pairs: np.ndarray, longest: int) -> DataFrame:
+    """(lang, g, n) of the phrases of 2 to `longest` words of every shard whose pairs are all in the bitmap `pairs`."""
     shared = shards.sparkSession.sparkContext.broadcast(pairs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, hashes, index in _indexes(batches):
             of, word, low, back, size = index.left(*index.words())
-            keep = has_bit(shared.value, bit_of(lang, hashes[word - 1], hashes[of]))
-            phrase = np.stack([word[keep], of[keep] + 1], axis=1)
-            low, back, size = low[keep], back[keep], size[keep]
-            for width in range(3, longest + 1):
-                of, word, low, back, size = index.right(low, back, size)
-                keep = has_bit(shared.value, bit_of(lang, hashes[phrase[of, -1] - 1], hashes[word - 1]))
-                phrase = np.concatenate([phrase[of[keep]], word[keep, None]], axis=1)
-                low, back, size = low[keep], back[keep], size[keep]
+            phrase = np.stack([word, of + 1], axis=1)
+            keep = has_bit(shared.value, hash_of(lang, hashes[word - 1], hashes[of]))
+            for width in range(2, longest + 1):
+                phrase, low, back, size = phrase[keep], low[keep], back[keep], size[keep]
                 if not len(size):
                     break
                 flat = pa.array(hashes.view(np.int64)[phrase - 1].reshape(-1))
                 grams = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, width), pa.int32()), flat)
                 yield pa.RecordBatch.from_arrays([pa.array([lang]).take(pa.array(np.zeros(len(size), np.int64))), grams, pa.array(size)], names=["lang", "g", "n"])
+                if width < longest:
+                    of, word, low, back, size = index.right(low, back, size)
+                    keep = has_bit(shared.value, hash_of(lang, hashes[phrase[of, -1] - 1], hashes[word - 1]))
+                    phrase = np.concatenate([phrase[of], word[:, None]], axis=1)
 
     return _over_shards(shards, run, "lang string, g array<bigint>, n bigint")
 
 
+def texts_of(shards: DataFrame, words: DataFrame) -> DataFrame:
+    """(lang, h, word) of the words (lang, h) and some others, from the shards that hold them."""
+    shared = shards.sparkSession.sparkContext.broadcast(bitmap(word_keys(words)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lang, data, texts in zip(*(batch.column(c).to_pylist() for c in ("lang", "hashes", "texts")), strict=True):
+                h = np.frombuffer(data, np.uint64)
+                at = np.flatnonzero(has_bit(shared.value, hash_of(lang, h)))
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at)), pa.array(h[at].view(np.int64)), pa.array([texts[i] for i in at], pa.string())], names=["lang", "h", "word"])
+
+    return shards.select("lang", "hashes", "texts").mapInArrow(run, "lang string, h bigint, word string")
+
+
 # --- phrases -------------------------------------------------------------------------------------------------
 
 @contextmanager
@@ -351,16 +420,14 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, s
     spark = docs.sparkSession
     bounded_batches(spark)
     words = written(word_counts(docs).where((F.col("n") >= least) | F.col("h").isNull()), "words")
-    frequent = bitmap(words.where("h IS NOT NULL"), ["h"])
+    frequent = bitmap(word_keys(words.where("h IS NOT NULL")))
     shards = written(build_shards(docs, frequent, longest, shard_words), "fm-shards")
     with _single_rows(spark):
-        pairs = pair_counts(shards).groupBy("lang", "a", "b").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-        pairs = written(pairs, "pairs")
-    bits = bitmap(pairs, ["a", "b"])
+        pairs = written(frequent_pairs(shards, least), "pair-keys")
+    bits = bitmap(pairs)
     with _single_rows(spark):
-        longer = longer_counts(shards, bits, longest).groupBy("lang", "g").agg(F.sum("n").alias("a")).where(F.col("a") >= least)
-        longer = written(longer, "phrases")
-    return words, pairs.select("lang", F.array("a", "b").alias("g"), F.col("n").alias("a")).unionByName(longer), shards
+        phrases = written(phrase_shares(shards, bits, longest).groupBy("lang", "g").agg(F.sum("n").alias("a")).where(F.col("a") >= least), "phrases")
+    return words, phrases, shards
 
 
 def scored(words: DataFrame, phrases: DataFrame) -> DataFrame:
@@ -391,10 +458,10 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, to
     first = written(scored(words, phrases).withColumn("_at", F.expr("rank() OVER (PARTITION BY lang ORDER BY score DESC, a DESC)")).where(F.col("_at") <= top).withColumn(
         "_id", F.monotonically_increasing_id()), "first-phrases")
     used = first.select("_id", "lang", F.posexplode("g").alias("i", "h"))
-    # The shards hold the texts of their words.
-    hashes = F.udf(lambda b: np.frombuffer(b, np.int64).tolist(), "array<bigint>")
-    texts = shards.select("lang", F.inline(F.arrays_zip(hashes("hashes").alias("h"), F.col("texts").alias("word"))))
-    named = texts.join(few_rows(used.select("lang", "h").distinct(), BROADCAST_ROWS), ["lang", "h"]).groupBy("lang", "h").agg(F.min("word").alias("word"), F.max("word").alias("last"))
+    needed = used.select("lang", "h").distinct()
+    with _single_rows(docs.sparkSession):
+        texts = written(texts_of(shards, needed), "texts")
+    named = texts.join(few_rows(needed, BROADCAST_ROWS), ["lang", "h"]).groupBy("lang", "h").agg(F.min("word").alias("word"), F.max("word").alias("last"))
     named = written(named.select("lang", "h", F.when(F.col("word") == F.col("last"), F.col("word")).otherwise(F.raise_error(F.lit("two words of one hash"))).alias("word")), "words-named")
     phrase = used.join(named, ["lang", "h"]).groupBy("_id").agg(F.concat_ws(" ", F.transform(F.sort_array(F.collect_list(F.struct("i", "word"))), lambda x: x["word"])).alias("phrase"))
     ranked = first.join(phrase, "_id").withColumn("rank", F.expr("row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)"))
