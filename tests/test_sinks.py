@@ -3,6 +3,7 @@
 import pytest
 
 from tidemark.operators.catalog import catalog_query
+from tidemark.sources.bucket_store import alive_query, guarded_merge_statement, purge_statement
 from tidemark.sources.jdbc import delete_statement, merge_statement, read_table
 from tidemark.sources.table_store import merge_into_statement, merge_partial_statement
 
@@ -36,6 +37,16 @@ def test_partial_merge_parses(spark):
     parser.parsePlan(merge_partial_statement("db.t", "changes", ["id"], ["id"]))
 
 
+@pytest.mark.parametrize("partial", [False, True])
+@pytest.mark.parametrize("columns", [["id", "a", "b"], ["id"]])
+def test_guarded_merge_parses(spark, partial, columns):
+    parser = spark._jsparkSession.sessionState().sqlParser()
+    plan = parser.parsePlan(guarded_merge_statement("db.t", "changes", columns, ["id"], partial)).toString()
+    assert "MergeIntoTable" in plan and "_removed" in plan and "greatest" in plan
+    assert "DeleteFromTable" in parser.parsePlan(purge_statement("db.t", 50)).toString()
+    parser.parsePlan(alive_query("db.t", columns, ["id"], partial))
+
+
 def test_catalog_query_keeps_sizes_in_range():
     assert "tinyint(1)%' THEN 1" in catalog_query("mysql", "x") and "2147483647" in catalog_query("postgresql", "x")
 

@@ -49,10 +49,10 @@ def rejected_events(typed: DataFrame, keys: Sequence[str], order_col: str = "seq
 
 
 def latest_per_key(typed: DataFrame, keys: Sequence[str], columns: Sequence[str],
-                   order_col: str = "seq", scope: Sequence[str] = ()) -> DataFrame:
+                   order_col: str = "seq", scope: Sequence[str] = (), position: str | None = None) -> DataFrame:
     """Last event of each key as keys, `deleted` and the other columns. Complete images only.
 
-    `scope` adds grouping columns (such as the table name) in front of the key.
+    `scope` adds grouping columns (such as the table name) in front of the key, `position` the event's position.
     """
     others = [c for c in columns if c not in keys]
     deleted = (F.col("action") == DELETE).alias("deleted")
@@ -60,8 +60,8 @@ def latest_per_key(typed: DataFrame, keys: Sequence[str], columns: Sequence[str]
     payload = F.struct(deleted, *[F.when(F.col("action") != DELETE, F.col(f"after.{c}")).alias(c) for c in others])
     return (applicable(typed, keys)
             .select(*scope, *_key_columns(keys), F.col(order_col).alias("_position"), payload.alias("_payload"))
-            .groupBy(*scope, *keys).agg(F.max_by("_payload", "_position").alias("_last"))
-            .select(*scope, *keys, "_last.*"))
+            .groupBy(*scope, *keys).agg(F.max_by("_payload", "_position").alias("_last"), *([F.max("_position").alias(position)] if position else []))
+            .select(*scope, *keys, "_last.*", *([position] if position else [])))
 
 
 def apply_changes(base: DataFrame | None, typed: DataFrame, keys: Sequence[str], order_col: str = "seq",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,6 +31,36 @@ def event_counts(events: DataFrame, order_col: str = "seq", time_col: str | None
             .withColumn("last_phase", F.when(F.col("last_streamed") == 0, "SNAPSHOT").when(F.col("last_streamed") == 1, "CDC")).drop("last_streamed"))
 
 
+_NUMBERS = ["snapshot_rows", "inserts", "updates", "deletes"]
+
+
+def progress_state(events: DataFrame, order_col: str = "seq", time_col: str | None = None) -> DataFrame:
+    """Per table what `event_counts` gives, in a form that merges: counts add up, the phase goes with the highest position."""
+    kind = F.col("counted_as")
+    counted = kind.isNotNull()
+    position = F.when(counted, F.col(order_col))
+    last = F.max(F.when(counted, F.col(time_col))) if time_col else F.lit(None).cast("timestamp")
+    return events.groupBy("table").agg(
+        *[F.count_if(kind == k).alias(c) for k, c in zip(("SNAPSHOT", "INSERT", "UPDATE", "DELETE"), _NUMBERS)],
+        F.max(position).cast("bigint").alias("last_position"), F.max_by((kind != "SNAPSHOT").cast("int"), position).alias("last_streamed"),
+        F.max((F.col("stage") == "stream").cast("int")).alias("streaming_seen"), last.cast("timestamp").alias("last_event"))
+
+
+def merge_progress(*states: DataFrame) -> DataFrame:
+    """One state from the states of parts of a log, in whatever order they come."""
+    both = reduce(DataFrame.unionByName, states)
+    return both.groupBy("table").agg(
+        *[F.sum(c).alias(c) for c in _NUMBERS], F.max("last_position").alias("last_position"),
+        F.max_by("last_streamed", "last_position").alias("last_streamed"), F.max("streaming_seen").alias("streaming_seen"), F.max("last_event").alias("last_event"))
+
+
+def progress_of(state: DataFrame, registered: DataFrame | None = None, totals: DataFrame | None = None) -> DataFrame:
+    """As `progress`, from a state."""
+    phase = F.when(F.col("last_streamed") == 0, "SNAPSHOT").when(F.col("last_streamed") == 1, "CDC")
+    counts = state.withColumn("last_phase", phase).withColumn("streaming_seen", F.col("streaming_seen") == 1).drop("last_streamed", "last_position")
+    return _finish(counts, registered, totals)
+
+
 def progress(events: DataFrame, registered: DataFrame | None = None, totals: DataFrame | None = None,
              order_col: str = "seq", time_col: str | None = None) -> DataFrame:
     """One row per table: counts, changes, phase, and with `totals` (table, total) the snapshot share.

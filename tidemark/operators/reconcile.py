@@ -7,8 +7,9 @@ from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.decode import normal_key_type
 
@@ -33,6 +34,18 @@ def remove_orphans(target: DataFrame, source: DataFrame, keys: Sequence[str]) ->
     return left.join(right, right.columns, "left_semi").select(*target.columns)
 
 
+def remove_orphans_observed(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Observation]:
+    """As `remove_orphans`, with the number of rows taken out: `get["removed"]` of the observation, once the result was written.
+
+    Each target row learns by one join whether the source has its key; the number is counted as rows go by.
+    """
+    left, right = key_pairs(target, source, keys)
+    there = right.where(reduce(Column.__and__, [F.col(k) == left[k].outer() for k in right.columns])).exists()
+    seen = Observation()
+    marked = left.select(*target.columns, there.alias("_there")).observe(seen, F.count_if(~F.col("_there")).alias("removed"))
+    return marked.where("_there").select(*target.columns), seen
+
+
 def count_removed(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> int:
     """How many rows `remove_orphans` takes out."""
     return orphan_rows(target, source, keys).count()
@@ -98,13 +111,16 @@ def reconcile_counts(source_tables: Mapping[str, DataFrame], target_tables: Mapp
 def latest_rows(rows: DataFrame, by: str, per: Sequence[str] = (), n: int = 3) -> DataFrame:
     """The n rows with the highest `by` per group (or overall), with their `rank`.
 
-    The bounded rank lets Spark keep n rows per group in every task before the shuffle, so a group may
-    be of any size.
+    Of rows with equal `by`, those with smaller values in the other columns come first, in the order of the columns
+    and nulls before values, so the rows at the cut are the same in every run. The bounded rank lets Spark keep n rows
+    per group in every task before the shuffle, so a group may be of any size.
     """
+    ties = [F.col(f.name).asc() for f in rows.schema.fields if f.name not in (by, *per) and not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    order = [F.col(by).desc(), *ties]
     if not per:
-        top = rows.orderBy(F.col(by).desc()).limit(n)
-        return top.withColumn("rank", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy(F.col(by).desc())))
-    window = Window.partitionBy(*per).orderBy(F.col(by).desc())
+        top = rows.orderBy(*order).limit(n)
+        return top.withColumn("rank", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy(*order)))
+    window = Window.partitionBy(*per).orderBy(*order)
     return rows.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= n)
 
 
