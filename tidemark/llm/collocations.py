@@ -37,11 +37,11 @@ from tidemark.llm.common import SLICE_BYTES, Words, bounded_batches, few_rows, m
 #: Marks that end a piece; words end at these, at spaces and at tabs.
 PIECE_MARKS = b".,;:!?\n\x0b\x0c\r"
 LEAST, LONGEST, TOP, SCALE = 100, 5, 2000, 1000
-SHARD_WORDS, BUFFER_WORDS, COUNT_WORDS = 1_000_000, 3_000_000, 2_000_000
+SHARD_WORDS, BUFFER_WORDS, COUNT_WORDS = 500_000, 1_500_000, 1_000_000
 #: Bits of a bitmap, and of a block of it.
 BITS, BLOCK_BITS = 1 << 26, 1 << 16
-#: Bits of a pair's hash that choose its counter; 24 of them within a table of one task.
-PAIR_BITS = 32
+#: Bits of a pair's hash that choose its counter, and those of them within a table of one task.
+PAIR_BITS, TABLE_BITS = 32, 22
 BROADCAST_ROWS = 500_000
 
 _MARK = np.isin(np.arange(256), list(PIECE_MARKS))
@@ -310,7 +310,7 @@ def _over_shards(shards: DataFrame, function: Callable, schema: str) -> DataFram
 
 
 def pack_counts(key: np.ndarray, n: np.ndarray) -> bytes:
-    """Ascending 24-bit keys and their counts in about two bytes each: differences and counts, byte plane by byte plane."""
+    """Ascending keys of up to 24 bits and their counts in about two bytes each: differences and counts, byte plane by byte plane."""
     planes = [np.diff(key, prepend=0).astype("<u4").view(np.uint8).reshape(-1, 4).T[:3], n.astype("<u2").view(np.uint8).reshape(-1, 2).T]
     return zstandard.ZstdCompressor(1).compress(np.concatenate(planes).tobytes())
 
@@ -324,7 +324,7 @@ def frequent_pairs(shards: DataFrame, least: int) -> DataFrame:
     """(key) of all pairs of at least `least` occurrences, and of some others.
 
     The words of every shard are extended to the left, which counts its pairs. Their hashes are cut to PAIR_BITS; counts
-    of equal ones are summed in tables of 2^24 counters, one range of hashes after the other. A pair that shares its
+    of equal ones are summed in tables of 2^TABLE_BITS counters, one range of hashes after the other. A pair that shares its
     counter may pass with too few occurrences, none is lost.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -336,16 +336,16 @@ def frequent_pairs(shards: DataFrame, least: int) -> DataFrame:
             by = np.argsort(key)
             key, first = np.unique(key[by], return_index=True)
             n = np.minimum(np.add.reduceat(np.minimum(size[by], least), first), 1 << 15)
-            part, low = (key >> np.uint64(24)).astype(np.int64), (key & np.uint64((1 << 24) - 1)).astype(np.int64)
+            part, low = (key >> np.uint64(TABLE_BITS)).astype(np.int64), (key & np.uint64((1 << TABLE_BITS) - 1)).astype(np.int64)
             parts, at = np.unique(part, return_index=True)
             ends = np.append(at[1:], len(part))
             yield pa.RecordBatch.from_arrays([pa.array(parts), pa.array([pack_counts(low[i:j], n[i:j]) for i, j in zip(at, ends, strict=True)], pa.binary())], names=["part", "counts"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, table = None, np.zeros(1 << 24, np.uint32)
+        now, table = None, np.zeros(1 << TABLE_BITS, np.uint32)
 
         def passed() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(table >= least) + (now << 24))], names=["key"])
+            return pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(table >= least) + (now << TABLE_BITS))], names=["key"])
 
         for batch in batches:
             for part, data in zip(batch.column("part").to_pylist(), batch.column("counts").to_pylist(), strict=True):
