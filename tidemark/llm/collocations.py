@@ -37,7 +37,7 @@ from tidemark.llm.common import SLICE_BYTES, Words, bounded_batches, few_rows, m
 #: Marks that end a piece; words end at these, at spaces and at tabs.
 PIECE_MARKS = b".,;:!?\n\x0b\x0c\r"
 LEAST, LONGEST, TOP, SCALE = 100, 5, 2000, 1000
-SHARD_WORDS, BUFFER_WORDS, COUNT_WORDS = 500_000, 1_500_000, 1_000_000
+SHARD_WORDS, BUFFER_WORDS, COUNT_WORDS, COMBINED_ROWS = 500_000, 1_500_000, 1_000_000, 1_000_000
 #: Bits of a bitmap, and of a block of it.
 BITS, BLOCK_BITS = 1 << 26, 1 << 16
 #: Bits of a pair's hash that choose its counter, and those of them within a table of one task.
@@ -363,11 +363,41 @@ def frequent_pairs(shards: DataFrame, least: int) -> DataFrame:
     return blocks.repartition("part").sortWithinPartitions("part").mapInArrow(add, "key bigint")
 
 
+class _Sums:
+    """Counts of phrases of the shards that a task has read, up to about COMBINED_ROWS of them."""
+
+    def __init__(self):
+        self.parts: dict[tuple[str, int], list[tuple[np.ndarray, np.ndarray]]] = {}
+        self.rows = 0
+
+    def add(self, lang: str, phrases: np.ndarray, n: np.ndarray) -> None:
+        self.parts.setdefault((lang, phrases.shape[1]), []).append((phrases, n))
+        self.rows += len(n)
+
+    def combine(self) -> None:
+        for (lang, width), parts in self.parts.items():
+            if len(parts) > 1:
+                rows = np.ascontiguousarray(np.concatenate([p for p, _ in parts]))
+                _, first, group = np.unique(rows.view(f"V{8 * width}").reshape(-1), return_index=True, return_inverse=True)
+                total = np.bincount(group, weights=np.concatenate([n for _, n in parts])).astype(np.int64)
+                self.parts[lang, width] = [(rows[first], total)]
+        self.rows = sum(len(n) for parts in self.parts.values() for _, n in parts)
+
+    def taken(self) -> Iterator[pa.RecordBatch]:
+        for (lang, width), parts in self.parts.items():
+            for phrases, n in parts:
+                flat = pa.array(phrases.view(np.int64).reshape(-1))
+                grams = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, width), pa.int32()), flat)
+                yield pa.RecordBatch.from_arrays([pa.array([lang]).take(pa.array(np.zeros(len(n), np.int64))), grams, pa.array(n)], names=["lang", "g", "n"])
+        self.parts, self.rows = {}, 0
+
+
 def phrase_shares(shards: DataFrame, pairs: np.ndarray, longest: int) -> DataFrame:
-    """(lang, g, n) of the phrases of 2 to `longest` words of every shard whose pairs are all in the bitmap `pairs`."""
+    """(lang, g, n) of the phrases of 2 to `longest` words whose pairs are all in the bitmap `pairs`, summed by task."""
     shared = shards.sparkSession.sparkContext.broadcast(pairs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = _Sums()
         for lang, hashes, index in _indexes(batches):
             of, word, low, back, size = index.left(*index.words())
             phrase = np.stack([word, of + 1], axis=1)
@@ -376,13 +406,17 @@ def phrase_shares(shards: DataFrame, pairs: np.ndarray, longest: int) -> DataFra
                 phrase, low, back, size = phrase[keep], low[keep], back[keep], size[keep]
                 if not len(size):
                     break
-                flat = pa.array(hashes.view(np.int64)[phrase - 1].reshape(-1))
-                grams = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, width), pa.int32()), flat)
-                yield pa.RecordBatch.from_arrays([pa.array([lang]).take(pa.array(np.zeros(len(size), np.int64))), grams, pa.array(size)], names=["lang", "g", "n"])
+                sums.add(lang, hashes[phrase - 1], size)
                 if width < longest:
                     of, word, low, back, size = index.right(low, back, size)
                     keep = has_bit(shared.value, hash_of(lang, hashes[phrase[of, -1] - 1], hashes[word - 1]))
                     phrase = np.concatenate([phrase[of], word[:, None]], axis=1)
+            if sums.rows > COMBINED_ROWS:
+                sums.combine()
+                if sums.rows > COMBINED_ROWS // 2:
+                    yield from sums.taken()
+        sums.combine()
+        yield from sums.taken()
 
     return _over_shards(shards, run, "lang string, g array<bigint>, n bigint")
 
