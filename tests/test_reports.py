@@ -12,6 +12,7 @@ from tidemark.operators.catalog import CATALOG_SCHEMA
 from tidemark.sources.changelog import parse_changes
 from tidemark.sources.snapshot import after_position, base_for_mode, effective_mode, events_for_mode, snapshot_scan
 from tidemark.operators.merge import apply_changes
+from tidemark.operators.reconcile import latest_rows, remove_orphans, remove_orphans_observed
 
 
 def events(spark, log):
@@ -172,3 +173,35 @@ def test_check_summary(spark):
     assert tuple(checks.check_summary(rows).first()) == (3, 2, 1, 0, 0)
     failed = rows.unionByName(spark.createDataFrame([("FAIL",)], "status string"))
     assert tuple(checks.check_summary(failed).first()) == (4, 2, 1, 1, 1)
+
+
+def test_cleanup_tells_how_many_rows_went_by_one_join(spark):
+    target = spark.createDataFrame([(i, "x") for i in [*range(100), None]], "k bigint, a string")
+    source = spark.range(60).unionByName(spark.range(10)).selectExpr("cast(id AS decimal(12,0)) AS k")
+    cleaned, removed = remove_orphans_observed(target, source, ["k"])
+    assert len(cleaned.collect()) == 60 and removed() == 41
+    assert cleaned._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
+    assert sorted(cleaned.collect()) == sorted(remove_orphans(target, source, ["k"]).collect())
+
+
+def test_pruned_orphan_check_joins_only_what_differs(spark, tmp_path):
+    rows = spark.range(2000).selectExpr("id AS k", "id % 7 AS j", "'x' AS a")
+    extra = spark.createDataFrame([(5000, 1, "left over"), (None, 2, "no key"), (3, None, "half a key")], "k bigint, j bigint, a string")
+    rows.unionByName(extra).write.parquet(str(tmp_path / "t"))
+    rows.select(F.col("k").cast("decimal(12,0)").alias("k"), "j").unionByName(
+        spark.createDataFrame([(None, 2), (9000, 9)], "k bigint, j bigint").select(F.col("k").cast("decimal(12,0)"), "j")).write.parquet(str(tmp_path / "s"))
+    target, source = spark.read.parquet(str(tmp_path / "t")), spark.read.parquet(str(tmp_path / "s"))
+    got = reconcile.orphan_rows_pruned(target, source, ["k", "j"], buckets=256)
+    assert collected(got) == collected(reconcile.orphan_rows(target, source, ["k", "j"])) and got.count() == 3
+    differing = reconcile.differing_buckets(*reconcile.key_pairs(target, source, ["k", "j"]), 2, 256)
+    assert differing.count() <= 3
+    same = reconcile.orphan_rows_pruned(rows, rows.repartition(3), ["k", "j"])
+    assert same.count() == 0
+
+
+def test_latest_rows_break_ties_by_the_other_columns(spark):
+    rows = spark.createDataFrame([(1, 5, "c"), (2, 5, "b"), (3, 5, None), (4, 9, "a"), (5, 1, "z")], "id int, at int, a string").repartition(5)
+    want = [(4, 1), (1, 2), (2, 3)]
+    assert sorted((r.id, r["rank"]) for r in latest_rows(rows, "at").collect()) == sorted(want)
+    per = latest_rows(rows.withColumn("g", F.lit("g")), "at", ["g"])
+    assert sorted((r.id, r["rank"]) for r in per.collect()) == sorted(want)

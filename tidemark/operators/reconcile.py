@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from py4j.protocol import Py4JJavaError
@@ -28,22 +28,59 @@ def orphan_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Da
     return left.join(right, right.columns, "left_anti").select(*target.columns)
 
 
+def _key_bucket(keys: Sequence[str], buckets: int) -> Column:
+    """Bucket of a complete key; -1 where a part is null."""
+    null = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
+    return F.when(null, -1).otherwise(F.pmod(F.xxhash64(*keys), F.lit(buckets))).cast("int")
+
+
+def differing_buckets(left: DataFrame, right: DataFrame, n_keys: int, buckets: int) -> DataFrame:
+    """(_bucket) where the keys `_k0`, ... of both sides differ, as told by their number and two sums of 64-bit hashes."""
+    keys = [f"_k{i}" for i in range(n_keys)]
+
+    def digest(side: DataFrame, name: str) -> DataFrame:
+        sums = [F.sum(F.xxhash64(*keys, F.lit(salt)).cast("decimal(38,0)")) for salt in (1, 2)]
+        return (side.select(*keys).withColumn("_bucket", _key_bucket(keys, buckets)).where("_bucket >= 0").groupBy("_bucket")
+                .agg(F.struct(F.count(F.lit(1)).alias("n"), sums[0].alias("a"), sums[1].alias("b")).alias(name)))
+
+    both = digest(left, "_left").join(digest(right, "_right"), "_bucket", "left")
+    return both.where(~F.col("_left").eqNullSafe(F.col("_right"))).select("_bucket")
+
+
+def orphan_rows_pruned(target: DataFrame, source: DataFrame, keys: Sequence[str], buckets: int = 4096) -> DataFrame:
+    """As `orphan_rows`, for sides that are mostly equal: only buckets of keys that differ are joined.
+
+    Both sides are read twice, but the first pass moves a number and two sums per bucket and task, and the second only
+    the rows of buckets that differ. Equal digests say that both sides hold the same keys as often, unless both sums of
+    hashes agree by chance (about 1 in 2^128 for keys that are not made to). Rows with a null in their key are orphans.
+    """
+    left, right = key_pairs(target, source, keys)
+    named = right.columns
+    # At most one row per bucket, whatever the size of the tables.
+    differing = F.broadcast(differing_buckets(left, right, len(named), buckets))
+    bucket = _key_bucket(named, buckets)
+    near = left.withColumn("_bucket", bucket).join(differing, "_bucket", "left_semi")
+    there = right.withColumn("_bucket", bucket).join(differing, "_bucket", "left_semi").select(*named)
+    keyless = left.where(bucket < 0).select(*target.columns)
+    return near.join(there, named, "left_anti").select(*target.columns).unionByName(keyless)
+
+
 def remove_orphans(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target without its orphans."""
     left, right = key_pairs(target, source, keys)
     return left.join(right, right.columns, "left_semi").select(*target.columns)
 
 
-def remove_orphans_observed(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Observation]:
-    """As `remove_orphans`, with the number of rows taken out: `get["removed"]` of the observation, once the result was written.
+def remove_orphans_observed(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Callable[[], int]]:
+    """As `remove_orphans`, and a function that tells how many rows went, to be called once the result was written.
 
-    Each target row learns by one join whether the source has its key; the number is counted as rows go by.
+    There is one join. The rows that stay are counted as they are written, the target's rows without reading a column.
+    The number is exact where the result is written as it comes; ahead of another shuffle, tasks that run again would
+    count again.
     """
-    left, right = key_pairs(target, source, keys)
-    there = right.where(reduce(Column.__and__, [F.col(k) == left[k].outer() for k in right.columns])).exists()
     seen = Observation()
-    marked = left.select(*target.columns, there.alias("_there")).observe(seen, F.count_if(~F.col("_there")).alias("removed"))
-    return marked.where("_there").select(*target.columns), seen
+    cleaned = remove_orphans(target, source, keys).observe(seen, F.count(F.lit(1)).alias("kept"))
+    return cleaned, lambda: target.count() - seen.get["kept"]
 
 
 def count_removed(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> int:

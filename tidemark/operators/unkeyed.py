@@ -170,6 +170,8 @@ def _grow(events: DataFrame, base: DataFrame | None, tested: list[str], payload:
         fresh = nodes.join(opens, "code").select("id", (F.col("code") - OPEN + _AFTER).alias("after"), "values",
                                                  _writes(payload, "row", "has").alias("writes"), F.lit(0).cast("bigint").alias("born"))
     nodes = reduce(DataFrame.unionByName, parts).withColumn("gone", F.coalesce(_kind("successor") == DROP, F.lit(False)))
+    if generation:
+        nodes = cut_lineage(nodes.coalesce(max(1, int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")))))
     return nodes, events.where(F.col("kind").isin(FULL, CLOSED, OPEN)).select("code", "kind")
 
 

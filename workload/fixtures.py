@@ -197,6 +197,25 @@ def chained_bag_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
             .selectExpr("event_id AS seq", f"{text} AS value"))
 
 
+PARTIAL_STATE_SCHEMA = T.StructType([*STATE_SCHEMA.fields, T.StructField("value", T.DoubleType())])
+
+
+def partial_bag_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log without a key whose updates carry some columns. By `kind` they move rows of a state to the next one, set the
+    value of such rows, set the value of all of a user's rows, or set state and value without naming the user."""
+    none = "cast(null as map<string,string>)"
+    user, state, value = "'user_id', cast(user_id as string)", "'event_type', event_type", "'value', cast(value as string)"
+    moved = "'event_type', element_at(array('view', 'click', 'purchase'), cast(event_id % 3 as int) + 1)"
+    before = f"CASE WHEN op = 'c' THEN {none} WHEN op = 'd' OR kind = 2 THEN map({user}) ELSE map({user}, {state}) END"
+    after = (f"CASE WHEN op = 'd' THEN {none} WHEN op = 'c' THEN map({user}, {state}, {value}) WHEN kind = 0 THEN map({user}, {moved}) "
+             f"WHEN kind = 3 THEN map({moved}, {value}) ELSE map({value}) END")
+    text = _envelope(before, after, table="'states'", snapshot="'false'")
+    return (load(spark, sf_dir, "events")
+            .withColumn("op", F.expr("CASE event_type WHEN 'error' THEN if(event_id % 10 = 0, 'd', 'c') WHEN 'signup' THEN 'c' ELSE 'u' END"))
+            .withColumn("kind", F.expr("CASE WHEN event_id % 16 = 2 THEN 2 WHEN event_id % 4 = 2 THEN 1 ELSE event_id % 4 END"))
+            .selectExpr("event_id AS seq", f"{text} AS value"))
+
+
 # --- decimals with a field schema ---------------------------------------------------------------------
 
 CENTS = "if(o_orderkey % 2 = 0, 1, -1) * cast(round(o_totalprice * 100) as bigint)"

@@ -41,6 +41,26 @@ CHAIN = """steps AS (
                 ELSE list_append(s.held, l.moved) END END
     FROM state s JOIN steps l ON l.u = s.u AND l.step = s.step + 1)"""
 
+# A bag per user, folded event by event. Updates that meet no row insert what their image carries; without the user it
+# stays apart for good.
+PARTIAL_CHAIN = """steps AS (
+    SELECT event_id AS seq, user_id AS u, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS step, event_type AS t, value AS v,
+      CASE WHEN event_id % 16 = 2 THEN 2 WHEN event_id % 4 = 2 THEN 1 ELSE event_id % 4 END AS k,
+      CASE event_type WHEN 'error' THEN CASE WHEN event_id % 10 = 0 THEN 'd' ELSE 'c' END WHEN 'signup' THEN 'c' ELSE 'u' END AS op,
+      CASE event_id % 3 WHEN 0 THEN 'view' WHEN 1 THEN 'click' ELSE 'purchase' END AS moved
+    FROM events),
+  state AS (
+    SELECT DISTINCT u, CAST(0 AS BIGINT) AS step, CAST([] AS STRUCT(t VARCHAR, v DOUBLE)[]) AS held FROM steps
+    UNION ALL
+    SELECT l.u, l.step, CASE l.op WHEN 'c' THEN list_append(s.held, {'t': l.t, 'v': l.v}) WHEN 'd' THEN CAST([] AS STRUCT(t VARCHAR, v DOUBLE)[])
+      ELSE CASE WHEN len([x FOR x IN s.held IF l.k = 2 OR x.t = l.t]) > 0 THEN
+        [CASE WHEN l.k = 2 OR x.t = l.t THEN {'t': CASE WHEN l.k IN (0, 3) THEN l.moved ELSE x.t END, 'v': CASE WHEN l.k = 0 THEN x.v ELSE l.v END} ELSE x END FOR x IN s.held]
+        WHEN l.k = 0 THEN list_append(s.held, {'t': l.moved, 'v': NULL}) ELSE s.held END END
+    FROM state s JOIN steps l ON l.u = s.u AND l.step = s.step + 1),
+  missed AS (
+    SELECT l.* FROM steps l JOIN state s ON s.u = l.u AND s.step = l.step - 1
+    WHERE l.op = 'd' AND len(s.held) = 0 OR l.op = 'u' AND len([x FOR x IN s.held IF l.k = 2 OR x.t = l.t]) = 0)"""
+
 STAGE = "CASE WHEN snapshot IN ('false', '') THEN 'stream' WHEN snapshot = 'last' THEN 'last' ELSE 'snapshot' END"
 CUSTOMERS = "base AS (SELECT c_custkey AS id, c_mktsegment AS event_type, c_acctbal AS value FROM customer)"
 SUPPLIERS = "base AS (SELECT s_suppkey AS id, s_name AS event_type, s_acctbal AS value FROM supplier)"
@@ -231,6 +251,15 @@ ORACLE: dict[str, str] = {
         WHEN e.removed IS NULL THEN b.value END AS value
       FROM last_any a JOIN ends e USING (id) LEFT JOIN last_value v USING (id) LEFT JOIN base b USING (id)
       UNION ALL SELECT id, event_type, value FROM base WHERE id NOT IN (SELECT id FROM mine)""",
+    "apply_reordered": f"""WITH {LOG}, {CUSTOMERS}, mine AS (SELECT * FROM log),
+      ends AS (SELECT id, max(seq) FILTER (op = 'd') AS removed FROM mine GROUP BY id),
+      alive AS (SELECT m.* FROM mine m JOIN ends e USING (id) WHERE m.op <> 'd' AND (e.removed IS NULL OR m.seq > e.removed)),
+      last_any AS (SELECT * FROM alive QUALIFY row_number() OVER (PARTITION BY id ORDER BY seq DESC) = 1),
+      last_value AS (SELECT * FROM alive WHERE has_value QUALIFY row_number() OVER (PARTITION BY id ORDER BY seq DESC) = 1)
+      SELECT a.id, a.event_type, CASE WHEN v.id IS NOT NULL THEN CASE WHEN v.null_value THEN NULL ELSE v.value END
+        WHEN e.removed IS NULL THEN b.value END AS value
+      FROM last_any a JOIN ends e USING (id) LEFT JOIN last_value v USING (id) LEFT JOIN base b USING (id)
+      UNION ALL SELECT id, event_type, value FROM base WHERE id NOT IN (SELECT id FROM mine)""",
     "apply_key_only": f"""WITH {LOG}, {SUPPLIERS}, mine AS (SELECT * FROM log),
       ends AS (SELECT id, max(seq) FILTER (op = 'd') AS removed, max(seq) FILTER (op <> 'd') AS put FROM mine GROUP BY id)
       SELECT b.id, b.event_type, b.value FROM base b LEFT JOIN ends e USING (id) WHERE e.removed IS NULL
@@ -242,6 +271,12 @@ ORACLE: dict[str, str] = {
       UNION ALL SELECT k, CAST(n + 100 AS INT) FROM events_of e WHERE NOT EXISTS (SELECT 1 FROM bag b WHERE b.k = e.k AND b.n = e.n)""",
     "apply_unkeyed_delete": f"""WITH {BAG} SELECT k, n FROM bag b
       WHERE NOT EXISTS (SELECT 1 FROM events_of e WHERE e.k = b.k AND (e.k % 5 = 0 OR e.n = b.n))""",
+    "apply_unkeyed_partial": f"""WITH RECURSIVE {PARTIAL_CHAIN}
+      SELECT u AS user_id, x.t AS event_type, x.v AS value
+      FROM (SELECT u, unnest(held) AS x FROM (SELECT u, held FROM state QUALIFY row_number() OVER (PARTITION BY u ORDER BY step DESC) = 1))
+      UNION ALL SELECT NULL, CASE k WHEN 3 THEN moved END, v FROM missed WHERE op = 'u' AND k <> 0""",
+    "noop_unkeyed_partial": f"""WITH RECURSIVE {PARTIAL_CHAIN}
+      SELECT seq, CASE op WHEN 'd' THEN 'no_row' ELSE 'update_inserted' END AS reason FROM missed""",
     "apply_unkeyed_chain": f"""WITH RECURSIVE {CHAIN}
       SELECT u AS user_id, unnest(held) AS event_type
       FROM (SELECT u, held FROM state QUALIFY row_number() OVER (PARTITION BY u ORDER BY step DESC) = 1)""",
@@ -256,7 +291,10 @@ ORACLE: dict[str, str] = {
     "orphan_rows": f"WITH {ORDERS_TARGET} SELECT * FROM target WHERE o_orderkey NOT IN (SELECT o_orderkey FROM orders)",
     "orphan_rows_composite": f"""WITH {LINES_TARGET} SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity
       FROM line_target t WHERE {LINE_MISSING}""",
+    "orphan_rows_pruned": f"""WITH {LINES_TARGET} SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity
+      FROM line_target t WHERE {LINE_MISSING}""",
     "orphan_cleanup": f"WITH {ORDERS_TARGET} SELECT * FROM target WHERE o_orderkey IN (SELECT o_orderkey FROM orders)",
+    "orphans_removed": f"""WITH {LINES_TARGET} SELECT 'lineitem' AS "table", count(*) AS removed FROM line_target t WHERE {LINE_MISSING}""",
     "orphan_totals": f"""WITH {ORDERS_TARGET}, {LINES_TARGET}, each AS (
         SELECT 'orders' AS "table", count(*) AS orphans FROM target WHERE o_orderkey NOT IN (SELECT o_orderkey FROM orders)
         UNION ALL SELECT 'lineitem', count(*) FROM line_target t WHERE {LINE_MISSING}
@@ -300,6 +338,13 @@ ORACLE: dict[str, str] = {
       SELECT tab AS "table", CASE WHEN op = 0 THEN 'SNAPSHOT' ELSE 'CDC' END AS phase FROM last_op
       UNION ALL SELECT tab, CASE WHEN EXISTS (SELECT 1 FROM changes WHERE op <> 0) THEN 'CDC' ELSE 'INITIALIZING' END
         FROM registered WHERE tab NOT IN (SELECT tab FROM last_op)""",
+    "progress_merged": f"""WITH {LOG}, {REGISTERED}, changes AS (
+        SELECT o_orderstatus || ' ' || o_orderpriority AS tab, o_orderkey AS seq, o_orderkey % 4 AS op FROM orders),
+      seen AS (SELECT tab, CASE WHEN max_by(op, seq) = 0 THEN 'SNAPSHOT' ELSE 'CDC' END AS phase, count(*) FILTER (op = 0) AS snapshot_rows,
+        count(*) FILTER (op = 1) AS inserts, count(*) FILTER (op = 2) AS updates, count(*) FILTER (op = 3) AS deletes FROM changes GROUP BY tab)
+      SELECT tab AS "table", phase, snapshot_rows, inserts, updates, deletes, inserts + updates + deletes AS changes FROM seen
+      UNION ALL SELECT tab, CASE WHEN EXISTS (SELECT 1 FROM changes WHERE op <> 0) THEN 'CDC' ELSE 'INITIALIZING' END, 0, 0, 0, 0, 0
+        FROM registered WHERE tab NOT IN (SELECT tab FROM seen)""",
     "snapshot_pct": f"""WITH {LOG}, {COUNTS}, {TOTALS}, joined AS (
         SELECT tab, snapshot_rows, coalesce(total, -1) AS total FROM counts LEFT JOIN totals USING (tab))
       SELECT tab AS "table", snapshot_rows, total,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,9 @@ from pyspark.sql import types as T
 from tidemark.functions import decode as D
 from tidemark.operators import catalog as C
 from tidemark.operators import checks, merge, progress, reconcile, unkeyed
+from tidemark.session import ensure_checkpoint_dir
 from tidemark.sources import changelog, snapshot
+from tidemark.sources.bucket_store import BucketStore
 from tidemark.sources.changelog import decode_images, parse_changes
 from workload import fixtures as X
 
@@ -287,6 +290,32 @@ def q_apply_unkeyed_chain(spark, sf_dir):
     return unkeyed.apply_unkeyed(None, typed)
 
 
+@query
+def q_apply_unkeyed_partial(spark, sf_dir):
+    """Updates that set some columns of the rows they find."""
+    typed = decode_images(events_of(spark, sf_dir, X.partial_bag_envelopes), X.PARTIAL_STATE_SCHEMA)
+    return unkeyed.apply_unkeyed(None, typed)
+
+
+@query
+def q_noop_unkeyed_partial(spark, sf_dir):
+    typed = decode_images(events_of(spark, sf_dir, X.partial_bag_envelopes), X.PARTIAL_STATE_SCHEMA)
+    return unkeyed.unkeyed_noop_events(None, typed)
+
+
+@query
+def q_apply_reordered(spark, sf_dir):
+    """The log in four batches, the last first, each rewriting only the buckets that it changes."""
+    ensure_checkpoint_dir(spark)
+    folder = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/reordered-{uuid.uuid4().hex}"
+    store = BucketStore(spark, folder, X.EVENT_SCHEMA, ["id"], buckets=16)
+    store.load(X.customers_as_rows(spark, sf_dir))
+    typed = typed_events(spark, sf_dir, X.partial_envelopes)
+    for batch in (3, 1, 0, 2):
+        store.apply(store.changes(typed.where(F.col("seq") % 4 == batch)))
+    return store.read()
+
+
 @query
 def q_noop_unkeyed(spark, sf_dir):
     """Deletes that met no row, and updates that inserted one because they met none."""
@@ -313,11 +342,26 @@ def q_orphan_rows_composite(spark, sf_dir):
     return found.select(*X.LINE_KEYS, "l_quantity")
 
 
+@query
+def q_orphan_rows_pruned(spark, sf_dir):
+    """Buckets of keys whose digests agree on both sides are not joined."""
+    found = reconcile.orphan_rows_pruned(X.lineitem_target(spark, sf_dir), X.load(spark, sf_dir, "lineitem"), X.LINE_KEYS)
+    return found.select(*X.LINE_KEYS, "l_quantity")
+
+
 @query
 def q_orphan_cleanup(spark, sf_dir):
     return reconcile.remove_orphans(X.orders_target(spark, sf_dir), X.load(spark, sf_dir, "orders"), ["o_orderkey"])
 
 
+@query
+def q_orphans_removed(spark, sf_dir):
+    """How many rows a cleanup took out, told by the cleanup itself while its result is written."""
+    cleaned, removed = reconcile.remove_orphans_observed(X.lineitem_target(spark, sf_dir), X.load(spark, sf_dir, "lineitem"), X.LINE_KEYS)
+    cleaned.write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame([("lineitem", removed())], "table string, removed bigint")
+
+
 @query
 def q_orphan_totals(spark, sf_dir):
     return reconcile.orphan_totals(spark, {
@@ -390,6 +434,15 @@ def q_progress_counts(spark, sf_dir):
         "table", "snapshot_rows", "inserts", "updates", "deletes", "last_event")
 
 
+@query
+def q_progress_merged(spark, sf_dir):
+    """Counts and phases from the states of three parts of the log, merged in another order."""
+    events = events_of(spark, sf_dir, X.priority_envelopes, images=False)
+    parts = [progress.progress_state(events.where(F.col("seq") % 3 == i)) for i in (2, 0, 1)]
+    return progress.progress_of(progress.merge_progress(*parts), registered=_registered(spark, sf_dir)).select(
+        "table", "phase", "snapshot_rows", "inserts", "updates", "deletes", "changes")
+
+
 @query
 def q_progress_totals(spark, sf_dir):
     return progress.with_overall(_progress(spark, sf_dir))
