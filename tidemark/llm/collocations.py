@@ -32,12 +32,12 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SLICE_BYTES, Words, bounded_batches, few_rows, mix, written
+from tidemark.llm.common import SLICE_BYTES, Words, bounded_batches, few_rows, give_back, mix, written
 
 #: Marks that end a piece; words end at these, at spaces and at tabs.
 PIECE_MARKS = b".,;:!?\n\x0b\x0c\r"
 LEAST, LONGEST, TOP, SCALE = 100, 5, 2000, 1000
-SHARD_WORDS, BUFFER_WORDS, COUNT_WORDS, COMBINED_ROWS = 500_000, 1_500_000, 1_000_000, 1_000_000
+SHARD_WORDS, BUFFER_WORDS, COUNT_WORDS, COMBINED_ROWS = 500_000, 1_500_000, 1_000_000, 400_000
 #: Bits of a bitmap, and of a block of it.
 BITS, BLOCK_BITS = 1 << 26, 1 << 16
 #: Bits of a pair's hash that choose its counter, and those of them within a table of one task.
@@ -88,6 +88,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * (len(h) + 1)), pa.array([*h.view(np.int64).tolist(), None], pa.int64()),
                                                   pa.array([*n.tolist(), int(n.sum())], pa.int64())], names=["lang", "h", "n"])
             held.clear()
+            give_back()
 
         for batch in batches:
             for lang, texts in by_language(batch):
@@ -288,11 +289,14 @@ def build_shards(docs: DataFrame, frequent: np.ndarray, depth: int, shard_words:
                 buffers.setdefault(lang, _Buffer(lang)).add(words, h, joined, has_bit(shared.value, hash_of(lang, h)))
                 if buffers[lang].size >= shard_words:
                     yield buffers.pop(lang).shard(depth)
+                    give_back()
                 while sum(b.size for b in buffers.values()) > BUFFER_WORDS:
                     yield buffers.pop(max(buffers, key=lambda name: buffers[name].size)).shard(depth)
-        for buffer in buffers.values():
+        while buffers:
+            _, buffer = buffers.popitem()
             if buffer.size:
                 yield buffer.shard(depth)
+        give_back()
 
     return docs.select("lang", "text").mapInArrow(run, _SHARD)
 
@@ -303,6 +307,8 @@ def _indexes(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, np.ndarra
             row = {name: batch.column(name)[i].as_py() for name in ("lang", "hashes", "forward", "backward", "wide")}
             kind, hashes = np.uint32 if row["wide"] else np.uint16, np.frombuffer(row["hashes"], np.uint64)
             yield row["lang"], hashes, Index(np.frombuffer(row["forward"], kind), np.frombuffer(row["backward"], kind), len(hashes))
+            del row, hashes
+            give_back()
 
 
 def _over_shards(shards: DataFrame, function: Callable, schema: str) -> DataFrame:

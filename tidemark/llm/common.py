@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -44,6 +45,15 @@ def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def give_back() -> None:
+    """Hand memory that is free again back to the system, so that a worker that is used again starts small."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library
+
+
 def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, list[bytes]]]:
     """(first row, UTF-8 of the texts) for runs of rows of about `limit` bytes; a null is an empty text."""
     if isinstance(texts, pa.ChunkedArray):
