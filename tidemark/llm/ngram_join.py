@@ -328,8 +328,8 @@ def _large_block_links(sets: DataFrame, nodes: DataFrame, piece: int) -> DataFra
     return links.unionByName(last)
 
 
-def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE, piece: int = PIECE, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
-    """(doc_id, n_shingles, node, component_id) of every document. `node` identifies the shingle set; null without words."""
+def _grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE, piece: int = PIECE, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
+    """(doc_id, n, node, component) of every document; `component` is one of the nodes."""
     spark = docs.sparkSession
     bounded_batches(spark)
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
@@ -364,15 +364,37 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         links = links.unionByName(_large_block_links(sets, large.select("node", F.col("tree").alias("block")), piece))
 
     groups = components(links)
-    grouped = info.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    return info.join(groups, "node", "left").select("doc_id", "n", "node", F.coalesce("component", "node").alias("component"))
+
+
+def similar_groups(docs: DataFrame, **options) -> DataFrame:
+    """(doc_id, n_shingles, node, component_id) of every document. `node` identifies the shingle set; null without words."""
+    grouped = _grouped(docs, **options)
     least = grouped.where("node IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("component_id"))
     return grouped.join(least, "component", "left").select("doc_id", F.col("n").alias("n_shingles"), "node",
                                                            F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """One document of each group, the one with the smallest id, with all columns; rows without words or without id stay."""
-    id_col = options.get("id_col", "doc_id")
-    gone = similar_groups(docs, **options).where("component_id <> doc_id").select(F.col("doc_id").alias("__gone")).distinct()
-    few = few_rows(written(gone, "gone"), 4 * BROADCAST_ROWS)
-    return docs.join(few, docs[id_col] == F.col("__gone"), "left_anti")
+    """One document of each group, the one with the smallest id, with all columns; rows without words stay.
+
+    A null id comes after all others. Of rows that share the id and the words one stays; rows that share an id but not
+    the words are judged each by its own group.
+    """
+    id_col, text_col, width = options.get("id_col", "doc_id"), options.get("text_col", "text"), options.get("width", SHINGLE)
+    grouped = written(_grouped(docs, **options).where("node IS NOT NULL").select("doc_id", "node", "component"), "grouped")
+    first = grouped.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "node")).alias("f"))
+    first = first.select("component", F.col("f.doc_id").alias("_id"), F.col("f.node").alias("_node"))
+    shared = written(grouped.groupBy("doc_id").agg(F.count("*").alias("rows")).where("rows > 1 OR doc_id IS NULL").select(F.col("doc_id").alias("__shared")), "shared-ids")
+    lost = grouped.join(first, "component").where(~(F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("node") == F.col("_node"))))
+    gone = written(lost.select(F.col("doc_id").alias("__gone")).distinct(), "gone")
+    if not shared.limit(1).count():
+        return docs.join(few_rows(gone, 4 * BROADCAST_ROWS), docs[id_col] == F.col("__gone"), "left_anti")
+    # Rows whose id does not tell them apart are told apart by their sets.
+    is_shared = docs[id_col].eqNullSafe(F.col("__shared"))
+    alone = docs.join(few_rows(shared, BROADCAST_ROWS), is_shared, "left_anti")
+    kept = alone.join(few_rows(gone, 4 * BROADCAST_ROWS), alone[id_col] == F.col("__gone"), "left_anti")
+    rows = docs.join(few_rows(shared, BROADCAST_ROWS), is_shared, "left_semi").withColumn("__node", set_info(F.col(text_col), np.zeros(0, np.uint64), width)["node"])
+    rows = written(rows, "shared-rows")
+    chosen = rows.join(few_rows(first.select("_id", "_node"), BROADCAST_ROWS), rows[id_col].eqNullSafe(F.col("_id")) & (F.col("__node") == F.col("_node")), "left_semi")
+    return kept.unionByName(rows.where("__node IS NULL").unionByName(chosen.dropDuplicates([id_col, "__node"])).select(*docs.columns))
