@@ -82,8 +82,12 @@ class Chunks(dict):
             out.append(ids)
         return b"".join(out)
 
+    def splits(self, text: str) -> bool:
+        """Whether no piece of a text crosses one of its spaces."""
+        return bool(text) and text[0] != " " and text[-1] != " " and not _BROKEN_SPACE.search(text)
+
     def encode(self, text: str) -> bytes:
-        if not text or text[0] == " " or text[-1] == " " or _BROKEN_SPACE.search(text):
+        if not self.splits(text):
             return self.by_pieces(text)
         first, *rest = text.split(" ")
         return self.by_pieces(first) + b"".join([self[chunk] for chunk in rest])

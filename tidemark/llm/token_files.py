@@ -25,6 +25,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 import xxhash
 import zstandard
@@ -33,13 +34,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidemark.llm.bpe import VOCABULARY, Chunks, as_bytes
-from tidemark.llm.common import bounded_batches, work_folder, written
+from tidemark.llm.bpe import CACHED_PIECES, VOCABULARY, Chunks, as_bytes
+from tidemark.llm.common import bounded_batches, slices, work_folder, written
 from tidemark.llm.storage import open_ranges, whole_file
 
 #: Fixed values of the public seekable format, and the skippable frame that holds the document ids.
 SKIPPABLE_IDS, SKIPPABLE_TABLE, SEEKABLE = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 CHECKSUMS = 0x80
+#: The letter that stands for a space in tokens of a byte-level model (fixed value), and how much text of new chunks is encoded at once.
+SPACE, JOINED_CHARS = "\u0120", 1 << 15
 END_ID, LEVEL, FILE_BYTES, READ_DOCS = 0, 3, 128 << 20, 5_000
 NULL_ID = -(1 << 63)
 
@@ -60,6 +63,9 @@ class Encoder:
         self._library.no_truncation()
         self._library.no_padding()
         tokenize = self._library.model.tokenize
+        names = self._library.get_vocab(with_added_tokens=True)
+        self._leads = np.zeros(max(names.values()) + 1, bool)
+        self._leads[[i for name, i in names.items() if name.startswith(SPACE)]] = True
         if self._by_pieces:
             split = self._library.pre_tokenizer.pre_tokenize_str  # pieces in the letters of the model
             self._chunks = Chunks(lambda chunk: [piece for piece, _ in split(chunk)], lambda piece: [t.id for t in tokenize(piece)])
@@ -73,6 +79,54 @@ class Encoder:
             return self.whole(text)
         return self._chunks.encode(text)
 
+    def _learn(self, chunks: list[str]) -> None:
+        """Keep the ids of new chunks. The library encodes many of them as one text; a chunk begins where an id's token
+        begins with the letter of the space, which stands nowhere else in it."""
+        # White space at a chunk's end could grow together with that of its neighbour; such chunks are encoded alone.
+        chunks = [c for c in chunks if c and not c[0].isspace() and not c[-1].isspace()]
+        if any(" " in t for t in self._special):
+            return
+        at, size = 0, 0
+        for i, chunk in enumerate([*chunks, None]):
+            if chunk is None or size > JOINED_CHARS:
+                if i > at:
+                    ids = np.array(self._library.encode_batch_fast([" " + " ".join(chunks[at:i])], add_special_tokens=False)[0].ids, "<u4")
+                    starts = np.flatnonzero(self._leads[ids])
+                    if len(starts) == i - at:
+                        data, ends = ids.tobytes(), [*(4 * starts[1:]).tolist(), 4 * len(ids)]
+                        for c, b, e in zip(chunks[at:i], (4 * starts).tolist(), ends, strict=True):
+                            self._chunks[c] = data[b:e]
+                at, size = i, 0
+            size += len(chunk or "") + 1
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """As `encode`, for texts at once: chunks are told apart and put together again by column."""
+        out: list[bytes | None] = [None] * len(texts)
+        plain = []
+        for i, text in enumerate(texts):
+            if self._by_pieces and text and not any(t in text for t in self._special) and self._chunks.splits(text):
+                plain.append(i)
+            else:
+                out[i] = self.encode(text) if text else b""
+        if not plain:
+            return out
+        lists = pc.split_pattern(pa.array([texts[i] for i in plain], pa.large_string()), " ")
+        offsets, coded = lists.offsets, lists.values.dictionary_encode()
+        chunks = coded.dictionary.to_pylist()
+        known = self._chunks
+        if len(known) + len(chunks) > CACHED_PIECES:
+            known.clear()
+        self._learn([c for c in chunks if c not in known])
+        ids = pa.array([*(known[c] for c in chunks), b""], pa.large_binary())
+        # A text's first chunk has no space before it.
+        first = offsets.to_numpy()[:-1]
+        at = coded.indices.to_numpy().copy()
+        at[first] = len(chunks)
+        rest = pc.binary_join(pa.LargeListArray.from_arrays(offsets.cast(pa.int64()), ids.take(pa.array(at))), pa.scalar(b"", pa.large_binary()))
+        for i, head, tail in zip(plain, lists.values.take(pa.array(first)).to_pylist(), rest.to_pylist(), strict=True):
+            out[i] = known.by_pieces(head) + tail
+        return out
+
 
 @lru_cache(2)
 def encoder(path: str) -> Encoder:
@@ -85,14 +139,15 @@ def token_frames(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encode, compress = encoder(path).encode, zstandard.ZstdCompressor(level=level).compress
+        encode, compress = encoder(path).encode_all, zstandard.ZstdCompressor(level=level).compress
         for texts in batches:
             counts, sums, frames = [], [], []
-            for text in texts.to_pylist():
-                ids = (encode(text) if text else b"") + end
-                counts.append(len(ids) // 4)
-                sums.append(xxhash.xxh64_intdigest(ids) & 0xFFFFFFFF)
-                frames.append(compress(ids))
+            for _, part in slices(texts):
+                for ids in encode([t.decode() for t in part]):
+                    ids += end
+                    counts.append(len(ids) // 4)
+                    sums.append(xxhash.xxh64_intdigest(ids) & 0xFFFFFFFF)
+                    frames.append(compress(ids))
             yield pa.StructArray.from_arrays([pa.array(counts, pa.int64()), pa.array(sums, pa.int64()), pa.array(frames, pa.binary())],
                                              names=["n_tokens", "checksum", "frame"])
 
