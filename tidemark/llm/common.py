@@ -55,7 +55,10 @@ def give_back() -> None:
 
 
 def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, list[bytes]]]:
-    """(first row, UTF-8 of the texts) for runs of rows of about `limit` bytes; a null is an empty text."""
+    """(first row, UTF-8 of the texts) for runs of rows of about `limit` bytes; a null is an empty text.
+
+    Free memory is given back after the last run.
+    """
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     start, size, run = 0, 0, []
@@ -68,6 +71,8 @@ def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, lis
         size += len(text)
     if run:
         yield start, run
+    del run
+    give_back()
 
 
 def mix(h: np.ndarray) -> np.ndarray:

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Words, bounded_batches, components, few_rows, mix, runs_of, slices, written
+from tidemark.llm.common import Words, bounded_batches, components, few_rows, give_back, mix, runs_of, slices, written
 
 SHINGLE = 5
 #: The slice of the hash space that comes first; below 1/2, so that it is a range of non-negative longs.
@@ -280,6 +280,8 @@ def _task_links(rows: pd.DataFrame) -> pd.DataFrame:
             sets = [np.frombuffer(t, np.uint64) for t in part["tokens"]]
             known = pd.factorize(part["known"])[0]  # -1 where it is null
             out += [(nodes[i], nodes[j]) for i, j in tree_links(sets, known)]
+            del sets
+    give_back()
     return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
 
