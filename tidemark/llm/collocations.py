@@ -6,9 +6,10 @@
    index: the Burrows-Wheeler transforms of its words and of its words reversed, with the words' hashes and texts.
 3. A phrase is an interval of each transform. All intervals of one word are extended to the left, which counts every
    pair. Sums over the shards, in a table of 2^PAIR_BITS counters that is spread over tasks, tell which pairs may be
-   frequent; these set bits in a second bitmap.
-4. Such pairs are extended to the right word by word, up to `longest`, as long as every pair inside has its bit. Sums
-   over shards, cut at `least`, are the exact counts of all phrases.
+   frequent; these set bits in a bitmap of their own.
+4. Such pairs are extended to the right word by word, up to `longest`. Before each step the phrases so far are summed and
+   marked in the same way, so only phrases are extended whose parts may all be frequent. Sums over shards of what has
+   its bits, cut at `least`, are the exact counts of all phrases.
 5. Cuts are looked up in these counts and scored; a phrase goes if an extension to the left or right is as frequent.
 
 Suffixes are sorted by `longest` words and no further: that is as deep as intervals are ever followed. The bitmaps only
@@ -326,19 +327,40 @@ def unpack_counts(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(planes[0] | planes[1] << 8 | planes[2] << 16), planes[3] | planes[4] << 8
 
 
-def frequent_pairs(shards: DataFrame, least: int) -> DataFrame:
-    """(key) of all pairs of at least `least` occurrences, and of some others.
+def _extended(lang: str, hashes: np.ndarray, index: Index, bits: list[np.ndarray]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(width, hashes of phrases, counts) of 2, 3, ... words in an index; `bits` has a bitmap per width, from 2 on.
 
-    The words of every shard are extended to the left, which counts its pairs. Their hashes are cut to PAIR_BITS; counts
-    of equal ones are summed in tables of 2^TABLE_BITS counters, one range of hashes after the other. A pair that shares its
-    counter may pass with too few occurrences, none is lost.
+    Words are extended to the left to pairs, phrases to the right from then on, as long as the bitmap of their width has
+    them and their last words. Phrases one word longer than the bitmaps tell come last, all of them.
     """
+    of, word, low, back, size = index.left(*index.words())
+    phrase = np.stack([hashes[word - 1], hashes[of]], axis=1)
+    for width, known in enumerate(bits, 2):
+        keep = has_bit(known, hash_of(lang, *phrase.T))
+        phrase, low, back, size = phrase[keep], low[keep], back[keep], size[keep]
+        yield width, phrase, size
+        of, word, low, back, size = index.right(low, back, size)
+        phrase = np.concatenate([phrase[of], hashes[word - 1][:, None]], axis=1)
+        keep = has_bit(known, hash_of(lang, *phrase[:, 1:].T))
+        phrase, low, back, size = phrase[keep], low[keep], back[keep], size[keep]
+    yield len(bits) + 2, phrase, size
+
+
+def frequent_keys(shards: DataFrame, least: int, bits: list[np.ndarray]) -> DataFrame:
+    """(key) of all phrases of len(bits) + 2 words of at least `least` occurrences, and of some others.
+
+    Their hashes are cut to PAIR_BITS; counts of equal ones are summed in tables of 2^TABLE_BITS counters, one range of
+    hashes after the other. A phrase that shares its counter may pass with too few occurrences, none is lost.
+    """
+    shared = shards.sparkSession.sparkContext.broadcast(bits)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, hashes, index in _indexes(batches):
-            of, word, _, _, size = index.left(*index.words())
-            if not len(of):
+            for _, phrase, size in _extended(lang, hashes, index, shared.value):
+                pass
+            if not len(size):
                 continue
-            key = hash_of(lang, hashes[word - 1], hashes[of]) & np.uint64((1 << PAIR_BITS) - 1)
+            key = hash_of(lang, *phrase.T) & np.uint64((1 << PAIR_BITS) - 1)
             by = np.argsort(key)
             key, first = np.unique(key[by], return_index=True)
             n = np.minimum(np.add.reduceat(np.minimum(size[by], least), first), 1 << 15)
@@ -398,25 +420,16 @@ class _Sums:
         self.parts, self.rows = {}, 0
 
 
-def phrase_shares(shards: DataFrame, pairs: np.ndarray, longest: int) -> DataFrame:
-    """(lang, g, n) of the phrases of 2 to `longest` words whose pairs are all in the bitmap `pairs`, summed by task."""
-    shared = shards.sparkSession.sparkContext.broadcast(pairs)
+def phrase_shares(shards: DataFrame, bits: list[np.ndarray]) -> DataFrame:
+    """(lang, g, n) of the phrases that have their bits, width by width, summed by task."""
+    shared = shards.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = _Sums()
         for lang, hashes, index in _indexes(batches):
-            of, word, low, back, size = index.left(*index.words())
-            phrase = np.stack([word, of + 1], axis=1)
-            keep = has_bit(shared.value, hash_of(lang, hashes[word - 1], hashes[of]))
-            for width in range(2, longest + 1):
-                phrase, low, back, size = phrase[keep], low[keep], back[keep], size[keep]
-                if not len(size):
-                    break
-                sums.add(lang, hashes[phrase - 1], size)
-                if width < longest:
-                    of, word, low, back, size = index.right(low, back, size)
-                    keep = has_bit(shared.value, hash_of(lang, hashes[phrase[of, -1] - 1], hashes[word - 1]))
-                    phrase = np.concatenate([phrase[of], word[:, None]], axis=1)
+            for width, phrase, size in _extended(lang, hashes, index, shared.value):
+                if width < len(shared.value) + 2 and len(size):
+                    sums.add(lang, phrase, size)
             if sums.rows > COMBINED_ROWS:
                 sums.combine()
                 if sums.rows > COMBINED_ROWS // 2:
@@ -462,11 +475,14 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, s
     words = written(word_counts(docs).where((F.col("n") >= least) | F.col("h").isNull()), "words")
     frequent = bitmap(word_keys(words.where("h IS NOT NULL")))
     shards = written(build_shards(docs, frequent, longest, shard_words), "fm-shards")
+    bits: list[np.ndarray] = []
     with _single_rows(spark):
-        pairs = written(frequent_pairs(shards, least), "pair-keys")
-    bits = bitmap(pairs)
-    with _single_rows(spark):
-        phrases = written(phrase_shares(shards, bits, longest).groupBy("lang", "g").agg(F.sum("n").alias("a")).where(F.col("a") >= least), "phrases")
+        while len(bits) < longest - 1:
+            keys = written(frequent_keys(shards, least, bits), "phrase-keys")
+            if not keys.limit(1).count():
+                break
+            bits.append(bitmap(keys))
+        phrases = written(phrase_shares(shards, bits).groupBy("lang", "g").agg(F.sum("n").alias("a")).where(F.col("a") >= least), "phrases")
     return words, phrases, shards
 
 
