@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.test_merge import SCHEMA
-from tidemark.operators import merge, progress, reconcile
+from tidemark.operators import merge, progress, reconcile, unkeyed
 from tidemark.plans.replicate import stage_events
 from tidemark.sources.changelog import parse_changes, parse_events
 from tests.replay import envelope
@@ -98,3 +98,19 @@ def test_counts_read_no_images_and_hash(spark, tmp_path):
     assert "SortAggregate" not in executed(counts) and "map<" not in counts._jdf.queryExecution().optimizedPlan().toString()
     full = progress.event_counts(parse_changes(raw)[0])
     assert counts.collect() == full.collect()
+
+
+def test_null_patterns_need_no_join_each(spark):
+    """Rows are looked up by one join, however many combinations of columns the before images test."""
+    columns = ["x", "y", "z", "w", "v", "u"]
+    row = "struct<" + ",".join(f"{c}:bigint" for c in columns) + ">"
+    nodes = spark.createDataFrame([(i, 7, (i, 0, 1, 2, 3, 4)) for i in range(5)], f"id bigint, after bigint, values {row}")
+
+    def joins(patterns):
+        rows = [(8 * k + 8, format(k % 63 + 1, "06b"), tuple((0, 0, 1, 2, 3, 4)[i] if bit == "1" else None for i, bit in enumerate(format(k % 63 + 1, "06b"))))
+                for k in range(patterns)]
+        found = unkeyed._successors(nodes, spark.createDataFrame(rows, f"code bigint, pattern string, was {row}"), columns, 1 << 20)
+        assert found.where("id = 0").count() == 1
+        return found._jdf.queryExecution().optimizedPlan().toString().count("Join ")
+
+    assert joins(1) == joins(40) > 0
