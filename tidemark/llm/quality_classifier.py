@@ -6,10 +6,13 @@
    no labels are used. Every pattern gets the posterior probability of being good.
 3. The posteriors of a bounded sample of documents (SAMPLE_DOCS, by a hash of the id) train a logistic scorer on hashed
    features: runs of three character classes, and coarse steps of repetition and length. It scores every document.
+   Where one side (posterior below or above a half) is rare, more of it is drawn, up to LEAST of the sample, so that
+   what the scorer learns about junk does not depend on the size of the corpus.
 
 Counts and the scorer's features cover whole texts. Nulls and empty texts have no features and no votes: their score is
-the scorer's intercept alone, and they are rejected. Repeated rows get equal scores. With no documents at all, or with
-votes of one kind only, everything with a word is kept.
+the scorer's intercept alone, and they are rejected. Repeated rows get equal scores. Rows without an id are drawn by
+their text. Where the label model finds one side only, there is nothing to train a scorer on, and its own probabilities
+are the scores. With no documents at all, or with votes of one kind only, everything with a word is kept.
 """
 
 from __future__ import annotations
@@ -18,6 +21,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,7 +29,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import WHITE, bounded_batches, mix, slices
 from tidemark.llm.text_stats import count_texts
 
-SAMPLE_DOCS, BITS, ROUNDS, STEPS, KEEP, SHRINK = 3000, 11, 50, 500, 0.5, 40
+SAMPLE_DOCS, BITS, ROUNDS, STEPS, KEEP, SHRINK, LEAST = 3000, 11, 50, 500, 0.5, 40, 0.05
 GOOD, BAD, NONE = 1, 0, 2
 
 
@@ -187,8 +191,8 @@ def _per_text(text: Column, ddl: str, names: list[str], make) -> Column:
     return F.arrow_udf(run, ddl)(text)
 
 
-_VOTED, _SCORED = "struct<ballot:string>", "struct<ballot:string,score:double,n_words:bigint>"
-_TYPES = {_VOTED: [pa.string()], _SCORED: [pa.string(), pa.float64(), pa.int64()]}
+_VOTED, _DRAWN, _SCORED = "struct<ballot:string>", "struct<ballot:string,x:binary>", "struct<ballot:string,score:double,n_words:bigint>"
+_TYPES = {_VOTED: [pa.string()], _DRAWN: [pa.string(), pa.binary()], _SCORED: [pa.string(), pa.float64(), pa.int64()]}
 
 
 def _ballots(c: dict[str, np.ndarray]) -> pa.Array:
@@ -218,20 +222,34 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sampl
         return Classifier(None, None)
     order = np.lexsort(ballots.T)
     model = label_model(ballots[order], counts[order])
-    share = int(min(1.0, sample_docs / counts.sum()) * 1_000_000)
-    hashed = F.pmod(F.xxhash64(F.coalesce(F.col(id_col), F.lit(0))), F.lit(1_000_000))
-    sample = docs.where(hashed <= share).select(hashed.alias("h"), F.col(text_col).alias("text")).where("text <> ''").limit(2 * sample_docs).toPandas()
-    texts = [t for _, t in sorted(zip(sample["h"], sample["text"], strict=True))[:sample_docs]]
-    x, target = np.zeros((len(texts), 1 << BITS), np.float32), np.zeros(len(texts))
-    for at, part in slices(pa.array(texts, pa.string()), 1 << 18):  # small, as this is the driver
-        c = count_texts(part)
-        x[at:at + len(part)] = features(part, c)
-        target[at:at + len(part)] = model.posterior(votes(c))
-    if not len(x) or target.max() < 0.5 or target.min() > 0.5:
+    sample = _drawn(docs, ballots, counts, model.posterior(ballots) > 0.5, id_col, text_col, sample_docs)
+    x = np.frombuffer(b"".join(sample["x"]), np.float32).reshape(len(sample), 1 << BITS)
+    target = model.posterior(_unpack(list(sample["ballot"])))
+    if not len(x) or target.max() <= 0.5 or target.min() > 0.5:
         return Classifier(model, None)
     return Classifier(model, Scorer.fit(x, target))
 
 
+def _drawn(docs: DataFrame, ballots: np.ndarray, counts: np.ndarray, good: np.ndarray, id_col: str, text_col: str, sample_docs: int) -> pd.DataFrame:
+    """(ballot, x: the features' bytes) of the sample. Features are cut in the tasks: the driver gets rows of one size, at most 2 * sample_docs."""
+    share = sample_docs / counts.sum()
+    rate = {side: int(min(1.0, max(share, LEAST * sample_docs / max(counts[good == side].sum(), 1))) * 1_000_000) for side in (True, False)}
+    text = F.col(text_col)
+    hashed = F.pmod(F.coalesce(F.when(F.col(id_col).isNotNull(), F.xxhash64(F.col(id_col))), F.xxhash64(text)), F.lit(1_000_000))
+    near = docs.where(text != "").select(hashed.alias("h"), text.alias("text")).where(F.col("h") <= max(rate.values()))
+    if rate[True] != rate[False]:
+        plenty = rate[True] < rate[False]
+        names = ["".join(map(str, row)) for row in ballots[good == plenty].tolist()]  # a part of the 3^N_VOTES patterns
+        voted = near.withColumn("v", _per_text(F.col("text"), _VOTED, ["ballot"], lambda texts, c: [_ballots(c)]))
+        near = voted.where((F.col("h") <= rate[plenty]) | ~F.col("v.ballot").isin(names)).select("h", "text")
+
+    def make(texts: list[bytes], c: dict[str, np.ndarray]) -> list[pa.Array]:
+        return [_ballots(c), pa.array([row.tobytes() for row in features(texts, c)], pa.binary())]
+
+    drawn = near.select("h", _per_text(F.col("text"), _DRAWN, ["ballot", "x"], make).alias("d")).select("h", "d.*")
+    return drawn.orderBy("h", "ballot", "x").limit(2 * sample_docs).toPandas()
+
+
 def classify(docs: DataFrame, classifier: Classifier, text_col: str = "text", keep: float = KEEP) -> DataFrame:
     """`docs` with ballot (the votes), weak_label (the label model's probability of good), score (the scorer's) and kept."""
     bounded_batches(docs.sparkSession)
@@ -250,8 +268,9 @@ def classify(docs: DataFrame, classifier: Classifier, text_col: str = "text", ke
             steps = model.evidence(k)[GOOD] - model.evidence(k)[BAD]
             gap = gap + F.element_at(F.array(*[F.lit(float(s)) for s in steps]), F.substring("__q.ballot", k + 1, 1).cast("int") + 1)
         weak = 1 / (1 + F.exp(-gap))
-    return marked.select(*[marked[c] for c in docs.columns], F.col("__q.ballot").alias("ballot"), weak.alias("weak_label"), F.col("__q.score").alias("score"),
-                         ((F.col("__q.score") >= keep) & (F.col("__q.n_words") > 0)).alias("kept"))
+    score = weak if scorer is None and model is not None else F.col("__q.score")
+    return marked.select(*[marked[c] for c in docs.columns], F.col("__q.ballot").alias("ballot"), weak.alias("weak_label"), score.alias("score"),
+                         ((score >= keep) & (F.col("__q.n_words") > 0)).alias("kept"))
 
 
 def clean(docs: DataFrame, classifier: Classifier | None = None, text_col: str = "text", **options) -> DataFrame:
