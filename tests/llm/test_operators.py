@@ -338,6 +338,19 @@ def test_extraction(spark):
     assert extract.extract(pages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("depth", [150, 199, 200, 201, 260, 5000])
+def test_deep_nesting_loses_nothing_and_lets_nothing_in(depth):
+    deep = "<div>" * depth + "<p>inner</p><div class=advert><div><p>Buy</p></div></div>tail" + "<section>one</section>two" + "</div>" * depth
+    page = f"<body><div id=x><article><h1>Title</h1><p>before</p>{deep}<p>after</p></article></div><footer>us</footer></body>"
+    assert extract.main_text(page, None).split("\n") == ["Title", "before", "inner", "tail", "one", "two", "after"]
+
+
+def test_slash_of_an_unquoted_value_closes_nothing():
+    top = extract.parse("<article><section data-u=/a/><p>in</p></section><p>out</p><div hidden/><div class='a'/><div /><p>end</p></article>")
+    article = top.children[0]
+    assert [c.sig for c in article.children] == ["section", "p", "div", "div class=a", "div", "p"] and len(article.children[0].children) == 1
+
+
 def test_template_without_names_is_told_by_its_constancy(spark):
     rows = [(k, f"http://plain.example.com/{k}", f"<body><div>Our site</div><div><h2>Title {k}</h2><p>Body text number {k} that differs</p></div><div>Imprint and so on</div></body>") for k in range(6)]
     got = extract.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
@@ -621,6 +634,22 @@ def test_classifier(spark, odd, odd_rows, empty):
     assert quality_classifier.clean(empty).count() == 0
 
 
+def test_rare_junk_is_rejected_whatever_the_size(spark):
+    """A few bad texts among many good ones are in the sample, however small their share is."""
+    draw = random.Random(5)
+    good = [" ".join(words(draw, 12) for _ in range(6)) for _ in range(50)]
+    rows = [(k, good[k % 50] + f" {words(draw, 3)}") for k in range(4000)] + [(k, "$$$ ### BUY!!! <<<>>> " * 20) for k in range(4000, 4003)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    for sample in (100, 3000):
+        trained = quality_classifier.train(docs, sample_docs=sample)
+        gone = {r.doc_id for r in quality_classifier.classify(docs, trained).where("NOT kept").collect()}
+        assert gone == {4000, 4001, 4002}
+    alone = quality_classifier.classify(docs, quality_classifier.Classifier(trained.model, None)).collect()
+    assert {r.doc_id for r in alone if not r.kept} == {4000, 4001, 4002} and all(r.score == r.weak_label for r in alone)
+    nameless = docs.selectExpr("CAST(NULL AS BIGINT) AS doc_id", "text")
+    assert quality_classifier.train(nameless, sample_docs=500).scorer is not None
+
+
 def test_scorer_sums_what_the_features_hold():
     draw = random.Random(1)
     texts = [words(draw, draw.randint(0, 50)).encode() for _ in range(40)] + [b"", "é".encode()]

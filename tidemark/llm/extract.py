@@ -14,7 +14,8 @@ element with most of the varying text. Menus, headers, footers, sidebars, notice
 are known by their element or name and left out anywhere. A page that has no such place, or nothing there but
 template, or a host of one page, is read by the same rules over its own tree.
 
-Nulls and empty pages give an empty text. Pages without a host in their URL are a host of their own. Repeated rows get
+Trees have MAX_DEPTH levels: deeper elements are kept track of, but their texts become blocks of the element at that
+level, except those of deeper asides, which go. Nulls and empty pages give an empty text. Pages without a host in their URL are a host of their own. Repeated rows get
 equal texts.
 """
 
@@ -58,6 +59,8 @@ _TOKEN = re.compile(
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[!?/][^>]*+>|(?P<text>[^<]++|<)", re.S | re.I)
 _ATTR = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
+#: A slash at the end closes an element unless it is a part of an unquoted value.
+_CLOSED = re.compile(r"(?:^|[\s\"']|\s[^\s\"'=]+)/\s*$")
 
 
 class Node:
@@ -106,6 +109,8 @@ def parse(page: str) -> Node:
             open_tag = stack[k].sig.split(" ", 1)[0]
             if open_tag == tag:
                 del stack[k:]
+                if k >= MAX_DEPTH:
+                    stack[-1].children.append(Node("hr"))  # what follows is a block of its own
                 return
             if open_tag in stops:
                 return
@@ -145,8 +150,14 @@ def parse(page: str) -> Node:
             continue
         node = Node(_signature(tag, m["attrs"]))
         stack[-1].children.append(node)
-        if not m["attrs"].rstrip().endswith("/") and len(stack) < MAX_DEPTH:
-            stack.append(node)
+        if _CLOSED.search(m["attrs"]):
+            continue
+        if len(stack) >= MAX_DEPTH and not is_aside(node.sig):
+            node, above = Node(node.sig), node
+            node.children, above.sig = stack[-1].children, "hr"
+        elif len(stack) >= MAX_DEPTH:
+            stack[-1].children.pop()
+        stack.append(node)
     return top
 
 
