@@ -593,6 +593,17 @@ def test_a_source_full_of_junk_does_not_raise_its_limit(spark, junk):
         assert all(out[i] == (kind == "clean") for i, *_, kind in rows)
 
 
+def test_a_document_more_changes_no_fence_by_much(spark):
+    names = [f"max_{m}" for m in quality_rules.METRICS]
+    found = []
+    for n in (199, 200, 201):
+        rows = [("en", "big", *([k % 50] * len(quality_rules.METRICS))) for k in range(1000)] + [("en", "own", *([25 if k % 10 > 5 else 20] * len(quality_rules.METRICS))) for k in range(n)]  # quartiles that stay
+        limits = quality_rules.thresholds(spark.createDataFrame(rows, ["lang", "source", *quality_rules.METRICS]), min_rows=200)
+        found.append([limits.where("source = 'own'").first()[m] for m in names])
+    for limits in zip(*found, strict=True):
+        assert max(limits) - min(limits) <= 2
+
+
 def test_sketches_are_close_and_merge(spark):
     draw = random.Random(2)
     values = [draw.choice([draw.randint(0, 100), draw.randint(0, 100_000)]) for _ in range(3000)]

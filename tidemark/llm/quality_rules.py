@@ -3,15 +3,16 @@
 A sketch is a log-linear histogram of whole numbers: a value keeps its leading SKETCH_BITS bits, so a quantile is off
 by at most 1 part in 2^(SKETCH_BITS - 1), and sketches merge by adding counts. They are built for every (lang, source)
 from all documents by one aggregate that combines on the map side; a language's sketch is the sum of its sources', and
-the corpus' the sum of all. A group of fewer than `min_rows` documents is judged by its language's sketch, and a
-language of fewer by the corpus'.
+the corpus' the sum of all. A group's fence is drawn towards its language's, and that towards the corpus': both count
+as `min_rows` documents beside the group's own, so that a document more or less changes little.
 
 The upper fence of a metric is q75 + SPREAD * (q75 - q50) + slack: what lies far outside the better half of the
 comparable documents goes, as long as junk is less than a quarter of a group. The slack only keeps a fence from
 closing in where a group hardly varies. Where a quarter or more is junk, the group's own fence says nothing, so no
-fence may lie above LIFT times the (lower) median of the fences of its language's groups of `min_rows` or more, and,
-for metrics that hardly depend on the language, of the corpus' groups. Every group counts once there, whatever its
-size. If half of the groups to compare with are such, or there is only one, the fence is as good as theirs.
+fence, and none that it is drawn towards, may lie above LIFT times the (lower) median of the fences of its language's
+groups, and, for metrics that hardly depend on the language, of the corpus' groups. A group of n documents weighs
+n / (n + min_rows) there, so a large one weighs no more than some middling ones. If half of the weight is such groups',
+or there is only one, the fence is as good as theirs.
 
 Nulls: a null text has no words and fails the base rule; null languages and sources are groups of their own.
 Repeated rows are judged, and counted, one by one.
@@ -71,24 +72,38 @@ def fences(sketch: DataFrame, *groups: str) -> DataFrame:
         (F.max(F.when(F.col("metric") == m, fence)) + slack).alias(f"max_{m}") for m, (_, slack) in METRICS.items()])
 
 
+def medians(by_source: DataFrame, min_rows: int, *groups: str) -> DataFrame:
+    """(groups, b_<metric>: LIFT times the lower weighted median of the groups' fences); equal fences are summed first."""
+    weight = (1_000_000 * F.col("members") / (F.col("members") + min_rows)).cast("bigint")
+    stacked = by_source.select(*groups, weight.alias("weight"), F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(f"s_max_{m}").alias("fence")) for m in METRICS])).alias("f"))
+    summed = stacked.groupBy(*groups, "f.metric", "f.fence").agg(F.sum("weight").alias("weight"))
+    keys = ", ".join([*groups, "metric"])
+    run = summed.selectExpr("*", f"sum(weight) OVER (PARTITION BY {keys} ORDER BY fence) AS upto", f"sum(weight) OVER (PARTITION BY {keys}) AS total")
+    half = run.where(2 * F.col("upto") >= F.col("total"))
+    return half.groupBy(*groups).agg(*[(LIFT * F.min(F.when(F.col("metric") == m, F.col("fence")))).alias(f"b_max_{m}") for m in METRICS])
+
+
 def thresholds(measured: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:
-    """One row per (lang, source): the level its fences come from, and the fences."""
+    """One row per (lang, source): whose documents weigh most in its fences (level), and the fences."""
     own = written(sketches(measured), "sketches")
     names = [f"max_{m}" for m in METRICS]
-    by_source = fences(own, "lang", "source").select("lang", "source", "members", *[F.col(n).alias(f"s_{n}") for n in names])
+    by_source = written(fences(own, "lang", "source").select("lang", "source", "members", *[F.col(n).alias(f"s_{n}") for n in names]), "fences")
     by_lang = fences(merge(own, "lang"), "lang").select(F.col("lang").alias("l_lang"), F.col("members").alias("l_members"), *[F.col(n).alias(f"l_{n}") for n in names])
-    overall = fences(merge(own)).first()  # one row of numbers
-    large = by_source.where(F.col("members") >= min_rows)
-    medians = [(LIFT * F.percentile_approx(f"s_{n}", 0.5)).alias(f"b_{n}") for n in names]
-    bounds, bound = large.groupBy(F.col("lang").alias("b_lang")).agg(*medians), large.agg(*medians).first()
+    overall, bound = fences(merge(own)).first(), medians(by_source, min_rows).first()  # a row of numbers each
+    bounds = medians(by_source, min_rows, "lang").withColumnRenamed("lang", "b_lang")
     level = F.when(F.col("members") >= min_rows, "source").when(F.col("l_members") >= min_rows, "lang").otherwise("all")
-    joined = by_source.join(by_lang, F.col("lang").eqNullSafe(F.col("l_lang"))).join(bounds, F.col("lang").eqNullSafe(F.col("b_lang")), "left")
+    joined = by_source.join(by_lang, F.col("lang").eqNullSafe(F.col("l_lang"))).join(bounds, F.col("lang").eqNullSafe(F.col("b_lang")))
     any_language = {f"max_{m}" for m in ANY_LANGUAGE}
 
     def limit(n: str) -> Column:
-        """The level's fence below the bounds there are; least() passes nulls over."""
-        of_level = F.when(level == "source", F.col(f"s_{n}")).when(level == "lang", F.col(f"l_{n}")).otherwise(F.lit(overall[n]))
-        return F.least(of_level, F.col(f"b_{n}"), F.lit(bound[f"b_{n}"] if n in any_language else None).cast("bigint"))
+        def bounded(fence: Column) -> Column:
+            return F.least(fence, F.col(f"b_{n}"), F.lit(bound[f"b_{n}"] if n in any_language else None).cast("bigint"))  # passes nulls over
+
+        def drawn(fence: Column, members: Column, towards: Column) -> Column:
+            return ((fence * members + towards * min_rows) / (members + min_rows)).cast("bigint")
+
+        of_lang = drawn(bounded(F.col(f"l_{n}")), F.col("l_members"), bounded(F.lit(overall[n])))
+        return drawn(bounded(F.col(f"s_{n}")), F.col("members"), of_lang)
 
     return joined.select("lang", "source", level.alias("level"), *[limit(n).alias(n) for n in names])
 
