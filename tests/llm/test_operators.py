@@ -594,14 +594,20 @@ def test_a_source_full_of_junk_does_not_raise_its_limit(spark, junk):
 
 
 def test_a_document_more_changes_no_fence_by_much(spark):
+    """A fence moves no further than those it is made of, whose quantiles are whole numbers and go in steps; no size switches levels."""
     names = [f"max_{m}" for m in quality_rules.METRICS]
     found = []
     for n in (199, 200, 201):
-        rows = [("en", "big", *([k % 50] * len(quality_rules.METRICS))) for k in range(1000)] + [("en", "own", *([25 if k % 10 > 5 else 20] * len(quality_rules.METRICS))) for k in range(n)]  # quartiles that stay
-        limits = quality_rules.thresholds(spark.createDataFrame(rows, ["lang", "source", *quality_rules.METRICS]), min_rows=200)
-        found.append([limits.where("source = 'own'").first()[m] for m in names])
-    for limits in zip(*found, strict=True):
-        assert max(limits) - min(limits) <= 2
+        rows = [("en", "big", *([k % 50] * len(quality_rules.METRICS))) for k in range(1000)] + [("en", "own", *([20 + k % 7] * len(quality_rules.METRICS))) for k in range(n)]
+        measured = spark.createDataFrame(rows, ["lang", "source", *quality_rules.METRICS])
+        sketch = quality_rules.sketches(measured)
+        parts = [quality_rules.fences(sketch, "lang", "source").where("source = 'own'").first(), quality_rules.fences(quality_rules.merge(sketch, "lang"), "lang").first()]
+        limits = quality_rules.thresholds(measured, min_rows=200).where("source = 'own'").first()
+        found.append([(limits[m], *(p[m] for p in parts)) for m in names])
+    for metric in zip(*found, strict=True):
+        limit, own, lang = (max(v) - min(v) for v in zip(*metric, strict=True))
+        assert limit <= max(own, lang) + 2
+        assert all(abs(o - g) > 20 for _, o, g in metric)  # a switch between the two would show
 
 
 def test_sketches_are_close_and_merge(spark):
