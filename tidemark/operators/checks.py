@@ -42,6 +42,7 @@ def _presence(required: DataFrame, present: DataFrame) -> DataFrame:
         listed(F.format_string("%s (%d columns)", "_found", "_columns"), ~lost).alias("present"))
 
 
+# Fixed values below: the identifiers, statuses and message texts of a check are part of its result.
 def table_checks(required: DataFrame, source: DataFrame, target: DataFrame, schema_sync: bool = True,
                  source_up: bool = True, target_up: bool = True) -> DataFrame:
     """Presence of the required tables in two column catalogs (rows of `catalog_of`).
