@@ -140,6 +140,13 @@ def test_collocations_of_nothing(spark):
     assert collocations.collocations(docs_of(spark, [(1, "s", "en", "a b c"), (2, "s", None, None)])).collect() == []
 
 
+def test_collocations_of_one_language_only(spark):
+    """The shard of `de` has frequent neighbours, but none of its words is in a phrase of the result."""
+    de = [(10 + i, "s", "de", " ".join(f"w{i} w{j}." for j in range(5))) for i in range(5)]
+    docs = docs_of(spark, [(i, "s", "en", "a b") for i in range(4)] + de).coalesce(1)
+    assert [tuple(r) for r in collocations.collocations(docs, least=4).collect()] == [("en", 1, "a b", 4, 4, 4, 8, 2000)]
+
+
 def test_scores_beyond_64_bits(spark):
     """1000 * a * n passes 2^64; the floor is that of whole numbers."""
     a, n, left, right = 10 ** 11 + 7, 9 * 10 ** 14 + 1, 10 ** 12 + 3, 10 ** 13 + 9

@@ -449,7 +449,7 @@ def texts_of(shards: DataFrame, words: DataFrame) -> DataFrame:
             for lang, data, texts in zip(*(batch.column(c).to_pylist() for c in ("lang", "hashes", "texts")), strict=True):
                 h = np.frombuffer(data, np.uint64)
                 at = np.flatnonzero(has_bit(shared.value, hash_of(lang, h)))
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at)), pa.array(h[at].view(np.int64)), pa.array([texts[i] for i in at], pa.string())], names=["lang", "h", "word"])
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(h[at].view(np.int64)), pa.array([texts[i] for i in at], pa.string())], names=["lang", "h", "word"])
 
     return shards.select("lang", "hashes", "texts").mapInArrow(run, "lang string, h bigint, word string")
 
