@@ -114,3 +114,21 @@ def test_null_patterns_need_no_join_each(spark):
         return found._jdf.queryExecution().optimizedPlan().toString().count("Join ")
 
     assert joins(1) == joins(40) > 0
+
+
+@pytest.fixture(scope="module")
+def long_log(spark, tmp_path_factory):
+    """30,000 updates, one per key, whose parsed columns are estimated at a small part of their text."""
+    path = str(tmp_path_factory.mktemp("long") / "log")
+    row = "named_struct('k', id, 'a', 'x', 'b', 1.0D)"
+    spark.range(30_000).selectExpr("id AS seq", f"to_json(named_struct('payload', named_struct('op', 'u', 'source', "
+                                   f"named_struct('table', 't'), 'before', {row}, 'after', {row}))) AS value").write.parquet(path)
+    from tidemark.sources.changelog import decode_images
+    return decode_images(parse_changes(spark.read.parquet(path))[0], SCHEMA)
+
+
+@pytest.mark.parametrize("apply", [lambda *a: merge.apply_changes(*a, partial=False), merge.apply_partial, merge.apply_key_only])
+def test_many_changes_are_not_broadcast(spark, long_log, tmp_path, apply):
+    spark.range(40_000).selectExpr("id AS k", "'y' AS a", "2.0D AS b").write.parquet(str(tmp_path / "base"))
+    state = apply(spark.read.parquet(str(tmp_path / "base")), long_log, ["k"])
+    assert "Broadcast" not in executed(state) and state.count() == 40_000

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.ordered import DEFAULT_STRETCH, with_previous
+from tidemark.session import is_few, joinable
 from tidemark.sources.changelog import DELETE, readable
 
 _BARE = "delete without image"
@@ -70,7 +71,7 @@ def apply_changes(base: DataFrame | None, typed: DataFrame, keys: Sequence[str],
 
     With `partial` (the default) an update touches only the columns its image carries. Set it to False
     when all images are complete: one aggregate instead of one per column, and the base is only
-    anti-joined, which becomes a broadcast join when the batch of keys is small.
+    anti-joined, which becomes a broadcast join when the batch is small (events are counted up to FEW_ROWS).
     """
     if partial:
         return apply_partial(base, typed, keys, order_col)
@@ -85,7 +86,8 @@ def apply_changes(base: DataFrame | None, typed: DataFrame, keys: Sequence[str],
     same = F.col("_deleted").isNotNull()
     for k in keys:
         same = same & (F.col(k) == F.col(f"_k_{k}"))
-    return base.join(touched, same, "left_anti").select(*columns).unionByName(survivors)
+    few = is_few(applicable(typed, keys))
+    return base.join(joinable(touched, few), same, "left_anti").select(*columns).unionByName(survivors)
 
 
 def partial_state(typed: DataFrame, keys: Sequence[str], others: Sequence[str], order_col: str = "seq") -> DataFrame:
@@ -121,15 +123,15 @@ def apply_partial(base: DataFrame | None, typed: DataFrame, keys: Sequence[str],
     values = [F.when(removed.isNull(), F.when(F.col(f"_s_{c}").isNotNull(), F.col(f"_s_{c}.v")).otherwise(F.col(c)))
               .when(F.col(f"_s_{c}.at") > removed, F.col(f"_s_{c}.v")).alias(c) for c in others]
     bare = [F.when(removed.isNull() | (F.col(f"_s_{c}.at") > removed), F.col(f"_s_{c}.v")).alias(c) for c in others]
-    return _merged(base, state, keys, live, values, bare)
+    return _merged(base, state, keys, live, values, bare, is_few(applicable(typed, keys)))
 
 
 def _merged(base: DataFrame, state: DataFrame, keys: Sequence[str], live: Column, values: Sequence[Column],
-            bare: Sequence[Column]) -> DataFrame:
+            bare: Sequence[Column], few: bool) -> DataFrame:
     """Base rows with the changes of their key, and rows for the keys the base lacks.
 
-    The base only ever streams past the changed keys (an outer and a semi join, broadcast when these are
-    few), so a small batch moves none of it. All three uses of `state` ask for all of its columns, which
+    The base only ever streams past the changed keys (an outer and a semi join, broadcast when the events
+    are few), so a small batch moves none of it. All three uses of `state` ask for all of its columns, which
     keeps its aggregate the same, and its shuffle is reused.
     """
     all_asked = F.xxhash64(*state.columns) >= F.lit(-(2 ** 63))  # always true
@@ -143,10 +145,10 @@ def _merged(base: DataFrame, state: DataFrame, keys: Sequence[str], live: Column
         return match
 
     removed = F.col("_removed")
-    held = base.join(changes, same(base), "left")
+    held = base.join(joinable(changes, few), same(base), "left")
     kept = held.where(F.col(f"_k_{keys[0]}").isNull() | live | removed.isNull()).select(*keys, *values).select(*base.columns)
-    known = base.join(changes, same(base), "left_semi").select(*keys)
-    fresh = changes.join(known, same(known), "left_anti").where(live)
+    known = base.join(joinable(changes, few), same(base), "left_semi").select(*keys)
+    fresh = changes.join(joinable(known, few), same(known), "left_anti").where(live)
     return kept.unionByName(fresh.withColumnsRenamed({v: k for k, v in key_of.items()}).select(*keys, *bare).select(*base.columns))
 
 
@@ -165,7 +167,7 @@ def apply_key_only(base: DataFrame, typed: DataFrame, keys: Sequence[str], order
     live = upserted.isNotNull() & (removed.isNull() | (upserted > removed))
     others = [f for f in base.schema.fields if f.name not in keys]
     return _merged(base, state, keys, live, [F.when(removed.isNull(), F.col(f.name)).alias(f.name) for f in others],
-                   [F.lit(None).cast(f.dataType).alias(f.name) for f in others])
+                   [F.lit(None).cast(f.dataType).alias(f.name) for f in others], is_few(applicable(typed, keys)))
 
 
 def noop_events(base: DataFrame | None, typed: DataFrame, keys: Sequence[str], order_col: str = "seq",

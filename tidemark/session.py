@@ -58,3 +58,21 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the data survives the loss of executors."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+#: Rows up to which a table that is derived from a log may be sent to all tasks.
+FEW_ROWS = 20_000
+
+
+def is_few(df: DataFrame, limit: int = FEW_ROWS) -> bool:
+    """Whether `df` has at most `limit` rows; no task computes more than `limit` + 1 of them."""
+    return df.limit(limit + 1).count() <= limit
+
+
+def joinable(df: DataFrame, few: bool) -> DataFrame:
+    """`df` for the side of a join that Spark might broadcast; unless it has few rows, the join has to shuffle.
+
+    What is read from JSON is estimated far too small: a parsed row counts as no larger than its text, and its narrow
+    columns as a small part of it. By such estimates Spark would broadcast millions of rows.
+    """
+    return df if few else df.hint("merge")
