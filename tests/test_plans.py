@@ -132,3 +132,14 @@ def test_many_changes_are_not_broadcast(spark, long_log, tmp_path, apply):
     spark.range(40_000).selectExpr("id AS k", "'y' AS a", "2.0D AS b").write.parquet(str(tmp_path / "base"))
     state = apply(spark.read.parquet(str(tmp_path / "base")), long_log, ["k"])
     assert "Broadcast" not in executed(state) and state.count() == 40_000
+
+
+def test_many_changes_without_a_key_are_not_broadcast(spark, long_log):
+    changed = unkeyed.apply_unkeyed(None, long_log)
+    missed = unkeyed.unkeyed_noop_events(None, long_log)
+    assert "Broadcast" not in executed(changed) + executed(missed)
+    assert changed.count() == missed.count() == 30_000
+
+
+def test_borders_of_stretches_are_not_broadcast(long_log):
+    assert "Broadcast" not in executed(merge.noop_events(None, long_log, ["k"], stretch=10))

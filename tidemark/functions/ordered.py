@@ -3,6 +3,7 @@
 A plain window puts all events of a key into one task. Here the log is cut into stretches of
 `stretch` positions, the window runs per (key, stretch), and what crosses a border travels as one
 row per (key, stretch). Positions are unique, so a task never holds more than `stretch` rows of a key.
+The borders may be as many as the rows, so they are never broadcast; the rows are dealt and sorted for the join as it is.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ def with_previous(df: DataFrame, key: str, position: str, value: str, name: str,
                .select(key, "_stretch", F.lag("_last").over(outer).alias("_carried"))
                .where(F.col("_carried").isNotNull()))
     return (cut.withColumn("_near", F.lag(value).over(inner))
-            .join(borders, [key, "_stretch"], "left")
+            .join(borders.hint("merge"), [key, "_stretch"], "left")
             .withColumn(name, F.coalesce("_near", "_carried"))
             .select(*df.columns, name))
 
@@ -52,6 +53,6 @@ def with_next_marked(df: DataFrame, key: str, position: str, marked: Column, nam
                .select(key, "_stretch", F.min("_first").over(outer).alias("_carried"))
                .where(F.col("_carried").isNotNull()))
     return (cut.withColumn("_near", F.min(mark).over(inner))
-            .join(borders, [key, "_stretch"], "left")
+            .join(borders.hint("merge"), [key, "_stretch"], "left")
             .withColumn(name, F.coalesce("_near", "_carried"))
             .select(*df.columns, name))

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.ordered import DEFAULT_STRETCH, with_next_marked
-from tidemark.session import cut_lineage
+from tidemark.session import FEW_ROWS, cut_lineage, joinable
 from tidemark.sources.changelog import DELETE, readable
 
 _CHUNK = 10_000
@@ -51,6 +51,7 @@ class Trace(NamedTuple):
     untouched: DataFrame | None
     tested: list[str]
     payload: list[str]
+    few: bool
 
 
 def _any(parts: Sequence[Column]) -> Column:
@@ -134,7 +135,7 @@ def _own_ids(rows: DataFrame, generation: int) -> DataFrame:
     return cut_lineage(rows.withColumn("id", F.lit(-1 - (generation << 48)).cast("bigint") - F.monotonically_increasing_id()))
 
 
-def _grow(events: DataFrame, base: DataFrame | None, tested: list[str], payload: list[str], stretch: int) -> tuple[DataFrame, DataFrame]:
+def _grow(events: DataFrame, base: DataFrame | None, tested: list[str], payload: list[str], stretch: int, few: bool) -> tuple[DataFrame, DataFrame]:
     """All nodes with their targets, and the updates."""
     clearing = events.where(F.col("kind") != ADD)
     opens = events.where(F.col("kind") == OPEN).select("code", "row", "was", "tests", "has")
@@ -153,7 +154,7 @@ def _grow(events: DataFrame, base: DataFrame | None, tested: list[str], payload:
         fresh = fresh.unionByName(base.select("id", F.lit(-1).cast("bigint").alias("after"), "values", "writes", "born"))
     parts, generation = [], 0
     while True:
-        placed = cut_lineage(fresh.join(_successors(fresh, clearing, tested, stretch), "id", "left"))
+        placed = cut_lineage(fresh.join(joinable(_successors(fresh, clearing, tested, stretch), few), "id", "left"))
         entering = placed.where(_kind("successor") == OPEN).select("id", F.col("successor").alias("code"), F.col("values").alias("came"))
         more = entering.limit(1).count() > 0
         target = F.when(_kind("successor").isin(FULL, CLOSED), F.col("successor"))
@@ -163,11 +164,11 @@ def _grow(events: DataFrame, base: DataFrame | None, tested: list[str], payload:
         generation += 1
         became = F.struct(*[F.when(F.col(f"has.{c}"), F.col(f"row.{c}")).when(F.col(f"tests.{c}"), F.col(f"was.{c}"))
                             .otherwise(F.col(f"came.{c}")).alias(c) for c in tested])
-        moved = cut_lineage(entering.join(opens, "code").select(F.col("id").alias("from"), "code", became.alias("values")))
+        moved = cut_lineage(entering.join(joinable(opens, few), "code").select(F.col("id").alias("from"), "code", became.alias("values")))
         nodes = _own_ids(moved.select("code", "values").distinct(), generation)
-        into = moved.join(nodes, ["code", "values"]).select(F.col("from").alias("id"), F.col("id").alias("_into"))
-        parts.append(placed.join(into, "id", "left").withColumn("target", F.coalesce("_into", target)).drop("_into"))
-        fresh = nodes.join(opens, "code").select("id", (F.col("code") - OPEN + _AFTER).alias("after"), "values",
+        into = moved.join(joinable(nodes, few), ["code", "values"]).select(F.col("from").alias("id"), F.col("id").alias("_into"))
+        parts.append(placed.join(joinable(into, few), "id", "left").withColumn("target", F.coalesce("_into", target)).drop("_into"))
+        fresh = nodes.join(joinable(opens, few), "code").select("id", (F.col("code") - OPEN + _AFTER).alias("after"), "values",
                                                  _writes(payload, "row", "has").alias("writes"), F.lit(0).cast("bigint").alias("born"))
     nodes = reduce(DataFrame.unionByName, parts).withColumn("gone", F.coalesce(_kind("successor") == DROP, F.lit(False)))
     if generation:
@@ -175,23 +176,24 @@ def _grow(events: DataFrame, base: DataFrame | None, tested: list[str], payload:
     return nodes, events.where(F.col("kind").isin(FULL, CLOSED, OPEN)).select("code", "kind")
 
 
-def _reached(nodes: DataFrame, seeds: DataFrame) -> DataFrame:
+def _reached(nodes: DataFrame, seeds: DataFrame, few: bool) -> DataFrame:
     """(id, flag): the highest flag among the seeds (id, flag) whose ways lead through a node."""
     inner = nodes.where(F.col("target").isNotNull()).select(F.col("target").alias("id")).distinct()
-    handed = seeds.join(nodes.select("id", "target"), "id").where(F.col("target").isNotNull()).groupBy(F.col("target").alias("id")).agg(F.max("flag").alias("handed"))
-    state = (inner.join(nodes.select("id", F.col("target").alias("hop")), "id").join(seeds, "id", "left").join(handed, "id", "left")
+    handed = seeds.join(joinable(nodes.select("id", "target"), few), "id").where(F.col("target").isNotNull()).groupBy(F.col("target").alias("id")).agg(F.max("flag").alias("handed"))
+    state = (inner.join(joinable(nodes.select("id", F.col("target").alias("hop")), few), "id").join(joinable(seeds, few), "id", "left")
+             .join(joinable(handed, few), "id", "left")
              .select("id", "hop", F.greatest(F.coalesce("flag", F.lit(_NO)), F.coalesce("handed", F.lit(_NO))).alias("flag")))
     state = cut_lineage(state)
     while state.where(F.col("hop").isNotNull()).limit(1).count():
         pushed = state.where(F.col("hop").isNotNull() & (F.col("flag") > _NO)).groupBy(F.col("hop").alias("id")).agg(F.max("flag").alias("pushed"))
         ahead = state.select(F.col("id").alias("hop"), F.col("hop").alias("_hop"))
-        state = cut_lineage(state.join(pushed, "id", "left").join(ahead, "hop", "left").select(
+        state = cut_lineage(state.join(joinable(pushed, few), "id", "left").join(joinable(ahead, few), "hop", "left").select(
             "id", F.col("_hop").alias("hop"), F.greatest("flag", F.coalesce("pushed", F.lit(_NO))).alias("flag")))
     return (seeds.select("id", "flag").unionByName(state.select("id", "flag")).groupBy("id").agg(F.max("flag").alias("flag"))
             .where(F.col("flag") > _NO))
 
 
-def _settled(nodes: DataFrame, partial: bool) -> tuple[DataFrame, DataFrame]:
+def _settled(nodes: DataFrame, partial: bool, few: bool) -> tuple[DataFrame, DataFrame]:
     """(code) of the events that rows came to, and (id) of the inserted rows of partial updates that were inserted."""
     sure = nodes.where((F.col("id") < 0) & (F.col("born") > 0) | (F.col("id") >= 0) & _kind("id").isin(ADD, FULL))
     came = nodes.where(F.col("successor").isNotNull())
@@ -200,12 +202,12 @@ def _settled(nodes: DataFrame, partial: bool) -> tuple[DataFrame, DataFrame]:
     waiting = cut_lineage(nodes.where((F.col("id") >= 0) & (_kind("id") == _INSERTED)).select("id", F.lit(_MAYBE).alias("flag")))
     sure = sure.select("id", F.lit(_YES).alias("flag"))
     while True:
-        flags = _reached(nodes, sure.unionByName(waiting.where(F.col("flag") > _NO)))
-        hits = cut_lineage(came.select("id", F.col("successor").alias("code")).join(flags, "id").groupBy("code").agg(F.max("flag").alias("hit")))
+        flags = _reached(nodes, sure.unionByName(waiting.where(F.col("flag") > _NO)), few)
+        hits = cut_lineage(came.select("id", F.col("successor").alias("code")).join(joinable(flags, few), "id").groupBy("code").agg(F.max("flag").alias("hit")))
         if not waiting.where(F.col("flag") == _MAYBE).limit(1).count():
             return hits.where(F.col("hit") == _YES).select("code"), waiting.where(F.col("flag") == _YES).select("id")
         event = F.col("id") - _INSERTED
-        found = waiting.join(hits.select((F.col("code") - _kind("code")).alias("_event"), "hit"), event == F.col("_event"), "left")
+        found = waiting.join(joinable(hits.select((F.col("code") - _kind("code")).alias("_event"), "hit"), few), event == F.col("_event"), "left")
         now = F.when(F.col("hit").isNull(), _YES).when(F.col("hit") == _YES, _NO).otherwise(_MAYBE)
         waiting = cut_lineage(found.select("id", F.when(F.col("flag") == _MAYBE, now).otherwise(F.col("flag")).cast("int").alias("flag")))
 
@@ -215,7 +217,7 @@ def _trace(base: DataFrame | None, typed: DataFrame, columns: Sequence[str], ord
     events = cut_lineage(_bag_events(typed, columns, order_col))
     whole = _all([F.col(f"has.{c}") for c in columns])
     looks = F.when(F.col("action") != "add", True)
-    shape = events.agg(F.count(looks).alias("n"), F.max((F.col("action") == "move") & ~whole).alias("partial"),
+    shape = events.agg(F.count(looks).alias("n"), F.count("*").alias("events"), F.max((F.col("action") == "move") & ~whole).alias("partial"),
                        *[F.max(F.when(looks, F.col(f"tests.{c}"))).alias(f"some_{i}") for i, c in enumerate(columns)],
                        *[F.min(F.when(looks, F.col(f"tests.{c}"))).alias(f"all_{i}") for i, c in enumerate(columns)]).first()
     if not shape["n"]:
@@ -229,47 +231,48 @@ def _trace(base: DataFrame | None, typed: DataFrame, columns: Sequence[str], ord
     pattern = F.concat(*[F.when(F.col(f"tests.{c}"), "1").otherwise("0") for c in tested])
     events = events.select((F.col("position") * 8 + kind).alias("code"), kind.alias("kind"), "row", "was", "tests", "has", pattern.alias("pattern"))
 
-    untouched, classes = None, None
+    untouched, classes, few = None, None, shape["events"] <= FEW_ROWS
     if base is not None:
         rows, met = base.select(*columns), base.select(*columns)
         if always:
             # The columns that every before image tests tell at once which base rows no event can match.
             keys = events.where(F.col("kind") != ADD).select(*[F.col(f"was.{c}").alias(f"_k{i}") for i, c in enumerate(always)]).distinct()
             same = _all([F.col(c) == F.col(f"_k{i}") for i, c in enumerate(always)])
-            untouched, met = rows.join(keys, same, "left_anti"), rows.join(keys, same, "left_semi")
+            untouched, met = rows.join(joinable(keys, few), same, "left_anti"), rows.join(joinable(keys, few), same, "left_semi")
         counted = met.groupBy(*columns).agg(F.count("*").alias("born")).select(F.struct(*columns).alias("row"), "born")
         classes = _own_ids(counted.select("born", _pick("row", tested).alias("values"), _writes(payload, "row").alias("writes")), 0)
-    nodes, updates = _grow(events, classes, tested, payload, stretch)
-    hits, inserted = _settled(nodes, bool(shape["partial"]))
+        few = few and shape["events"] + classes.count() <= FEW_ROWS
+    nodes, updates = _grow(events, classes, tested, payload, stretch, few)
+    hits, inserted = _settled(nodes, bool(shape["partial"]), few)
     # An update without visitors puts one row at its own node: that of its whole image, or of the row it inserts.
-    alone = updates.where(F.col("kind") == FULL).join(hits, "code", "left_anti").select(F.col("code").alias("id")).unionByName(inserted)
-    nodes = nodes.join(alone.withColumn("_alone", F.lit(1).cast("bigint")), "id", "left").withColumn(
+    alone = updates.where(F.col("kind") == FULL).join(joinable(hits, few), "code", "left_anti").select(F.col("code").alias("id")).unionByName(inserted)
+    nodes = nodes.join(joinable(alone.withColumn("_alone", F.lit(1).cast("bigint")), few), "id", "left").withColumn(
         "born", F.coalesce("born", "_alone", F.lit(0).cast("bigint"))).drop("_alone")
-    return Trace(nodes, updates, events.where(F.col("kind") == DROP).select("code"), hits, untouched, tested, payload)
+    return Trace(nodes, updates, events.where(F.col("kind") == DROP).select("code"), hits, untouched, tested, payload, few)
 
 
 def _resting(traced: Trace) -> DataFrame:
     """(values, writes, count) of the rows that are left, at the ends of their ways."""
-    nodes, payload = traced.nodes, traced.payload
+    nodes, payload, few = traced.nodes, traced.payload, traced.few
     targets = nodes.where(F.col("target").isNotNull()).select(F.col("target").alias("id")).distinct()
     # A node nobody comes to hands its rows on at once, summed per target and writes; only the others need doubling.
-    outer = nodes.join(targets, "id", "left_anti").where(F.col("born") > 0)
+    outer = nodes.join(joinable(targets, few), "id", "left_anti").where(F.col("born") > 0)
     at_rest = outer.where(F.col("successor").isNull()).select("values", "writes", F.col("born").alias("count"))
     handed = outer.where(F.col("target").isNotNull()).groupBy(F.col("target").alias("id"), F.col("writes").alias("brought")).agg(F.sum("born").alias("count"))
-    inner = cut_lineage(nodes.join(targets, "id", "left_semi").select("id", "target", "gone", "values", "writes", "born"))
+    inner = cut_lineage(nodes.join(joinable(targets, few), "id", "left_semi").select("id", "target", "gone", "values", "writes", "born"))
     nothing = F.lit(None).cast(inner.schema["writes"].dataType)
     handed = handed.unionByName(inner.where(F.col("born") > 0).select("id", nothing.alias("brought"), F.col("born").alias("count")))
     state = inner.select("id", F.col("id").alias("root"), F.col("target").alias("hop"), "gone", "writes")
     while state.where(F.col("hop").isNotNull()).limit(1).count():
         ahead = state.select(F.col("id").alias("hop"), F.col("root").alias("_root"), F.col("hop").alias("_hop"),
                              F.col("gone").alias("_gone"), F.col("writes").alias("_writes"))
-        jumped = (state.where(F.col("hop").isNotNull()).join(ahead, "hop")
+        jumped = (state.where(F.col("hop").isNotNull()).join(joinable(ahead, few), "hop")
                   .select("id", F.col("_root").alias("root"), F.col("_hop").alias("hop"), F.col("_gone").alias("gone"),
                           _later("writes", "_writes", payload).alias("writes")))
         state = cut_lineage(state.where(F.col("hop").isNull()).unionByName(jumped))
-    ended = (handed.join(state.where(~F.col("gone")), "id").select("root", _later("brought", "writes", payload).alias("writes"), "count")
+    ended = (handed.join(joinable(state.where(~F.col("gone")), few), "id").select("root", _later("brought", "writes", payload).alias("writes"), "count")
              .groupBy("root", "writes").agg(F.sum("count").alias("count"))
-             .join(inner.select(F.col("id").alias("root"), "values"), "root"))
+             .join(joinable(inner.select(F.col("id").alias("root"), "values"), few), "root"))
     return at_rest.unionByName(ended.select("values", "writes", "count"))
 
 
@@ -312,6 +315,6 @@ def unkeyed_noop_events(base: DataFrame | None, typed: DataFrame, order_col: str
     if isinstance(traced, DataFrame):
         return typed.sparkSession.createDataFrame([], f"{order_col} bigint, reason string")
     position = F.floor(F.col("code") / 8).cast("bigint").alias(order_col)
-    missed = traced.drops.join(traced.hits, "code", "left_anti").select(position, F.lit("no_row").alias("reason"))
-    fell_back = traced.updates.join(traced.hits, "code", "left_anti").select(position, F.lit("update_inserted").alias("reason"))
+    missed = traced.drops.join(joinable(traced.hits, traced.few), "code", "left_anti").select(position, F.lit("no_row").alias("reason"))
+    fell_back = traced.updates.join(joinable(traced.hits, traced.few), "code", "left_anti").select(position, F.lit("update_inserted").alias("reason"))
     return missed.unionByName(fell_back)
