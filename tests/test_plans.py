@@ -143,3 +143,9 @@ def test_many_changes_without_a_key_are_not_broadcast(spark, long_log):
 
 def test_borders_of_stretches_are_not_broadcast(long_log):
     assert "Broadcast" not in executed(merge.noop_events(None, long_log, ["k"], stretch=10))
+
+
+def test_stretches_are_not_joined_into_few_partitions(long_log):
+    """The sorts of a task would hold a share of the log that depends on the cores."""
+    plan = executed(merge.noop_events(None, long_log, ["k"], stretch=10))
+    assert "REPARTITION_BY_NUM" in plan and "REPARTITION_BY_COL" not in plan

@@ -20,6 +20,16 @@ def _stretch_of(position: str, stretch: int) -> Column:
     return F.coalesce(F.call_function("div", at - F.pmod(at, F.lit(stretch)), F.lit(stretch)), F.lit(0))
 
 
+def _cut(df: DataFrame, key: str, position: str, stretch: int) -> DataFrame:
+    """`df` with the stretch of each row, dealt by key and stretch.
+
+    Given by number, the partitions stay as many as the session has: Spark would otherwise join them into as few as there
+    are cores, and their sorts would hold that share of the whole log.
+    """
+    parts = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return df.withColumn("_stretch", _stretch_of(position, stretch)).repartition(parts, key, "_stretch")
+
+
 def with_previous(df: DataFrame, key: str, position: str, value: str, name: str,
                   stretch: int = DEFAULT_STRETCH) -> DataFrame:
     """Add `name`: `value` of the event just before, per key (null at the first).
@@ -27,7 +37,7 @@ def with_previous(df: DataFrame, key: str, position: str, value: str, name: str,
     `key` and `value` are never null (a struct of nullable parts will do as a key). `df` is computed and
     shuffled once: the window and the borders read the same exchange.
     """
-    cut = df.withColumn("_stretch", _stretch_of(position, stretch)).repartition(key, "_stretch")
+    cut = _cut(df, key, position, stretch)
     inner = Window.partitionBy(key, "_stretch").orderBy(position)
     outer = Window.partitionBy(key).orderBy("_stretch")
     borders = (cut.groupBy(key, "_stretch").agg(F.max_by(value, position).alias("_last"))
@@ -42,7 +52,7 @@ def with_previous(df: DataFrame, key: str, position: str, value: str, name: str,
 def with_next_marked(df: DataFrame, key: str, position: str, marked: Column, name: str,
                      stretch: int = DEFAULT_STRETCH) -> DataFrame:
     """Add `name`: position of the next later event of the key for which `marked` holds (null if none)."""
-    cut = df.withColumn("_stretch", _stretch_of(position, stretch)).repartition(key, "_stretch")
+    cut = _cut(df, key, position, stretch)
     mark = F.when(marked, F.col(position))
     # Reading backwards keeps the frame growing, which is linear; strictly later means at least one apart.
     inner = (Window.partitionBy(key, "_stretch").orderBy(F.col(position).desc())
