@@ -682,3 +682,17 @@ def test_labels_are_met_on_given_data(spark):
     out = quality_classifier.classify(docs.select("doc_id", "text"), quality_classifier.train(docs)).join(labels, "doc_id").toPandas()
     assert out.loc[out.quality == 1, "kept"].mean() > 0.98 and out.loc[out.quality == 0, "kept"].mean() < 0.03
     assert isinstance(out, pd.DataFrame)
+
+
+def test_workers_drop_the_vocabulary_after_a_task(spark):
+    """Workers that other stages use again hold no tables of the round trip."""
+    docs = spark.createDataFrame([(i, f"some text {i}") for i in range(8)], "doc_id bigint, text string").repartition(4)
+    assert bpe.round_trip(docs).count() == 8 and len(bpe.round_trip(docs).collect()) == 8
+
+    def held(batches):
+        import pyarrow as pa
+        from tidemark.llm import bpe as used
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([used.vocabulary.cache_info().currsize] * batch.num_rows)], names=["n"])
+
+    assert {r.n for r in docs.mapInArrow(held, "n bigint").collect()} == {0}

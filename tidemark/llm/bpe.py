@@ -18,6 +18,7 @@ Nulls and empty texts have no ids. Texts are encoded whole.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import re
@@ -35,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import pre_tokenizers
 
-from tidemark.llm.common import bounded_batches
+from tidemark.llm.common import bounded_batches, give_back
 
 CACHED_PIECES = 500_000
 VOCABULARY = "byte_bpe_50k.json"
@@ -280,6 +281,11 @@ def round_trip(docs: DataFrame, path: str | None = None, text_col: str = "text")
                 of_text.append(hashlib.sha256(vocab.decode_text(np.frombuffer(ids, "<u4").astype(np.int64)).encode()).hexdigest())
             yield pa.StructArray.from_arrays([pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())],
                                              names=["n_tokens", "ids_sha256", "decoded_sha256"])
+        # Workers are used again by other stages, which need the memory of the tables and of the pieces kept in them.
+        del vocab
+        vocabulary.cache_clear()
+        gc.collect()
+        give_back()
 
     marked = docs.withColumn("__b", F.arrow_udf(run, "struct<n_tokens:bigint,ids_sha256:string,decoded_sha256:string>")(F.col(text_col)))
     return marked.select(*[marked[c] for c in docs.columns], "__b.*")
