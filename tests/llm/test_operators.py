@@ -498,6 +498,30 @@ def test_components(spark):
     assert got == {n: root(n) for n in linked}
 
 
+@pytest.mark.parametrize("edge_rows", [20, 100_000])
+def test_components_take_rounds_only_beyond_one_task(spark, monkeypatch, edge_rows):
+    """Each round costs the driver a plan with joins."""
+    tables, write = [], common.written
+    monkeypatch.setattr(common, "EDGE_ROWS", edge_rows)
+    monkeypatch.setattr(common, "written", lambda df, name: tables.append(name) or write(df, name))
+    edges = [(k, k + 1) for k in range(-100, 100)] + [(500, 501), (7, 7), (None, 3), (501, 500)]
+    got = {r.node: r.component for r in common.components(frame(spark, edges, "a bigint, b bigint")).collect()}
+    assert got == {**dict.fromkeys(range(-100, 101), -100), 500: 500, 501: 500}
+    assert (len(tables) <= 2) == (edge_rows > 200)
+
+
+def test_tied_nodes_have_their_smallest_one():
+    draw = random.Random(3)
+    for _ in range(50):
+        edges = [(draw.randrange(60), draw.randrange(60)) for _ in range(draw.randint(1, 60))]
+        least = {n: n for e in edges for n in e}
+        for _ in range(60):
+            for a, b in edges:
+                least[a] = least[b] = min(least[a], least[b])
+        a, b = np.array(edges, np.int64).T
+        assert dict(zip(*(x.tolist() for x in common.tied(a, b)), strict=True)) == {n: m for n, m in least.items() if n != m}
+
+
 # --- 8 -----------------------------------------------------------------------------------------------------
 
 def jump(key, shards):

@@ -147,46 +147,66 @@ def few_rows(df: DataFrame, limit: int) -> DataFrame:
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 
-#: Rows of two longs that a task of `components` works on, and that it broadcasts at most.
+#: Rows of two longs that a task of `components` works on at once.
 EDGE_ROWS = 100_000
 
 
+def tied(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(node, smallest node that the edges lead to) of the nodes of some edges that are not the smallest themselves."""
+    nodes, place = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = place[:len(a)], place[len(a):]
+    label = np.arange(len(nodes))
+    while True:
+        low, high = np.minimum(label[x], label[y]), np.maximum(label[x], label[y])
+        apart = low != high
+        if not apart.any():
+            break
+        np.minimum.at(label, high[apart], low[apart])
+        while not np.array_equal(label, label[label]):
+            label = label[label]
+    moved = label != np.arange(len(nodes))
+    return nodes[moved], nodes[label[moved]]
+
+
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """(node, component) of every node of the edges (a, b): the smallest node that links lead to.
 
     Rounds of large-star and small-star: every node hands its smallest neighbour on to the others. A round is two
-    aggregates by node, each joined back (broadcast up to EDGE_ROWS edges, shuffled beyond); its result is written to
-    the shared folder in as many files as its number of rows asks for. Nothing is collected but a count and a sum.
+    aggregates by node, each joined back by a shuffle; its result is written to the shared folder in as many files as its
+    number of rows asks for. What fits a single task (EDGE_ROWS edges) is finished by it without rounds: the driver's
+    memory goes into the plans and broadcasts of rounds. Nothing is collected but a count and a sum.
     """
     def both(e):
         return e.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(e.select(F.col("b").alias("u"), F.col("a").alias("v")))
 
-    def star(pairs, rows):
+    def star(pairs):
         least = pairs.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        if rows <= EDGE_ROWS:
-            least = F.broadcast(least.coalesce(1))
-        return pairs.join(least, "u")
+        return pairs.join(least.hint("merge"), "u")
 
     def state(e):
         rows, total = e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         return int(rows), total
 
-    def sized(e, rows):
-        return written(e.coalesce(max(1, -(-rows // EDGE_ROWS))) if rows is not None else e, name)
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [(b.column("a").to_numpy(), b.column("b").to_numpy()) for b in batches if b.num_rows]
+        if parts:
+            node, least = tied(np.concatenate([a for a, _ in parts]), np.concatenate([b for _, b in parts]))
+            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(least)], names=["a", "b"])
 
-    now = sized(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b").distinct(), None)
+    now = written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b").distinct(), name)
     seen = state(now)
-    if 0 < seen[0] <= EDGE_ROWS:
-        now = sized(now, seen[0])
-    while seen[0]:
+    while seen[0] > EDGE_ROWS:
         # Every edge becomes one edge, so there are never more of them.
-        large = star(both(now), seen[0]).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        small = star(large, seen[0])
+        large = star(both(now)).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = star(large)
         small = small.where("v > m").select(F.col("v").alias("a"), F.col("m").alias("b")).unionByName(
             small.select(F.col("u").alias("a"), F.col("m").alias("b"))).where("a > b").distinct()
-        now = sized(small, seen[0])
+        now = written(small.coalesce(-(-seen[0] // EDGE_ROWS)), name)
         was, seen = seen, state(now)
         if was == seen:
             break
+    else:
+        if seen[0]:
+            now = written(now.coalesce(1).mapInArrow(finish, "a bigint, b bigint"), name)
     labels = now.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return labels.unionByName(labels.select(F.col("component").alias("node"), "component").distinct())
