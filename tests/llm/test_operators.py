@@ -465,6 +465,15 @@ def test_chunks_encoded_together_equal_the_library():
         assert cached.encode_all(texts) == [cached.whole(t) if t else b"" for t in texts]
 
 
+def test_a_run_of_texts_costs_few_calls_of_the_library(monkeypatch):
+    """Each distinct chunk is encoded once per run of texts, many in one call; no chunk is kept afterwards."""
+    cached, draw = token_files.Encoder(public_tokenizers.path("byte_bpe_50k.json")), random.Random(5)
+    monkeypatch.setattr(token_files, "JOINED_CHUNKS", 7)
+    texts = [words(draw, 200) + draw.choice(["", "\x1c x", " \u3000y", "\x1fz z\x1e end", " Ġa"]) for _ in range(20)]
+    assert cached.encode_all(texts) == [cached.whole(t) for t in texts]
+    assert len(cached._chunks) < 100
+
+
 def test_tree_rules_out_no_similar_pair():
     draw = np.random.default_rng(6)
     sets = []

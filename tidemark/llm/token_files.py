@@ -34,22 +34,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidemark.llm.bpe import CACHED_PIECES, VOCABULARY, Chunks, as_bytes
+from tidemark.llm.bpe import VOCABULARY, Chunks, as_bytes
 from tidemark.llm.common import bounded_batches, slices, work_folder, written
 from tidemark.llm.storage import open_ranges, whole_file
 
 #: Fixed values of the public seekable format, and the skippable frame that holds the document ids.
 SKIPPABLE_IDS, SKIPPABLE_TABLE, SEEKABLE = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 CHECKSUMS = 0x80
-#: The letter that stands for a space in tokens of a byte-level model (fixed value), and how much text of new chunks is encoded at once.
-SPACE, JOINED_CHARS = "\u0120", 1 << 15
+#: The letter that stands for a space in tokens of a byte-level model (fixed value), how many distinct chunks are one text
+#: for the library, and how much text shares its chunks.
+SPACE, JOINED_CHUNKS, TOGETHER_BYTES = "\u0120", 1000, 1 << 22
 END_ID, LEVEL, FILE_BYTES, READ_DOCS = 0, 3, 128 << 20, 5_000
 NULL_ID = -(1 << 63)
 
 
 class Encoder:
     """The tokenizers library over whole texts. Where nothing but a byte-level split comes before its model, the library splits
-    and encodes space-led chunks, and the ids of chunks and pieces are kept."""
+    and encodes each distinct space-led chunk of a run of texts once; ids of pieces and of chunks encoded alone are kept."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallel part
@@ -79,28 +80,33 @@ class Encoder:
             return self.whole(text)
         return self._chunks.encode(text)
 
-    def _learn(self, chunks: list[str]) -> None:
-        """Keep the ids of new chunks. The library encodes many of them as one text; a chunk begins where an id's token
-        begins with the letter of the space, which stands nowhere else in it."""
-        # White space at a chunk's end could grow together with that of its neighbour; such chunks are encoded alone.
-        chunks = [c for c in chunks if c and not c[0].isspace() and not c[-1].isspace()]
+    def _together(self, chunks: pa.Array) -> tuple[np.ndarray, pa.Array]:
+        """(places, ids as bytes) of most of some distinct chunks. The library encodes many of them as one text; a chunk
+        begins where an id's token begins with the letter of the space, which stands nowhere else in it."""
         if any(" " in t for t in self._special):
-            return
-        at, size = 0, 0
-        for i, chunk in enumerate([*chunks, None]):
-            if chunk is None or size > JOINED_CHARS:
-                if i > at:
-                    ids = np.array(self._library.encode_batch_fast([" " + " ".join(chunks[at:i])], add_special_tokens=False)[0].ids, "<u4")
-                    starts = np.flatnonzero(self._leads[ids])
-                    if len(starts) == i - at:
-                        data, ends = ids.tobytes(), [*(4 * starts[1:]).tolist(), 4 * len(ids)]
-                        for c, b, e in zip(chunks[at:i], (4 * starts).tolist(), ends, strict=True):
-                            self._chunks[c] = data[b:e]
-                at, size = i, 0
-            size += len(chunk or "") + 1
+            return np.zeros(0, np.int64), pa.array([], pa.large_binary())
+        # White space at a chunk's end could grow together with that of its neighbour; such chunks are encoded alone.
+        bare = pc.and_(pc.equal(pc.utf8_trim_whitespace(chunks), chunks), pc.invert(pc.match_substring_regex(chunks, "^[\x1c-\x1f]|[\x1c-\x1f]$")))
+        place = np.flatnonzero(pc.and_(bare, pc.not_equal(chunks, "")).to_numpy(zero_copy_only=False))
+        if not len(place):
+            return place, pa.array([], pa.large_binary())
+        at = np.append(np.arange(0, len(place), JOINED_CHUNKS), len(place))
+        texts = pc.binary_join(pa.LargeListArray.from_arrays(pa.array(at), chunks.take(pa.array(place))), pa.scalar(" ", pa.large_string()))
+        found, sizes, ids = np.ones(len(place), bool), [], []
+        for first, last, coded in zip(at[:-1], at[1:], self._library.encode_batch_fast([" " + t for t in texts.to_pylist()], add_special_tokens=False), strict=True):
+            run = np.array(coded.ids, "<u4")
+            starts = np.flatnonzero(self._leads[run])
+            if len(starts) == last - first:
+                sizes.append(np.diff(starts, append=len(run)))
+                ids.append(run)
+            else:
+                found[first:last] = False
+        ends = 4 * np.concatenate([np.zeros(1, np.int64), *sizes]).cumsum()
+        data = pa.py_buffer(np.concatenate([np.zeros(0, "<u4"), *ids]).tobytes())
+        return place[found], pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends), data])
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
-        """As `encode`, for texts at once: chunks are told apart and put together again by column."""
+        """As `encode`, for texts at once: their distinct chunks are encoded together and put together again by column."""
         out: list[bytes | None] = [None] * len(texts)
         plain = []
         for i, text in enumerate(texts):
@@ -112,19 +118,20 @@ class Encoder:
             return out
         lists = pc.split_pattern(pa.array([texts[i] for i in plain], pa.large_string()), " ")
         offsets, coded = lists.offsets, lists.values.dictionary_encode()
-        chunks = coded.dictionary.to_pylist()
-        known = self._chunks
-        if len(known) + len(chunks) > CACHED_PIECES:
-            known.clear()
-        self._learn([c for c in chunks if c not in known])
-        ids = pa.array([*(known[c] for c in chunks), b""], pa.large_binary())
+        place, ids = self._together(coded.dictionary)
+        alone = np.ones(len(coded.dictionary), bool)
+        alone[place] = False
+        alone = np.flatnonzero(alone)
+        ids = pa.concat_arrays([ids, pa.array([*(self._chunks[c] for c in coded.dictionary.take(pa.array(alone)).to_pylist()), b""], pa.large_binary())])
+        row = np.empty(len(coded.dictionary), np.int64)
+        row[place], row[alone] = np.arange(len(place)), np.arange(len(place), len(row))
         # A text's first chunk has no space before it.
         first = offsets.to_numpy()[:-1]
-        at = coded.indices.to_numpy().copy()
-        at[first] = len(chunks)
+        at = row[coded.indices.to_numpy()]
+        at[first] = len(row)
         rest = pc.binary_join(pa.LargeListArray.from_arrays(offsets.cast(pa.int64()), ids.take(pa.array(at))), pa.scalar(b"", pa.large_binary()))
         for i, head, tail in zip(plain, lists.values.take(pa.array(first)).to_pylist(), rest.to_pylist(), strict=True):
-            out[i] = known.by_pieces(head) + tail
+            out[i] = self._chunks.by_pieces(head) + tail
         return out
 
 
@@ -142,7 +149,7 @@ def token_frames(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
         encode, compress = encoder(path).encode_all, zstandard.ZstdCompressor(level=level).compress
         for texts in batches:
             counts, sums, frames = [], [], []
-            for _, part in slices(texts):
+            for _, part in slices(texts, TOGETHER_BYTES):
                 for ids in encode([t.decode() for t in part]):
                     ids += end
                     counts.append(len(ids) // 4)
