@@ -135,6 +135,20 @@ def test_collocations(spark, phrases, shard_words, top):
     assert sorted(map(tuple, got.collect())) == plain_collocations(phrases, 4, top)
 
 
+@pytest.mark.parametrize("ranges", [1, 5])
+def test_sums_of_phrases_are_packed_by_ranges(spark, phrases, ranges):
+    """Rows that leave the tasks follow the number of tasks and ranges, not that of phrases."""
+    docs = docs_of(spark, phrases).selectExpr("coalesce(lang, 'und') AS lang", "text").repartition(3)
+    _, want, shards = collocations.phrase_counts(docs, 4, shard_words=60)
+    bits = [np.full(collocations.BITS // 8, 255, np.uint8)] * 4
+    found = collocations.frequent_phrases(shards, bits, 4, ranges).collect()
+    assert sorted((r.lang, r.g, r.a) for r in found) == sorted((r.lang, r.g, r.a) for r in want.collect())
+    blocks = collocations.phrase_blocks(shards, bits, ranges)
+    rows = blocks.collect()
+    assert len(rows) <= blocks.rdd.getNumPartitions() * ranges * len({(r.lang, r.width) for r in rows})
+    assert sum(len(r.n) // 8 for r in rows) > 10 * len(rows) if ranges == 1 else {r.part for r in rows} == set(range(5))
+
+
 def test_collocations_of_nothing(spark):
     assert collocations.collocations(docs_of(spark, [])).collect() == []
     assert collocations.collocations(docs_of(spark, [(1, "s", "en", "a b c"), (2, "s", None, None)])).collect() == []

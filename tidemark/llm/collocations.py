@@ -9,7 +9,7 @@
    frequent; these set bits in a bitmap of their own.
 4. Such pairs are extended to the right word by word, up to `longest`. Before each step the phrases so far are summed and
    marked in the same way, so only phrases are extended whose parts may all be frequent. Sums over shards of what has
-   its bits, cut at `least`, are the exact counts of all phrases.
+   its bits, cut at `least`, are the exact counts of all phrases; they travel packed by ranges of hashes.
 5. Cuts are looked up in these counts and scored; a phrase goes if an extension to the left or right is as frequent.
 
 Suffixes are sorted by `longest` words and no further: that is as deep as intervals are ever followed. The bitmaps only
@@ -43,6 +43,8 @@ SHARD_WORDS, BUFFER_WORDS, COUNT_WORDS, COMBINED_ROWS = 500_000, 1_500_000, 1_00
 BITS, BLOCK_BITS = 1 << 26, 1 << 16
 #: Bits of a pair's hash that choose its counter, and those of them within a table of one task.
 PAIR_BITS, TABLE_BITS = 32, 22
+#: Ranges of hashes that phrases are summed in; more where a range would hold more than about COMBINED_ROWS phrases.
+RANGES = 64
 BROADCAST_ROWS = 500_000
 
 _MARK = np.isin(np.arange(256), list(PIECE_MARKS))
@@ -411,17 +413,38 @@ class _Sums:
                 self.parts[lang, width] = [(rows[first], total)]
         self.rows = sum(len(n) for parts in self.parts.values() for _, n in parts)
 
-    def taken(self) -> Iterator[pa.RecordBatch]:
+    def blocks(self, ranges: int) -> Iterator[pa.RecordBatch]:
+        """What was summed, as one row of packed phrases and counts per language, width and range of hashes; it is empty then."""
         for (lang, width), parts in self.parts.items():
             for phrases, n in parts:
-                flat = pa.array(phrases.view(np.int64).reshape(-1))
+                part = ((hash_of(lang, *phrases.T) >> np.uint64(32)) % np.uint64(ranges)).astype(np.int64)
+                by = np.argsort(part, kind="stable")
+                part, phrases, n = part[by], phrases[by], n[by].astype(np.int64)
+                found, at = np.unique(part, return_index=True)
+                spans = list(zip(at, np.append(at[1:], len(part)), strict=True))
+                yield pa.RecordBatch.from_arrays([pa.array(found), pa.array([lang] * len(found), pa.string()), pa.array([width] * len(found), pa.int32()),
+                                                  pa.array([phrases[i:j].tobytes() for i, j in spans], pa.binary()), pa.array([n[i:j].tobytes() for i, j in spans], pa.binary())],
+                                                 names=["part", "lang", "width", "phrases", "n"])
+        self.parts, self.rows = {}, 0
+
+    def taken(self, least: int) -> Iterator[pa.RecordBatch]:
+        """Phrases of at least `least` occurrences; nothing is left then."""
+        self.combine()
+        for (lang, width), parts in self.parts.items():
+            for phrases, n in parts:
+                phrases, n = phrases[n >= least], n[n >= least]
+                flat = pa.array(phrases.reshape(-1).view(np.int64))
                 grams = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, width), pa.int32()), flat)
-                yield pa.RecordBatch.from_arrays([pa.array([lang]).take(pa.array(np.zeros(len(n), np.int64))), grams, pa.array(n)], names=["lang", "g", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(n), pa.string()), grams, pa.array(n)], names=["lang", "g", "a"])
         self.parts, self.rows = {}, 0
 
 
-def phrase_shares(shards: DataFrame, bits: list[np.ndarray]) -> DataFrame:
-    """(lang, g, n) of the phrases that have their bits, width by width, summed by task."""
+def phrase_blocks(shards: DataFrame, bits: list[np.ndarray], ranges: int) -> DataFrame:
+    """(part, lang, width, phrases, n) of the phrases that have their bits, summed by task and packed by ranges of hashes.
+
+    A phrase is in the sums of every task that meets it. Packed, that makes as many rows as there are tasks times ranges,
+    and no phrase is a row of its own before its count is known.
+    """
     shared = shards.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -433,11 +456,30 @@ def phrase_shares(shards: DataFrame, bits: list[np.ndarray]) -> DataFrame:
             if sums.rows > COMBINED_ROWS:
                 sums.combine()
                 if sums.rows > COMBINED_ROWS // 2:
-                    yield from sums.taken()
+                    yield from sums.blocks(ranges)
         sums.combine()
-        yield from sums.taken()
+        yield from sums.blocks(ranges)
+
+    return _over_shards(shards, run, "part bigint, lang string, width int, phrases binary, n binary")
+
+
+def frequent_phrases(shards: DataFrame, bits: list[np.ndarray], least: int, ranges: int = RANGES) -> DataFrame:
+    """(lang, g, a) of all phrases of at least `least` occurrences, summed range by range."""
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, sums, limit = None, _Sums(), COMBINED_ROWS
+        for batch in batches:
+            for part, lang, width, phrases, n in zip(*(batch.column(c).to_pylist() for c in ("part", "lang", "width", "phrases", "n")), strict=True):
+                if now != (part, lang, width):
+                    yield from sums.taken(least)
+                    now, limit = (part, lang, width), COMBINED_ROWS
+                sums.add(lang, np.frombuffer(phrases, np.uint64).reshape(-1, width), np.frombuffer(n, np.int64))
+                if sums.rows > limit:
+                    sums.combine()
+                    limit = max(COMBINED_ROWS, 2 * sums.rows)
+        yield from sums.taken(least)
 
-    return _over_shards(shards, run, "lang string, g array<bigint>, n bigint")
+    blocks = phrase_blocks(shards, bits, ranges)
+    return blocks.repartition("part").sortWithinPartitions("part", "lang", "width").mapInArrow(add, "lang string, g array<bigint>, a bigint")
 
 
 def texts_of(shards: DataFrame, words: DataFrame) -> DataFrame:
@@ -477,12 +519,15 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, s
     shards = written(build_shards(docs, frequent, longest, shard_words), "fm-shards")
     bits: list[np.ndarray] = []
     with _single_rows(spark):
+        found = 0
         while len(bits) < longest - 1:
             keys = written(frequent_keys(shards, least, bits), "phrase-keys")
-            if not keys.limit(1).count():
+            more = keys.count()
+            if not more:
                 break
+            found += more
             bits.append(bitmap(keys))
-        phrases = written(phrase_shares(shards, bits).groupBy("lang", "g").agg(F.sum("n").alias("a")).where(F.col("a") >= least), "phrases")
+        phrases = written(frequent_phrases(shards, bits, least, max(RANGES, -(-found // COMBINED_ROWS))), "phrases")
     return words, phrases, shards
 
 
