@@ -474,6 +474,13 @@ def test_a_run_of_texts_costs_few_calls_of_the_library(monkeypatch):
     assert len(cached._chunks) < 100
 
 
+def test_batches_of_a_task_are_encoded_together(spark, library):
+    draw = random.Random(6)
+    rows = [(i, None if i % 400 == 0 else words(draw, 3)) for i in range(2_500)]
+    frames = token_files.token_frames(frame(spark, rows, "doc_id bigint, text string").coalesce(1), public_tokenizers.path("byte_bpe_50k.json"))
+    assert {r.doc_id: r.n_tokens for r in frames.collect()} == {i: 1 + len(library.encode(t or "").ids) for i, t in rows}
+
+
 def test_tree_rules_out_no_similar_pair():
     draw = np.random.default_rng(6)
     sets = []

@@ -43,7 +43,7 @@ SKIPPABLE_IDS, SKIPPABLE_TABLE, SEEKABLE = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 CHECKSUMS = 0x80
 #: The letter that stands for a space in tokens of a byte-level model (fixed value), how many distinct chunks are one text
 #: for the library, and how much text shares its chunks.
-SPACE, JOINED_CHUNKS, TOGETHER_BYTES = "\u0120", 1000, 1 << 22
+SPACE, JOINED_CHUNKS, TOGETHER_BYTES = "\u0120", 1000, 1 << 23
 END_ID, LEVEL, FILE_BYTES, READ_DOCS = 0, 3, 128 << 20, 5_000
 NULL_ID = -(1 << 63)
 
@@ -145,9 +145,21 @@ def token_frames(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     bounded_batches(docs.sparkSession)
     end = np.array([end_id], "<u4").tobytes()
 
+    def gathered(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        """Batches put together to about TOGETHER_BYTES; a larger one stays as it is."""
+        held, size = [], 0
+        for texts in batches:
+            if held and size + texts.nbytes > TOGETHER_BYTES:
+                yield pa.concat_arrays(held)
+                held, size = [], 0
+            held.append(texts)
+            size += texts.nbytes
+        if held:
+            yield pa.concat_arrays(held)
+
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encode, compress = encoder(path).encode_all, zstandard.ZstdCompressor(level=level).compress
-        for texts in batches:
+        for texts in gathered(batches):
             counts, sums, frames = [], [], []
             for _, part in slices(texts, TOGETHER_BYTES):
                 for ids in encode([t.decode() for t in part]):
