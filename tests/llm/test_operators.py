@@ -435,6 +435,26 @@ def test_similar_groups(spark, near_copies, piece):
     assert sorted(map(tuple, got.collect()), key=str) == plain_groups(near_copies)
 
 
+@pytest.mark.parametrize("sample_docs", [1, 10_000])
+def test_any_sample_of_common_shingles_gives_the_same_groups(spark, near_copies, sample_docs):
+    docs = frame(spark, near_copies, "doc_id bigint, text string")
+    got = ngram_join.similar_groups(docs, sample_docs=sample_docs).select("doc_id", "n_shingles", "component_id")
+    assert sorted(map(tuple, got.collect()), key=str) == plain_groups(near_copies)
+
+
+def test_large_blocks_of_chance_links_are_cut_again(spark, monkeypatch):
+    """Short texts that share a passage here and there make a large block, but its sets don't all meet each other."""
+    draw, calls = random.Random(41), collections.Counter()
+    passages = [words(draw, 5) for _ in range(60)]
+    rows = [(i, " ".join(words(draw, 9) + " " + passages[draw.randrange(60)] for _ in range(3))) for i in range(300)]
+    rows += [(1_000 + i, rows[i][1] + " end") for i in range(8)]
+    for name in ("_blocks_again", "_large_block_links"):
+        monkeypatch.setattr(ngram_join, name, lambda *a, _name=name, _f=getattr(ngram_join, name): (calls.update([_name]), _f(*a))[1])
+    got = ngram_join.similar_groups(frame(spark, rows, "doc_id bigint, text string"), piece=20).select("doc_id", "n_shingles", "component_id")
+    assert sorted(map(tuple, got.collect()), key=str) == plain_groups(rows)
+    assert calls == {"_blocks_again": 1}
+
+
 def test_groups_with_null_and_repeated_ids(spark, odd, odd_rows, empty):
     got = ngram_join.similar_groups(odd).select("doc_id", "n_shingles", "component_id").collect()
     assert sorted(map(tuple, got), key=str) == plain_groups(odd_rows)
@@ -497,6 +517,16 @@ def test_tree_rules_out_no_similar_pair():
     assert similar and similar <= found and len(found) < len(sets) ** 2 / 4
 
 
+def test_a_written_table_leaves_no_shuffle_files(spark):
+    def kept():
+        return {str(k) for k in spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllBlocks().mkString(" ").split() if k.startswith("shuffle_")}
+
+    before, setting = kept(), spark.conf.get(common._FILE_CLEANUP, None)
+    rows = common.written(spark.range(1000).groupBy((F.col("id") % 10).alias("k")).agg(F.count("*").alias("n")), "sums")
+    assert sorted(map(tuple, rows.collect())) == [(k, 100) for k in range(10)]
+    assert not kept() - before and spark.conf.get(common._FILE_CLEANUP, None) == setting
+
+
 def test_components(spark):
     draw = random.Random(9)
     edges = [(draw.randrange(300), draw.randrange(300)) for _ in range(180)] + [(k, k + 1) for k in range(1000, 1060)] + [(2000, 2000 + k) for k in range(1, 50)]

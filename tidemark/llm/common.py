@@ -32,11 +32,26 @@ def work_folder(spark: SparkSession, name: str) -> str:
     return f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/{name}-{uuid.uuid4().hex}"
 
 
+#: Spark's setting (since 4.1) that deletes a query's shuffle files when it ends, not when the driver collects its garbage.
+_FILE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """`df` written to the shared folder and read again: lineage ends there, and lost executors lose nothing."""
-    path = work_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """`df` written to the shared folder and read again: lineage ends there, and lost executors lose nothing.
+
+    The write's shuffle files go with it, so that a job of many steps needs the disk of its largest one.
+    """
+    spark, path = df.sparkSession, work_folder(df.sparkSession, name)
+    was = spark.conf.get(_FILE_CLEANUP, None)
+    spark.conf.set(_FILE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if was is None:
+            spark.conf.unset(_FILE_CLEANUP)
+        else:
+            spark.conf.set(_FILE_CLEANUP, was)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:

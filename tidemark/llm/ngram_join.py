@@ -12,10 +12,12 @@ A document's set is its distinct shingles of five words as 64-bit hashes; equal
    sets with a bitmap of their shingles, nodes hold the OR of their children's bitmaps, the range of sizes and the least
    number of set bits. A traversal of the tree against itself drops node pairs whose largest possible overlap is
    too small; what is left at the leaves is compared exactly, unless links already join the two.
-3. Large blocks. They are cut into pieces of at most `piece` sets. The pieces are joined each by itself, then one set of
-   every group found, until that merges no more; a tight group of any size is one group by then. Only sets outside the
-   largest group of a block are then brought together with all of its pieces (or, if they are more than a piece
-   themselves, with each other piece by piece).
+3. Large blocks. Chance links of short sets make them grow faster than the documents, so the sets of blocks of more than
+   `piece` are partitioned again, by an order over the whole hash space that counts these sets alone; that is done as long
+   as it takes out half of them or more. What is still large is cut into pieces of at most `piece` sets. The pieces are
+   joined each by itself, then one set of every group found, until that merges no more; a tight group of any size is one
+   group by then. Only sets outside the largest group of a block are then brought together with all of its pieces (or, if
+   they are more than a piece themselves, with each other piece by piece).
 
 Links that are found span the groups; copies are not expanded into pairs. Components are computed over the links.
 
@@ -75,12 +77,12 @@ def _among(tokens: np.ndarray, ordered: np.ndarray) -> np.ndarray:
     return ordered[np.minimum(np.searchsorted(ordered, tokens), len(ordered) - 1)] == tokens
 
 
-def offered(tokens: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, bool]:
-    """The shingles that a set puts forward, and whether they are more than the slice's."""
+def offered(tokens: np.ndarray, common: np.ndarray, whole: bool = False) -> tuple[np.ndarray, bool]:
+    """The shingles that a set puts forward, and whether they are more than those of the slice (or of the whole hash space)."""
     p = prefix_length(len(tokens))
     is_common = _among(tokens, common)
     plain = tokens[~is_common]
-    near = plain[:np.searchsorted(plain, np.uint64(SLICE))]
+    near = plain if whole else plain[:np.searchsorted(plain, np.uint64(SLICE))]
     if len(near) >= p:
         return near, False
     return np.concatenate([plain, tokens[is_common][:max(0, p - len(plain))]]), True
@@ -125,34 +127,44 @@ def _common_shingles(docs: DataFrame, total: int, width: int, sample_docs: int)
     return np.sort(found.select("token").toPandas()["token"].to_numpy(np.int64).view(np.uint64))
 
 
-def _offers(docs: DataFrame, common: np.ndarray, width: int, want_common: bool) -> DataFrame:
-    """(token, node) of the shingles put forward, common ones or others; equal sets of one batch are put forward once."""
+def _stored(tokens: pa.Array) -> Iterator[np.ndarray]:
+    """Sets from a column of their bytes."""
+    for own in tokens:
+        yield np.frombuffer(own.as_buffer(), np.uint64)
+
+
+def _offers(rows: DataFrame, common: np.ndarray, width: int | None, want_common: bool) -> DataFrame:
+    """(token, node) of the shingles put forward, common ones or others; equal sets of one batch are put forward once.
+
+    The sets are those of a column of texts or, without a width, a column of sets, whose whole hash space then counts.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seen: set[int] = set()
             parts, nodes = [], []
-            for tokens in _sets_of(batch.column("text"), width):
+            for tokens in _stored(batch.column(0)) if width is None else _sets_of(batch.column(0), width):
                 node = node_of(tokens)
                 if node is None or node in seen:
                     continue
                 seen.add(node)
-                offer, _ = offered(tokens, common)
+                offer, _ = offered(tokens, common, width is None)
                 offer = offer[_among(offer, common) == want_common]
                 parts.append(offer)
                 nodes.append(np.full(len(offer), node, np.int64))
             if parts:
                 yield pa.RecordBatch.from_arrays([pa.array(_signed(np.concatenate(parts))), pa.array(np.concatenate(nodes))], names=["token", "node"])
 
-    return docs.select("text").mapInArrow(run, "token bigint, node bigint")
+    return rows.mapInArrow(run, "token bigint, node bigint")
 
 
-def _blocks(docs: DataFrame, info: DataFrame, common: np.ndarray, width: int) -> DataFrame:
-    """(node, block) of the sets that may have a partner."""
+def _blocks(rows: DataFrame, info: DataFrame, common: np.ndarray, width: int | None) -> DataFrame:
+    """(node, block) of the sets that may have a partner; `rows` as in `_offers`."""
     # One shuffle of what is put forward. A shingle that is not common belongs to a small share of the documents, so its
     # rows make a bounded group (and spill beyond memory).
-    together = _offers(docs, common, width, False).selectExpr(
+    together = _offers(rows, common, width, False).selectExpr(
         "token", "node", "count(*) OVER (PARTITION BY token) AS docs", "min(node) OVER (PARTITION BY token) AS least", "max(node) OVER (PARTITION BY token) AS most")
-    shared = together.where("least <> most").select("node", "token", "docs", (~F.col("token").between(0, SLICE - 1)).alias("outside"))
+    outside = F.lit(False) if width is None else ~F.col("token").between(0, SLICE - 1)
+    shared = together.where("least <> most").select("node", "token", "docs", outside.alias("outside"))
     ranked = shared.groupBy("node").agg(F.collect_set(F.struct("outside", "docs", "token")).alias("tokens"))
     sizes = info.where("node IS NOT NULL").groupBy("node").agg(F.first("n").alias("n"), F.first("offers").alias("offers"), F.first("full").alias("full"))
     # The shingles nobody else put forward are the rarest and fill the prefix first.
@@ -160,15 +172,29 @@ def _blocks(docs: DataFrame, info: DataFrame, common: np.ndarray, width: int) ->
         F.greatest(F.lit(0), F.col("n") - F.floor((3 * F.col("n") + 3) / 4) + 1 - (F.col("offers") - F.size("tokens"))).cast("int"))
     first = ranked.join(sizes, "node").select("node", F.explode(F.slice(F.array_sort("tokens"), F.lit(1), room)).alias("t")).select("node", "t.token")
     prefix = written(first, "prefix")
-    hot = written(_offers(docs, common, width, True), "common")
+    hot = written(_offers(rows, common, width, True), "common")
     edges = None
-    for rows, few in ((prefix, False), (hot, True)):
-        least = rows.groupBy("token").agg(F.min("node").alias("least"))
-        pairs = rows.join(F.broadcast(least) if few else least, "token").where("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b")).distinct()
+    for put, few in ((prefix, False), (hot, True)):
+        least = put.groupBy("token").agg(F.min("node").alias("least"))
+        pairs = put.join(F.broadcast(least) if few else least, "token").where("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b")).distinct()
         edges = pairs if edges is None else edges.unionByName(pairs)
     return components(edges, "blocks").withColumnRenamed("component", "block")
 
 
+def _blocks_again(sets: DataFrame, common: np.ndarray) -> DataFrame:
+    """(node, block, sets) of those of some sets (node, tokens) that may have a partner among them, by an order over all of their shingles."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [(len(tokens), len(offer), full) for tokens in _stored(batch.column("tokens")) for offer, full in [offered(tokens, common, whole=True)]]
+            n, offers, full = zip(*own, strict=True) if own else ((), (), ())
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(n, pa.int64()), pa.array(offers, pa.int64()), pa.array(full, pa.bool_())],
+                                             names=["node", "n", "offers", "full"])
+
+    info = written(sets.select("node", "tokens").mapInArrow(run, "node bigint, n bigint, offers bigint, full boolean"), "sets-info")
+    blocks = written(_blocks(sets.select("tokens"), info, common, None), "blocks")
+    return written(blocks.join(blocks.groupBy("block").agg(F.count("*").alias("sets")), "block").select("node", "block", "sets"), "blocks")
+
+
 # --- trees -------------------------------------------------------------------------------------------------
 
 class SignatureTree:
@@ -337,7 +363,7 @@ def _grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     common = _common_shingles(docs, docs.count(), width, sample_docs)
     info = written(docs.select("doc_id", set_info(F.col("text"), common, width).alias("i")).select("doc_id", "i.*"), "sets-info")
-    blocks = written(_blocks(docs, info, common, width), "blocks")
+    blocks = written(_blocks(docs.select("text"), info, common, width), "blocks")
 
     sizes = blocks.groupBy("block").agg(F.count("*").alias("sets"))
     tasks = max(1, -(-blocks.count() // TASK_SETS))
@@ -363,7 +389,20 @@ def _grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
     large = chosen.where(F.col("sets") > piece)
     if large.limit(1).count():
         sets = written(sets_of(large).select("node", "tokens"), "sets")
-        links = links.unionByName(_large_block_links(sets, large.select("node", F.col("tree").alias("block")), piece))
+        left = large.count()
+        while True:
+            again = _blocks_again(sets, common)
+            nodes, before = again.where(F.col("sets") > piece).select("node", "block"), left
+            small, left = again.where(F.col("sets") <= piece), nodes.count()
+            tasks = max(1, -(-small.count() // TASK_SETS))
+            placed = small.select("node", F.pmod(F.xxhash64("block"), F.lit(tasks)).alias("task"), F.col("block").alias("tree"))
+            links = links.unionByName(_run_trees(sets, few_rows(placed, BROADCAST_ROWS).withColumn("known", F.lit(None).cast("string"))))
+            if not left:
+                break
+            sets = written(sets.join(few_rows(nodes.select("node"), BROADCAST_ROWS), "node", "left_semi"), "sets")
+            if 2 * left > before:
+                links = links.unionByName(_large_block_links(sets, nodes, piece))
+                break
 
     groups = components(links)
     return info.join(groups, "node", "left").select("doc_id", "n", "node", F.coalesce("component", "node").alias("component"))
