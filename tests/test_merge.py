@@ -226,3 +226,33 @@ def test_unkeyed_rejects(spark):
     typed = typed_of(spark, events, BAG)
     assert collected(rejected_unkeyed(typed, ["x", "y"])) == [
         (1, "d", "no_usable_before"), (2, "c", "unreadable_value")]
+
+
+def test_later_rounds_leave_out_what_is_settled(spark, monkeypatch):
+    """A run of open updates takes a round each; the rest of the log is not dealt out again, nor are settled nodes walked."""
+    from tidemark.operators import unkeyed
+    dealt, walked = [], []
+    deal, walk = unkeyed.with_next_marked, unkeyed._reached
+    monkeypatch.setattr(unkeyed, "with_next_marked", lambda df, *a: (dealt.append(df.count()), deal(df, *a))[1])
+    monkeypatch.setattr(unkeyed, "_reached", lambda nodes, *a: (walked.append(nodes.count()), walk(nodes, *a))[1])
+    events = [("c", None, {"x": 1, "y": "p"})] + [("u", {"x": 1}, {"x": 1})] * 3 + [("d", {"x": 100 + i, "y": "q"}, None) for i in range(40)]
+    typed = typed_of(spark, events, BAG)
+    assert collected(unkeyed_noop_events(None, typed)) == sorted([(i, "no_row") for i in range(4, 44)], key=repr)
+    assert len(dealt) == 4 and max(dealt[1:]) < 20 and len(walked) == 1
+    assert collected(apply_unkeyed(None, typed)) == [(1, "p")]
+
+
+def test_rounds_of_many_and_of_few_rows_agree(spark, monkeypatch):
+    """Joins change from shuffles to broadcasts between rounds."""
+    from tidemark.operators import unkeyed
+    from tidemark import session
+    rng = random.Random(12)
+    events = [("c", None, {"x": k, "y": rng.choice("pq")}) for k in range(6)]
+    for _ in range(12):
+        k = rng.randrange(3)
+        events.append(rng.choice([("u", {"x": k}, {"x": k}), ("u", {"x": k, "y": "p"}, {"y": "q"}), ("u", {"y": "q"}, {"x": k}), ("d", {"x": k + 3, "y": "p"}, None)]))
+    typed = typed_of(spark, events, BAG)
+    want = collected(apply_unkeyed(None, typed)), collected(unkeyed_noop_events(None, typed))
+    monkeypatch.setattr(unkeyed, "FEW_ROWS", 4)
+    monkeypatch.setattr(unkeyed, "is_few", lambda df: session.is_few(df, 4))
+    assert (collected(apply_unkeyed(None, typed)), collected(unkeyed_noop_events(None, typed))) == want

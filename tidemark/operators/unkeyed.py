@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.ordered import DEFAULT_STRETCH, with_next_marked
-from tidemark.session import FEW_ROWS, cut_lineage, joinable
+from tidemark.session import FEW_ROWS, cut_lineage, is_few, joinable
 from tidemark.sources.changelog import DELETE, readable
 
 _CHUNK = 10_000
@@ -110,10 +110,10 @@ def _later(first: str, then: str, payload: Sequence[str]) -> Column:
     return F.struct(*[F.coalesce(F.col(f"{then}.{c}"), F.col(f"{first}.{c}")).alias(c) for c in payload])
 
 
-def _successors(nodes: DataFrame, clearing: DataFrame, tested: Sequence[str], stretch: int) -> DataFrame:
-    """(id, successor): the first event after each node that matches its values."""
+def _successors(nodes: DataFrame, clearing: DataFrame, patterns: DataFrame, tested: Sequence[str], stretch: int, few: bool) -> DataFrame:
+    """(id, successor): the first event after each node that matches its values. `few`: the nodes are few, whatever the events are."""
     # A match key is the pattern and the tested values. All patterns of the log come as one array, from one aggregate.
-    patterns = clearing.agg(F.collect_set("pattern")).scalar()
+    patterns = patterns.agg(F.collect_set("pattern")).scalar()
     on = {c: F.substring("pattern", i + 1, 1) == "1" for i, c in enumerate(tested)}
     looked_up = (nodes.select("id", "after", "values", F.explode(patterns).alias("pattern"))
                  .where(_all([~on[c] | F.col(f"values.{c}").isNotNull() for c in tested]))
@@ -121,6 +121,9 @@ def _successors(nodes: DataFrame, clearing: DataFrame, tested: Sequence[str], st
                          F.struct("pattern", *[F.when(on[c], F.col(f"values.{c}")).alias(c) for c in tested]).alias("match")))
     keys = clearing.select("code", F.lit(None).cast("bigint").alias("node"),
                            F.struct("pattern", *[F.when(on[c], F.col(f"was.{c}")).alias(c) for c in tested]).alias("match"))
+    if few:
+        # Events that no node looks up are not dealt out.
+        keys = keys.join(F.broadcast(looked_up.select("match").distinct()), "match", "left_semi").select("code", "node", "match")
     return (with_next_marked(looked_up.unionByName(keys), "match", "code", F.col("node").isNull(), "successor", stretch)
             .where(F.col("node").isNotNull() & F.col("successor").isNotNull())
             .groupBy(F.col("node").alias("id")).agg(F.min("successor").alias("successor")))
@@ -135,10 +138,17 @@ def _own_ids(rows: DataFrame, generation: int) -> DataFrame:
     return cut_lineage(rows.withColumn("id", F.lit(-1 - (generation << 48)).cast("bigint") - F.monotonically_increasing_id()))
 
 
+def _met(rows: DataFrame, opens: DataFrame, few: bool) -> DataFrame:
+    """Rows (code, ...) with their open updates, which may be many even if the rows are few."""
+    return opens.join(F.broadcast(rows), "code") if few else rows.join(opens.hint("merge"), "code")
+
+
 def _grow(events: DataFrame, base: DataFrame | None, tested: list[str], payload: list[str], stretch: int, few: bool) -> tuple[DataFrame, DataFrame]:
     """All nodes with their targets, and the updates."""
-    clearing = events.where(F.col("kind") != ADD)
-    opens = events.where(F.col("kind") == OPEN).select("code", "row", "was", "tests", "has")
+    # Rounds read these again and again, so they hold no more than that.
+    clearing = cut_lineage(events.where(F.col("kind") != ADD).select("code", "pattern", _pick("was", tested).alias("was")))
+    patterns = cut_lineage(clearing.select("pattern").distinct())
+    opens = cut_lineage(events.where(F.col("kind") == OPEN).select("code", "row", "was", "tests", "has"))
     after = (F.col("code") - F.col("kind") + _AFTER).alias("after")
     kept = [F.when(F.col(f"has.{c}"), F.col(f"row.{c}")).when(F.col(f"tests.{c}"), F.col(f"was.{c}")).alias(c) for c in tested]
     born = events.where(F.col("kind").isin(ADD, FULL)).select(
@@ -152,26 +162,28 @@ def _grow(events: DataFrame, base: DataFrame | None, tested: list[str], payload:
     fresh = born.unionByName(inserted).unionByName(closed)
     if base is not None:
         fresh = fresh.unionByName(base.select("id", F.lit(-1).cast("bigint").alias("after"), "values", "writes", "born"))
-    parts, generation = [], 0
+    fresh = cut_lineage(fresh)
+    parts, generation, now_few = [], 0, few
     while True:
-        placed = cut_lineage(fresh.join(joinable(_successors(fresh, clearing, tested, stretch), few), "id", "left"))
+        placed = cut_lineage(fresh.join(joinable(_successors(fresh, clearing, patterns, tested, stretch, now_few), now_few), "id", "left"))
         entering = placed.where(_kind("successor") == OPEN).select("id", F.col("successor").alias("code"), F.col("values").alias("came"))
-        more = entering.limit(1).count() > 0
         target = F.when(_kind("successor").isin(FULL, CLOSED), F.col("successor"))
-        if not more:
-            parts.append(placed.withColumn("target", target))
-            break
         generation += 1
         became = F.struct(*[F.when(F.col(f"has.{c}"), F.col(f"row.{c}")).when(F.col(f"tests.{c}"), F.col(f"was.{c}"))
                             .otherwise(F.col(f"came.{c}")).alias(c) for c in tested])
-        moved = cut_lineage(entering.join(joinable(opens, few), "code").select(F.col("id").alias("from"), "code", became.alias("values")))
+        moved = _met(entering, opens, now_few).select(F.col("id").alias("from"), "code", became.alias("values"))
         nodes = _own_ids(moved.select("code", "values").distinct(), generation)
-        into = moved.join(joinable(nodes, few), ["code", "values"]).select(F.col("from").alias("id"), F.col("id").alias("_into"))
-        parts.append(placed.join(joinable(into, few), "id", "left").withColumn("target", F.coalesce("_into", target)).drop("_into"))
-        fresh = nodes.join(joinable(opens, few), "code").select("id", (F.col("code") - OPEN + _AFTER).alias("after"), "values",
-                                                 _writes(payload, "row", "has").alias("writes"), F.lit(0).cast("bigint").alias("born"))
+        was_few, size = now_few, nodes.limit(FEW_ROWS + 1).count()
+        if not size:
+            parts.append(placed.withColumn("target", target))
+            break
+        into = moved.join(joinable(nodes, was_few), ["code", "values"]).select(F.col("from").alias("id"), F.col("id").alias("_into"))
+        parts.append(placed.join(joinable(into, was_few), "id", "left").withColumn("target", F.coalesce("_into", target)).drop("_into"))
+        now_few = size <= FEW_ROWS
+        fresh = cut_lineage(_met(nodes, opens, now_few).select("id", (F.col("code") - OPEN + _AFTER).alias("after"), "values",
+                                                               _writes(payload, "row", "has").alias("writes"), F.lit(0).cast("bigint").alias("born")))
     nodes = reduce(DataFrame.unionByName, parts).withColumn("gone", F.coalesce(_kind("successor") == DROP, F.lit(False)))
-    if generation:
+    if len(parts) > 1:
         nodes = cut_lineage(nodes.coalesce(max(1, int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")))))
     return nodes, events.where(F.col("kind").isin(FULL, CLOSED, OPEN)).select("code", "kind")
 
@@ -196,20 +208,30 @@ def _reached(nodes: DataFrame, seeds: DataFrame, few: bool) -> DataFrame:
 def _settled(nodes: DataFrame, partial: bool, few: bool) -> tuple[DataFrame, DataFrame]:
     """(code) of the events that rows came to, and (id) of the inserted rows of partial updates that were inserted."""
     sure = nodes.where((F.col("id") < 0) & (F.col("born") > 0) | (F.col("id") >= 0) & _kind("id").isin(ADD, FULL))
-    came = nodes.where(F.col("successor").isNotNull())
     if not partial:
-        return cut_lineage(came.select(F.col("successor").alias("code")).distinct()), nodes.where("false").select("id")
+        return cut_lineage(nodes.where(F.col("successor").isNotNull()).select(F.col("successor").alias("code")).distinct()), nodes.where("false").select("id")
+    # Rows that are sure to reach a node stay sure, as does all that lies ahead of it, so a round leaves these nodes out of
+    # the next one, and with them the events they come to.
     waiting = cut_lineage(nodes.where((F.col("id") >= 0) & (_kind("id") == _INSERTED)).select("id", F.lit(_MAYBE).alias("flag")))
-    sure = sure.select("id", F.lit(_YES).alias("flag"))
+    seeds = sure.select("id", F.lit(_YES).alias("flag")).unionByName(waiting)
+    left, sure_hits, inserted = nodes.select("id", "successor", "target"), [], []
     while True:
-        flags = _reached(nodes, sure.unionByName(waiting.where(F.col("flag") > _NO)), few)
-        hits = cut_lineage(came.select("id", F.col("successor").alias("code")).join(joinable(flags, few), "id").groupBy("code").agg(F.max("flag").alias("hit")))
-        if not waiting.where(F.col("flag") == _MAYBE).limit(1).count():
-            return hits.where(F.col("hit") == _YES).select("code"), waiting.where(F.col("flag") == _YES).select("id")
+        flags = cut_lineage(left.join(joinable(_reached(left, seeds, few), few), "id"))
+        hits = cut_lineage(flags.where(F.col("successor").isNotNull()).groupBy(F.col("successor").alias("code")).agg(F.max("flag").alias("hit")))
+        sure_hits.append(hits.where(F.col("hit") == _YES).select("code"))
+        if not waiting.limit(1).count():
+            break
         event = F.col("id") - _INSERTED
         found = waiting.join(joinable(hits.select((F.col("code") - _kind("code")).alias("_event"), "hit"), few), event == F.col("_event"), "left")
-        now = F.when(F.col("hit").isNull(), _YES).when(F.col("hit") == _YES, _NO).otherwise(_MAYBE)
-        waiting = cut_lineage(found.select("id", F.when(F.col("flag") == _MAYBE, now).otherwise(F.col("flag")).cast("int").alias("flag")))
+        seeds = cut_lineage(found.where(F.col("hit").isNull() | (F.col("hit") == _MAYBE)).select(
+            "id", F.when(F.col("hit").isNull(), _YES).otherwise(_MAYBE).alias("flag")))
+        if not seeds.limit(1).count():
+            break
+        waiting = seeds.where(F.col("flag") == _MAYBE)
+        inserted.append(seeds.where(F.col("flag") == _YES).select("id"))
+        left = flags.where(F.col("flag") == _MAYBE).select("id", "successor", "target")
+        few = few or is_few(left)
+    return cut_lineage(reduce(DataFrame.unionByName, sure_hits).distinct()), reduce(DataFrame.unionByName, inserted, waiting.where("false").select("id"))
 
 
 def _trace(base: DataFrame | None, typed: DataFrame, columns: Sequence[str], order_col: str, stretch: int) -> Trace | DataFrame:
