@@ -239,11 +239,20 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
+def _drop_tables() -> None:
+    """Workers are used again by other stages, which need the memory of the tables and of the pieces kept in them."""
+    vocabulary.cache_clear()
+    gc.collect()
+    give_back()
+
+
 def _encoded(path: str):
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         vocab = vocabulary(path)
         for texts in batches:
             yield pa.array([np.frombuffer(vocab.encode(t or ""), "<u4").astype(np.int32) for t in texts.to_pylist()], pa.list_(pa.int32()))
+        del vocab
+        _drop_tables()
     return run
 
 
@@ -261,6 +270,8 @@ def decode(docs: DataFrame, path: str | None = None, ids_col: str = "ids", out_c
         vocab = vocabulary(where)
         for ids in batches:
             yield pa.array([vocab.decode_text(np.array(x or [], np.int64)) for x in ids.to_pylist()], pa.string())
+        del vocab
+        _drop_tables()
 
     return docs.withColumn(out_col, F.arrow_udf(run, "string")(F.col(ids_col)))
 
@@ -281,11 +292,8 @@ def round_trip(docs: DataFrame, path: str | None = None, text_col: str = "text")
                 of_text.append(hashlib.sha256(vocab.decode_text(np.frombuffer(ids, "<u4").astype(np.int64)).encode()).hexdigest())
             yield pa.StructArray.from_arrays([pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())],
                                              names=["n_tokens", "ids_sha256", "decoded_sha256"])
-        # Workers are used again by other stages, which need the memory of the tables and of the pieces kept in them.
         del vocab
-        vocabulary.cache_clear()
-        gc.collect()
-        give_back()
+        _drop_tables()
 
     marked = docs.withColumn("__b", F.arrow_udf(run, "struct<n_tokens:bigint,ids_sha256:string,decoded_sha256:string>")(F.col(text_col)))
     return marked.select(*[marked[c] for c in docs.columns], "__b.*")
