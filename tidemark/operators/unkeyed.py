@@ -110,10 +110,14 @@ def _later(first: str, then: str, payload: Sequence[str]) -> Column:
     return F.struct(*[F.coalesce(F.col(f"{then}.{c}"), F.col(f"{first}.{c}")).alias(c) for c in payload])
 
 
-def _successors(nodes: DataFrame, clearing: DataFrame, patterns: DataFrame, tested: Sequence[str], stretch: int, few: bool) -> DataFrame:
-    """(id, successor): the first event after each node that matches its values. `few`: the nodes are few, whatever the events are."""
+def _successors(nodes: DataFrame, clearing: DataFrame, tested: Sequence[str], stretch: int,
+                patterns: DataFrame | None = None, few: bool = False) -> DataFrame:
+    """(id, successor): the first event after each node that matches its values.
+
+    `patterns`: those of the events, if they were gathered before. `few`: the nodes are few, whatever the events are.
+    """
     # A match key is the pattern and the tested values. All patterns of the log come as one array, from one aggregate.
-    patterns = patterns.agg(F.collect_set("pattern")).scalar()
+    patterns = (clearing if patterns is None else patterns).agg(F.collect_set("pattern")).scalar()
     on = {c: F.substring("pattern", i + 1, 1) == "1" for i, c in enumerate(tested)}
     looked_up = (nodes.select("id", "after", "values", F.explode(patterns).alias("pattern"))
                  .where(_all([~on[c] | F.col(f"values.{c}").isNotNull() for c in tested]))
@@ -165,7 +169,7 @@ def _grow(events: DataFrame, base: DataFrame | None, tested: list[str], payload:
     fresh = cut_lineage(fresh)
     parts, generation, now_few = [], 0, few
     while True:
-        placed = cut_lineage(fresh.join(joinable(_successors(fresh, clearing, patterns, tested, stretch, now_few), now_few), "id", "left"))
+        placed = cut_lineage(fresh.join(joinable(_successors(fresh, clearing, tested, stretch, patterns, now_few), now_few), "id", "left"))
         entering = placed.where(_kind("successor") == OPEN).select("id", F.col("successor").alias("code"), F.col("values").alias("came"))
         target = F.when(_kind("successor").isin(FULL, CLOSED), F.col("successor"))
         generation += 1
